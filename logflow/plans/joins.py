@@ -1,0 +1,21 @@
+"""Join helpers with a checked broadcast side."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Largest side we broadcast without asking: a job table or version table of
+# this many rows is a few MB.
+BROADCAST_MAX_ROWS = 200_000
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """``broadcast(df)`` if ``df`` provably has at most ``max_rows`` rows.
+
+    The proof is a ``limit(max_rows + 1).count()``, which stops reading once the
+    bound is passed.  Above the bound the side is returned unmarked, so the
+    join stays a shuffle join (with AQE skew splitting).
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
