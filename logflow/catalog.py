@@ -18,7 +18,12 @@ from logflow.functions.jsoncheck import JOB_FIELDS
 from logflow.functions.keys import JOBS_PREFIX, LOCKS_PREFIX, strip_prefix
 from logflow.functions.timefmt import index_name
 from logflow.operators import batching, claims, ingest, jobs, logs, metrics, routing
+from logflow.session import scratch_path
+from logflow.sinks import writers
 from logflow.sources import derived as D
+from logflow.sources import readers
+from logflow.streaming.collect import collect
+from logflow.streaming.registry import current_jobs, fold_changes
 
 LIVENESS_LEASE = "30 minutes"
 FLUSH_ROWS = 10
@@ -433,3 +438,86 @@ ORACLE: dict[str, str] = {
         WHERE NOT (j.pipeline = 'low' AND r."partition" = 0)""", ["records", "changes"],
                               _EV + [("running", _RUNNING)]),
 }
+
+
+# ---- queries that go through sinks and streams ----------------------------
+# Each writes its input under the shared checkpoint folder, runs the sink or
+# stream to completion (``availableNow``) and reads the written table back.
+
+def request_topics(spark: SparkSession, d: str) -> DataFrame:
+    """S1 -> P1 -> P2 -> S3: report bodies fanned out to topic records."""
+    src, out = scratch_path(spark, "requests"), scratch_path(spark, "topics")
+    D.requests(spark, d).write.parquet(src)
+    lines = ingest.explode_logs(ingest.validate_requests(readers.read_requests(spark, src, fmt="parquet")))
+    writers.write_topic(ingest.to_records(lines), path=out)
+    back = spark.read.schema("value binary, topic string").parquet(out)
+    return back.groupBy("topic").agg(F.count(F.lit(1)).alias("records"),
+                                     F.sum(F.length(F.col("value").cast("string"))).alias("chars"))
+
+
+def collect_stream(spark: SparkSession, d: str) -> DataFrame:
+    """T2 over a record stream (S2 file form) into the index sink."""
+    src, out, dead, ck = (scratch_path(spark, n) for n in ("records", "index", "dead", "ckpt"))
+    D.records(spark, d).repartition(4, "topic", "partition").write.parquet(src)
+    stream = readers.read_topics(spark, path=src, streaming=True, max_files_per_trigger=1)
+    q = collect(stream, lambda: jobs.running_topics(_events(spark, d)), writers.index_writer(out, dead), ck,
+                trigger={"availableNow": True}, index_time="record")
+    q.awaitTermination()
+    back = spark.read.schema("pipeline string, doc string, batch_id long, index string").parquet(out)
+    return back.groupBy("index", "pipeline").agg(F.count(F.lit(1)).alias("records"))
+
+
+def job_state_stream(spark: SparkSession, d: str) -> DataFrame:
+    """S7 -> T1: the change feed folded by a streaming aggregate, then A4."""
+    src, state, ck = (scratch_path(spark, n) for n in ("changes", "state", "ckpt"))
+    D.changes(spark, d).repartitionByRange(4, "revision").write.parquet(src)
+    q = fold_changes(readers.read_job_changes(spark, src, max_files_per_trigger=1), state, ck,
+                     trigger={"availableNow": True})
+    q.awaitTermination()
+    return current_jobs(spark, state)
+
+
+def daily_log_files(spark: SparkSession, d: str) -> DataFrame:
+    """Process-log lines appended to one folder per day."""
+    out = scratch_path(spark, "daily")
+    writers.write_daily_log(D.log_messages(spark, d), out)
+    back = spark.read.schema("value string, day date").text(out)
+    return back.groupBy("day").agg(F.count(F.lit(1)).alias("lines"), F.min("value").alias("first_line"))
+
+
+def fan_out_sinks(spark: SparkSession, d: str) -> DataFrame:
+    """The same rows to two sinks, each read back."""
+    a, b = scratch_path(spark, "fan_a"), scratch_path(spark, "fan_b")
+    rows = ingest.decode_value(D.records(spark, d)).select("topic", "partition", "offset", "doc")
+    writers.fan_out(rows, [lambda df: df.write.parquet(a), lambda df: df.write.json(b)])
+    pa = spark.read.schema("topic string, doc string").parquet(a).withColumn("sink", F.lit("parquet"))
+    pb = spark.read.schema("topic string, doc string").json(b).withColumn("sink", F.lit("json"))
+    return pa.unionByName(pb).groupBy("sink", "topic").agg(F.count(F.lit(1)).alias("records"))
+
+
+QUERIES.update({
+    "request_topics": request_topics,
+    "collect_stream": collect_stream,
+    "job_state_stream": job_state_stream,
+    "daily_log_files": daily_log_files,
+    "fan_out_sinks": fan_out_sinks,
+})
+
+_FILE_LINE = """'[' || ['DEBUG', 'INFO', 'WARN', 'ERROR', 'FATAL'][level + 1] || '][' ||
+               regexp_extract(file, '[^/]*$') || ':' || CAST(line AS VARCHAR) || '] ' ||
+               strftime(ts, '%Y-%m-%d') || ' ' || strftime(ts, '%Y/%m/%d %H:%M:%S') || ' [' || msg || ']'"""
+
+ORACLE.update({
+    "request_topics": _with("""
+        SELECT 'conv_' || CAST(conv_id AS VARCHAR) AS topic, count(*) AS records,
+               CAST(sum(length(text)) AS BIGINT) AS chars
+        FROM request_rows WHERE kind IN (0, 1) GROUP BY 1""", ["request_rows"]),
+    "collect_stream": ORACLE["routed_counts"],
+    "job_state_stream": ORACLE["job_state"],
+    "daily_log_files": _with(f"""
+        SELECT CAST(ts AS DATE) AS day, count(*) AS lines, min({_FILE_LINE}) AS first_line
+        FROM log_messages GROUP BY 1""", ["log_messages"]),
+    "fan_out_sinks": """
+        SELECT s.sink, event_type AS topic, count(*) AS records
+        FROM events, (VALUES ('parquet'), ('json')) s(sink) GROUP BY ALL""",
+})
