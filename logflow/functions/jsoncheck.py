@@ -60,9 +60,14 @@ def is_string(v: Column) -> Column:
 
 
 def is_string_array(v: Column) -> Column:
-    """True for a JSON array whose elements are all strings (``[]`` included)."""
-    arr = F.try_variant_get(v, "$", "array<variant>")
-    return F.coalesce(F.forall(arr, lambda x: F.schema_of_variant(x) == F.lit("STRING")), F.lit(False))
+    """True for a JSON array whose elements are all strings (``[]`` included).
+
+    The merged element type must be STRING (or VOID for ``[]``/all-null), and
+    no element may be null; no lambda, so the check stays in generated code.
+    """
+    arr = F.try_variant_get(v, "$", "array<string>")
+    typed = F.schema_of_variant(v).isin("ARRAY<STRING>", "ARRAY<VOID>")
+    return F.coalesce(typed & (F.size(F.array_compact(arr)) == F.size(arr)), F.lit(False))
 
 
 def as_string(v: Column) -> Column:
@@ -84,10 +89,17 @@ def request_code(v: Column) -> Column:
 
 
 def _ci_field(v: Column, name: str) -> Column:
-    """Field by case-insensitive name, an exact match first (struct decoding)."""
+    """Field by case-insensitive name, an exact match first (struct decoding).
+
+    Among several case variants the last key wins.  Written with array
+    functions instead of a lambda so the projection keeps generated code; the
+    lookup only runs when the exact name is absent.
+    """
     m = F.try_variant_get(v, "$", "map<string,variant>")
-    loose = F.filter(F.map_entries(m), lambda e: F.lower(e["key"]) == F.lit(name.lower()))
-    return F.coalesce(field(v, name), F.try_element_at(loose, F.lit(-1))["value"])
+    lowered = F.split(F.lower(F.array_join(F.map_keys(m), "\u0001")), "\u0001")
+    pos = F.array_position(F.reverse(lowered), F.lit(name.lower()))
+    loose = F.when(pos > 0, F.element_at(F.map_values(m), -pos.cast("int")))
+    return F.coalesce(field(v, name), loose)
 
 
 def decode_job_struct(value: str | Column) -> Column:
@@ -97,13 +109,26 @@ def decode_job_struct(value: str | Column) -> Column:
     Field names match case-insensitively; absent or null fields are ``""``;
     a field of another type, a non-object value or bad JSON gives ``ok=false``.
     """
-    v = parse_one(value)
-    k = kind(v)
-    picks = {f: _ci_field(v, f) for f in JOB_FIELDS}
-    typed = [(p.isNull() | F.schema_of_variant(p).isin("STRING", "VOID")) for p in picks.values()]
+    return decode_job_variant(parse_one(value))
+
+
+def decode_job_variant(v: Column) -> Column:
+    """``decode_job_struct`` on an already parsed value (``parse_one``)."""
+    return decode_job_picked(v, kind(v), {f: _ci_field(v, f) for f in JOB_FIELDS})
+
+
+def job_field_picks(v: Column) -> dict[str, Column]:
+    """The four job fields of a parsed value, as VARIANT (stage 2 of decoding)."""
+    return {f: _ci_field(v, f) for f in JOB_FIELDS}
+
+
+def decode_job_picked(v: Column, k: Column, picks: dict[str, Column]) -> Column:
+    """Final stage of job decoding from the parsed value, its kind and the
+    picked fields.  Operators materialise each stage as a column so the
+    parse and the lookups run once per row."""
     ok = v.isNotNull() & k.isin("OBJECT", "VOID")
-    for t in typed:
-        ok = ok & t
+    for p in picks.values():
+        ok = ok & (p.isNull() | F.schema_of_variant(p).isin("STRING", "VOID"))
     cols = [F.coalesce(as_string(p), F.lit("")).alias(f) for f, p in picks.items()]
     return F.struct(F.coalesce(ok, F.lit(False)).alias("ok"), *cols)
 
@@ -113,7 +138,10 @@ def put_body_struct(body: str | Column) -> Column:
     ``pipeline, index_type`` optional strings (default ``""``).  Any other
     shape, an explicit null included, gives code -1.
     """
-    v = parse_one(body)
+    return put_body_variant(parse_one(body))
+
+
+def put_body_variant(v: Column) -> Column:
     k = kind(v)
     req = {f: field(v, f) for f in ("key", "job_name", "topic")}
     opt = {f: field(v, f) for f in ("pipeline", "index_type")}
@@ -130,7 +158,10 @@ def put_body_struct(body: str | Column) -> Column:
 
 def bulk_delete_struct(body: str | Column) -> Column:
     """Check a bulk delete body ``{keys: [string]}`` (P9); code 0 or -1."""
-    v = parse_one(body)
+    return bulk_delete_variant(parse_one(body))
+
+
+def bulk_delete_variant(v: Column) -> Column:
     keys = field(v, "keys")
     ok = F.coalesce(v.isNotNull() & (kind(v) == F.lit("OBJECT")) & is_string_array(keys), F.lit(False))
     return F.struct(F.when(ok, F.lit(CODE_OK)).otherwise(F.lit(CODE_NOT_JSON)).alias("code"),

@@ -13,16 +13,16 @@ from logflow.functions.keys import JOBS_PREFIX, add_prefix
 def validate_requests(df: DataFrame, body: str = "body") -> DataFrame:
     """Add ``code`` (0, -1, -2) and, for accepted bodies, ``topic`` and ``logs``.
 
-    A body is all-or-nothing: one bad element rejects the whole request.
+    A body is all-or-nothing: one bad element rejects the whole request.  The
+    body is parsed once (its own projection); the results leave through a
+    one-row generator so later filters on ``code`` do not re-inline the checks.
     """
-    v = J.parse_one(body)
-    return (df.withColumn("__v", v)
-            .withColumn("code", J.request_code(F.col("__v")))
-            .withColumn("topic", F.when(F.col("code") == J.CODE_OK,
-                                        F.try_variant_get("__v", "$.topic", "string")))
-            .withColumn("logs", F.when(F.col("code") == J.CODE_OK,
-                                       F.try_variant_get("__v", "$.logs", "array<string>")))
-            .drop("__v"))
+    v, code = F.col("__v"), F.col("__code")
+    d = df.withColumn("__v", J.parse_one(body)).withColumn("__code", J.request_code(v))
+    out = F.struct(code.alias("code"),
+                   F.when(code == J.CODE_OK, F.try_variant_get(v, "$.topic", "string")).alias("topic"),
+                   F.when(code == J.CODE_OK, F.try_variant_get(v, "$.logs", "array<string>")).alias("logs"))
+    return d.select(*df.columns, F.inline(F.array(out)))
 
 
 def explode_logs(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
@@ -44,8 +44,8 @@ def decode_value(df: DataFrame, value: str = "value", out: str = "doc") -> DataF
 
 def validate_job_puts(df: DataFrame, body: str = "body") -> DataFrame:
     """Add ``code, key, job_name, topic, pipeline, index_type`` from a put body."""
-    s = J.put_body_struct(body)
-    return df.withColumn("__p", s).select(*df.columns, "__p.*")
+    return (df.withColumn("__v", J.parse_one(body))
+            .select(*df.columns, F.inline(F.array(J.put_body_variant(F.col("__v"))))))
 
 
 def puts_to_changes(puts: DataFrame, revision: str = "revision", prefix: str = JOBS_PREFIX) -> DataFrame:
@@ -59,8 +59,7 @@ def puts_to_changes(puts: DataFrame, revision: str = "revision", prefix: str = J
 def explode_deletes(df: DataFrame, body: str = "body") -> DataFrame:
     """One row per key of a bulk delete body (``code`` 0), or one row with a
     NULL key and ``code`` -1 for a rejected body."""
-    s = J.bulk_delete_struct(body)
-    return (df.withColumn("__d", s)
+    return (df.withColumn("__v", J.parse_one(body)).withColumn("__d", J.bulk_delete_variant(F.col("__v")))
             .select(*df.columns, F.col("__d.code").alias("code"),
                     F.posexplode_outer("__d.keys").alias("pos", "key")))
 

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logflow.functions.jsoncheck import JOB_FIELDS, decode_job_struct
+from logflow.functions.jsoncheck import JOB_FIELDS, decode_job_picked, field, kind, parse_one
 from logflow.functions.keys import JOBS_PREFIX, strip_prefix
 from logflow.plans import scan
 
@@ -32,10 +32,33 @@ def read_jobs(changes: DataFrame, prefix: str = JOBS_PREFIX) -> DataFrame:
 
 
 def decode_jobs(df: DataFrame, value: str = "value") -> DataFrame:
-    """Add ``decodable`` and the four job fields decoded from ``value``."""
-    return (df.withColumn("__j", decode_job_struct(value))
-            .select(*df.columns, F.col("__j.ok").alias("decodable"),
-                    *[F.col("__j." + f).alias(f) for f in JOB_FIELDS]))
+    """Add ``decodable`` and the four job fields decoded from ``value``.
+
+    Staged as separate projections so that each expensive expression appears
+    once: parse; exact-name fields; the key map, built only for the rare value
+    that lacks an exact name; case-insensitive picks; checks.
+    """
+    v, k = F.col("__v"), F.col("__k")
+    d = df.withColumn("__v", parse_one(value))
+    d = d.select(*df.columns, "__v", kind(v).alias("__k"), *[field(v, f).alias("__e_" + f) for f in JOB_FIELDS])
+    missing = F.lit(False)
+    for f in JOB_FIELDS:
+        missing = missing | F.col("__e_" + f).isNull()
+    m = F.when(missing & (k == F.lit("OBJECT")), F.try_variant_get(v, "$", "map<string,variant>"))
+    d = d.select("*", m.alias("__m"))
+    d = d.select("*", F.split(F.lower(F.array_join(F.map_keys("__m"), "\u0001")), "\u0001").alias("__lk"),
+                 F.map_values("__m").alias("__mv"))
+    picks = {}
+    for f in JOB_FIELDS:
+        pos = F.array_position(F.reverse("__lk"), F.lit(f))
+        picks[f] = F.coalesce(F.col("__e_" + f), F.when(pos > 0, F.element_at("__mv", -pos.cast("int"))))
+    d = d.select(*df.columns, "__v", "__k", *[c.alias("__p_" + f) for f, c in picks.items()])
+    j = decode_job_picked(v, k, {f: F.col("__p_" + f) for f in JOB_FIELDS})
+    # The result leaves through a one-row generator.  Filters on ``decodable``
+    # cannot be pushed below a generator's output, so the optimizer does not
+    # copy the whole decode into every later predicate.
+    out = F.struct(j["ok"].alias("decodable"), *[j[f].alias(f) for f in JOB_FIELDS])
+    return d.select(*df.columns, F.inline(F.array(out)))
 
 
 def registry_state(changes: DataFrame, prefix: str = JOBS_PREFIX) -> DataFrame:
@@ -79,10 +102,9 @@ def prior_image(changes: DataFrame, prefix: str = JOBS_PREFIX,
     when there was none, it was deleted, or it does not decode."""
     c = read_jobs(changes, prefix).select(*CHANGE_COLS)
     lagged = scan.lag(c, "key", "revision", ["op", "value"], prefix="__prev_", width=width)
-    dec = decode_job_struct(F.col("__prev_value"))
-    live = (F.col("__prev_op") == "PUT") & dec["ok"]
-    return lagged.select("revision", "key", "op",
-                         *[F.when(live, dec[f]).alias("prior_" + f) for f in JOB_FIELDS])
+    dec = decode_jobs(lagged, "__prev_value")
+    live = (F.col("__prev_op") == "PUT") & F.col("decodable")
+    return dec.select("revision", "key", "op", *[F.when(live, F.col(f)).alias("prior_" + f) for f in JOB_FIELDS])
 
 
 def topic_transitions(events: DataFrame, width: int = scan.ORDINAL_WIDTH) -> DataFrame:

@@ -13,9 +13,11 @@ this package goes through the three steps below instead:
 3. summarise each slice to one row (count, sum, last row, ...), scan the small
    summary table per group, and join the carry-in back on ``(group, slice)``.
 
-The summary has one row per non-empty slice, so its size is independent of how
-rows are spread over groups.  The join and the in-slice window share the
-``(group, slice)`` hash partitioning, so the data is shuffled once.
+The input is hash-partitioned once on ``(group, slice)``; the in-slice window,
+the slice summary (a final-only aggregate, already clustered) and the join
+back all read that one exchange, which Spark reuses, so the data is shuffled
+once and everything upstream is computed once.  The summary has one row per
+non-empty slice, so its size does not depend on how rows spread over groups.
 
 Group keys must be non-null (null keys would be dropped by the equi-join).
 """
@@ -40,8 +42,10 @@ def _names(cols: str | Sequence[str]) -> list[str]:
     return [cols] if isinstance(cols, str) else list(cols)
 
 
-def _sliced(df: DataFrame, order: list[str], width: int) -> DataFrame:
-    return df.withColumn(SLICE, F.floor(F.col(order[0]) / F.lit(width)).cast("long"))
+def _sliced(df: DataFrame, keys: list[str], order: list[str], width: int) -> DataFrame:
+    """Add the slice column and cluster the rows on ``(keys, slice)``."""
+    d = df.withColumn(SLICE, F.floor(F.col(order[0]) / F.lit(width)).cast("long"))
+    return d.repartition(*keys, SLICE)
 
 
 def _order_struct(order: list[str]) -> Column:
@@ -56,14 +60,14 @@ def row_number(df: DataFrame, keys: str | Sequence[str], order: str | Sequence[s
                out: str = "row_number", width: int = ORDINAL_WIDTH) -> DataFrame:
     """``row_number() over (partition by keys order by order)``, 1-based."""
     keys, order = _names(keys), _names(order)
-    d = _sliced(df, order, width)
-    counts = d.groupBy(*keys, SLICE).agg(F.count(F.lit(1)).alias("__n"))
+    d = _sliced(df, keys, order, width)
+    counts = d.groupBy(*keys, SLICE).agg(F.count(F.lit(1)).alias("__scan_n"))
     before = _group_window(keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    base = counts.select(*keys, SLICE, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__base"))
+    base = counts.select(*keys, SLICE, F.coalesce(F.sum("__scan_n").over(before), F.lit(0)).alias("__scan_base"))
     local = Window.partitionBy(*keys, SLICE).orderBy(*order)
-    return (d.join(base, [*keys, SLICE])
-            .withColumn(out, (F.col("__base") + F.row_number().over(local)).cast("long"))
-            .drop(SLICE, "__base"))
+    return (d.withColumn("__scan_rn", F.row_number().over(local)).join(base, [*keys, SLICE])
+            .withColumn(out, (F.col("__scan_base") + F.col("__scan_rn")).cast("long"))
+            .drop(SLICE, "__scan_base", "__scan_rn"))
 
 
 _COMBINE = {
@@ -82,15 +86,15 @@ def running(df: DataFrame, keys: str | Sequence[str], order: str | Sequence[str]
     keys, order = _names(keys), _names(order)
     v = F.col(value) if isinstance(value, str) else value
     agg = _AGG[how]
-    d = _sliced(df, order, width).withColumn("__v", v)
-    summary = d.groupBy(*keys, SLICE).agg(agg("__v").alias("__s"))
+    d = _sliced(df, keys, order, width).withColumn("__scan_v", v)
+    summary = d.groupBy(*keys, SLICE).agg(agg("__scan_v").alias("__scan_s"))
     before = _group_window(keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    carry = summary.select(*keys, SLICE, agg("__s").over(before).alias("__carry"))
+    carry = summary.select(*keys, SLICE, agg("__scan_s").over(before).alias("__scan_carry"))
     local = (Window.partitionBy(*keys, SLICE).orderBy(*order)
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return (d.join(carry, [*keys, SLICE])
-            .withColumn(out, _COMBINE[how](F.col("__carry"), agg("__v").over(local)))
-            .drop(SLICE, "__v", "__carry"))
+    return (d.withColumn("__scan_loc", agg("__scan_v").over(local)).join(carry, [*keys, SLICE])
+            .withColumn(out, _COMBINE[how](F.col("__scan_carry"), F.col("__scan_loc")))
+            .drop(SLICE, "__scan_v", "__scan_carry", "__scan_loc"))
 
 
 def lag(df: DataFrame, keys: str | Sequence[str], order: str | Sequence[str],
@@ -102,22 +106,24 @@ def lag(df: DataFrame, keys: str | Sequence[str], order: str | Sequence[str],
     column that is true when there is such a row (values may be NULL).
     """
     keys, order, cols = _names(keys), _names(order), _names(cols)
-    d = _sliced(df, order, width)
+    d = _sliced(df, keys, order, width)
     ords = [F.col(c).desc() if lead else F.col(c).asc() for c in order]
     local = Window.partitionBy(*keys, SLICE).orderBy(*ords)
     row = F.struct(*[F.col(c).alias(c) for c in cols])
     pick = F.min_by if lead else F.max_by
-    summary = d.groupBy(*keys, SLICE).agg(pick(row, _order_struct(order)).alias("__edge"))
+    summary = d.groupBy(*keys, SLICE).agg(pick(row, _order_struct(order)).alias("__scan_edge"))
     nb = _group_window(keys).orderBy(F.col(SLICE).desc() if lead else F.col(SLICE).asc())
-    carry = summary.select(*keys, SLICE, F.lag("__edge").over(nb).alias("__carry"))
-    d = d.join(carry, [*keys, SLICE]).withColumn("__in", F.row_number().over(local) > 1)
-    out = d
+    carry = summary.select(*keys, SLICE, F.lag("__scan_edge").over(nb).alias("__scan_carry"))
+    loc = d.withColumn("__scan_in", F.row_number().over(local) > 1)
     for c in cols:
-        out = out.withColumn(prefix + c, F.when(F.col("__in"), F.lag(c).over(local))
-                             .otherwise(F.col("__carry").getField(c)))
+        loc = loc.withColumn("__scan_lag_" + c, F.lag(c).over(local))
+    out = loc.join(carry, [*keys, SLICE])
+    for c in cols:
+        out = out.withColumn(prefix + c, F.when(F.col("__scan_in"), F.col("__scan_lag_" + c))
+                             .otherwise(F.col("__scan_carry").getField(c)))
     if exists:
-        out = out.withColumn(exists, F.col("__in") | F.col("__carry").isNotNull())
-    return out.drop(SLICE, "__in", "__carry")
+        out = out.withColumn(exists, F.col("__scan_in") | F.col("__scan_carry").isNotNull())
+    return out.drop(SLICE, "__scan_in", "__scan_carry", *["__scan_lag_" + c for c in cols])
 
 
 def carry_forward(df: DataFrame, keys: str | Sequence[str], order: str | Sequence[str],
@@ -128,17 +134,17 @@ def carry_forward(df: DataFrame, keys: str | Sequence[str], order: str | Sequenc
     only.
     """
     keys, order = _names(keys), _names(order)
-    d = _sliced(df, order, width)
+    d = _sliced(df, keys, order, width)
     ords = [F.col(c).desc() if backward else F.col(c).asc() for c in order]
     local = (Window.partitionBy(*keys, SLICE).orderBy(*ords)
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     pick = F.min_by if backward else F.max_by
     marked = F.when(F.col(value).isNotNull(), _order_struct(order))
-    summary = d.groupBy(*keys, SLICE).agg(pick(F.col(value), marked).alias("__edge"))
+    summary = d.groupBy(*keys, SLICE).agg(pick(F.col(value), marked).alias("__scan_edge"))
     nb = (_group_window(keys).orderBy(F.col(SLICE).desc() if backward else F.col(SLICE).asc())
           .rowsBetween(Window.unboundedPreceding, -1))
-    carry = summary.select(*keys, SLICE, F.last("__edge", ignorenulls=True).over(nb).alias("__carry"))
-    return (d.join(carry, [*keys, SLICE])
-            .withColumn(out, F.coalesce(F.last(value, ignorenulls=True).over(local), F.col("__carry")))
-            .drop(SLICE, "__carry"))
+    carry = summary.select(*keys, SLICE, F.last("__scan_edge", ignorenulls=True).over(nb).alias("__scan_carry"))
+    return (d.withColumn("__scan_loc", F.last(value, ignorenulls=True).over(local)).join(carry, [*keys, SLICE])
+            .withColumn(out, F.coalesce(F.col("__scan_loc"), F.col("__scan_carry")))
+            .drop(SLICE, "__scan_carry", "__scan_loc"))
 
