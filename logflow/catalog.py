@@ -18,6 +18,7 @@ from logflow.functions.jsoncheck import JOB_FIELDS
 from logflow.functions.keys import JOBS_PREFIX, LOCKS_PREFIX, strip_prefix
 from logflow.functions.timefmt import index_name
 from logflow.operators import batching, claims, ingest, jobs, logs, metrics, routing
+from logflow.plans.materialize import materialize
 from logflow.session import scratch_path
 from logflow.sinks import writers
 from logflow.sources import derived as D
@@ -38,6 +39,11 @@ def _events(spark: SparkSession, d: str) -> DataFrame:
     return jobs.to_job_events(D.changes(spark, d))
 
 
+def _shared_events(spark: SparkSession, d: str) -> DataFrame:
+    """The job event log, written once for queries that scan it several times."""
+    return materialize(_events(spark, d))
+
+
 # ---- queries ---------------------------------------------------------------
 
 def routed_counts(spark: SparkSession, d: str) -> DataFrame:
@@ -62,7 +68,7 @@ def flush_batches(spark: SparkSession, d: str) -> DataFrame:
 
 
 def throughput(spark: SparkSession, d: str) -> DataFrame:
-    active = jobs.active_job_count(_events(spark, d))
+    active = jobs.active_job_count(_shared_events(spark, d))
     return metrics.throughput(D.records(spark, d), every=REPORT_EVERY, jobs=active)
 
 
@@ -75,7 +81,7 @@ def prior_image(spark: SparkSession, d: str) -> DataFrame:
 
 
 def active_job_count(spark: SparkSession, d: str) -> DataFrame:
-    return jobs.active_job_count(_events(spark, d))
+    return jobs.active_job_count(_shared_events(spark, d))
 
 
 def request_codes(spark: SparkSession, d: str) -> DataFrame:
@@ -100,7 +106,7 @@ def unclaimed_jobs(spark: SparkSession, d: str) -> DataFrame:
 
 
 def route_as_of(spark: SparkSession, d: str) -> DataFrame:
-    r = routing.route_as_of(D.records(spark, d), _events(spark, d))
+    r = routing.route_as_of(D.records(spark, d), _shared_events(spark, d))
     return r.select("topic", "partition", "offset", "version", "job_name", "pipeline",
                     index_name("topic", "index_type", "ts").alias("index"))
 
@@ -121,7 +127,7 @@ def delete_all_survivors(spark: SparkSession, d: str) -> DataFrame:
 
 
 def effective_deletes(spark: SparkSession, d: str) -> DataFrame:
-    return jobs.effective_deletes_in_log(_events(spark, d))
+    return jobs.effective_deletes_in_log(_shared_events(spark, d))
 
 
 def running_topics(spark: SparkSession, d: str) -> DataFrame:

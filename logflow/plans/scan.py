@@ -13,11 +13,14 @@ this package goes through the three steps below instead:
 3. summarise each slice to one row (count, sum, last row, ...), scan the small
    summary table per group, and join the carry-in back on ``(group, slice)``.
 
-The input is hash-partitioned once on ``(group, slice)``; the in-slice window,
-the slice summary (a final-only aggregate, already clustered) and the join
-back all read that one exchange, which Spark reuses, so the data is shuffled
-once and everything upstream is computed once.  The summary has one row per
-non-empty slice, so its size does not depend on how rows spread over groups.
+The in-slice window hash-partitions the input once on ``(group, slice)``.  The
+slice summary is aggregated from the windowed rows, which are already
+clustered, and the join back reads the same windowed rows; Spark reuses that
+one exchange, so the data is shuffled once and everything upstream is
+computed once.  The join back is a left join (every slice is in its own
+summary), so when a caller does not use the scan's output the optimizer drops
+the whole scan.  The summary has one row per non-empty slice, so its size does
+not depend on how rows spread over groups.
 
 Group keys must be non-null (null keys would be dropped by the equi-join).
 """
@@ -43,9 +46,8 @@ def _names(cols: str | Sequence[str]) -> list[str]:
 
 
 def _sliced(df: DataFrame, keys: list[str], order: list[str], width: int) -> DataFrame:
-    """Add the slice column and cluster the rows on ``(keys, slice)``."""
-    d = df.withColumn(SLICE, F.floor(F.col(order[0]) / F.lit(width)).cast("long"))
-    return d.repartition(*keys, SLICE)
+    """Add the slice column (the in-slice window clusters on ``(keys, slice)``)."""
+    return df.withColumn(SLICE, F.floor(F.col(order[0]) / F.lit(width)).cast("long"))
 
 
 def _order_struct(order: list[str]) -> Column:
@@ -61,11 +63,12 @@ def row_number(df: DataFrame, keys: str | Sequence[str], order: str | Sequence[s
     """``row_number() over (partition by keys order by order)``, 1-based."""
     keys, order = _names(keys), _names(order)
     d = _sliced(df, keys, order, width)
-    counts = d.groupBy(*keys, SLICE).agg(F.count(F.lit(1)).alias("__scan_n"))
+    local = Window.partitionBy(*keys, SLICE).orderBy(*order)
+    loc = d.withColumn("__scan_rn", F.row_number().over(local))
+    counts = loc.groupBy(*keys, SLICE).agg(F.count(F.lit(1)).alias("__scan_n"))
     before = _group_window(keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
     base = counts.select(*keys, SLICE, F.coalesce(F.sum("__scan_n").over(before), F.lit(0)).alias("__scan_base"))
-    local = Window.partitionBy(*keys, SLICE).orderBy(*order)
-    return (d.withColumn("__scan_rn", F.row_number().over(local)).join(base, [*keys, SLICE])
+    return (loc.join(base, [*keys, SLICE], "left")
             .withColumn(out, (F.col("__scan_base") + F.col("__scan_rn")).cast("long"))
             .drop(SLICE, "__scan_base", "__scan_rn"))
 
@@ -87,12 +90,13 @@ def running(df: DataFrame, keys: str | Sequence[str], order: str | Sequence[str]
     v = F.col(value) if isinstance(value, str) else value
     agg = _AGG[how]
     d = _sliced(df, keys, order, width).withColumn("__scan_v", v)
-    summary = d.groupBy(*keys, SLICE).agg(agg("__scan_v").alias("__scan_s"))
-    before = _group_window(keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    carry = summary.select(*keys, SLICE, agg("__scan_s").over(before).alias("__scan_carry"))
     local = (Window.partitionBy(*keys, SLICE).orderBy(*order)
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return (d.withColumn("__scan_loc", agg("__scan_v").over(local)).join(carry, [*keys, SLICE])
+    loc = d.withColumn("__scan_loc", agg("__scan_v").over(local))
+    summary = loc.groupBy(*keys, SLICE).agg(agg("__scan_v").alias("__scan_s"))
+    before = _group_window(keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    carry = summary.select(*keys, SLICE, agg("__scan_s").over(before).alias("__scan_carry"))
+    return (loc.join(carry, [*keys, SLICE], "left")
             .withColumn(out, _COMBINE[how](F.col("__scan_carry"), F.col("__scan_loc")))
             .drop(SLICE, "__scan_v", "__scan_carry", "__scan_loc"))
 
@@ -109,15 +113,15 @@ def lag(df: DataFrame, keys: str | Sequence[str], order: str | Sequence[str],
     d = _sliced(df, keys, order, width)
     ords = [F.col(c).desc() if lead else F.col(c).asc() for c in order]
     local = Window.partitionBy(*keys, SLICE).orderBy(*ords)
+    loc = d.withColumn("__scan_in", F.row_number().over(local) > 1)
+    for c in cols:
+        loc = loc.withColumn("__scan_lag_" + c, F.lag(c).over(local))
     row = F.struct(*[F.col(c).alias(c) for c in cols])
     pick = F.min_by if lead else F.max_by
-    summary = d.groupBy(*keys, SLICE).agg(pick(row, _order_struct(order)).alias("__scan_edge"))
+    summary = loc.groupBy(*keys, SLICE).agg(pick(row, _order_struct(order)).alias("__scan_edge"))
     nb = _group_window(keys).orderBy(F.col(SLICE).desc() if lead else F.col(SLICE).asc())
     carry = summary.select(*keys, SLICE, F.lag("__scan_edge").over(nb).alias("__scan_carry"))
-    loc = d.withColumn("__scan_in", F.row_number().over(local) > 1)
-    for c in cols:
-        loc = loc.withColumn("__scan_lag_" + c, F.lag(c).over(local))
-    out = loc.join(carry, [*keys, SLICE])
+    out = loc.join(carry, [*keys, SLICE], "left")
     for c in cols:
         out = out.withColumn(prefix + c, F.when(F.col("__scan_in"), F.col("__scan_lag_" + c))
                              .otherwise(F.col("__scan_carry").getField(c)))
@@ -138,13 +142,14 @@ def carry_forward(df: DataFrame, keys: str | Sequence[str], order: str | Sequenc
     ords = [F.col(c).desc() if backward else F.col(c).asc() for c in order]
     local = (Window.partitionBy(*keys, SLICE).orderBy(*ords)
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    loc = d.withColumn("__scan_loc", F.last(value, ignorenulls=True).over(local))
     pick = F.min_by if backward else F.max_by
     marked = F.when(F.col(value).isNotNull(), _order_struct(order))
-    summary = d.groupBy(*keys, SLICE).agg(pick(F.col(value), marked).alias("__scan_edge"))
+    summary = loc.groupBy(*keys, SLICE).agg(pick(F.col(value), marked).alias("__scan_edge"))
     nb = (_group_window(keys).orderBy(F.col(SLICE).desc() if backward else F.col(SLICE).asc())
           .rowsBetween(Window.unboundedPreceding, -1))
     carry = summary.select(*keys, SLICE, F.last("__scan_edge", ignorenulls=True).over(nb).alias("__scan_carry"))
-    return (d.withColumn("__scan_loc", F.last(value, ignorenulls=True).over(local)).join(carry, [*keys, SLICE])
+    return (loc.join(carry, [*keys, SLICE], "left")
             .withColumn(out, F.coalesce(F.col("__scan_loc"), F.col("__scan_carry")))
             .drop(SLICE, "__scan_carry", "__scan_loc"))
 
