@@ -526,6 +526,7 @@ ORACLE.update({
         SELECT CAST(ts AS DATE) AS day, count(*) AS lines, min({_FILE_LINE}) AS first_line
         FROM log_messages GROUP BY 1""", ["log_messages"]),
     "fan_out_sinks": """
-        SELECT s.sink, event_type AS topic, count(*) AS records
-        FROM events, (VALUES ('parquet'), ('json')) s(sink) GROUP BY ALL""",
+        SELECT 'parquet' AS sink, event_type AS topic, count(*) AS records FROM events GROUP BY ALL
+        UNION ALL
+        SELECT 'json' AS sink, event_type AS topic, count(*) AS records FROM events GROUP BY ALL""",
 })

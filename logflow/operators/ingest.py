@@ -53,7 +53,7 @@ def puts_to_changes(puts: DataFrame, revision: str = "revision", prefix: str = J
     value = F.to_json(F.struct("job_name", "topic", "index_type", "pipeline"))
     return (puts.filter(F.col("code") == J.CODE_OK)
             .select(revision, F.lit("PUT").alias("op"), add_prefix("key", prefix).alias("key"),
-                    value.alias("value"), *[c for c in ("ts",) if c in puts.columns]))
+                    value.alias("value"), _ts(puts)))
 
 
 def explode_deletes(df: DataFrame, body: str = "body") -> DataFrame:
@@ -67,5 +67,9 @@ def explode_deletes(df: DataFrame, body: str = "body") -> DataFrame:
 def deletes_to_changes(deletes: DataFrame, revision: str = "revision", prefix: str = JOBS_PREFIX) -> DataFrame:
     return (deletes.filter((F.col("code") == J.CODE_OK) & F.col("key").isNotNull())
             .select(revision, F.lit("DELETE").alias("op"), add_prefix("key", prefix).alias("key"),
-                    F.lit(None).cast("string").alias("value"),
-                    *[c for c in ("ts",) if c in deletes.columns]))
+                    F.lit(None).cast("string").alias("value"), _ts(deletes)))
+
+
+def _ts(df: DataFrame):
+    """The change time: the request's ``ts`` if it has one, else NULL."""
+    return F.col("ts") if "ts" in df.columns else F.lit(None).cast("timestamp_ntz").alias("ts")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from logflow.plans.materialize import materialize
+
 # Largest side we broadcast without asking: a job table or version table of
 # this many rows is a few MB.
 BROADCAST_MAX_ROWS = 200_000
@@ -13,9 +15,14 @@ BROADCAST_MAX_ROWS = 200_000
 def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """``broadcast(df)`` if ``df`` provably has at most ``max_rows`` rows.
 
-    The proof is a ``limit(max_rows + 1).count()``, which stops reading once the
-    bound is passed.  Above the bound the side is returned unmarked, so the
-    join stays a shuffle join (with AQE skew splitting).
+    At most ``max_rows + 1`` rows are computed and written once (a reliable
+    checkpoint); if that copy holds no more than ``max_rows`` rows it is the
+    whole table and is broadcast, so the side is computed only once.
+    Otherwise the unmarked ``df`` is returned and the join stays a shuffle
+    join (with AQE skew splitting); at most ``max_rows + 1`` rows were spent
+    on the probe.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    head = materialize(df.limit(max_rows + 1))
+    if head.count() <= max_rows:
+        return F.broadcast(head)
+    return df
