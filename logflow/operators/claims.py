@@ -36,19 +36,15 @@ def liveness(heartbeats: DataFrame, lease: str | float = LEASE,
     Returns ``keys..., session_start, last_beat, session_end, beats`` with
     ``session_end = last_beat + lease``.
 
-    Heartbeats are first counted per distinct time, then a skew-safe lag finds
-    session starts and a carry-forward labels every beat with its session, so
-    a hot topic is spread over time slices rather than sent to one task.
+    Heartbeats are first counted per distinct time, then one skew-safe scan
+    labels every beat with its session start, so a hot topic is spread over
+    time slices rather than sent to one task.
     """
     keys = list(keys)
     lease_us = int(round(seconds(lease) * 1_000_000))
     beats = (heartbeats.select(*keys, micros("ts").alias("__us"))
              .groupBy(*keys, "__us").agg(F.count(F.lit(1)).alias("__n")))
-    lagged = scan.lag(beats, keys, "__us", ["__us"], prefix="__prev", width=width)
-    start = F.when(F.col("__prev__us").isNull() | ((F.col("__us") - F.col("__prev__us")) > lease_us),
-                   F.col("__us"))
-    labelled = scan.carry_forward(lagged.withColumn("__start", start), keys, "__us", "__start", "__sess",
-                                  width=width)
+    labelled = scan.session_starts(beats, keys, "__us", lease_us, "__sess", width=width)
     s = labelled.groupBy(*keys, "__sess").agg(F.max("__us").alias("__last"), F.sum("__n").alias("beats"))
     return s.select(*keys, from_micros("__sess").alias("session_start"),
                     from_micros("__last").alias("last_beat"),

@@ -153,3 +153,36 @@ def carry_forward(df: DataFrame, keys: str | Sequence[str], order: str | Sequenc
             .withColumn(out, F.coalesce(F.col("__scan_loc"), F.col("__scan_carry")))
             .drop(SLICE, "__scan_carry", "__scan_loc"))
 
+
+
+def session_starts(df: DataFrame, keys: str | Sequence[str], t: str, gap: int, out: str,
+                   width: int = MICROS_PER_HOUR) -> DataFrame:
+    """Gap sessions in one scan: ``out`` is the start of the session of each
+    row, where rows at most ``gap`` apart in ``t`` (per group) share a session.
+
+    ``t`` must be unique per group (count duplicates first).  Inside a slice
+    the window finds local session starts; the slice summary (first, last and
+    last local start) is scanned per group to decide whether each slice's first
+    row opens a session or continues the previous slice's.
+    """
+    keys = _names(keys)
+    d = _sliced(df, keys, [t], width)
+    w = Window.partitionBy(*keys, SLICE).orderBy(t)
+    prev = F.lag(t).over(w)
+    loc = d.withColumn("__scan_new", prev.isNotNull() & ((F.col(t) - prev) > F.lit(gap)))
+    loc = loc.withColumn("__scan_start", F.last(F.when(F.col("__scan_new"), F.col(t)), ignorenulls=True)
+                         .over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    summary = loc.groupBy(*keys, SLICE).agg(F.min(t).alias("__scan_first"), F.max(t).alias("__scan_last"),
+                                            F.max(F.when(F.col("__scan_new"), F.col(t))).alias("__scan_ls"))
+    g = _group_window(keys).orderBy(SLICE)
+    prev_last = F.lag("__scan_last").over(g)
+    first_new = prev_last.isNull() | ((F.col("__scan_first") - prev_last) > F.lit(gap))
+    s = summary.withColumn("__scan_fnew", first_new)
+    s = s.withColumn("__scan_eff", F.coalesce(F.col("__scan_ls"),
+                                              F.when(F.col("__scan_fnew"), F.col("__scan_first"))))
+    carried = F.last("__scan_eff", ignorenulls=True).over(g.rowsBetween(Window.unboundedPreceding, -1))
+    s = s.select(*keys, SLICE, F.when(F.col("__scan_fnew"), F.col("__scan_first")).otherwise(carried)
+                 .alias("__scan_first_start"))
+    return (loc.join(s, [*keys, SLICE], "left")
+            .withColumn(out, F.coalesce(F.col("__scan_start"), F.col("__scan_first_start")))
+            .drop(SLICE, "__scan_new", "__scan_start", "__scan_first_start"))

@@ -69,3 +69,21 @@ def test_hot_key_is_split(spark, data):
     """The in-group window is partitioned by (key, slice), not by key alone."""
     plan = scan.row_number(data, "k", "o", width=64)._jdf.queryExecution().executedPlan().toString()
     assert "__slice" in plan
+
+
+@pytest.mark.parametrize("width", [3, 10, 1000])
+def test_session_starts(spark, width):
+    import random
+    rnd = random.Random(width)
+    rows = {(rnd.choice(["hot", "hot", "a", "b"]), rnd.randrange(0, 400)) for _ in range(900)}
+    df = spark.createDataFrame(sorted(rows), "k string, t long")
+    got = {(r.k, r.t): r.s for r in scan.session_starts(df, "k", "t", 4, "s", width=width).collect()}
+    want = {}
+    for k in {k for k, _ in rows}:
+        start, prev = None, None
+        for t in sorted(t for kk, t in rows if kk == k):
+            if prev is None or t - prev > 4:
+                start = t
+            want[(k, t)] = start
+            prev = t
+    assert got == want
