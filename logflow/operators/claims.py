@@ -29,7 +29,7 @@ def read_claims(locks: DataFrame, prefix: str = LOCKS_PREFIX) -> DataFrame:
 
 def liveness(heartbeats: DataFrame, lease: str | float = LEASE,
              keys: Sequence[str] = ("topic", "owner"),
-             width: int = scan.MICROS_PER_HOUR) -> DataFrame:
+             width: int = scan.TIME_WIDTH) -> DataFrame:
     """Claim sessions (T3): heartbeats at most ``lease`` apart form one session.
 
     A gap of exactly one lease still merges (as ``session_window`` does).

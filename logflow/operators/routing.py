@@ -25,7 +25,7 @@ def route(records: DataFrame, jobs: DataFrame, max_broadcast_rows: int = BROADCA
     return records.join(bounded_broadcast(j, max_broadcast_rows), "topic")
 
 
-def route_as_of(records: DataFrame, events: DataFrame, width: int = scan.MICROS_PER_HOUR) -> DataFrame:
+def route_as_of(records: DataFrame, events: DataFrame, width: int = scan.TIME_WIDTH) -> DataFrame:
     """Each record with the job version that consumes it.
 
     A version starts at its SAVE event and lasts to the next event of the
