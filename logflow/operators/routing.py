@@ -15,14 +15,17 @@ from logflow.plans.joins import BROADCAST_MAX_ROWS, bounded_broadcast
 JOB_COLS = ("job_name", "index_type", "pipeline")
 
 
-def route(records: DataFrame, jobs: DataFrame, max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def route(records: DataFrame, jobs: DataFrame, max_broadcast_rows: int = BROADCAST_MAX_ROWS,
+          keep_probe: bool = True) -> DataFrame:
     """Records of topics that have a job, with the job's fields.
 
     ``jobs`` holds one job per topic (``running_topics``).  It is broadcast
     when its size is proven small -- a job table is -- else the join shuffles.
+    ``keep_probe=False`` skips writing the probed table (streams re-read a
+    stored job table every micro-batch).
     """
     j = jobs.select("topic", *JOB_COLS)
-    return records.join(bounded_broadcast(j, max_broadcast_rows), "topic")
+    return records.join(bounded_broadcast(j, max_broadcast_rows, keep=keep_probe), "topic")
 
 
 def route_as_of(records: DataFrame, events: DataFrame, width: int = scan.TIME_WIDTH) -> DataFrame:

@@ -12,16 +12,19 @@ from logflow.plans.materialize import materialize
 BROADCAST_MAX_ROWS = 200_000
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, keep: bool = True) -> DataFrame:
     """``broadcast(df)`` if ``df`` provably has at most ``max_rows`` rows.
 
-    At most ``max_rows + 1`` rows are computed and written once (a reliable
-    checkpoint); if that copy holds no more than ``max_rows`` rows it is the
-    whole table and is broadcast, so the side is computed only once.
-    Otherwise the unmarked ``df`` is returned and the join stays a shuffle
-    join (with AQE skew splitting); at most ``max_rows + 1`` rows were spent
-    on the probe.
+    At most ``max_rows + 1`` rows are computed.  With ``keep`` they are written
+    once (a reliable checkpoint); if that copy holds no more than ``max_rows``
+    rows it is the whole table and is broadcast, so the side is computed only
+    once.  Without ``keep`` (for sides that are cheap to read again, such as a
+    job table re-read by every micro-batch of a stream) the probe only counts,
+    and nothing is written.  Above the bound the unmarked ``df`` is returned
+    and the join stays a shuffle join (with AQE skew splitting).
     """
+    if not keep:
+        return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
     head = materialize(df.limit(max_rows + 1))
     if head.count() <= max_rows:
         return F.broadcast(head)

@@ -50,7 +50,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     used as is.  Only when neither is set -- local runs and tests -- a private
     folder is created and registered.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a Connect session: the server owns the setting
+        return spark.conf.get("spark.checkpoint.dir", "")
     d = sc.getCheckpointDir()
     if d:
         return d

@@ -33,7 +33,9 @@ def collect_batch(records: DataFrame, jobs: DataFrame, max_rows: int = batching.
     value per micro-batch, as a collector's clock at flush); ``"record"``
     uses each record's time, which makes replays reproducible.
     """
-    routed = ingest.decode_value(routing.route(records, jobs))
+    # the job table is a stored table read again each batch: probe its size
+    # without writing a copy per micro-batch
+    routed = ingest.decode_value(routing.route(records, jobs, keep_probe=False))
     b = batching.assign_batches(routed, max_rows=max_rows, max_wait=max_wait)
     if index_time == "processing":
         when = as_utc_ntz(F.current_timestamp(), TimestampType())
