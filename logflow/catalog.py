@@ -111,6 +111,10 @@ def route_as_of(spark: SparkSession, d: str) -> DataFrame:
                     index_name("topic", "index_type", "ts").alias("index"))
 
 
+def claim_winners(spark: SparkSession, d: str) -> DataFrame:
+    return claims.claim_winners(D.heartbeats(spark, d), lease=LIVENESS_LEASE)
+
+
 def first_claim(spark: SparkSession, d: str) -> DataFrame:
     hb = D.heartbeats(spark, d).withColumn("day", F.to_date("ts"))
     return claims.first_claim(hb, by=["topic", "day"])
@@ -223,6 +227,7 @@ QUERIES: dict[str, Query] = {
     "unclaimed_jobs": unclaimed_jobs,
     "route_as_of": route_as_of,
     "first_claim": first_claim,
+    "claim_winners": claim_winners,
     "snapshot_tail": snapshot_tail,
     "delete_all_survivors": delete_all_survivors,
     "effective_deletes": effective_deletes,
@@ -380,6 +385,15 @@ ORACLE: dict[str, str] = {
                      count(*) OVER (PARTITION BY topic, CAST(ts AS DATE)) AS attempts,
                      row_number() OVER (PARTITION BY topic, CAST(ts AS DATE) ORDER BY ts, owner) AS rn
               FROM heartbeats) WHERE rn = 1""", ["heartbeats"]),
+    "claim_winners": _with("""
+        SELECT topic, arg_min(owner, (ts, owner)) AS owner, min(ts) AS claimed_at,
+               max(ts) + INTERVAL 30 MINUTE AS expires_at, count(*) AS attempts,
+               count(DISTINCT owner) - 1 AS refused_owners
+        FROM (SELECT *, sum(new) OVER (PARTITION BY topic ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sid
+              FROM (SELECT *, CASE WHEN lag(ts) OVER w IS NULL OR ts - lag(ts) OVER w > INTERVAL 30 MINUTE
+                                   THEN 1 ELSE 0 END AS new
+                    FROM heartbeats WINDOW w AS (PARTITION BY topic ORDER BY ts, owner)))
+        GROUP BY topic, sid""", ["heartbeats"]),
     "snapshot_tail": _with("""
         SELECT 0 AS phase, revision, ts, key, 1 AS event_type, job_name, topic, index_type, pipeline
         FROM (SELECT key, revision, ts, op, g_bad, g_job_name AS job_name, g_topic AS topic,

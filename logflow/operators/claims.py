@@ -70,6 +70,30 @@ def first_claim(claims: DataFrame, by: Sequence[str] = ("topic",)) -> DataFrame:
                  F.count(F.lit(1)).alias("attempts")))
 
 
+def claim_winners(heartbeats: DataFrame, lease: str | float = LEASE,
+                  width: int = scan.TIME_WIDTH) -> DataFrame:
+    """Who holds each topic's lock (W3 over lease sessions).
+
+    All attempts on a topic that come at most one lease apart form one lock
+    session; the earliest attempt (then the smallest owner) wins it and every
+    other owner in the session is refused.  After a gap longer than the lease
+    the lock has expired and the next attempt wins a new session.  (A holder
+    that stops renewing while others keep trying inside one lease is not
+    modelled; the whole session goes to the first writer.)
+    """
+    lease_us = int(round(seconds(lease) * 1_000_000))
+    hb = heartbeats.select("topic", "owner", micros("ts").alias("__us"))
+    labelled = scan.session_starts(hb, "topic", "__us", lease_us, "__sess", width=width)
+    g = labelled.groupBy("topic", "__sess").agg(
+        F.min_by("owner", F.struct("__us", "owner")).alias("owner"),
+        F.max("__us").alias("__last"),
+        F.count(F.lit(1)).alias("attempts"),
+        F.count_distinct("owner").alias("owners"))
+    return g.select("topic", "owner", from_micros("__sess").alias("claimed_at"),
+                    from_micros(F.col("__last") + F.lit(lease_us)).alias("expires_at"),
+                    "attempts", (F.col("owners") - 1).alias("refused_owners"))
+
+
 def unclaimed(jobs: DataFrame, claims: DataFrame) -> DataFrame:
     """Jobs whose topic has no live claim (J2), re-emitted as SAVE events."""
     return jobs.join(claims.select("topic"), "topic", "left_anti").withColumn("event_type", F.lit(1))

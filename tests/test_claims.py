@@ -52,3 +52,11 @@ def test_read_claims(spark):
     locks = spark.createDataFrame([(LOCKS_PREFIX + "a", "lock"), (LOCKS_PREFIX + "a", "lock"),
                                    ("/other/a", "lock")], "key string, value string")
     assert [r.topic for r in claims.read_claims(locks).collect()] == ["a"]
+
+
+def test_claim_winners(spark):
+    b = beats(spark, [("a", "o2", 0), ("a", "o1", 3), ("a", "o2", 8), ("a", "o1", 30), ("a", "o3", 30),
+                      ("b", "o9", 1)])
+    got = sorted((r.topic, r.owner, r.claimed_at.second, r.attempts, r.refused_owners)
+                 for r in claims.claim_winners(b, "10 seconds").collect())
+    assert got == [("a", "o1", 30, 2, 1), ("a", "o2", 0, 3, 1), ("b", "o9", 1, 1, 0)]
