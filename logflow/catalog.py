@@ -477,15 +477,15 @@ def request_topics(spark: SparkSession, d: str) -> DataFrame:
 
 def collect_stream(spark: SparkSession, d: str) -> DataFrame:
     """T2 over a record stream (S2 file form) into the index sink."""
-    src, table, out, dead, ck = (scratch_path(spark, n) for n in ("records", "jobs", "index", "dead", "ckpt"))
+    src, table, out, ck = (scratch_path(spark, n) for n in ("records", "jobs", "index", "ckpt"))
     D.records(spark, d).repartition(4, "topic", "partition").write.parquet(src)
     # the job table as the registry fold leaves it; each micro-batch re-reads it
     jobs.running_topics(_events(spark, d)).write.parquet(table)
     stream = readers.read_topics(spark, path=src, streaming=True, max_files_per_trigger=1)
-    q = collect(stream, lambda: spark.read.parquet(table), writers.index_writer(out, dead), ck,
+    q = collect(stream, lambda: spark.read.parquet(table), writers.index_writer(out), ck,
                 trigger={"availableNow": True}, index_time="record")
     q.awaitTermination()
-    back = spark.read.schema("pipeline string, doc string, batch_id long, index string").parquet(out)
+    back = writers.read_index(spark, out, "pipeline string, doc string")
     return back.groupBy("index", "pipeline").agg(F.count(F.lit(1)).alias("records"))
 
 

@@ -57,30 +57,34 @@ def documents(df: DataFrame) -> DataFrame:
     return df.withColumn("accepted", F.coalesce(J.kind(v) == F.lit("OBJECT"), F.lit(False)))
 
 
-def index_writer(out_path: str, dead_letter_path: str | None = None, fmt: str = "parquet",
-                 attempts: int = WRITE_ATTEMPTS) -> BatchSink:
+def index_writer(out_path: str, fmt: str = "parquet", attempts: int = WRITE_ATTEMPTS) -> BatchSink:
     """A ``foreachBatch`` function that bulk-appends documents.
 
-    Accepted documents go to ``out_path/batch_id=<id>/index=<index>/``;
-    rejected ones to the dead-letter folder.  The write is retried up to
-    ``attempts`` times without back-off, then the error is raised so the
-    query stops with its position not committed.
+    One write per micro-batch to ``out_path/batch_id=<id>/status=<s>/index=<i>/``:
+    ``status=indexed`` holds accepted documents, ``status=rejected`` is the
+    dead-letter table of per-item failures.  The write is retried up to
+    ``attempts`` times without back-off, then the error is raised so the query
+    stops with its position not committed (the batch is replayed on restart
+    and overwrites its own folder).
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        docs = documents(batch).persist()
-        try:
-            ok = docs.filter("accepted").drop("accepted")
-            target = os.path.join(out_path, f"batch_id={batch_id}")
-            _retry(lambda: ok.write.mode("overwrite").partitionBy("index").format(fmt).save(target), attempts)
-            if dead_letter_path:
-                bad = docs.filter(~F.col("accepted")).drop("accepted")
-                dl = os.path.join(dead_letter_path, f"batch_id={batch_id}")
-                _retry(lambda: bad.write.mode("overwrite").format(fmt).save(dl), attempts)
-        finally:
-            docs.unpersist()
+        docs = documents(batch)
+        docs = docs.withColumn("status", F.when(F.col("accepted"), F.lit("indexed"))
+                               .otherwise(F.lit("rejected"))).drop("accepted")
+        target = os.path.join(out_path, f"batch_id={batch_id}")
+        _retry(lambda: docs.write.mode("overwrite").partitionBy("status", "index").format(fmt).save(target),
+               attempts)
     return write
 
 
+def read_index(spark, out_path: str, schema: str, status: str = "indexed", fmt: str = "parquet") -> DataFrame:
+    """Documents written by ``index_writer`` (``status="rejected"`` for the
+    dead letters); ``schema`` names the columns wanted, partition columns
+    ``batch_id``, ``status`` and ``index`` are added."""
+    full = f"{schema}, batch_id long, status string, index string"
+    return spark.read.schema(full).format(fmt).load(out_path).filter(F.col("status") == status)
+
+
 def search_options(nodes: str, pipeline: str | None = None) -> dict[str, str]:
     """Options for a search-index connector writing ``index`` per row and
     running the named ingest pipeline (bulk requests, no document id)."""

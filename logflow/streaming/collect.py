@@ -58,7 +58,13 @@ def collect(records: DataFrame, jobs: JobTable, sink: BatchSink, checkpoint: str
     """
     def run(batch: DataFrame, batch_id: int) -> None:
         table = jobs() if callable(jobs) else jobs
-        sink(collect_batch(batch, table, **kwargs), batch_id)
+        # a micro-batch is bounded by the trigger; cache it because the flush
+        # cut reads it twice
+        batch.persist()
+        try:
+            sink(collect_batch(batch, table, **kwargs), batch_id)
+        finally:
+            batch.unpersist()
 
     return (records.writeStream.foreachBatch(run)
             .option("checkpointLocation", checkpoint)

@@ -39,7 +39,7 @@ def test_failed_batch_is_replayed_without_loss_or_duplicates(spark):
         q.awaitTermination()
     stream = readers.read_topics(spark, path=src, max_files_per_trigger=1)
     collect(stream, current, good, ck, trigger={"availableNow": True}, index_time="record").awaitTermination()
-    back = spark.read.schema("topic string, partition int, offset long, batch_id long, index string").parquet(out)
+    back = writers.read_index(spark, out, "topic string, partition int, offset long")
     want = recs.join(current.select("topic"), "topic").count()
     assert back.count() == want
     assert back.select("topic", "partition", "offset").distinct().count() == want

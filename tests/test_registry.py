@@ -72,6 +72,17 @@ def test_snapshot_then_tail_equals_full_fold(spark, cut):
                      ("PUT", "d", job("d"))])
     ev = jobs.snapshot_then_tail(ch, cut)
     assert ev.filter((F.col("phase") == 1) & (F.col("revision") <= cut)).count() == 0
-    folded = {(r.topic, r.job_name) for r in jobs.running_topics(ev).collect()}
-    full = {(r.topic, r.job_name) for r in jobs.running_topics(jobs.to_job_events(ch)).collect()}
+    last = ev.groupBy("key").agg(F.max_by(F.struct("event_type", "job_name"), F.struct("phase", "revision"))
+                                 .alias("l")).collect()
+    folded = {(r.key, r.l.job_name) for r in last if r.l.event_type == 1}
+    full = {(r.key, r.job_name) for r in jobs.job_state(ch).collect()}
     assert folded == full
+
+
+def test_topic_change_keeps_old_topic_running(spark):
+    """A key whose job moves to another topic starts the new topic; the old
+    one keeps running (the running table is keyed by topic), until a delete
+    of a key named like it."""
+    ch = log(spark, [("PUT", "t0", job("t0", "j0")), ("PUT", "t0", job("t1", "j1"))])
+    assert {r.topic for r in jobs.running_topics(jobs.to_job_events(ch)).collect()} == {"t0", "t1"}
+    assert {r.topic for r in jobs.job_state(ch).collect()} == {"t1"}

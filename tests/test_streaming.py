@@ -33,7 +33,7 @@ def test_collect_stream_equals_batch_and_restarts(spark):
     more.withColumn("offset", F.col("offset") + 1_000_000).write.mode("append").parquet(src)
     stream = readers.read_topics(spark, path=src, max_files_per_trigger=1)
     collect(stream, current, sink, ck, trigger={"availableNow": True}, index_time="record").awaitTermination()
-    back = spark.read.schema("topic string, partition int, offset long, batch_id long, index string").parquet(out)
+    back = writers.read_index(spark, out, "topic string, partition int, offset long")
     n_routed = recs.join(current.select("topic"), "topic").count()
     extra = more.join(current.select("topic"), "topic").count()
     assert back.count() == n_routed + extra
@@ -44,12 +44,11 @@ def test_replayed_batch_overwrites(spark):
     out = _tmp() + "/out"
     df = spark.createDataFrame([("i1", "p", '{"a":1}'), ("i1", "p", "not json")], "index string, pipeline string, "
                                                                                 "doc string")
-    dead = _tmp() + "/dead"
-    sink = writers.index_writer(out, dead)
+    sink = writers.index_writer(out)
     sink(df, 3)
     sink(df, 3)
-    assert spark.read.parquet(out).count() == 1
-    assert spark.read.parquet(dead).count() == 1
+    assert writers.read_index(spark, out, "doc string").count() == 1
+    assert [r.doc for r in writers.read_index(spark, out, "doc string", status="rejected").collect()] == ["not json"]
 
 
 def test_fold_changes_equals_job_state(spark):
