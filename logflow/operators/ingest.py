@@ -70,6 +70,14 @@ def deletes_to_changes(deletes: DataFrame, revision: str = "revision", prefix: s
                     F.lit(None).cast("string").alias("value"), _ts(deletes)))
 
 
+def key_deletes_to_changes(df: DataFrame, key: str = "key", revision: str = "revision",
+                           prefix: str = JOBS_PREFIX) -> DataFrame:
+    """Single-key deletes (the key is a plain argument, any string) as DELETE
+    changes.  What each delete removed is ``jobs.prior_image`` of the log."""
+    return df.select(revision, F.lit("DELETE").alias("op"), add_prefix(key, prefix).alias("key"),
+                     F.lit(None).cast("string").alias("value"), _ts(df))
+
+
 def _ts(df: DataFrame):
     """The change time: the request's ``ts`` if it has one, else NULL."""
     return F.col("ts") if "ts" in df.columns else F.lit(None).cast("timestamp_ntz").alias("ts")

@@ -154,6 +154,17 @@ def delete_all_survivors(changes: DataFrame, prefix: str = JOBS_PREFIX) -> DataF
     return state.join(topics, "name", "left_anti").select("key", "name", "revision", "decodable")
 
 
+def delete_all_changes(changes: DataFrame, prefix: str = JOBS_PREFIX) -> DataFrame:
+    """The DELETE changes delete-all appends: one per listed job, for the key
+    named by the job's topic (present or not).  They share the revision after
+    the log's last one; distinct keys make the order among them irrelevant."""
+    nxt = changes.agg(F.max("revision")).scalar() + F.lit(1)
+    topics = job_state(changes, prefix).select("topic").distinct()
+    return topics.select(nxt.alias("revision"), F.lit("DELETE").alias("op"),
+                         F.concat(F.lit(prefix), "topic").alias("key"), F.lit(None).cast("string").alias("value"),
+                         F.lit(None).cast("timestamp_ntz").alias("ts"))
+
+
 def snapshot_then_tail(changes: DataFrame, cut: Column | int, prefix: str = JOBS_PREFIX) -> DataFrame:
     """Job events as a watcher sees them (T1): the state at revision ``cut`` as
     SAVE events (``phase`` 0), then the changes after ``cut`` (``phase`` 1).

@@ -86,3 +86,23 @@ def test_topic_change_keeps_old_topic_running(spark):
     ch = log(spark, [("PUT", "t0", job("t0", "j0")), ("PUT", "t0", job("t1", "j1"))])
     assert {r.topic for r in jobs.running_topics(jobs.to_job_events(ch)).collect()} == {"t0", "t1"}
     assert {r.topic for r in jobs.job_state(ch).collect()} == {"t1"}
+
+
+def test_delete_all_changes_leave_the_survivors(spark):
+    from conftest import SF
+    from logflow.sources import derived as D
+    ch = D.changes(spark, SF)
+    after = ch.unionByName(jobs.delete_all_changes(ch))
+    left = {r.key for r in jobs.registry_state(after).collect()}
+    assert left == {r.key for r in jobs.delete_all_survivors(ch).collect()}
+    assert left
+
+
+def test_single_key_deletes(spark):
+    from logflow.operators import ingest
+    ch = log(spark, [("PUT", "a", job("a")), ("PUT", "b", job("b"))])
+    dels = spark.createDataFrame([(3, "a"), (4, "nope")], "revision long, key string")
+    after = ch.unionByName(ingest.key_deletes_to_changes(dels))
+    assert {r.name for r in jobs.job_state(after).collect()} == {"b"}
+    pri = {r.revision: r.prior_job_name for r in jobs.prior_image(after).collect()}
+    assert pri[3] == "j" and pri[4] is None
