@@ -13,12 +13,12 @@ this package goes through the three steps below instead:
 3. summarise each slice to one row (count, sum, last row, ...), scan the small
    summary table per group, and join the carry-in back on ``(group, slice)``.
 
-The in-slice window hash-partitions the input once on ``(group, slice)``.  The
-slice summary is aggregated from the windowed rows, which are already
-clustered, and the join back reads the same windowed rows; Spark reuses that
-one exchange, so the data is shuffled once and everything upstream is
-computed once.  The join back is a left join (every slice is in its own
-summary), so when a caller does not use the scan's output the optimizer drops
+Only the in-slice window moves the rows (hash-partitioned on ``(group,
+slice)``).  The slice summary is an aggregate with a map-side partial, so
+only one small row per task and slice is shuffled for it; its branch reads the
+scan's input a second time (exact numbering needs the counts before any row
+can be numbered).  The join back is a left join (every slice is in its own
+summary), so when a caller does not use a scan's output the optimizer drops
 the whole scan.  The summary has one row per non-empty slice, so its size does
 not depend on how rows spread over groups.
 
@@ -42,7 +42,6 @@ ORDINAL_WIDTH = 1 << 20
 # minute keeps a topic with a third of 100 TB a month (about 130k rows/s) at
 # about 8M rows per slice, with 43,200 summary rows per group and month.
 MICROS_PER_MINUTE = 60_000_000
-MICROS_PER_HOUR = 3_600_000_000
 TIME_WIDTH = MICROS_PER_MINUTE
 
 
