@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from logflow.functions.timefmt import format_ntz
+
 # ---- fixed values that must equal the reference's ---------------------------
 # Level names by level number 0..4.
 LEVELS = ("DEBUG", "INFO", "WARN", "ERROR", "FATAL")
@@ -33,7 +35,7 @@ def log_prefix(level: str | Column, file: str | Column, line: str | Column,
                ts: str | Column) -> Column:
     """``[LEVEL][file:line] date `` or, when the caller is unknown, ``[LEVEL] date ``."""
     lv, f, ln, t = _c(level), _c(file), _c(line), _c(ts)
-    date = F.date_format(t, PREFIX_DATE)
+    date = format_ntz(t, PREFIX_DATE)
     known = F.format_string("[%s][%s:%d] %s ", level_name(lv), base_name(f), ln, date)
     unknown = F.format_string("[%s] %s ", level_name(lv), date)
     return F.when(f.isNull() | ln.isNull(), unknown).otherwise(known)
@@ -42,11 +44,11 @@ def log_prefix(level: str | Column, file: str | Column, line: str | Column,
 def format_log_line(level: str | Column, file: str | Column, line: str | Column,
                     ts: str | Column, msg: str | Column, sink: str = "console") -> Column:
     """A full output line: prefix, the sink's time stamp, then the message
-    arguments as one bracketed list."""
+    arguments as one bracketed list.  ``ts`` is a TIMESTAMP_NTZ wall clock."""
     stamp = {"console": CONSOLE_STAMP, "file": FILE_STAMP}.get(sink)
     parts = [log_prefix(level, file, line, ts)]
     if stamp:
-        parts.append(F.date_format(_c(ts), stamp))
+        parts.append(format_ntz(_c(ts), stamp))
         parts.append(F.lit(" "))
     parts += [F.lit("["), _c(msg), F.lit("]")]
     return F.concat(*parts)

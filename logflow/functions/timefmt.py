@@ -52,6 +52,41 @@ def from_micros(col: str | Column) -> Column:
     return F.timestamp_add("MICROSECOND", _c(col), epoch_ntz())
 
 
+_FIELDS = {  # token -> (field of a TIMESTAMP_NTZ, zero-padded width)
+    "yyyy": (F.year, 4), "MM": (F.month, 2), "dd": (F.dayofmonth, 2), "d": (F.dayofmonth, 0),
+    "HH": (F.hour, 2), "mm": (F.minute, 2), "ss": (F.second, 2),
+}
+
+
+def format_ntz(col: str | Column, pattern: str) -> Column:
+    """Format a TIMESTAMP_NTZ wall-clock value with the tokens ``yyyy MM dd d
+    HH mm ss`` and ``'quoted'`` literals.
+
+    Built from field extractions, which read the wall clock directly, so the
+    text does not depend on the session time zone (``date_format`` converts
+    through it and shifts times inside a daylight-saving gap).
+    """
+    c = _c(col)
+    parts, i = [], 0
+    while i < len(pattern):
+        if pattern[i] == "'":
+            j = pattern.index("'", i + 1)
+            parts.append(F.lit(pattern[i + 1:j]))
+            i = j + 1
+            continue
+        for tok in ("yyyy", "MM", "dd", "HH", "mm", "ss", "d"):
+            if pattern.startswith(tok, i):
+                fn, width = _FIELDS[tok]
+                v = fn(c).cast("string")
+                parts.append(F.lpad(v, width, "0") if width else v)
+                i += len(tok)
+                break
+        else:
+            parts.append(F.lit(pattern[i]))
+            i += 1
+    return F.concat(*parts)
+
+
 def seconds(interval: str | int | float) -> float:
     """Seconds in ``"10 seconds"`` / ``"1 hour"`` / ``"1 day"`` or a number."""
     if isinstance(interval, (int, float)):
@@ -84,7 +119,7 @@ def index_name(topic: str | Column, index_type: str | Column, ts: str | Column,
     t, it = _c(topic), _c(index_type)
     local = F.convert_timezone(F.lit("UTC"), F.lit(zone), _c(ts))
     month = MONTH_COMPAT_PATTERN if compat else "yyyy.MM"
-    suffix = (F.when(it == INDEX_DAY, F.date_format(local, "yyyy.MM.dd"))
-              .when(it == INDEX_YEAR, F.date_format(local, "yyyy"))
-              .when(it == INDEX_MONTH, F.date_format(local, month)))
+    suffix = (F.when(it == INDEX_DAY, format_ntz(local, "yyyy.MM.dd"))
+              .when(it == INDEX_YEAR, format_ntz(local, "yyyy"))
+              .when(it == INDEX_MONTH, format_ntz(local, month)))
     return F.when(suffix.isNull(), t).otherwise(F.concat(t, F.lit("_"), suffix))

@@ -25,6 +25,8 @@ DEFAULT_CONF = {
     # the request decoder keeps the last of duplicate keys, as a JSON map
     # decoder does
     "spark.sql.variant.allowDuplicateKeys": "true",
+    # remove checkpoint files of materialised intermediates once unreferenced
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

@@ -49,3 +49,15 @@ def test_log_lines(spark):
     assert lines[0] == "[INFO][runer.go:205] 2026-12-31 2026/12/31 17:00:00 [3]"
     con = df.select(format_log_line("level", "file", "line", "ts", "msg")).first()[0]
     assert con == "[INFO][runer.go:205] 2026-12-31 17:00:00 [3]"
+
+
+def test_formatting_inside_a_dst_gap(spark):
+    from logflow.functions.timefmt import format_ntz
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        df = spark.createDataFrame([(dt.datetime(2024, 3, 10, 2, 30, 5),)], "ts timestamp_ntz")
+        r = df.select(format_ntz("ts", "yyyy-MM-dd HH:mm:ss").alias("a"), format_ntz("ts", "d'x'MM").alias("b")).first()
+        assert (r.a, r.b) == ("2024-03-10 02:30:05", "10x03")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
