@@ -49,8 +49,25 @@ def read_state(spark: SparkSession, path: str, before: int | None = None) -> Dat
     return spark.read.schema(schemas.CHANGES).parquet(f"{path}/v={vs[-1]:0{VERSION_DIGITS}d}")
 
 
+def drop_old_versions(spark: SparkSession, path: str, keep: int) -> None:
+    """Delete all but the newest ``keep`` complete versions (and any
+    incomplete version older than them)."""
+    vs = versions(spark, path)
+    if len(vs) <= keep:
+        return
+    floor = vs[-keep]
+    fs, p = _fs(spark, path)
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if name.startswith("v=") and int(name[2:]) < floor:
+            fs.delete(st.getPath(), True)
+
+
 def fold_changes(changes: DataFrame, state_path: str, checkpoint: str, prefix: str = JOBS_PREFIX,
-                 trigger: dict | None = None) -> StreamingQuery:
+                 trigger: dict | None = None, keep_versions: int = 3) -> StreamingQuery:
+    """Start the fold.  Each micro-batch writes one full version of the job
+    table (it is small: one row per registry key) and keeps the newest
+    ``keep_versions`` versions for readers that are still on an older one."""
     spark = changes.sparkSession
     latest = (J.read_jobs(changes, prefix).groupBy("key")
               .agg(F.max_by(F.struct("revision", "op", "value", "ts"), "revision").alias("__l")))
@@ -64,6 +81,8 @@ def fold_changes(changes: DataFrame, state_path: str, checkpoint: str, prefix: s
                                           .alias("__m"))
                   .select("key", "__m.*").select(*schemas.CHANGES.fieldNames()))
         merged.write.mode("overwrite").parquet(f"{state_path}/v={batch_id:0{VERSION_DIGITS}d}")
+        # a replay of batch N reads version N-1, so at least two versions stay
+        drop_old_versions(spark, state_path, max(2, keep_versions))
 
     return (latest.writeStream.outputMode("update").foreachBatch(upsert)
             .option("checkpointLocation", checkpoint)
