@@ -117,11 +117,6 @@ def decode_job_variant(v: Column) -> Column:
     return decode_job_picked(v, kind(v), {f: _ci_field(v, f) for f in JOB_FIELDS})
 
 
-def job_field_picks(v: Column) -> dict[str, Column]:
-    """The four job fields of a parsed value, as VARIANT (stage 2 of decoding)."""
-    return {f: _ci_field(v, f) for f in JOB_FIELDS}
-
-
 def decode_job_picked(v: Column, k: Column, picks: dict[str, Column]) -> Column:
     """Final stage of job decoding from the parsed value, its kind and the
     picked fields.  Operators materialise each stage as a column so the

@@ -188,9 +188,3 @@ def sql_ctes() -> dict[str, str]:
             FROM conversations""",
     }
 
-
-def with_ctes(body: str, names: list[str]) -> str:
-    """``WITH`` clause holding the named derived views, then ``body``."""
-    ctes = sql_ctes()
-    parts = [f"{n} AS ({ctes[n]})" for n in names]
-    return "WITH " + ",\n".join(parts) + "\n" + body
