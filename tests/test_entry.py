@@ -38,6 +38,11 @@ def con():
 def test_oracle(spark, con, name):
     df = E.queries()[name](spark, SF)
     rows = [tuple(r) for r in df.collect()]
+    rel = con.sql(E.oracle_sql()[name])
+    types = {"LongType()": "BIGINT", "IntegerType()": "INTEGER", "StringType()": "VARCHAR",
+             "BooleanType()": "BOOLEAN", "TimestampNTZType()": "TIMESTAMP", "DateType()": "DATE"}
+    assert {f.name: types.get(str(f.dataType), str(f.dataType)) for f in df.schema.fields} == \
+        {c: str(t) for c, t in zip(rel.columns, rel.types)}
     res = con.execute(E.oracle_sql()[name])
     ocols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(ocols)
