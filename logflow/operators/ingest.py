@@ -11,17 +11,30 @@ from logflow.functions.keys import JOBS_PREFIX, add_prefix
 
 
 def validate_requests(df: DataFrame, body: str = "body") -> DataFrame:
-    """Add ``code`` (0, -1, -2) and, for accepted bodies, ``topic`` and ``logs``.
+    """Add ``code`` (0, -1, -2) and, for accepted bodies, ``topic`` and ``logs``
+    (rules in ``jsoncheck.request_code``).
 
-    A body is all-or-nothing: one bad element rejects the whole request.  The
-    body is parsed once (its own projection); the results leave through a
-    one-row generator so later filters on ``code`` do not re-inline the checks.
+    A body is all-or-nothing: one bad element rejects the whole request.
+    Staged projections parse the body once and convert the log array once;
+    the results leave through a one-row generator so later filters on
+    ``code`` do not re-inline the checks.
     """
-    v, code = F.col("__v"), F.col("__code")
-    d = df.withColumn("__v", J.parse_one(body)).withColumn("__code", J.request_code(v))
-    out = F.struct(code.alias("code"),
-                   F.when(code == J.CODE_OK, F.try_variant_get(v, "$.topic", "string")).alias("topic"),
-                   F.when(code == J.CODE_OK, F.try_variant_get(v, "$.logs", "array<string>")).alias("logs"))
+    v = F.col("__v")
+    d = df.withColumn("__v", J.parse_one(body))
+    d = d.select(*df.columns, "__v", J.kind(v).alias("__k"), J.field(v, "topic").alias("__t"),
+                 J.field(v, "logs").alias("__l"))
+    d = d.select(*df.columns, "__v", "__k", "__t", F.schema_of_variant("__l").alias("__ls"),
+                 F.try_variant_get("__l", "$", "array<string>").alias("__arr"))
+    logs_ok = (F.col("__ls").isin("ARRAY<STRING>", "ARRAY<VOID>")
+               & (F.size(F.array_compact("__arr")) == F.size("__arr")))
+    fields_ok = J.is_string(F.col("__t")) & F.coalesce(logs_ok, F.lit(False))
+    code = (F.when(v.isNull() | ~F.col("__k").isin("OBJECT", "VOID"), F.lit(J.CODE_NOT_JSON))
+            .when(fields_ok, F.lit(J.CODE_OK)).otherwise(F.lit(J.CODE_BAD_FIELDS)))
+    d = d.select(*df.columns, "__t", "__arr", code.alias("__code"))
+    ok = F.col("__code") == J.CODE_OK
+    out = F.struct(F.col("__code").alias("code"),
+                   F.when(ok, J.as_string(F.col("__t"))).alias("topic"),
+                   F.when(ok, F.col("__arr")).alias("logs"))
     return d.select(*df.columns, F.inline(F.array(out)))
 
 
@@ -42,10 +55,34 @@ def decode_value(df: DataFrame, value: str = "value", out: str = "doc") -> DataF
     return df.withColumn(out, F.col(value).cast("string"))
 
 
+PUT_REQUIRED = ("key", "job_name", "topic")
+PUT_OPTIONAL = ("pipeline", "index_type")
+
+
 def validate_job_puts(df: DataFrame, body: str = "body") -> DataFrame:
-    """Add ``code, key, job_name, topic, pipeline, index_type`` from a put body."""
-    return (df.withColumn("__v", J.parse_one(body))
-            .select(*df.columns, F.inline(F.array(J.put_body_variant(F.col("__v"))))))
+    """Add ``code, key, job_name, topic, pipeline, index_type`` from a put body
+    (rules in ``jsoncheck.put_body_struct``).
+
+    Staged projections: parse once, pick the fields once, decide once, then
+    emit through a one-row generator.
+    """
+    v = F.col("__v")
+    d = df.withColumn("__v", J.parse_one(body))
+    d = d.select(*df.columns, "__v", J.kind(v).alias("__k"),
+                 *[J.field(v, f).alias("__f_" + f) for f in PUT_REQUIRED + PUT_OPTIONAL])
+    ok = F.col("__v").isNotNull() & (F.col("__k") == F.lit("OBJECT"))
+    for f in PUT_REQUIRED:
+        ok = ok & J.is_string(F.col("__f_" + f))
+    for f in PUT_OPTIONAL:
+        ok = ok & (F.col("__f_" + f).isNull() | J.is_string(F.col("__f_" + f)))
+    d = d.select(*df.columns, *["__f_" + f for f in PUT_REQUIRED + PUT_OPTIONAL],
+                 F.coalesce(ok, F.lit(False)).alias("__ok"))
+    good = F.col("__ok")
+    out = F.struct(F.when(good, F.lit(J.CODE_OK)).otherwise(F.lit(J.CODE_NOT_JSON)).alias("code"),
+                   *[F.when(good, J.as_string(F.col("__f_" + f))).alias(f) for f in PUT_REQUIRED],
+                   *[F.when(good, F.coalesce(J.as_string(F.col("__f_" + f)), F.lit(""))).alias(f)
+                     for f in PUT_OPTIONAL])
+    return d.select(*df.columns, F.inline(F.array(out)))
 
 
 def puts_to_changes(puts: DataFrame, revision: str = "revision", prefix: str = JOBS_PREFIX) -> DataFrame:
@@ -59,9 +96,15 @@ def puts_to_changes(puts: DataFrame, revision: str = "revision", prefix: str = J
 def explode_deletes(df: DataFrame, body: str = "body") -> DataFrame:
     """One row per key of a bulk delete body (``code`` 0), or one row with a
     NULL key and ``code`` -1 for a rejected body."""
-    return (df.withColumn("__v", J.parse_one(body)).withColumn("__d", J.bulk_delete_variant(F.col("__v")))
-            .select(*df.columns, F.col("__d.code").alias("code"),
-                    F.posexplode_outer("__d.keys").alias("pos", "key")))
+    v = F.col("__v")
+    d = df.withColumn("__v", J.parse_one(body)).withColumn("__keys", J.field(v, "keys"))
+    ok = F.coalesce(v.isNotNull() & (J.kind(v) == F.lit("OBJECT")) & J.is_string_array(F.col("__keys")),
+                    F.lit(False))
+    d = d.withColumn("__ok", ok)
+    return d.select(*df.columns,
+                    F.when(F.col("__ok"), F.lit(J.CODE_OK)).otherwise(F.lit(J.CODE_NOT_JSON)).alias("code"),
+                    F.posexplode_outer(F.when(F.col("__ok"), F.try_variant_get("__keys", "$", "array<string>")))
+                    .alias("pos", "key"))
 
 
 def deletes_to_changes(deletes: DataFrame, revision: str = "revision", prefix: str = JOBS_PREFIX) -> DataFrame:

@@ -93,3 +93,13 @@ def test_put_and_delete_bodies(spark):
                                   (4, '{"nokeys":1}'), (5, '{"keys":"a"}')], "revision long, body string")
     rows = sorted((r.revision, r.code, r.key) for r in ingest.explode_deletes(dels).collect())
     assert rows == [(1, 0, "a"), (1, 0, "b"), (2, 0, None), (3, -1, None), (4, -1, None), (5, -1, None)]
+
+
+def test_single_expression_form_agrees(spark, checked):
+    from pyspark.sql import functions as F
+
+    from logflow.functions import jsoncheck as J
+    df = spark.createDataFrame([(i, b) for i, (b, _, _) in enumerate(CASES)], "req_id long, body string")
+    got = {r.req_id: r.c for r in df.select("req_id", J.request_code(J.parse_one(F.col("body"))).alias("c"))
+           .collect()}
+    assert got == {i: r.code for i, r in checked.items()}
