@@ -481,7 +481,7 @@ def collect_stream(spark: SparkSession, d: str) -> DataFrame:
     D.records(spark, d).repartition(4, "topic", "partition").write.parquet(src)
     # the job table as the registry fold leaves it; each micro-batch re-reads it
     jobs.running_topics(_events(spark, d)).write.parquet(table)
-    stream = readers.read_topics(spark, path=src, streaming=True, max_files_per_trigger=1)
+    stream = readers.read_topics(spark, path=src, streaming=True, max_files_per_trigger=2)
     q = collect(stream, lambda: spark.read.parquet(table), writers.index_writer(out), ck,
                 trigger={"availableNow": True}, index_time="record")
     q.awaitTermination()
@@ -493,7 +493,7 @@ def job_state_stream(spark: SparkSession, d: str) -> DataFrame:
     """S7 -> T1: the change feed folded by a streaming aggregate, then A4."""
     src, state, ck = (scratch_path(spark, n) for n in ("changes", "state", "ckpt"))
     D.changes(spark, d).repartitionByRange(4, "revision").write.parquet(src)
-    q = fold_changes(readers.read_job_changes(spark, src, max_files_per_trigger=1), state, ck,
+    q = fold_changes(readers.read_job_changes(spark, src, max_files_per_trigger=2), state, ck,
                      trigger={"availableNow": True})
     q.awaitTermination()
     return current_jobs(spark, state)
