@@ -24,6 +24,7 @@ from logflow.sinks import writers
 from logflow.sources import derived as D
 from logflow.sources import readers
 from logflow.streaming.collect import collect
+from logflow.streaming.ingest import ingest_stream
 from logflow.streaming.registry import current_jobs, fold_changes
 
 LIVENESS_LEASE = "30 minutes"
@@ -475,6 +476,17 @@ def request_topics(spark: SparkSession, d: str) -> DataFrame:
                                      F.sum(F.length(F.col("value").cast("string"))).alias("chars"))
 
 
+def request_stream(spark: SparkSession, d: str) -> DataFrame:
+    """The write path as a stream (S1 -> P1 -> P2 -> S3), replayed from files."""
+    src, topics, rejected, ck = (scratch_path(spark, n) for n in ("requests", "topics", "rejected", "ckpt"))
+    D.requests(spark, d).repartition(2).write.parquet(src)
+    stream = readers.read_requests(spark, src, streaming=True, fmt="parquet", max_files_per_trigger=1)
+    ingest_stream(stream, topics, rejected, ck, trigger={"availableNow": True}).awaitTermination()
+    back = spark.read.schema("value binary, batch_id long, topic string").parquet(topics)
+    return back.groupBy("topic").agg(F.count(F.lit(1)).alias("records"),
+                                     F.sum(F.length(F.col("value").cast("string"))).alias("chars"))
+
+
 def collect_stream(spark: SparkSession, d: str) -> DataFrame:
     """T2 over a record stream (S2 file form) into the index sink."""
     src, table, out, ck = (scratch_path(spark, n) for n in ("records", "jobs", "index", "ckpt"))
@@ -519,6 +531,7 @@ def fan_out_sinks(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES.update({
     "request_topics": request_topics,
+    "request_stream": request_stream,
     "collect_stream": collect_stream,
     "job_state_stream": job_state_stream,
     "daily_log_files": daily_log_files,
@@ -544,3 +557,4 @@ ORACLE.update({
         UNION ALL
         SELECT 'json' AS sink, event_type AS topic, count(*) AS records FROM events GROUP BY ALL""",
 })
+ORACLE["request_stream"] = ORACLE["request_topics"]

@@ -25,13 +25,15 @@ CONSUMER_GROUP = "test"
 
 
 def read_requests(spark: SparkSession, path: str, streaming: bool = False, fmt: str = "text",
-                  whole_file: bool = False) -> DataFrame:
+                  whole_file: bool = False, max_files_per_trigger: int | None = None) -> DataFrame:
     """Report bodies (S1) as ``req_id, received_at, body``.
 
     ``fmt="text"`` reads one body per line (or per file with ``whole_file``);
     ``fmt="parquet"``/``"json"`` read a table that already has these columns.
     """
     reader = spark.readStream if streaming else spark.read
+    if streaming and max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if fmt == "text":
         df = reader.option("wholetext", str(whole_file).lower()).text(path)
         now = as_utc_ntz(F.current_timestamp(), TimestampType(), spark)

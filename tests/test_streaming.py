@@ -80,3 +80,18 @@ def test_liveness_stream_closed_sessions_match_batch(spark):
     last = hb.agg(F.max("ts")).first()[0]
     closed = {b for b in batch if b[4] < last - dt.timedelta(minutes=30)}
     assert closed <= got
+
+
+def test_ingest_stream_writes_topics_and_rejections(spark):
+    from logflow.streaming.ingest import ingest_stream
+    src, topics, rejected, ck = _tmp() + "/src", _tmp() + "/t", _tmp() + "/r", _tmp() + "/ck"
+    bodies = [(1, '{"topic":"a","logs":["x","y"]}'), (2, '{"topic":"b","logs":["z"]}'), (3, '{"topic":"a"}'),
+              (4, 'nope')]
+    spark.createDataFrame([(i, None, b) for i, b in bodies], "req_id long, received_at timestamp_ntz, body string") \
+        .repartition(2).write.parquet(src)
+    for _ in range(2):  # the second run finds nothing new
+        ingest_stream(readers.read_requests(spark, src, streaming=True, fmt="parquet", max_files_per_trigger=1),
+                      topics, rejected, ck, trigger={"availableNow": True}).awaitTermination()
+    t = spark.read.parquet(topics)
+    assert sorted((r.topic, r.value.decode()) for r in t.collect()) == [("a", "x"), ("a", "y"), ("b", "z")]
+    assert sorted((r.req_id, r.code) for r in spark.read.parquet(rejected).collect()) == [(3, -2), (4, -1)]
