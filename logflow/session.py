@@ -45,6 +45,29 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     return spark
 
 
+def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
+                 target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a cluster run over ``input_bytes`` of input.
+
+    Shuffle partitions are sized so that each holds about
+    ``target_partition_bytes`` (a size a task sorts in memory without
+    spilling much), and never fewer than two waves of the cluster's cores;
+    AQE then coalesces small ones and splits skewed ones at that same size.
+    Input splits use the same size.  100 TB on 1000 executors x 8 cores gives
+    409,600 shuffle partitions of 256 MB.
+    """
+    cores = max(1, executors * cores_per_executor)
+    parts = max(2 * cores, -(-input_bytes // target_partition_bytes))
+    size = str(target_partition_bytes)
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": size,
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    }
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 

@@ -82,3 +82,11 @@ def test_results_do_not_depend_on_session_zone(spark):
             assert sorted(map(tuple, qs[n](spark, SF).collect())) == base[n], n
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_cluster_conf_sizes_partitions():
+    from logflow.session import cluster_conf
+    c = cluster_conf(100 << 40, executors=1000, cores_per_executor=8)
+    assert int(c["spark.sql.shuffle.partitions"]) == 409_600
+    small = cluster_conf(1 << 30, executors=10, cores_per_executor=4)
+    assert int(small["spark.sql.shuffle.partitions"]) == 80  # two waves of cores
