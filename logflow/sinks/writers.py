@@ -12,11 +12,13 @@ import os
 import time
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampType
 
 from logflow.functions import jsoncheck as J
 from logflow.functions.logline import format_log_line
+from logflow.functions.timefmt import as_utc_ntz
 
 # ---- fixed values that must equal the reference's ---------------------------
 # Producer waits for all in-sync replicas.
@@ -58,7 +60,7 @@ def documents(df: DataFrame) -> DataFrame:
 
 
 def index_writer(out_path: str, fmt: str = "parquet", attempts: int = WRITE_ATTEMPTS,
-                 check_documents: bool = True) -> BatchSink:
+                 check_documents: bool = True, metrics_path: str | None = None) -> BatchSink:
     """A ``foreachBatch`` function that bulk-appends documents.
 
     One write per micro-batch to ``out_path/batch_id=<id>/status=<s>/index=<i>/``:
@@ -69,14 +71,30 @@ def index_writer(out_path: str, fmt: str = "parquet", attempts: int = WRITE_ATTE
     and overwrites its own folder).  ``check_documents=False`` skips the
     per-document JSON check (every document counts as indexed) when the
     producers are trusted and the parse cost matters.
+
+    With ``metrics_path``, the rows written are counted during the write
+    itself (an ``Observation``, no second pass) and one row
+    ``batch_id, processed_at, indexed, rejected`` is stored per micro-batch:
+    written rows are counted, rejected ones reported apart.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         docs = documents(batch) if check_documents else batch.withColumn("accepted", F.lit(True))
         docs = docs.withColumn("status", F.when(F.col("accepted"), F.lit("indexed"))
                                .otherwise(F.lit("rejected"))).drop("accepted")
+        seen = Observation(f"index_batch_{batch_id}") if metrics_path else None
+        if seen is not None:
+            docs = docs.observe(seen, F.count_if(F.col("status") == "indexed").alias("indexed"),
+                                F.count_if(F.col("status") == "rejected").alias("rejected"))
         target = os.path.join(out_path, f"batch_id={batch_id}")
         _retry(lambda: docs.write.mode("overwrite").partitionBy("status", "index").format(fmt).save(target),
                attempts)
+        if seen is not None:
+            m = seen.get
+            spark = batch.sparkSession
+            row = spark.createDataFrame([(batch_id, int(m.get("indexed") or 0), int(m.get("rejected") or 0))],
+                                        "batch_id long, indexed long, rejected long")
+            row = row.withColumn("processed_at", as_utc_ntz(F.current_timestamp(), TimestampType(), spark))
+            row.write.mode("overwrite").parquet(os.path.join(metrics_path, f"batch_id={batch_id}"))
     return write
 
 

@@ -95,3 +95,19 @@ def test_ingest_stream_writes_topics_and_rejections(spark):
     t = spark.read.parquet(topics)
     assert sorted((r.topic, r.value.decode()) for r in t.collect()) == [("a", "x"), ("a", "y"), ("b", "z")]
     assert sorted((r.req_id, r.code) for r in spark.read.parquet(rejected).collect()) == [(3, -2), (4, -1)]
+
+
+def test_collect_reports_written_and_rejected_counts(spark):
+    from logflow.operators import metrics
+    src, out, ck, met = _tmp() + "/src", _tmp() + "/out", _tmp() + "/ck", _tmp() + "/m"
+    recs = D.records(spark, SF)
+    current = jobs.running_topics(jobs.to_job_events(D.changes(spark, SF)))
+    recs.repartition(2, "topic").write.parquet(src)
+    collect(readers.read_topics(spark, path=src, max_files_per_trigger=1), current,
+            writers.index_writer(out, metrics_path=met), ck, trigger={"availableNow": True},
+            index_time="record").awaitTermination()
+    m = spark.read.parquet(met)
+    tot = m.agg(F.sum("indexed").alias("i"), F.sum("rejected").alias("r"), F.count("*").alias("n")).first()
+    assert tot.i == recs.join(current.select("topic"), "topic").count() and tot.r == 0 and tot.n >= 2
+    report = metrics.throughput(m, "10 seconds", ts="processed_at", rows="indexed")
+    assert report.orderBy(F.col("tick").desc()).first().rows_total == tot.i
