@@ -100,8 +100,7 @@ def liveness(spark: SparkSession, d: str) -> DataFrame:
 
 def unclaimed_jobs(spark: SparkSession, d: str) -> DataFrame:
     hb = D.heartbeats(spark, d)
-    sessions = claims.liveness(hb, lease=LIVENESS_LEASE)
-    live = claims.live_claims(sessions, hb.agg(F.max("ts")).scalar())
+    live = claims.claimed_at(hb, hb.agg(F.max("ts")).scalar(), lease=LIVENESS_LEASE)
     return claims.unclaimed(jobs.job_state(D.changes(spark, d)), live).select(
         "key", "name", "event_type", *JOB_FIELDS)
 

@@ -58,6 +58,20 @@ def live_claims(sessions: DataFrame, at: Column) -> DataFrame:
             .select("topic").distinct())
 
 
+def claimed_at(heartbeats: DataFrame, at: Column, lease: str | float = LEASE) -> DataFrame:
+    """Claims alive at time ``at``, straight from the heartbeats.
+
+    A lease session covers ``at`` exactly when some heartbeat falls in
+    ``[at - lease, at]`` (beats inside a session are at most one lease apart,
+    and a beat in that window keeps its session alive through ``at``).  So
+    this is a time filter, pushed to the scan, and a ``distinct`` -- no
+    sessionization of the whole history.
+    """
+    lease_us = int(round(seconds(lease) * 1_000_000))
+    lo = from_micros(micros(at) - F.lit(lease_us))
+    return heartbeats.filter((F.col("ts") >= lo) & (F.col("ts") <= at)).select("topic").distinct()
+
+
 def first_claim(claims: DataFrame, by: Sequence[str] = ("topic",)) -> DataFrame:
     """The first writer per claim key wins (W3); later writers are refused.
 

@@ -60,3 +60,17 @@ def test_claim_winners(spark):
     got = sorted((r.topic, r.owner, r.claimed_at.second, r.attempts, r.refused_owners)
                  for r in claims.claim_winners(b, "10 seconds").collect())
     assert got == [("a", "o1", 30, 2, 1), ("a", "o2", 0, 3, 1), ("b", "o9", 1, 1, 0)]
+
+
+def test_claimed_at_equals_session_cover(spark):
+    import random
+    from pyspark.sql import functions as F
+    rnd = random.Random(9)
+    rows = [(f"t{rnd.randrange(6)}", "o", rnd.randrange(0, 3000)) for _ in range(300)]
+    hb = beats(spark, rows)
+    sessions = claims.liveness(hb, "20 seconds", keys=("topic",))
+    for s in (0, 5, 700, 1500, 2999, 3010, 3030):
+        at = F.lit(T0 + dt.timedelta(seconds=s)).cast("timestamp_ntz")
+        a = {r.topic for r in claims.claimed_at(hb, at, "20 seconds").collect()}
+        b = {r.topic for r in claims.live_claims(sessions, at).collect()}
+        assert a == b, s
