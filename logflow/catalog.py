@@ -528,7 +528,21 @@ def fan_out_sinks(spark: SparkSession, d: str) -> DataFrame:
     return pa.unionByName(pb).groupBy("sink", "topic").agg(F.count(F.lit(1)).alias("records"))
 
 
+def log_fan_out(spark: SparkSession, d: str) -> DataFrame:
+    """P11 -> S9 -> (console lines, S8 daily files): the process logger's outputs."""
+    con, daily = scratch_path(spark, "console"), scratch_path(spark, "daily")
+    kept = logs.severity_filter(D.log_messages(spark, d), max_level=MAX_LEVEL)
+    writers.fan_out(kept, [
+        lambda df: logs.log_lines(df, sink="console").select(F.to_date("ts").alias("day"), F.col("line_text"))
+        .write.partitionBy("day").text(con),
+        lambda df: writers.write_daily_log(df, daily)])
+    a = spark.read.schema("value string, day date").text(con).withColumn("sink", F.lit("console"))
+    b = spark.read.schema("value string, day date").text(daily).withColumn("sink", F.lit("file"))
+    return a.unionByName(b).groupBy("sink", "day").agg(F.count(F.lit(1)).alias("lines"))
+
+
 QUERIES.update({
+    "log_fan_out": log_fan_out,
     "request_topics": request_topics,
     "request_stream": request_stream,
     "collect_stream": collect_stream,
@@ -557,3 +571,9 @@ ORACLE.update({
         SELECT 'json' AS sink, event_type AS topic, count(*) AS records FROM events GROUP BY ALL""",
 })
 ORACLE["request_stream"] = ORACLE["request_topics"]
+ORACLE["log_fan_out"] = _with(f"""
+    SELECT 'console' AS sink, CAST(ts AS DATE) AS day, count(*) AS lines FROM log_messages
+    WHERE level <= {MAX_LEVEL} GROUP BY 2
+    UNION ALL
+    SELECT 'file' AS sink, CAST(ts AS DATE) AS day, count(*) AS lines FROM log_messages
+    WHERE level <= {MAX_LEVEL} GROUP BY 2""", ["log_messages"])
