@@ -164,7 +164,8 @@ def session_starts(df: DataFrame, keys: str | Sequence[str], t: str, gap: int, o
     """Gap sessions in one scan: ``out`` is the start of the session of each
     row, where rows at most ``gap`` apart in ``t`` (per group) share a session.
 
-    ``t`` must be unique per group (count duplicates first).  Inside a slice
+    Rows may share ``t``; tied rows get the same start (counting duplicates
+    first, as ``claims.liveness`` does, only makes the scan smaller).  Inside a slice
     the window finds local session starts; the slice summary (first, last and
     last local start) is scanned per group to decide whether each slice's first
     row opens a session or continues the previous slice's.
