@@ -98,12 +98,16 @@ def index_writer(out_path: str, fmt: str = "parquet", attempts: int = WRITE_ATTE
     return write
 
 
-def read_index(spark, out_path: str, schema: str, status: str = "indexed", fmt: str = "parquet") -> DataFrame:
+def read_index(spark, out_path: str, schema: str, status: str = "indexed", fmt: str = "parquet",
+               as_variant: bool = False) -> DataFrame:
     """Documents written by ``index_writer`` (``status="rejected"`` for the
     dead letters); ``schema`` names the columns wanted, partition columns
-    ``batch_id``, ``status`` and ``index`` are added."""
+    ``batch_id``, ``status`` and ``index`` are added.  ``as_variant`` adds
+    ``doc_json``, the document parsed to VARIANT, for JSON queries
+    (``variant_get(doc_json, '$.k', 'int')``); documents stay stored as text."""
     full = f"{schema}, batch_id long, status string, index string"
-    return spark.read.schema(full).format(fmt).load(out_path).filter(F.col("status") == status)
+    df = spark.read.schema(full).format(fmt).load(out_path).filter(F.col("status") == status)
+    return df.withColumn("doc_json", F.try_parse_json("doc")) if as_variant else df
 
 
 def search_options(nodes: str, pipeline: str | None = None) -> dict[str, str]:

@@ -49,6 +49,8 @@ def test_replayed_batch_overwrites(spark):
     sink(df, 3)
     assert writers.read_index(spark, out, "doc string").count() == 1
     assert [r.doc for r in writers.read_index(spark, out, "doc string", status="rejected").collect()] == ["not json"]
+    v = writers.read_index(spark, out, "doc string", as_variant=True)
+    assert [r.a for r in v.select(F.variant_get("doc_json", "$.a", "int").alias("a")).collect()] == [1]
 
 
 def test_fold_changes_equals_job_state(spark):
