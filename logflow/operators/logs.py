@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from logflow.functions.logline import format_log_line
 
@@ -21,5 +22,11 @@ def severity_filter(df: DataFrame, max_level: int | None = None, min_level: int
 
 
 def log_lines(df: DataFrame, sink: str = "console") -> DataFrame:
-    """Add ``line_text``: the message as the given sink writes it."""
-    return df.withColumn("line_text", format_log_line("level", "file", "line", "ts", "msg", sink=sink))
+    """Add ``line_text``: the message as the given sink writes it.
+
+    ``msg`` is a string or an array of arguments; arguments are printed
+    space-separated inside the one bracketed list."""
+    msg = F.col("msg")
+    if isinstance(df.schema["msg"].dataType, ArrayType):
+        msg = F.array_join(msg, " ")
+    return df.withColumn("line_text", format_log_line("level", "file", "line", "ts", msg, sink=sink))

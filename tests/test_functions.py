@@ -61,3 +61,10 @@ def test_formatting_inside_a_dst_gap(spark):
         assert (r.a, r.b) == ("2024-03-10 02:30:05", "10x03")
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_log_lines_with_argument_lists(spark):
+    from logflow.operators.logs import log_lines
+    df = spark.createDataFrame([(1, "/x/a.go", 3, T, ["logCountSum is", "42"])],
+                               "level int, file string, line int, ts timestamp_ntz, msg array<string>")
+    assert log_lines(df).first().line_text == "[INFO][a.go:3] 2026-12-31 17:00:00 [logCountSum is 42]"
