@@ -106,3 +106,14 @@ def test_single_key_deletes(spark):
     assert {r.name for r in jobs.job_state(after).collect()} == {"b"}
     pri = {r.revision: r.prior_job_name for r in jobs.prior_image(after).collect()}
     assert pri[3] == "j" and pri[4] is None
+
+
+def test_undecodable_update_keeps_the_watched_job(spark):
+    """A watcher skips an undecodable update (no event), so it keeps the old
+    job; the registry listing skips the undecodable value, so the key is not
+    listed.  Both follow the reference."""
+    ch = log(spark, [("PUT", "t0", job("t0", "j0")), ("PUT", "t0", "{bad")])
+    ev = jobs.snapshot_then_tail(ch, 0)
+    assert [(r.event_type, r.job_name) for r in ev.collect()] == [(1, "j0")]
+    assert jobs.job_state(ch).count() == 0
+    assert [r.revision for r in jobs.quarantine(ch).collect()] == [2]
