@@ -39,6 +39,22 @@ def parse_one(body: str | Column) -> Column:
     return F.when(in_array.isNotNull(), F.try_variant_get(in_field, "$.b", "variant"))
 
 
+def out_of_range(body: str | Column, v: Column) -> Column:
+    """True when the body holds a number beyond double range (``1e999``).
+
+    The parser turns such a number into an infinite DOUBLE, which a map
+    decoder refuses; so the body is rejected if its re-serialised form has
+    more ``Infinity"`` endings than its own text.  Only bodies whose text has
+    a 3-digit exponent or a 309-digit run are re-serialised."""
+    b = _c(body)
+    suspect = b.rlike(r"[0-9][eE][+]?[0-9]{3}|[0-9]{309}")
+    tail = F.lit('Infinity"')
+    again = F.to_json(v)
+    more = (F.length(again) - F.length(F.replace(again, tail, F.lit("")))) > \
+        (F.length(b) - F.length(F.replace(b, tail, F.lit(""))))
+    return F.coalesce(F.when(suspect, more), F.lit(False))
+
+
 def kind(v: Column) -> Column:
     """``OBJECT``, ``ARRAY``, ``STRING``, ``VOID`` (JSON null), ... or NULL."""
     return F.regexp_extract(F.schema_of_variant(v), r"^([A-Z_]+)", 1)
@@ -74,7 +90,7 @@ def as_string(v: Column) -> Column:
     return F.try_variant_get(v, "$", "string")
 
 
-def request_code(v: Column) -> Column:
+def request_code(v: Column, body: str | Column | None = None) -> Column:
     """Reply code of a log report ``{topic: string, logs: [string]}``.
 
     -1: not one JSON value, or a value that is neither an object nor null.
@@ -83,7 +99,10 @@ def request_code(v: Column) -> Column:
     """
     k = kind(v)
     fields_ok = is_string(field(v, "topic")) & is_string_array(field(v, "logs"))
-    return (F.when(v.isNull() | ~k.isin("OBJECT", "VOID"), F.lit(CODE_NOT_JSON))
+    bad = v.isNull() | ~k.isin("OBJECT", "VOID")
+    if body is not None:  # also refuse numbers beyond double range
+        bad = bad | out_of_range(body, v)
+    return (F.when(bad, F.lit(CODE_NOT_JSON))
             .when(fields_ok, F.lit(CODE_OK))
             .otherwise(F.lit(CODE_BAD_FIELDS)))
 

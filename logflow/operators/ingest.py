@@ -22,13 +22,13 @@ def validate_requests(df: DataFrame, body: str = "body") -> DataFrame:
     v = F.col("__v")
     d = df.withColumn("__v", J.parse_one(body))
     d = d.select(*df.columns, "__v", J.kind(v).alias("__k"), J.field(v, "topic").alias("__t"),
-                 J.field(v, "logs").alias("__l"))
-    d = d.select(*df.columns, "__v", "__k", "__t", F.schema_of_variant("__l").alias("__ls"),
+                 J.field(v, "logs").alias("__l"), J.out_of_range(body, v).alias("__oor"))
+    d = d.select(*df.columns, "__v", "__k", "__t", "__oor", F.schema_of_variant("__l").alias("__ls"),
                  F.try_variant_get("__l", "$", "array<string>").alias("__arr"))
     logs_ok = (F.col("__ls").isin("ARRAY<STRING>", "ARRAY<VOID>")
                & (F.size(F.array_compact("__arr")) == F.size("__arr")))
     fields_ok = J.is_string(F.col("__t")) & F.coalesce(logs_ok, F.lit(False))
-    code = (F.when(v.isNull() | ~F.col("__k").isin("OBJECT", "VOID"), F.lit(J.CODE_NOT_JSON))
+    code = (F.when(v.isNull() | ~F.col("__k").isin("OBJECT", "VOID") | F.col("__oor"), F.lit(J.CODE_NOT_JSON))
             .when(fields_ok, F.lit(J.CODE_OK)).otherwise(F.lit(J.CODE_BAD_FIELDS)))
     d = d.select(*df.columns, "__t", "__arr", code.alias("__code"))
     ok = F.col("__code") == J.CODE_OK
@@ -68,9 +68,9 @@ def validate_job_puts(df: DataFrame, body: str = "body") -> DataFrame:
     """
     v = F.col("__v")
     d = df.withColumn("__v", J.parse_one(body))
-    d = d.select(*df.columns, "__v", J.kind(v).alias("__k"),
+    d = d.select(*df.columns, "__v", J.kind(v).alias("__k"), J.out_of_range(body, v).alias("__oor"),
                  *[J.field(v, f).alias("__f_" + f) for f in PUT_REQUIRED + PUT_OPTIONAL])
-    ok = F.col("__v").isNotNull() & (F.col("__k") == F.lit("OBJECT"))
+    ok = F.col("__v").isNotNull() & (F.col("__k") == F.lit("OBJECT")) & ~F.col("__oor")
     for f in PUT_REQUIRED:
         ok = ok & J.is_string(F.col("__f_" + f))
     for f in PUT_OPTIONAL:
@@ -98,8 +98,8 @@ def explode_deletes(df: DataFrame, body: str = "body") -> DataFrame:
     NULL key and ``code`` -1 for a rejected body."""
     v = F.col("__v")
     d = df.withColumn("__v", J.parse_one(body)).withColumn("__keys", J.field(v, "keys"))
-    ok = F.coalesce(v.isNotNull() & (J.kind(v) == F.lit("OBJECT")) & J.is_string_array(F.col("__keys")),
-                    F.lit(False))
+    ok = F.coalesce(v.isNotNull() & (J.kind(v) == F.lit("OBJECT")) & J.is_string_array(F.col("__keys"))
+                    & ~J.out_of_range(body, v), F.lit(False))
     d = d.withColumn("__ok", ok)
     return d.select(*df.columns,
                     F.when(F.col("__ok"), F.lit(J.CODE_OK)).otherwise(F.lit(J.CODE_NOT_JSON)).alias("code"),

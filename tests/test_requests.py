@@ -34,6 +34,11 @@ CASES = [
     ('1', -1, None),
     ('true', -1, None),
     (None, -1, None),
+    ('{"topic":"a","logs":["x"],"n":1e999}', -1, None),
+    ('{"topic":"a","logs":["x"],"n":[-1E+400]}', -1, None),
+    ('{"topic":"a","logs":["1e999"]}', 0, ["1e999"]),
+    ('{"topic":"a","logs":["Infinity"],"n":1e300}', 0, ["Infinity"]),
+    ('{"topic":"a","logs":["x"],"n":1.5e-999}', 0, ["x"]),
 ]
 
 
@@ -83,16 +88,19 @@ def test_put_and_delete_bodies(spark):
         (4, '{"key":"k","job_name":"j"}'),
         (5, '{"key":1,"job_name":"j","topic":"t"}'),
         (6, 'null'),
+        (7, '{"key":"k","job_name":"j","topic":"t","n":1e999}'),
     ]
     df = spark.createDataFrame(rows, "revision long, body string")
     got = {r.revision: r for r in ingest.validate_job_puts(df).collect()}
     assert got[1].code == 0 and got[1].pipeline == "" and got[1].index_type == ""
     assert got[2].code == 0 and got[2].pipeline == "p" and got[2].index_type == "yyyy"
-    assert [got[i].code for i in (3, 4, 5, 6)] == [-1, -1, -1, -1]
+    assert [got[i].code for i in (3, 4, 5, 6, 7)] == [-1, -1, -1, -1, -1]
     dels = spark.createDataFrame([(1, '{"keys":["a","b"]}'), (2, '{"keys":[]}'), (3, '{"keys":["a",2]}'),
-                                  (4, '{"nokeys":1}'), (5, '{"keys":"a"}')], "revision long, body string")
+                                  (4, '{"nokeys":1}'), (5, '{"keys":"a"}'), (6, '{"keys":["a"],"n":2e308}')],
+                                 "revision long, body string")
     rows = sorted((r.revision, r.code, r.key) for r in ingest.explode_deletes(dels).collect())
-    assert rows == [(1, 0, "a"), (1, 0, "b"), (2, 0, None), (3, -1, None), (4, -1, None), (5, -1, None)]
+    assert rows == [(1, 0, "a"), (1, 0, "b"), (2, 0, None), (3, -1, None), (4, -1, None), (5, -1, None),
+                    (6, -1, None)]
 
 
 def test_single_expression_form_agrees(spark, checked):
@@ -100,6 +108,7 @@ def test_single_expression_form_agrees(spark, checked):
 
     from logflow.functions import jsoncheck as J
     df = spark.createDataFrame([(i, b) for i, (b, _, _) in enumerate(CASES)], "req_id long, body string")
-    got = {r.req_id: r.c for r in df.select("req_id", J.request_code(J.parse_one(F.col("body"))).alias("c"))
+    got = {r.req_id: r.c for r in df.select("req_id", J.request_code(J.parse_one(F.col("body")), F.col("body"))
+                                                           .alias("c"))
            .collect()}
     assert got == {i: r.code for i, r in checked.items()}
