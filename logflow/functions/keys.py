@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 # Default key spaces (the reference reads them from a configuration file that
 # is not shipped; these are our own choices).
-JOBS_ROOT = "/logcollect/jobs/"
-LOCKS_ROOT = "/logcollect/locks/"
+JOBS_ROOT = "/logflow/jobs/"
+LOCKS_ROOT = "/logflow/locks/"
 DEFAULT_NAMESPACE = "10.0.0.1"
 
 
