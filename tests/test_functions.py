@@ -41,14 +41,14 @@ def test_strip_prefix(spark):
 
 
 def test_log_lines(spark):
-    df = spark.createDataFrame([(1, "/a/b/runer.go", 205, T, "3"), (3, None, None, T, "x y")],
+    df = spark.createDataFrame([(1, "/a/b/sched.go", 205, T, "3"), (3, None, None, T, "x y")],
                                "level int, file string, line int, ts timestamp_ntz, msg string")
     pre = [r[0] for r in df.select(log_prefix("level", "file", "line", "ts")).collect()]
-    assert pre == ["[INFO][runer.go:205] 2026-12-31 ", "[ERROR] 2026-12-31 "]
+    assert pre == ["[INFO][sched.go:205] 2026-12-31 ", "[ERROR] 2026-12-31 "]
     lines = [r[0] for r in df.select(format_log_line("level", "file", "line", "ts", "msg", sink="file")).collect()]
-    assert lines[0] == "[INFO][runer.go:205] 2026-12-31 2026/12/31 17:00:00 [3]"
+    assert lines[0] == "[INFO][sched.go:205] 2026-12-31 2026/12/31 17:00:00 [3]"
     con = df.select(format_log_line("level", "file", "line", "ts", "msg")).first()[0]
-    assert con == "[INFO][runer.go:205] 2026-12-31 17:00:00 [3]"
+    assert con == "[INFO][sched.go:205] 2026-12-31 17:00:00 [3]"
 
 
 def test_formatting_inside_a_dst_gap(spark):
