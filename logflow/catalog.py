@@ -115,6 +115,10 @@ def claim_winners(spark: SparkSession, d: str) -> DataFrame:
     return claims.claim_winners(D.heartbeats(spark, d), lease=LIVENESS_LEASE)
 
 
+def lock_holders(spark: SparkSession, d: str) -> DataFrame:
+    return claims.lock_holders(D.heartbeats(spark, d), lease=LIVENESS_LEASE)
+
+
 def first_claim(spark: SparkSession, d: str) -> DataFrame:
     hb = D.heartbeats(spark, d).withColumn("day", F.to_date("ts"))
     return claims.first_claim(hb, by=["topic", "day"])
@@ -228,6 +232,7 @@ QUERIES: dict[str, Query] = {
     "route_as_of": route_as_of,
     "first_claim": first_claim,
     "claim_winners": claim_winners,
+    "lock_holders": lock_holders,
     "snapshot_tail": snapshot_tail,
     "delete_all_survivors": delete_all_survivors,
     "effective_deletes": effective_deletes,
@@ -577,3 +582,20 @@ ORACLE["log_fan_out"] = _with(f"""
     UNION ALL
     SELECT 'file' AS sink, CAST(ts AS DATE) AS day, count(*) AS lines FROM log_messages
     WHERE level <= {MAX_LEVEL} GROUP BY 2""", ["log_messages"])
+# the lock chain, followed one tenure at a time by a recursive query
+ORACLE["lock_holders"] = f"""
+WITH RECURSIVE heartbeats AS ({D.sql_ctes()['heartbeats']}),
+beats AS (SELECT DISTINCT topic, owner, ts FROM heartbeats),
+g AS (SELECT *, CASE WHEN lag(ts) OVER w IS NULL OR ts - lag(ts) OVER w > INTERVAL 30 MINUTE THEN 1 ELSE 0 END AS new
+      FROM beats WINDOW w AS (PARTITION BY topic, owner ORDER BY ts)),
+s AS (SELECT *, sum(new) OVER (PARTITION BY topic, owner ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sid FROM g),
+lab AS (SELECT topic, owner, ts, max(ts) OVER (PARTITION BY topic, owner, sid) + INTERVAL 30 MINUTE AS end_ts FROM s),
+att AS (SELECT * FROM lab QUALIFY row_number() OVER (PARTITION BY topic, ts ORDER BY owner) = 1),
+chain AS (
+  SELECT topic, owner, ts AS claimed_at, end_ts AS expires_at FROM att
+  QUALIFY row_number() OVER (PARTITION BY topic ORDER BY ts, owner) = 1
+  UNION ALL
+  SELECT n.topic, n.owner, n.ts, n.end_ts
+  FROM chain c JOIN LATERAL (SELECT * FROM att a WHERE a.topic = c.topic AND a.ts > c.expires_at
+                             ORDER BY a.ts LIMIT 1) n ON true)
+SELECT topic, owner, claimed_at, expires_at FROM chain"""

@@ -111,3 +111,62 @@ def claim_winners(heartbeats: DataFrame, lease: str | float = LEASE,
 def unclaimed(jobs: DataFrame, claims: DataFrame) -> DataFrame:
     """Jobs whose topic has no live claim (J2), re-emitted as SAVE events."""
     return jobs.join(claims.select("topic"), "topic", "left_anti").withColumn("event_type", F.lit(1))
+
+
+def lock_holders(heartbeats: DataFrame, lease: str | float = LEASE,
+                 width: int = scan.TIME_WIDTH, max_rounds: int = 64) -> DataFrame:
+    """Exact lock tenures per topic (W3 with hand-over): ``topic, owner,
+    claimed_at, expires_at``.
+
+    Every heartbeat is an attempt.  A free lock goes to the first attempt
+    (then the smallest owner); the holder's own beats at most one lease apart
+    keep it; other owners are refused until the holder's last beat + lease
+    has passed, and the next attempt after that wins.
+
+    A tenure lasts for the rest of the holder's own lease session (sessions of
+    each owner's beats), so the tenures form a chain over owner sessions:
+    each session's successor is the session of the first attempt strictly
+    after its end (an as-of step on the skew-safe scan).  The chain from each
+    topic's first attempt is collected by pointer doubling: round k adds the
+    tenures 2^k..2^(k+1)-1 steps ahead, so a chain of n tenures takes
+    log2(n) joins over the session table.  Each round is checkpointed.
+    """
+    from logflow.plans.materialize import materialize
+
+    lease_us = int(round(seconds(lease) * 1_000_000))
+    beats = (heartbeats.select("topic", "owner", micros("ts").alias("__us")).distinct())
+    lab = materialize(scan.session_starts(beats, ["topic", "owner"], "__us", lease_us, "__s", width=width))
+    node = F.struct(F.col("owner").alias("o"), F.col("__s").alias("s"))
+    sessions = lab.groupBy("topic", "owner", "__s").agg((F.max("__us") + F.lit(lease_us)).alias("__end"))
+    # as-of: first attempt strictly after each session's end
+    attempts = lab.select("topic", F.col("__us").alias("__t"), F.lit(1).alias("__k"), F.col("owner").alias("__o"),
+                          F.struct(node.alias("n"), F.col("__us").alias("at")).alias("__v"),
+                          F.lit(None).cast("string").alias("owner"), F.lit(None).cast("long").alias("__s"))
+    probes = sessions.select("topic", F.col("__end").alias("__t"), F.lit(2).alias("__k"),
+                             F.lit(None).cast("string").alias("__o"),
+                             F.lit(None).cast(attempts.schema["__v"].dataType).alias("__v"), "owner", "__s")
+    nxt = scan.carry_forward(attempts.unionByName(probes), "topic", ["__t", "__k", "__o"], "__v", "__next",
+                             width=width, backward=True)
+    edges = materialize(nxt.filter(F.col("__k") == 2).select(
+        "topic", node.alias("n"), F.col("__t").alias("end"), F.col("__next.n").alias("to"),
+        F.col("__next.at").alias("to_at")))
+    # the chain starts at each topic's first attempt
+    first = lab.groupBy("topic").agg(F.min_by(F.struct(node.alias("n"), F.col("__us").alias("at")),
+                                              F.struct("__us", "owner")).alias("__f"))
+    reach = materialize(first.select("topic", F.col("__f.n").alias("n"), F.col("__f.at").alias("at")))
+    # jump: n -> (node 2^k steps ahead, its entry time)
+    jump = edges.select("topic", "n", "to", "to_at")
+    for _ in range(max_rounds):
+        ahead = (reach.join(jump, ["topic", "n"]).filter(F.col("to").isNotNull())
+                 .select("topic", F.col("to").alias("n"), F.col("to_at").alias("at")))
+        grown = materialize(reach.unionByName(ahead).dropDuplicates(["topic", "n"]))
+        if grown.count() == reach.count():
+            break
+        reach = grown
+        j2 = jump.alias("a").join(jump.alias("b"), (F.col("a.topic") == F.col("b.topic"))
+                                  & (F.col("a.to") == F.col("b.n")), "left")
+        jump = materialize(j2.select(F.col("a.topic").alias("topic"), F.col("a.n").alias("n"),
+                                     F.col("b.to").alias("to"), F.col("b.to_at").alias("to_at")))
+    out = reach.join(edges.select("topic", "n", "end"), ["topic", "n"])
+    return out.select("topic", F.col("n.o").alias("owner"), from_micros("at").alias("claimed_at"),
+                      from_micros("end").alias("expires_at"))

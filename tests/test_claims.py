@@ -74,3 +74,29 @@ def test_claimed_at_equals_session_cover(spark):
         a = {r.topic for r in claims.claimed_at(hb, at, "20 seconds").collect()}
         b = {r.topic for r in claims.live_claims(sessions, at).collect()}
         assert a == b, s
+
+
+def _simulate(rows, lease):
+    out, by = [], {}
+    for t, o, s in sorted(rows):
+        by.setdefault(t, []).append((s, o))
+    for t, seq in by.items():
+        holder, exp = None, None
+        for s, o in sorted(seq):
+            if holder is None or s > exp:
+                holder, exp = o, s + lease
+                out.append([t, o, s, exp])
+            elif o == holder:
+                exp = s + lease
+                out[-1][3] = exp
+    return sorted((t, o, s, e) for t, o, s, e in out)
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_lock_holders_match_a_lock_simulation(spark, seed):
+    import random
+    rnd = random.Random(seed)
+    rows = {(f"t{rnd.randrange(3)}", f"o{rnd.randrange(3)}", rnd.randrange(0, 400)) for _ in range(150)}
+    got = sorted((r.topic, r.owner, int((r.claimed_at - T0).total_seconds()), int((r.expires_at - T0).total_seconds()))
+                 for r in claims.lock_holders(beats(spark, rows), "10 seconds", width=30_000_000).collect())
+    assert got == _simulate(rows, 10)
