@@ -100,3 +100,13 @@ def test_lock_holders_match_a_lock_simulation(spark, seed):
     got = sorted((r.topic, r.owner, int((r.claimed_at - T0).total_seconds()), int((r.expires_at - T0).total_seconds()))
                  for r in claims.lock_holders(beats(spark, rows), "10 seconds", width=30_000_000).collect())
     assert got == _simulate(rows, 10)
+
+
+def test_lock_holders_boundaries(spark):
+    # o1 holds from 0; o1 renews at exactly one lease (10): kept; o2 at 20 =
+    # o1's expiry: refused; o2 at 21: wins.  At 40 two owners tie: smaller wins.
+    rows = [("t", "o1", 0), ("t", "o1", 10), ("t", "o2", 20), ("t", "o2", 21), ("t", "o3", 40), ("t", "o2", 40)]
+    got = sorted((r.owner, int((r.claimed_at - T0).total_seconds()), int((r.expires_at - T0).total_seconds()))
+                 for r in claims.lock_holders(beats(spark, rows), "10 seconds").collect())
+    assert got == [("o1", 0, 20), ("o2", 21, 31), ("o2", 40, 50)]
+    assert sorted(got) == sorted((o, s, e) for _, o, s, e in _simulate(set(rows), 10))
