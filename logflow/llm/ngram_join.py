@@ -205,8 +205,8 @@ def components(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("a").alias("doc_id"), F.col("b").alias("root"))
 
 
-def jaccard_components(docs: DataFrame, *, k: int = 3, percent: int = 90, fragment_bytes: int = 32 << 20,
-                       block_rows: int = 2000) -> DataFrame:
+def jaccard_components(docs: DataFrame, *, k: int = 3, percent: int = 90, fragment_bytes: int = 24 << 20,
+                       block_rows: int = 1000, part_shingles: int = 512) -> DataFrame:
     """doc_id, n_shingles, component_id."""
     rows = id_text(docs)
     size = rows.agg(F.sum(F.length("text"))).first()[0] or 0
@@ -251,36 +251,39 @@ def jaccard_components(docs: DataFrame, *, k: int = 3, percent: int = 90, fragme
         if 10 * have >= 9 * had:  # the next round would hardly exclude more
             break
         had = have
-    links = candidate_links(sets, fragments, percent)
+    links = candidate_links(sets, percent, part_shingles)
 
     named = facts.join(classes.select("n", "h1", "h2", "rep"), ["n", "h1", "h2"], "left")
     return (named.join(links.select(F.col("doc_id").alias("rep"), "root"), "rep", "left")
             .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("root", "rep", "doc_id").alias("component_id")))
 
 
-def verified(pairs: DataFrame, sets: DataFrame, fragments: int, percent: int) -> DataFrame:
-    """The pairs (a, b) that link: partial overlaps by fragment, summed."""
+def verified(pairs: DataFrame, sets: DataFrame, percent: int, part_shingles: int) -> DataFrame:
+    """The pairs (a, b, na, nb) that link.  Both sets of a pair are cut into
+    as many fragments as its larger set needs for ``part_shingles`` each;
+    partial overlaps are counted by fragment and summed."""
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = []
-            for doc_id, n, t in zip(pdf["doc_id"].tolist(), pdf["n"].tolist(), pdf["tokens"]):
+            for doc_id, cuts, t in zip(pdf["doc_id"].tolist(), pdf["cuts"].tolist(), pdf["tokens"]):
                 g = np.frombuffer(t, "<u8")
-                f = fragment_of(g, fragments)
+                f = fragment_of(g, cuts)
                 at = np.flatnonzero(np.diff(f, prepend=-1))
-                out += [(doc_id, n, int(f[a]), p.view(np.int64)) for a, p in zip(at, np.split(g, at[1:]))]
-            yield pd.DataFrame(out, columns=["doc_id", "n", "frag", "part"])
-
-    used = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    parts = sets.join(used, "doc_id", "left_semi").mapInPandas(cut, "doc_id long, n long, frag int, part array<long>")
-    a = parts.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), "frag", F.col("part").alias("pa"))
-    b = parts.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), "frag", F.col("part").alias("pb"))
-    both = pairs.join(a, "a").join(b, ["b", "frag"])
+                out += [(doc_id, cuts, int(f[a]), p.view(np.int64)) for a, p in zip(at, np.split(g, at[1:]))]
+            yield pd.DataFrame(out, columns=["doc_id", "cuts", "frag", "part"])
+
+    pairs = pairs.withColumn("cuts", F.ceil(F.greatest("na", "nb") / part_shingles).cast("int"))
+    used = pairs.select(F.explode(F.array("a", "b")).alias("doc_id"), "cuts").distinct()
+    parts = sets.join(used, "doc_id").mapInPandas(cut, "doc_id long, cuts int, frag int, part array<long>")
+    a = parts.select(F.col("doc_id").alias("a"), "cuts", "frag", F.col("part").alias("pa"))
+    b = parts.select(F.col("doc_id").alias("b"), "cuts", "frag", F.col("part").alias("pb"))
+    both = pairs.join(a, ["a", "cuts"]).join(b, ["b", "cuts", "frag"])
     overlap = both.groupBy("a", "b").agg(F.sum(F.size(F.array_intersect("pa", "pb"))).alias("o"),
                                          F.first("na").alias("na"), F.first("nb").alias("nb"))
     return overlap.where(100 * F.col("o") >= percent * (F.col("na") + F.col("nb") - F.col("o"))).select("a", "b")
 
 
-def candidate_links(sets: DataFrame, fragments: int, percent: int) -> DataFrame:
+def candidate_links(sets: DataFrame, percent: int, part_shingles: int) -> DataFrame:
     """doc_id, root of the components among distinct sets."""
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -313,12 +316,14 @@ def candidate_links(sets: DataFrame, fragments: int, percent: int) -> DataFrame:
         most = F.least(F.col("na") - F.col("oa"), F.col("nb") - F.col("ob"))
         least = F.greatest(F.col("na") + F.col("ob"), F.col("nb") + F.col("oa"))
         fits = (100 * most >= percent * least) & (F.col("ra") != F.col("rb"))
-        pairs = other.join(first, (other["sig"] == first["sig"]) & (F.col("ka") > F.col("kb")) & fits).select("a", "b").distinct()
+        pairs = other.join(first, (other["sig"] == first["sig"]) & (F.col("ka") > F.col("kb")) & fits).select(
+            "a", "b", "na", "nb").distinct()
         pairs = stored(pairs if seen is None else pairs.join(seen, ["a", "b"], "left_anti"), "pairs")
-        found = stored(verified(pairs, sets, fragments, percent), "links")
+        found = stored(verified(pairs, sets, percent, part_shingles), "links")
         if not found.isEmpty():
             links = links.unionByName(found)
             roots = components(links)
+        pairs = pairs.select("a", "b")
         seen = pairs if seen is None else seen.unionByName(pairs)
         lo, width = lo + width, 4 * width
 
