@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -38,6 +39,7 @@ from logflow.llm._common import WORD_HASHES, id_text, mix, shingle_hashes, store
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+_PLACE = np.uint64((1 << 20) - 1)
 ORDER = 16  # suffixes are sorted by so many words
 
 
@@ -50,8 +52,17 @@ def segments(words: list[bytes], window: int, anchor: int) -> tuple[np.ndarray,
     h = WORD_HASHES.of(words)
     g = shingle_hashes(h, anchor)
     wide = window - anchor + 1
-    # mixed again: the order of anchors must not follow the order of segments
-    pick = np.lib.stride_tricks.sliding_window_view(mix(g), wide).argmin(axis=1) + np.arange(n - window + 1)
+    # mixed again: the order of anchors must not follow the order of segments;
+    # the low bits hold the place, so a running minimum also tells where it is
+    at = np.arange(len(g), dtype=np.uint64)
+    low = mix(g) & ~_PLACE | at & _PLACE
+    span = 1
+    while 2 * span <= wide:
+        low = np.minimum(low[:-span], low[span:])
+        span *= 2
+    if span < wide:
+        low = np.minimum(low[:len(low) - (wide - span)], low[wide - span:])
+    pick = (at[:len(low)] + ((low - at[:len(low)]) & _PLACE)).astype(np.int64)
     first = np.flatnonzero(np.diff(pick, prepend=-1))
     many = np.diff(np.append(first, len(pick)))
     power = np.cumprod(np.full(n + 1, _ODD, np.uint64)) * _BACK
@@ -174,10 +185,14 @@ def removed_words(words: list[bytes], wanted: dict[int, int], window: int, ancho
         return out
     _, name, first, many = segments(words, window, anchor)
     edge = np.zeros(len(words) + 1, dtype=np.int64)
-    for k in np.flatnonzero(np.isin(name.view(np.int64), np.fromiter(wanted, np.int64, len(wanted)))).tolist():
-        mask, a = wanted[int(name[k].view(np.int64))], int(first[k])
+    masks = np.fromiter(map(wanted.get, name.view(np.int64).tolist(), repeat(0)), np.int64, len(name))
+    whole = masks == -1
+    np.add.at(edge, first[whole], 1)
+    np.add.at(edge, first[whole] + many[whole] + window - 1, -1)
+    for k in np.flatnonzero(~whole & (masks != 0)).tolist():
+        a = int(first[k])
         for j in range(int(many[k])):
-            if mask >> j & 1:
+            if masks[k] >> j & 1:
                 edge[a + j] += 1
                 edge[a + j + window] -= 1
     return np.cumsum(edge)[:-1] > 0
