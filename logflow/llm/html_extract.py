@@ -8,8 +8,10 @@ of them, and how much text without links they hold.  Nodes with the same text
 on at least ``min_pages`` distinct pages of a host are template; the others
 are varying slots.  The host's wrapper is the path to the innermost container
 that holds most of the varying text.  Extraction reads the blocks below that
-path, without rejected elements and without template nodes; a page on which
-the path leads nowhere is its own template.
+path, without rejected elements and without template nodes (but what an
+article or main element holds is content by declaration, even if other pages
+of the host have the same); a page on which the path leads nowhere is its own
+template.
 
 Templates are merged first in the task that parsed the pages, then in salted
 groups, then per host, so a host with a third of all pages is never gathered
@@ -44,6 +46,7 @@ RAW = {"script", "style", "textarea", "title", "noscript", "template", "iframe",
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 REJECTED = {"nav", "header", "footer", "aside", "form", "button", "select", "option", "menu", "dialog", "svg", "math",
             "object", "canvas", "audio", "video", "head", "label", "fieldset", "datalist"}
+DECLARED = {"article", "main"}
 CONTAINERS = {"html", "body", "main", "article", "section", "div", "center", "table", "tbody", "tr", "td"}
 BLOCKS = {"address", "article", "blockquote", "body", "center", "dd", "details", "div", "dl", "dt", "figcaption",
           "figure", "h1", "h2", "h3", "h4", "h5", "h6", "hr", "html", "li", "main", "ol", "p", "pre", "section",
@@ -264,12 +267,15 @@ def wrapper(template: list, min_pages: int) -> dict:
     fixed: list[list[str]] = []
 
     def walk(node: list, at: list[str]) -> None:
+        if node[1] in DECLARED:
+            return
         if node[4] and node[2] >= constant_at and node[3]:
             fixed.append(at)
         for c in node[6]:
             walk(c, [*at, c[0]])
 
-    walk(t, path)
+    if not any(label.split(".")[0] in DECLARED for label in path):
+        walk(t, path)
     return {"path": path, "fixed": fixed}
 
 
