@@ -114,7 +114,7 @@ def unclaimed(jobs: DataFrame, claims: DataFrame) -> DataFrame:
 
 
 def lock_holders(heartbeats: DataFrame, lease: str | float = LEASE,
-                 width: int = scan.TIME_WIDTH, max_rounds: int = 64) -> DataFrame:
+                 width: int = scan.TIME_WIDTH) -> DataFrame:
     """Exact lock tenures per topic (W3 with hand-over): ``topic, owner,
     claimed_at, expires_at``.
 
@@ -156,7 +156,7 @@ def lock_holders(heartbeats: DataFrame, lease: str | float = LEASE,
     reach = materialize(first.select("topic", F.col("__f.n").alias("n"), F.col("__f.at").alias("at")))
     # jump: n -> (node 2^k steps ahead, its entry time)
     jump = edges.select("topic", "n", "to", "to_at")
-    for _ in range(max_rounds):
+    while True:
         ahead = (reach.join(jump, ["topic", "n"]).filter(F.col("to").isNotNull())
                  .select("topic", F.col("to").alias("n"), F.col("to_at").alias("at")))
         grown = materialize(reach.unionByName(ahead).dropDuplicates(["topic", "n"]))

@@ -49,14 +49,15 @@ def throughput(df: DataFrame, every: str | float = REPORT_EVERY, ts: str = "ts",
     if jobs is None:
         return out.select(tick_start("tick", every).alias("tick"), "rows", "rows_total")
     width_us = int(round(seconds(every) * 1_000_000))
-    ticks = out.select("tick", "rows", "rows_total",
-                       ((F.col("tick") + 1) * F.lit(width_us)).alias("__us"), F.lit(1).alias("__kind"),
-                       F.lit(None).cast("long").alias("__j"))
-    marks = jobs.select(F.lit(None).cast("long").alias("tick"), F.lit(None).cast("long").alias("rows"),
-                        F.lit(None).cast("long").alias("rows_total"), micros("ts").alias("__us"),
-                        F.lit(0).alias("__kind"), F.col("active_jobs").cast("long").alias("__j"))
-    both = scan.carry_forward(ticks.unionByName(marks), [], ["__us", "__kind"], "__j", "jobs",
-                              width=width_us * BLOCK_TICKS)
+    ticks = out.select("tick", "rows", "rows_total", F.lit(1).alias("__kind"), F.lit(None).cast("long").alias("__j"))
+    # the last change up to each tick's end, by time and then revision: at most
+    # one mark a tick, however many changes there are
+    seen_by = F.floor((micros("ts") - 1) / F.lit(width_us)).cast("long")
+    marks = jobs.groupBy(seen_by.alias("tick")).agg(
+        F.max_by(F.col("active_jobs").cast("long"), F.struct("ts", *[c for c in ("revision",) if c in jobs.columns]))
+        .alias("__j")).select("tick", F.lit(None).cast("long").alias("rows"), F.lit(None).cast("long").alias("rows_total"),
+                              F.lit(0).alias("__kind"), "__j")
+    both = scan.carry_forward(ticks.unionByName(marks), [], ["tick", "__kind"], "__j", "jobs", width=BLOCK_TICKS)
     return (both.filter(F.col("__kind") == 1)
             .select(tick_start("tick", every).alias("tick"), "rows", "rows_total",
                     F.coalesce(F.col("jobs"), F.lit(0)).cast("long").alias("jobs")))

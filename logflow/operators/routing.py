@@ -10,22 +10,19 @@ from pyspark.sql import functions as F
 from logflow.functions.timefmt import micros
 from logflow.operators.jobs import EVENT_SAVE
 from logflow.plans import scan
-from logflow.plans.joins import BROADCAST_MAX_ROWS, bounded_broadcast
 
 JOB_COLS = ("job_name", "index_type", "pipeline")
 
 
-def route(records: DataFrame, jobs: DataFrame, max_broadcast_rows: int = BROADCAST_MAX_ROWS,
-          keep_probe: bool = True) -> DataFrame:
+def route(records: DataFrame, jobs: DataFrame) -> DataFrame:
     """Records of topics that have a job, with the job's fields.
 
-    ``jobs`` holds one job per topic (``running_topics``).  It is broadcast
-    when its size is proven small -- a job table is -- else the join shuffles.
-    ``keep_probe=False`` skips writing the probed table (streams re-read a
-    stored job table every micro-batch).
+    ``jobs`` holds one job per topic (``running_topics``).  No hint is given:
+    the measured size of the job table decides between a broadcast and a
+    shuffle, and adaptive execution splits a hot topic.
     """
     j = jobs.select("topic", *JOB_COLS)
-    return records.join(bounded_broadcast(j, max_broadcast_rows, keep=keep_probe), "topic")
+    return records.join(j, "topic")
 
 
 def route_as_of(records: DataFrame, events: DataFrame, width: int = scan.TIME_WIDTH) -> DataFrame:
@@ -50,17 +47,18 @@ def route_as_of(records: DataFrame, events: DataFrame, width: int = scan.TIME_WI
     empty = F.struct(*[F.lit(None).cast("long" if c == "version" else "string").alias(c)
                        for c in ("version", *JOB_COLS)])
     marker_val = F.coalesce(F.col("__ver"), F.col("__next"), empty)
+    # changes that share a time take effect in revision order
     markers = ev.select("topic", micros("ts").alias("__us"), F.lit(0).alias("__kind"),
-                        marker_val.alias("__m"))
+                        F.col("revision").cast("long").alias("__rev"), marker_val.alias("__m"))
     # before the first event of a topic: its first SAVE
     first = (ev.filter(F.col("__ver").isNotNull()).groupBy("topic")
              .agg(F.min_by("__ver", "revision").alias("__m"))
-             .select("topic", F.lit(-(1 << 62)).cast("long").alias("__us"), F.lit(0).alias("__kind"), "__m"))
+             .select("topic", F.lit(-(1 << 62)).cast("long").alias("__us"), F.lit(0).alias("__kind"), F.lit(0).cast("long").alias("__rev"), "__m"))
     rec_cols = [c for c in records.columns if c != "topic"]
     recs = records.select("topic", *rec_cols, micros("ts").alias("__us"), F.lit(1).alias("__kind"),
-                          F.lit(None).cast(markers.schema["__m"].dataType).alias("__m"))
+                          F.lit(0).cast("long").alias("__rev"), F.lit(None).cast(markers.schema["__m"].dataType).alias("__m"))
     allrows = recs.unionByName(markers.unionByName(first), allowMissingColumns=True)
-    carried = scan.carry_forward(allrows, "topic", ["__us", "__kind"], "__m", "__job", width=width)
+    carried = scan.carry_forward(allrows, "topic", ["__us", "__kind", "__rev"], "__m", "__job", width=width)
     return (carried.filter((F.col("__kind") == 1) & F.col("__job.version").isNotNull())
             .select("topic", *rec_cols, *[F.col("__job." + c).alias(c) for c in ("version", *JOB_COLS)]))
 
@@ -78,5 +76,8 @@ def apply_transforms(df: DataFrame, registry: Mapping[str, Callable[[DataFrame],
     rest = df.filter(~name.isin(known)) if known else df
     out = rest
     for n in known:
-        out = out.unionByName(registry[n](df.filter(name == n)), allowMissingColumns=True)
+        done = registry[n](df.filter(name == n))
+        if lost := [c for c in df.columns if c not in done.columns]:
+            raise ValueError(f"transform {n!r} drops the columns {lost}")
+        out = out.unionByName(done, allowMissingColumns=True)  # new columns are null for other transforms
     return out

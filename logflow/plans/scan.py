@@ -22,7 +22,8 @@ summary), so when a caller does not use a scan's output the optimizer drops
 the whole scan.  The summary has one row per non-empty slice, so its size does
 not depend on how rows spread over groups.
 
-Group keys must be non-null (null keys would be dropped by the equi-join).
+Null keys form a group of their own, and rows with a null order value a slice
+of their own (before all others): summaries are joined back null-safe.
 """
 
 from __future__ import annotations
@@ -58,6 +59,17 @@ def _order_struct(order: list[str]) -> Column:
     return F.struct(*[F.col(c) for c in order])
 
 
+def _join_back(loc: DataFrame, summary: DataFrame, keys: list[str]) -> DataFrame:
+    """``loc`` with its slice's summary; null keys match null keys."""
+    on = [*keys, SLICE]
+    named = summary.select(*[F.col(c).alias("__scan_on_" + c) for c in on],
+                           *[c for c in summary.columns if c not in on])
+    cond = F.lit(True)
+    for c in on:
+        cond = cond & F.col(c).eqNullSafe(F.col("__scan_on_" + c))
+    return loc.join(named, cond, "left").drop(*["__scan_on_" + c for c in on])
+
+
 def _group_window(keys: list[str]) -> Window:
     return Window.partitionBy(*keys) if keys else Window.partitionBy()
 
@@ -72,7 +84,7 @@ def row_number(df: DataFrame, keys: str | Sequence[str], order: str | Sequence[s
     counts = loc.groupBy(*keys, SLICE).agg(F.count(F.lit(1)).alias("__scan_n"))
     before = _group_window(keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
     base = counts.select(*keys, SLICE, F.coalesce(F.sum("__scan_n").over(before), F.lit(0)).alias("__scan_base"))
-    return (loc.join(base, [*keys, SLICE], "left")
+    return (_join_back(loc, base, keys)
             .withColumn(out, (F.col("__scan_base") + F.col("__scan_rn")).cast("long"))
             .drop(SLICE, "__scan_base", "__scan_rn"))
 
@@ -100,7 +112,7 @@ def running(df: DataFrame, keys: str | Sequence[str], order: str | Sequence[str]
     summary = loc.groupBy(*keys, SLICE).agg(agg("__scan_v").alias("__scan_s"))
     before = _group_window(keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
     carry = summary.select(*keys, SLICE, agg("__scan_s").over(before).alias("__scan_carry"))
-    return (loc.join(carry, [*keys, SLICE], "left")
+    return (_join_back(loc, carry, keys)
             .withColumn(out, _COMBINE[how](F.col("__scan_carry"), F.col("__scan_loc")))
             .drop(SLICE, "__scan_v", "__scan_carry", "__scan_loc"))
 
@@ -125,7 +137,7 @@ def lag(df: DataFrame, keys: str | Sequence[str], order: str | Sequence[str],
     summary = loc.groupBy(*keys, SLICE).agg(pick(row, _order_struct(order)).alias("__scan_edge"))
     nb = _group_window(keys).orderBy(F.col(SLICE).desc() if lead else F.col(SLICE).asc())
     carry = summary.select(*keys, SLICE, F.lag("__scan_edge").over(nb).alias("__scan_carry"))
-    out = loc.join(carry, [*keys, SLICE], "left")
+    out = _join_back(loc, carry, keys)
     for c in cols:
         out = out.withColumn(prefix + c, F.when(F.col("__scan_in"), F.col("__scan_lag_" + c))
                              .otherwise(F.col("__scan_carry").getField(c)))
@@ -153,7 +165,7 @@ def carry_forward(df: DataFrame, keys: str | Sequence[str], order: str | Sequenc
     nb = (_group_window(keys).orderBy(F.col(SLICE).desc() if backward else F.col(SLICE).asc())
           .rowsBetween(Window.unboundedPreceding, -1))
     carry = summary.select(*keys, SLICE, F.last("__scan_edge", ignorenulls=True).over(nb).alias("__scan_carry"))
-    return (loc.join(carry, [*keys, SLICE], "left")
+    return (_join_back(loc, carry, keys)
             .withColumn(out, F.coalesce(F.col("__scan_loc"), F.col("__scan_carry")))
             .drop(SLICE, "__scan_carry", "__scan_loc"))
 
@@ -188,6 +200,6 @@ def session_starts(df: DataFrame, keys: str | Sequence[str], t: str, gap: int, o
     carried = F.last("__scan_eff", ignorenulls=True).over(g.rowsBetween(Window.unboundedPreceding, -1))
     s = s.select(*keys, SLICE, F.when(F.col("__scan_fnew"), F.col("__scan_first")).otherwise(carried)
                  .alias("__scan_first_start"))
-    return (loc.join(s, [*keys, SLICE], "left")
+    return (_join_back(loc, s, keys)
             .withColumn(out, F.coalesce(F.col("__scan_start"), F.col("__scan_first_start")))
             .drop(SLICE, "__scan_new", "__scan_start", "__scan_first_start"))

@@ -84,6 +84,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return d
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local"):  # a folder of one machine would be lost with it
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="logflow-ckpt-")
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d

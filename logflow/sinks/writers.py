@@ -12,6 +12,7 @@ import os
 import time
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
@@ -126,6 +127,8 @@ def _retry(fn: Callable[[], None], attempts: int) -> None:
         try:
             fn()
             return
+        except AnalysisException:  # the plan is wrong: no attempt can succeed
+            raise
         except Exception as e:  # noqa: BLE001 - any write failure is retried
             last = e
             time.sleep(0)

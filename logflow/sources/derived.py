@@ -37,19 +37,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _spread(df: DataFrame) -> DataFrame:
-    """Spread an input that arrives in fewer partitions than the cluster has
-    cores (here: one file, one row group) before per-row work such as JSON
-    decoding.  An input of many files is returned unchanged, so this adds no
-    shuffle at scale."""
-    spark = df.sparkSession
-    try:
-        cores = spark.sparkContext.defaultParallelism
-    except Exception:  # noqa: BLE001 - a Connect session: leave the input as is
-        return df
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def _name(name_id: Column) -> Column:
     known = F.element_at(F.array(*[F.lit(t) for t in EVENT_TOPICS]), (name_id + 1).cast("int"))
     return F.when(name_id < len(EVENT_TOPICS), known).otherwise(F.concat(F.lit("topic_"), name_id.cast("string")))
@@ -67,8 +54,8 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``revision, op, key, value, ts`` -- one registry change per order."""
-    o = _spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus",
-                                                      "o_orderpriority"))
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus",
+                                                      "o_orderpriority")
     name_id = F.col("o_custkey") % KEY_SPACE
     name = _name(name_id)
     topic = F.when(F.col("o_orderpriority") == "5-LOW", _name((name_id + 1) % KEY_SPACE)).otherwise(name)

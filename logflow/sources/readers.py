@@ -47,8 +47,7 @@ def kafka_options(bootstrap: str, topics: Sequence[str], max_offsets_per_trigger
     """Options for the broker source: all partitions of ``topics``, from the
     earliest offset when the checkpoint holds no position."""
     o = {"kafka.bootstrap.servers": bootstrap, "subscribe": ",".join(topics),
-         "startingOffsets": STARTING_OFFSETS, "kafka.group.id": CONSUMER_GROUP,
-         "failOnDataLoss": "false"}
+         "startingOffsets": STARTING_OFFSETS, "kafka.group.id": CONSUMER_GROUP}
     if max_offsets_per_trigger:
         o["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
     o.update(extra or {})

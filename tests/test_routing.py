@@ -3,6 +3,7 @@
 import datetime as dt
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from logflow.operators import metrics, routing
@@ -42,15 +43,29 @@ def test_route_as_of_brute_force(spark):
     assert got == want
 
 
-def test_route_broadcasts_small_job_table(spark):
+def test_route_leaves_the_join_to_measured_sizes(spark):
     rd = spark.createDataFrame([("a", 0, 0, T0, b"x")], "topic string, partition int, offset long, "
                                                           "ts timestamp_ntz, value binary")
     jb = spark.createDataFrame([("a", "j", "", "")], "topic string, job_name string, index_type string, "
                                                      "pipeline string")
     out = routing.route(rd, jb)
-    assert "BroadcastHashJoin" in out._jdf.queryExecution().executedPlan().toString()
-    big = routing.route(rd, jb, max_broadcast_rows=0)
-    assert out.count() == big.count() == 1
+    assert "ResolvedHint" not in out._jdf.queryExecution().analyzed().toString()
+    assert out.count() == 1
+
+
+def test_changes_at_one_instant_take_effect_by_revision(spark):
+    rd = spark.createDataFrame([("a", 0, 0, T0, b"x")], "topic string, partition int, offset long, "
+                                                          "ts timestamp_ntz, value binary")
+    ev = spark.createDataFrame([("a", r, T0, 1, f"j{r}", "", "") for r in (2, 3, 1)],
+                               "topic string, revision long, ts timestamp_ntz, event_type int, job_name string, "
+                               "index_type string, pipeline string")
+    assert [r.version for r in routing.route_as_of(rd, ev).collect()] == [3]
+
+
+def test_transform_that_drops_a_column_is_refused(spark):
+    df = spark.createDataFrame([("p", "x")], "pipeline string, doc string")
+    with pytest.raises(ValueError, match="drops"):
+        routing.apply_transforms(df, {"p": lambda d: d.drop("doc")})
 
 
 def test_apply_transforms(spark):

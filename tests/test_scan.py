@@ -87,3 +87,18 @@ def test_session_starts(spark, width):
             want[(k, t)] = start
             prev = t
     assert got == want
+
+
+def test_null_keys_and_orders_are_groups_of_their_own(spark):
+    rows = [(k, o) for k in ("a", None) for o in (1, 5, 9, 12, None)]
+    df = spark.createDataFrame(rows, "k string, o long")
+    got = {(r.k, r.o): r.rn for r in scan.row_number(df, "k", "o", out="rn", width=4).collect()}
+    assert got == {(k, o): n for k in ("a", None) for n, o in enumerate((None, 1, 5, 9, 12), 1)}
+    run = {(r.k, r.o): r.s for r in scan.running(df, "k", "o", F.lit(1), "s", width=4).collect()}
+    assert run == got
+
+
+def test_null_owner_has_sessions_of_its_own(spark):
+    df = spark.createDataFrame([(None, t) for t in (0, 5, 100, 108)], "k string, t long")
+    got = {r.t: r.s for r in scan.session_starts(df, "k", "t", 10, "s", width=20).collect()}
+    assert got == {0: 0, 5: 0, 100: 100, 108: 100}
