@@ -25,13 +25,14 @@ from logflow.sources import derived as D
 from logflow.sources import readers
 from logflow.streaming.collect import collect
 from logflow.streaming.ingest import ingest_stream
-from logflow.streaming.registry import current_jobs, fold_changes
+from logflow.streaming.registry import current_jobs, current_running, fold_changes, fold_running
 
 LIVENESS_LEASE = "30 minutes"
 FLUSH_ROWS = 10
 FLUSH_WAIT = "1 day"
 REPORT_EVERY = "1 hour"
 MAX_LEVEL = 2  # WARN
+LATE_PART = 10  # the first tenth of the revisions is known before the others
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -481,10 +482,11 @@ def request_topics(spark: SparkSession, d: str) -> DataFrame:
 
 
 def request_stream(spark: SparkSession, d: str) -> DataFrame:
-    """The write path as a stream (S1 -> P1 -> P2 -> S3), replayed from files."""
+    """The write path as a stream (S1 -> P1 -> P2 -> S3) over text files, one
+    body a line (a body's closing line break is the line's own)."""
     src, topics, rejected, ck = (scratch_path(spark, n) for n in ("requests", "topics", "rejected", "ckpt"))
-    D.requests(spark, d).repartition(2).write.parquet(src)
-    stream = readers.read_requests(spark, src, streaming=True, fmt="parquet", max_files_per_trigger=1)
+    D.requests(spark, d).select(F.regexp_replace("body", "\n$", "")).repartition(2).write.text(src)
+    stream = readers.read_requests(spark, src, streaming=True, max_files_per_trigger=1)
     ingest_stream(stream, topics, rejected, ck, trigger={"availableNow": True}).awaitTermination()
     back = spark.read.schema("value binary, batch_id long, topic string").parquet(topics)
     return back.groupBy("topic").agg(F.count(F.lit(1)).alias("records"),
@@ -505,13 +507,34 @@ def collect_stream(spark: SparkSession, d: str) -> DataFrame:
     return back.groupBy("index", "pipeline").agg(F.count(F.lit(1)).alias("records"))
 
 
+def collect_late_job(spark: SparkSession, d: str) -> DataFrame:
+    """T1 feeds T2 in two runs: half of the records arrive when a tenth of the
+    changes is known, the rest of both comes with the second run.  Records of
+    a topic that has no job yet wait for it."""
+    feed, src, state, out, fold_ck, ck = (
+        scratch_path(spark, n) for n in ("changes", "records", "state", "index", "ckpt", "ckpt"))
+    ch, recs = D.changes(spark, d), D.records(spark, d)
+    early = F.col("revision") <= F.floor(ch.agg(F.max("revision")).scalar() / LATE_PART)
+    for known, arrived in ((early, F.col("offset") % 2 == 0), (~early, F.col("offset") % 2 == 1)):
+        ch.filter(known).write.mode("append").parquet(feed)
+        recs.filter(arrived).write.mode("append").parquet(src)
+        fold_running(readers.read_job_changes(spark, feed), state, fold_ck,
+                     trigger={"availableNow": True}).awaitTermination()
+        collect(readers.read_topics(spark, path=src), lambda: current_running(spark, state), writers.index_writer(out),
+                ck, trigger={"availableNow": True}, index_time="record").awaitTermination()
+    back = writers.read_index(spark, out, "topic string, partition int, offset long, pipeline string, doc string")
+    return back.select("topic", "partition", "offset", "index", "pipeline", "doc")
+
+
 def job_state_stream(spark: SparkSession, d: str) -> DataFrame:
-    """S7 -> T1: the change feed folded by a streaming aggregate, then A4."""
-    src, state, ck = (scratch_path(spark, n) for n in ("changes", "state", "ckpt"))
-    D.changes(spark, d).repartitionByRange(4, "revision").write.parquet(src)
-    q = fold_changes(readers.read_job_changes(spark, src, max_files_per_trigger=2), state, ck,
-                     trigger={"availableNow": True})
-    q.awaitTermination()
+    """S7 -> T1: the change feed folded by a streaming aggregate, then A4.  The
+    second run reads the feed from its start again with a new checkpoint."""
+    src, state, *cks = (scratch_path(spark, n) for n in ("changes", "state", "ckpt", "ckpt"))
+    ch = D.changes(spark, d).repartitionByRange(4, "revision")
+    for half, ck in zip((F.col("revision") % 2 == 0, F.col("revision") % 2 == 1), cks):
+        ch.filter(half).write.mode("append").parquet(src)
+        fold_changes(readers.read_job_changes(spark, src, max_files_per_trigger=2), state, ck,
+                     trigger={"availableNow": True}).awaitTermination()
     return current_jobs(spark, state)
 
 
@@ -551,6 +574,7 @@ QUERIES.update({
     "request_topics": request_topics,
     "request_stream": request_stream,
     "collect_stream": collect_stream,
+    "collect_late_job": collect_late_job,
     "job_state_stream": job_state_stream,
     "daily_log_files": daily_log_files,
     "fan_out_sinks": fan_out_sinks,
@@ -566,6 +590,18 @@ ORACLE.update({
                CAST(sum(length(text)) AS BIGINT) AS chars
         FROM request_rows WHERE kind IN (0, 1) GROUP BY 1""", ["request_rows"]),
     "collect_stream": ORACLE["routed_counts"],
+    "collect_late_job": _with(f"""
+        SELECT topic, "partition", "offset", {_idx('topic', 'index_type', 'ts')} AS index, pipeline, doc
+        FROM (SELECT r.*, coalesce(e.index_type, l.index_type) AS index_type,
+                     coalesce(e.pipeline, l.pipeline) AS pipeline
+              FROM records r LEFT JOIN early e ON r.topic = e.topic AND r."offset" % 2 = 0
+              LEFT JOIN running l ON r.topic = l.topic
+              WHERE e.topic IS NOT NULL OR l.topic IS NOT NULL)""", ["records", "changes"], _EV + [
+                  ("running", _RUNNING),
+                  ("early", f"""
+        SELECT topic, index_type, pipeline FROM events
+        WHERE revision <= (SELECT max(revision) // {LATE_PART} FROM changes)
+        QUALIFY row_number() OVER (PARTITION BY topic ORDER BY revision DESC) = 1 AND event_type = 1""")]),
     "job_state_stream": ORACLE["job_state"],
     "daily_log_files": _with(f"""
         SELECT CAST(ts AS DATE) AS day, count(*) AS lines, min({_FILE_LINE}) AS first_line

@@ -107,35 +107,6 @@ def request_code(v: Column, body: str | Column | None = None) -> Column:
             .otherwise(F.lit(CODE_BAD_FIELDS)))
 
 
-def _ci_field(v: Column, name: str) -> Column:
-    """Field by case-insensitive name, an exact match first (struct decoding).
-
-    Among several case variants the last key wins.  Written with array
-    functions instead of a lambda so the projection keeps generated code; the
-    lookup only runs when the exact name is absent.
-    """
-    m = F.try_variant_get(v, "$", "map<string,variant>")
-    lowered = F.split(F.lower(F.array_join(F.map_keys(m), "\u0001")), "\u0001")
-    pos = F.array_position(F.reverse(lowered), F.lit(name.lower()))
-    loose = F.when(pos > 0, F.element_at(F.map_values(m), -pos.cast("int")))
-    return F.coalesce(field(v, name), loose)
-
-
-def decode_job_struct(value: str | Column) -> Column:
-    """Decode a stored job value as a typed struct decoder would.
-
-    Returns ``struct<ok boolean, job_name, topic, index_type, pipeline>``.
-    Field names match case-insensitively; absent or null fields are ``""``;
-    a field of another type, a non-object value or bad JSON gives ``ok=false``.
-    """
-    return decode_job_variant(parse_one(value))
-
-
-def decode_job_variant(v: Column) -> Column:
-    """``decode_job_struct`` on an already parsed value (``parse_one``)."""
-    return decode_job_picked(v, kind(v), {f: _ci_field(v, f) for f in JOB_FIELDS})
-
-
 def decode_job_picked(v: Column, k: Column, picks: dict[str, Column]) -> Column:
     """Final stage of job decoding from the parsed value, its kind and the
     picked fields.  Operators materialise each stage as a column so the
@@ -145,38 +116,3 @@ def decode_job_picked(v: Column, k: Column, picks: dict[str, Column]) -> Column:
         ok = ok & (p.isNull() | F.schema_of_variant(p).isin("STRING", "VOID"))
     cols = [F.coalesce(as_string(p), F.lit("")).alias(f) for f, p in picks.items()]
     return F.struct(F.coalesce(ok, F.lit(False)).alias("ok"), *cols)
-
-
-def put_body_struct(body: str | Column) -> Column:
-    """Check a job put body (P8): ``key, job_name, topic`` required strings;
-    ``pipeline, index_type`` optional strings (default ``""``).  Any other
-    shape, an explicit null included, gives code -1.
-    """
-    return put_body_variant(parse_one(body))
-
-
-def put_body_variant(v: Column) -> Column:
-    k = kind(v)
-    req = {f: field(v, f) for f in ("key", "job_name", "topic")}
-    opt = {f: field(v, f) for f in ("pipeline", "index_type")}
-    ok = v.isNotNull() & (k == F.lit("OBJECT"))
-    for p in req.values():
-        ok = ok & is_string(p)
-    for p in opt.values():
-        ok = ok & (p.isNull() | is_string(p))
-    ok = F.coalesce(ok, F.lit(False))
-    cols = [F.when(ok, as_string(p)).alias(f) for f, p in req.items()]
-    cols += [F.when(ok, F.coalesce(as_string(p), F.lit(""))).alias(f) for f, p in opt.items()]
-    return F.struct(F.when(ok, F.lit(CODE_OK)).otherwise(F.lit(CODE_NOT_JSON)).alias("code"), *cols)
-
-
-def bulk_delete_struct(body: str | Column) -> Column:
-    """Check a bulk delete body ``{keys: [string]}`` (P9); code 0 or -1."""
-    return bulk_delete_variant(parse_one(body))
-
-
-def bulk_delete_variant(v: Column) -> Column:
-    keys = field(v, "keys")
-    ok = F.coalesce(v.isNotNull() & (kind(v) == F.lit("OBJECT")) & is_string_array(keys), F.lit(False))
-    return F.struct(F.when(ok, F.lit(CODE_OK)).otherwise(F.lit(CODE_NOT_JSON)).alias("code"),
-                    F.when(ok, F.try_variant_get(keys, "$", "array<string>")).alias("keys"))

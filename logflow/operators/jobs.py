@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logflow.functions.jsoncheck import JOB_FIELDS, decode_job_picked, field, kind, parse_one
+from logflow.functions.jsoncheck import JOB_FIELDS, decode_job_picked, field, is_string, kind, parse_one
 from logflow.functions.keys import JOBS_PREFIX, strip_prefix
 from logflow.plans import scan
 
@@ -31,33 +31,46 @@ def read_jobs(changes: DataFrame, prefix: str = JOBS_PREFIX) -> DataFrame:
     return changes.filter(F.col("key").startswith(prefix))
 
 
+def _named(field_name: str):
+    return lambda entry: F.lower(entry["key"]) == field_name
+
+
 def decode_jobs(df: DataFrame, value: str = "value") -> DataFrame:
     """Add ``decodable`` and the four job fields decoded from ``value``.
 
+    A key names a field in any case; of several keys the last with a string
+    counts, a ``null`` leaves what was there, and a value of another type
+    makes the whole undecodable wherever it stands.
+
     Staged as separate projections so that each expensive expression appears
-    once: parse; exact-name fields; the key map, built only for the rare value
-    that lacks an exact name; case-insensitive picks; checks.
+    once: parse; exact-name fields; the keys in text order, read only for the
+    rare value that may hold other keys than each exact name once; checks.
     """
     v, k = F.col("__v"), F.col("__k")
-    d = df.withColumn("__v", parse_one(value))
+    text = F.col(value)
+    d = df.withColumn("__v", parse_one(text))
     d = d.select(*df.columns, "__v", kind(v).alias("__k"), *[field(v, f).alias("__e_" + f) for f in JOB_FIELDS])
-    missing = F.lit(False)
+    names = F.lit('(?i)"(?:' + "|".join(JOB_FIELDS) + ')"')
+    unsure = (F.regexp_count(text, names) != len(JOB_FIELDS)) | text.contains("\\u")
     for f in JOB_FIELDS:
-        missing = missing | F.col("__e_" + f).isNull()
-    m = F.when(missing & (k == F.lit("OBJECT")), F.try_variant_get(v, "$", "map<string,variant>"))
-    d = d.select("*", m.alias("__m"))
-    d = d.select("*", F.split(F.lower(F.array_join(F.map_keys("__m"), "\u0001")), "\u0001").alias("__lk"),
-                 F.map_values("__m").alias("__mv"))
-    picks = {}
+        e = F.col("__e_" + f)
+        unsure = unsure | e.isNull() | (F.schema_of_variant(e) == "VOID")
+    keys = F.map_entries(F.from_json(text, "map<string,variant>"))  # keeps the order and repeated keys
+    d = d.select("*", F.when(unsure & (k == F.lit("OBJECT")), keys).alias("__m"))
+    d = d.select("*", *[F.filter("__m", _named(f)).alias("__h_" + f) for f in JOB_FIELDS])
+    bad, picks = F.lit(False), []
     for f in JOB_FIELDS:
-        pos = F.array_position(F.reverse("__lk"), F.lit(f))
-        picks[f] = F.coalesce(F.col("__e_" + f), F.when(pos > 0, F.element_at("__mv", -pos.cast("int"))))
-    d = d.select(*df.columns, "__v", "__k", *[c.alias("__p_" + f) for f, c in picks.items()])
+        hits = F.col("__h_" + f)
+        bad = bad | F.exists(hits, lambda e: ~F.coalesce(
+            F.schema_of_variant(e["value"]), F.lit("VOID")).isin("STRING", "VOID"))
+        last = F.try_element_at(F.filter(hits, lambda e: is_string(e["value"])), F.lit(-1))["value"]
+        picks.append(F.when(hits.isNull(), F.col("__e_" + f)).otherwise(last).alias("__p_" + f))
+    d = d.select(*df.columns, "__v", "__k", F.coalesce(bad, F.lit(False)).alias("__bad"), *picks)
     j = decode_job_picked(v, k, {f: F.col("__p_" + f) for f in JOB_FIELDS})
     # The result leaves through a one-row generator.  Filters on ``decodable``
     # cannot be pushed below a generator's output, so the optimizer does not
     # copy the whole decode into every later predicate.
-    out = F.struct(j["ok"].alias("decodable"), *[j[f].alias(f) for f in JOB_FIELDS])
+    out = F.struct((j["ok"] & ~F.col("__bad")).alias("decodable"), *[j[f].alias(f) for f in JOB_FIELDS])
     return d.select(*df.columns, F.inline(F.array(out)))
 
 

@@ -22,6 +22,9 @@ JOBS = _s(("key", StringType()), *[(f.name, f.dataType) for f in JOB.fields])
 CHANGES = _s(("revision", LongType()), ("op", StringType()), ("key", StringType()), ("value", StringType()),
              ("ts", TimestampNTZType()))
 JOB_EVENTS = _s(("event_type", IntegerType()), ("job", JOB))
+TOPIC_EVENTS = _s(("topic", StringType()), ("revision", LongType()), ("ts", TimestampNTZType()),
+                  ("key", StringType()), ("event_type", IntegerType()), ("job_name", StringType()),
+                  ("index_type", StringType()), ("pipeline", StringType()))
 HEARTBEATS = _s(("topic", StringType()), ("owner", StringType()), ("ts", TimestampNTZType()))
 DOCUMENTS_OUT = _s(("index", StringType()), ("pipeline", StringType()), ("doc", StringType()))
 THROUGHPUT = _s(("tick", TimestampNTZType()), ("rows", LongType()), ("rows_total", LongType()),

@@ -30,6 +30,9 @@ def read_requests(spark: SparkSession, path: str, streaming: bool = False, fmt:
 
     ``fmt="text"`` reads one body per line (or per file with ``whole_file``);
     ``fmt="parquet"``/``"json"`` read a table that already has these columns.
+    A text body's ``req_id`` is a hash of its file's path and of the body, so
+    a replay gives it again; equal lines of one file share it and stay rows
+    of their own.
     """
     reader = spark.readStream if streaming else spark.read
     if streaming and max_files_per_trigger:
@@ -37,7 +40,7 @@ def read_requests(spark: SparkSession, path: str, streaming: bool = False, fmt:
     if fmt == "text":
         df = reader.option("wholetext", str(whole_file).lower()).text(path)
         now = as_utc_ntz(F.current_timestamp(), TimestampType(), spark)
-        return df.select(F.monotonically_increasing_id().alias("req_id"), now.alias("received_at"),
+        return df.select(F.xxhash64(F.col("_metadata.file_path"), "value").alias("req_id"), now.alias("received_at"),
                          F.col("value").alias("body"))
     return reader.schema(schemas.REQUESTS).format(fmt).load(path)
 

@@ -2,24 +2,30 @@
 index names -> transforms -> index sink.
 
 One ``foreachBatch`` per trigger: the job table is re-read for every
-micro-batch (so a job change applies from the next batch), records are
-routed with a broadcast of that small table, cut into flush batches (W1) and
-written by an idempotent sink.  Positions are committed to the checkpoint
-after the sink returns.
+micro-batch (so a job change applies from the next batch), records are routed
+to their topic's job, cut into flush batches (W1) and written by an idempotent
+sink.  Positions are committed to the checkpoint after the sink returns.
+
+Records of a topic without a job are not lost: they are parked under the
+micro-batch's id (``Parked``) and delivered by the first micro-batch that
+finds a job for their topic.  Flush batches are numbered inside one
+micro-batch, so ``batch_id, topic, partition, tick, batch_seq`` names one.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import TimestampType
 
+from logflow import schemas
 from logflow.functions.timefmt import as_utc_ntz, index_name
 from logflow.operators import batching, ingest, routing
 from logflow.sinks.writers import BatchSink
+from logflow.streaming.registry import file_system
 
 JobTable = DataFrame | Callable[[], DataFrame]
 
@@ -33,8 +39,6 @@ def collect_batch(records: DataFrame, jobs: DataFrame, max_rows: int = batching.
     value per micro-batch, as a collector's clock at flush); ``"record"``
     uses each record's time, which makes replays reproducible.
     """
-    # the job table is a stored table read again each batch: probe its size
-    # without writing a copy per micro-batch
     routed = ingest.decode_value(routing.route(records, jobs))
     b = batching.assign_batches(routed, max_rows=max_rows, max_wait=max_wait)
     if index_time == "processing":
@@ -47,22 +51,97 @@ def collect_batch(records: DataFrame, jobs: DataFrame, max_rows: int = batching.
     return docs.select("index", "pipeline", "doc", "topic", "partition", "offset", "tick", "batch_seq")
 
 
+class Parked:
+    """Records that wait for a job of their topic.
+
+    Three tables under ``path``, each with a folder per micro-batch that a
+    replay overwrites: ``rows`` (the records, sorted by topic), ``parts`` (the
+    topics among them) and ``drained`` (topics whose earlier parts the
+    micro-batch delivers).  A micro-batch looks only at folders of smaller
+    ids, so its replay sees what its first attempt saw; finding what is
+    due reads ``parts`` and ``drained``, one row a topic and micro-batch, and
+    only the due folders of ``rows``.  The folders belong to one checkpoint,
+    whose batch ids they carry.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def _exists(self, path: str) -> bool:
+        fs, p = file_system(self.spark, path)
+        return fs.exists(p)
+
+    def _read(self, name: str, schema: str, before: int) -> DataFrame:
+        path = f"{self.path}/{name}"
+        if not self._exists(path):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(path).filter(F.col("batch_id") < before)
+
+    def _write(self, df: DataFrame, name: str, batch_id: int) -> None:
+        path = f"{self.path}/{name}/batch_id={batch_id}"
+        # nothing to store needs no folder, unless an earlier attempt left one
+        if self._exists(path) or not df.isEmpty():
+            df.write.mode("overwrite").parquet(path)
+
+    def waiting(self, batch_id: int) -> DataFrame:
+        """``topic, batch_id`` of the parts that no micro-batch before
+        ``batch_id`` delivered."""
+        done = self._read("drained", "topic string, batch_id long", batch_id).groupBy("topic").agg(
+            F.max("batch_id").alias("__done"))
+        kept = self._read("parts", "topic string, batch_id long", batch_id).join(done, "topic", "left")
+        return (kept.filter(F.col("__done").isNull() | (F.col("batch_id") > F.col("__done")))
+                .select("topic", "batch_id"))
+
+    def rows(self, due: DataFrame, batch_id: int) -> DataFrame:
+        """The records of the parts in ``due``."""
+        names = schemas.RECORDS.fieldNames()
+        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schemas.RECORDS.fields)
+        rows = self._read("rows", f"{schema}, batch_id long", batch_id)
+        return rows.join(due, ["topic", "batch_id"], "left_semi").select(*names)
+
+    def step(self, batch: DataFrame, jobs: DataFrame, batch_id: int) -> DataFrame:
+        """Park the records without a job and return ``batch`` with the
+        parked records that have one by now."""
+        batch = batch.select(*schemas.RECORDS.fieldNames())
+        topics = jobs.select("topic").distinct()
+        new = batch.join(topics, "topic", "left_anti")
+        self._write(new.repartition("topic", "partition").sortWithinPartitions("topic"), "rows", batch_id)
+        self._write(new.select("topic").distinct(), "parts", batch_id)
+        due = self.waiting(batch_id).join(topics, "topic", "left_semi")
+        self._write(due.select("topic").distinct(), "drained", batch_id)
+        if not self._exists(f"{self.path}/drained/batch_id={batch_id}"):
+            return batch
+        return batch.unionByName(self.rows(due, batch_id))
+
+
 def collect(records: DataFrame, jobs: JobTable, sink: BatchSink, checkpoint: str,
-            trigger: dict | None = None, **kwargs) -> StreamingQuery:
+            trigger: dict | None = None, parked: str | None = None, wake: DataFrame | None = None,
+            **kwargs) -> StreamingQuery:
     """Start the collector on a streaming ``records`` DataFrame.
 
     ``jobs`` is a DataFrame or a function returning the current job table
-    (one job per topic); a function is called for every micro-batch.
-    ``trigger`` defaults to one micro-batch per second, the reference's
-    flush timer.
+    (one job per topic, such as ``registry.current_running``); a function is
+    called once for every micro-batch.  ``parked`` is the folder of the
+    records without a job, by default beside the checkpoint; it belongs to
+    that checkpoint.  ``wake`` is a stream whose new rows start a
+    micro-batch, such as the change feed of the registry: with it, parked
+    records are delivered when their job appears, without it together with
+    the next record of any topic.  ``trigger`` defaults to one micro-batch
+    per second, the reference's flush timer.
     """
+    waiting = Parked(records.sparkSession, parked or checkpoint.rstrip("/") + "_parked")
+    if wake is not None:
+        none = wake.filter(F.lit(False)).select(
+            *[F.lit(None).cast(f.dataType).alias(f.name) for f in schemas.RECORDS.fields])
+        records = records.select(*schemas.RECORDS.fieldNames()).unionByName(none)
+
     def run(batch: DataFrame, batch_id: int) -> None:
         table = jobs() if callable(jobs) else jobs
-        # a micro-batch is bounded by the trigger; cache it because the flush
-        # cut reads it twice
+        # a micro-batch is bounded by the trigger; cache it because it is read
+        # for parking and twice for the flush cut
         batch.persist()
         try:
-            sink(collect_batch(batch, table, **kwargs), batch_id)
+            sink(collect_batch(waiting.step(batch, table, batch_id), table, **kwargs), batch_id)
         finally:
             batch.unpersist()
 

@@ -52,6 +52,16 @@ def test_decode_rules(spark):
     assert got[6].decodable
 
 
+def test_decode_takes_the_last_key_of_any_case(spark):
+    cases = [('{"topic":"a","Topic":"b"}', "b"), ('{"Topic":"b","topic":"a"}', "a"), ('{"topic":"a","topic":null}', "a"),
+             ('{"Topic":"b","TOPIC":"c"}', "c"), ('{"topic":"a","topic":"b"}', "b"), ('{"topic":5,"topic":"a"}', None),
+             ('{"topic":"a","TOPIC":[1]}', None), ('{"t\\u006fpic":"e"}', "e"), ('{"x":"\\"topic\\"","topic":"q"}', "q"),
+             ('{"job_name":"j","topic":"a","index_type":"","pipeline":"","Topic":"z"}', "z"), ('{}', "")]
+    df = spark.createDataFrame([(i, v) for i, (v, _) in enumerate(cases)], "i int, value string")
+    got = {r.i: r.topic if r.decodable else None for r in jobs.decode_jobs(df).collect()}
+    assert got == {i: w for i, (_, w) in enumerate(cases)}
+
+
 def test_running_topics_and_counts(spark):
     # key k2 holds a job for topic "a"; deleting key "a" stops topic "a"
     ch = log(spark, [("PUT", "a", job("a")), ("PUT", "k2", job("a", "j2")), ("PUT", "b", job("b")),

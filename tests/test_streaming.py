@@ -5,13 +5,14 @@ import tempfile
 
 from pyspark.sql import functions as F
 
+from logflow.functions.keys import JOBS_PREFIX
 from logflow.operators import jobs
 from logflow.sinks import writers
 from logflow.sources import derived as D
 from logflow.sources import readers
-from logflow.streaming.collect import collect
+from logflow.streaming.collect import Parked, collect
 from logflow.streaming.live import liveness_stream
-from logflow.streaming.registry import current_jobs, fold_changes, versions
+from logflow.streaming.registry import current_jobs, current_running, fold_changes, fold_running, parts
 
 from conftest import SF
 
@@ -58,12 +59,98 @@ def test_fold_changes_equals_job_state(spark):
     ch = D.changes(spark, SF)
     ch.repartitionByRange(3, "revision").write.parquet(src)
     q = fold_changes(readers.read_job_changes(spark, src, max_files_per_trigger=1), state, ck,
-                     trigger={"availableNow": True}, keep_versions=2)
+                     trigger={"availableNow": True})
     q.awaitTermination()
-    assert len(versions(spark, state)) == 2
+    assert [name[0] for _, name, _ in parts(spark, state)] == ["v", "d", "d"]
     got = {tuple(r) for r in current_jobs(spark, state).collect()}
     want = {tuple(r) for r in jobs.job_state(ch).collect()}
     assert got == want
+    # a new checkpoint on the old table reads the feed again: nothing changes
+    more = ch.agg(F.max("revision").alias("revision")).select(
+        F.col("revision") + 1, F.lit("PUT"), F.lit(JOBS_PREFIX + "late"), F.lit('{"topic":"late"}'),
+        F.lit(dt.datetime(2030, 1, 1)).cast("timestamp_ntz")).toDF(*ch.columns)
+    more.write.mode("append").parquet(src)
+    fold_changes(readers.read_job_changes(spark, src, max_files_per_trigger=1), state, _tmp() + "/ck",
+                 trigger={"availableNow": True}, compact_every=2, keep_for=0).awaitTermination()
+    assert {tuple(r) for r in current_jobs(spark, state).collect()} == {
+        tuple(r) for r in jobs.job_state(ch.unionByName(more)).collect()}
+    assert parts(spark, state)[0][0] >= 4  # parts before the last whole one are gone
+
+
+def test_fold_running_equals_running_topics(spark):
+    src, state, ck = _tmp() + "/src", _tmp() + "/state", _tmp() + "/ck"
+    ch = D.changes(spark, SF)
+    ch.repartitionByRange(3, "revision").write.parquet(src)
+    fold_running(readers.read_job_changes(spark, src, max_files_per_trigger=1), state, ck,
+                 trigger={"availableNow": True}, compact_every=2).awaitTermination()
+    want = jobs.running_topics(jobs.to_job_events(ch))
+    got = current_running(spark, state).select(*want.columns)
+    assert {tuple(r) for r in got.collect()} == {tuple(r) for r in want.collect()}
+
+
+RECORD = "topic string, partition int, offset long, ts timestamp_ntz, value binary"
+JOBS = "topic string, job_name string, index_type string, pipeline string"
+
+
+def _records(spark, rows):
+    return spark.createDataFrame([(t, 0, o, dt.datetime(2024, 1, 1), b"{}") for t, o in rows], RECORD)
+
+
+def _jobs(spark, *topics):
+    return spark.createDataFrame([(t, "j", "", "") for t in topics], JOBS)
+
+
+def test_records_wait_until_their_topic_has_a_job(spark):
+    src, feed, out, ck = _tmp() + "/src", _tmp() + "/feed", _tmp() + "/out", _tmp() + "/ck"
+    known = ["a"]
+
+    def run():
+        collect(readers.read_topics(spark, path=src), lambda: _jobs(spark, *known), writers.index_writer(out), ck,
+                trigger={"availableNow": True}, index_time="record",
+                wake=spark.readStream.schema("n int").parquet(feed)).awaitTermination()
+        return sorted((r.topic, r.offset) for r in writers.read_index(spark, out, "topic string, offset long").collect())
+
+    spark.range(0).select(F.col("id").cast("int").alias("n")).write.parquet(feed)
+    _records(spark, [("a", 0), ("b", 0), ("b", 1), ("c", 0), (None, 7)]).coalesce(1).write.parquet(src)
+    assert run() == [("a", 0)]
+    _records(spark, [("a", 1), ("b", 2)]).coalesce(1).write.mode("append").parquet(src)
+    assert run() == [("a", 0), ("a", 1)]
+    known.append("b")  # the job appears; only the change feed has something new
+    spark.range(1).select(F.col("id").cast("int").alias("n")).write.mode("append").parquet(feed)
+    assert run() == [("a", 0), ("a", 1), ("b", 0), ("b", 1), ("b", 2)]
+    known[:] = ["c"]  # stopped topics park again, and the others come once
+    _records(spark, [("b", 3)]).coalesce(1).write.mode("append").parquet(src)
+    assert run() == [("a", 0), ("a", 1), ("b", 0), ("b", 1), ("b", 2), ("c", 0)]
+    known[:] = ["a", "b", "c"]
+    _records(spark, [("c", 1)]).coalesce(1).write.mode("append").parquet(src)
+    assert run() == [("a", 0), ("a", 1), ("b", 0), ("b", 1), ("b", 2), ("b", 3), ("c", 0), ("c", 1)]
+
+
+def test_replayed_batch_parks_and_delivers_once(spark):
+    p = Parked(spark, _tmp() + "/parked")
+    ids = lambda df: sorted((r.topic, r.offset) for r in df.collect())
+    p.step(_records(spark, [("b", 0)]), _jobs(spark), 0)
+    # batch 1 fails after its first attempt found a job for b; the replay finds none, a second one finds it again
+    first = p.step(_records(spark, [("c", 0)]), _jobs(spark, "b"), 1)
+    assert ids(first) == [("b", 0), ("c", 0)]
+    assert ids(p.step(_records(spark, [("c", 0)]), _jobs(spark), 1)) == [("c", 0)]
+    assert ids(p.step(_records(spark, [("c", 0)]), _jobs(spark, "b", "c"), 1)) == [("b", 0), ("c", 0)]
+    assert ids(p.step(_records(spark, []), _jobs(spark, "b", "c"), 2)) == []
+    assert p.waiting(3).count() == 0
+
+
+def test_text_bodies_stream_with_stable_ids(spark):
+    src = _tmp() + "/src"
+    bodies = ['{"topic":"a","logs":["x"]}', "nope", "nope", ""]
+    spark.createDataFrame([(b,) for b in bodies], "value string").coalesce(1).write.text(src)
+    runs = []
+    for k in range(2):
+        q = (readers.read_requests(spark, src, streaming=True).writeStream.format("memory").queryName(f"bodies_{k}")
+             .trigger(availableNow=True).start())
+        q.awaitTermination()
+        runs.append(sorted((r.body, r.req_id) for r in spark.table(f"bodies_{k}").collect()))
+    assert runs[0] == runs[1] and [b for b, _ in runs[0]] == sorted(bodies)
+    assert runs[0] == sorted((r.body, r.req_id) for r in readers.read_requests(spark, src).collect())
 
 
 def test_liveness_stream_closed_sessions_match_batch(spark):
