@@ -131,20 +131,27 @@ def reply_order(messages: DataFrame) -> DataFrame:
         F.struct(enter.alias("event"), F.coalesce(F.col("child") * 2, leave).alias("next"), F.lit(1).alias("step")),
         F.struct(leave.alias("event"), F.coalesce(F.col("sibling") * 2, F.col("reply_to") * 2 + 1).alias("next"),
                  F.lit(-1).alias("step")))
-    tour = stored(tour.select("conv_id", F.inline(events)).select(
+    # pointer doubling: counts from an event to the end of its tour.  After k
+    # rounds ``next`` leads 2^k events ahead, so a tour of 2 n events is done
+    # after ceil(log2(2 n)) rounds and takes no part in later ones.
+    sizes = nodes.groupBy("conv_id").agg(F.count(F.lit(1)).alias("size"))
+    tour = stored(tour.select("conv_id", F.inline(events)).join(sizes, "conv_id").select(
         "conv_id", "event", "next", F.greatest("step", F.lit(0)).cast("long").alias("entered"),
-        F.col("step").cast("long").alias("rise")), "tour")
-    # pointer doubling: counts from an event to the end of its tour
-    while not tour.where(F.col("next").isNotNull()).isEmpty():
-        ahead = tour.select("conv_id", F.col("event").alias("next"), F.col("next").alias("n"),
+        F.col("step").cast("long").alias("rise"), "size", F.ceil(F.log2(F.col("size") * 2)).cast("int").alias("rounds")),
+        "tour")
+    last = tour.agg(F.max("rounds")).first()[0] or 0
+    done = tour.where("rounds < 1")
+    for k in range(1, last + 1):
+        rest = tour.where(F.col("rounds") >= k)
+        ahead = rest.select("conv_id", F.col("event").alias("next"), F.col("next").alias("n"),
                             F.col("entered").alias("e"), F.col("rise").alias("r"))
-        tour = stored(tour.join(ahead, ["conv_id", "next"], "left").select(
+        tour = stored(rest.join(ahead, ["conv_id", "next"], "left").select(
             "conv_id", "event", F.col("n").alias("next"), (F.col("entered") + F.coalesce("e", F.lit(0))).alias("entered"),
-            (F.col("rise") + F.coalesce("r", F.lit(0))).alias("rise")), "tour")
-    sizes = nodes.groupBy("conv_id").agg(F.count(F.lit(1)).alias("size"))
-    placed = (tour.where("event % 2 = 0").join(sizes, "conv_id")
-              .select("conv_id", (F.col("event") / 2).cast("long").alias("turn"), (-F.col("rise")).alias("depth"),
-                      (F.col("size") - F.col("entered")).alias("position")))
+            (F.col("rise") + F.coalesce("r", F.lit(0))).alias("rise"), "size", "rounds"), "tour")
+        done = done.unionByName(tour.where(F.col("rounds") == k))
+    placed = done.where("event % 2 = 0").select(
+        "conv_id", (F.col("event") / 2).cast("long").alias("turn"), (-F.col("rise")).alias("depth"),
+        (F.col("size") - F.col("entered")).alias("position"))
     return nodes.join(placed, ["conv_id", "turn"])
 
 
