@@ -183,6 +183,11 @@ def job_puts(spark: SparkSession, d: str) -> DataFrame:
     return ingest.validate_job_puts(_put_bodies(spark, d)).drop("body")
 
 
+def removed_jobs(spark: SparkSession, d: str) -> DataFrame:
+    """P9's reply: the bulk deletes over the log of puts."""
+    return jobs.removed_jobs(bulk_deletes(spark, d), D.changes(spark, d).filter(F.col("op") == "PUT"))
+
+
 def bulk_deletes(spark: SparkSession, d: str) -> DataFrame:
     ch = D.changes(spark, d).filter(F.col("op") == "DELETE")
     name = strip_prefix("key", JOBS_PREFIX)
@@ -244,6 +249,7 @@ QUERIES: dict[str, Query] = {
     "job_decode": job_decode,
     "job_puts": job_puts,
     "bulk_deletes": bulk_deletes,
+    "removed_jobs": removed_jobs,
     "severity_filter": severity_filter,
     "log_line": log_line,
     "decode_values": decode_values,
@@ -448,6 +454,22 @@ ORACLE: dict[str, str] = {
         SELECT revision, CASE WHEN revision % 3 = 1 THEN 0 ELSE -1 END AS code,
                CAST(NULL AS INTEGER) AS pos, CAST(NULL AS VARCHAR) AS key
         FROM changes WHERE op = 'DELETE' AND revision % 3 <> 0""", ["changes"]),
+    "removed_jobs": _with(f"""
+        SELECT revision, pos, {_PUT_NAME} AS key,
+               CASE WHEN ok THEN p_job_name END AS removed_job_name, CASE WHEN ok THEN p_topic END AS removed_topic,
+               CASE WHEN ok THEN p_index_type END AS removed_index_type,
+               CASE WHEN ok THEN p_pipeline END AS removed_pipeline
+        FROM (SELECT revision, pos, key, coalesce(lag(op) OVER w = 'PUT' AND NOT lag(g_bad) OVER w, false) AS ok,
+                     lag(g_job_name) OVER w AS p_job_name, lag(g_topic) OVER w AS p_topic,
+                     lag(g_index_type) OVER w AS p_index_type, lag(g_pipeline) OVER w AS p_pipeline
+              FROM (SELECT *, CAST(-1 AS INTEGER) AS pos FROM changes WHERE op = 'PUT'
+                    UNION ALL
+                    SELECT *, CAST(0 AS INTEGER) AS pos FROM changes WHERE op = 'DELETE' AND revision % 3 = 0
+                    UNION ALL
+                    SELECT * REPLACE (key || '_old' AS key), CAST(1 AS INTEGER) AS pos
+                    FROM changes WHERE op = 'DELETE' AND revision % 3 = 0)
+              WINDOW w AS (PARTITION BY key ORDER BY revision, pos))
+        WHERE pos >= 0""", ["changes"]),
     "severity_filter": _with(f"SELECT * FROM log_messages WHERE level <= {MAX_LEVEL}", ["log_messages"]),
     "log_line": _with("""
         SELECT ts, level, line,

@@ -61,7 +61,8 @@ PUT_OPTIONAL = ("pipeline", "index_type")
 
 def validate_job_puts(df: DataFrame, body: str = "body") -> DataFrame:
     """Add ``code, key, job_name, topic, pipeline, index_type`` from a put body
-    (rules in ``jsoncheck.put_body_struct``).
+    (P8): ``PUT_REQUIRED`` are strings, ``PUT_OPTIONAL`` strings or absent
+    (then ``""``); any other shape, an explicit null included, gives -1.
 
     Staged projections: parse once, pick the fields once, decide once, then
     emit through a one-row generator.

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logflow.functions.jsoncheck import JOB_FIELDS, decode_job_picked, field, is_string, kind, parse_one
-from logflow.functions.keys import JOBS_PREFIX, strip_prefix
+from logflow.functions.keys import JOBS_PREFIX, add_prefix, strip_prefix
 from logflow.plans import scan
 
 # ---- fixed values that must equal the reference's ---------------------------
@@ -120,6 +120,27 @@ def prior_image(changes: DataFrame, prefix: str = JOBS_PREFIX,
     return dec.select("revision", "key", "op", *[F.when(live, F.col(f)).alias("prior_" + f) for f in JOB_FIELDS])
 
 
+def removed_jobs(deletes: DataFrame, changes: DataFrame, prefix: str = JOBS_PREFIX,
+                 width: int = scan.ORDINAL_WIDTH) -> DataFrame:
+    """The reply to delete requests (P9): for each key of an accepted request
+    the job that it removed; NULL fields when there was none or it does not
+    decode.
+
+    ``deletes`` has ``revision, pos, key`` (``ingest.explode_deletes``),
+    ``changes`` the log without these deletes.  Keys of one request are
+    removed in their order, so a key named twice removes its job once.
+    """
+    log = read_jobs(changes, prefix).select("revision", F.lit(-1).alias("pos"), "op", "key", "value")
+    gone = deletes.filter(F.col("key").isNotNull()).select(
+        "revision", "pos", F.lit("DELETE").alias("op"), add_prefix("key", prefix).alias("key"),
+        F.lit(None).cast("string").alias("value"))
+    lagged = scan.lag(log.unionByName(gone), "key", ["revision", "pos"], ["op", "value"], prefix="__prev_", width=width)
+    dec = decode_jobs(lagged.filter(F.col("pos") >= 0), "__prev_value")
+    live = (F.col("__prev_op") == "PUT") & F.col("decodable")
+    return dec.select("revision", "pos", strip_prefix("key", prefix).alias("key"),
+                      *[F.when(live, F.col(f)).alias("removed_" + f) for f in JOB_FIELDS])
+
+
 def topic_transitions(events: DataFrame, width: int = scan.ORDINAL_WIDTH) -> DataFrame:
     """Each job event with ``running_before`` / ``running_after`` of its topic."""
     lagged = scan.lag(events, "topic", "revision", ["event_type"], prefix="__prev_", width=width)

@@ -118,6 +118,16 @@ def test_single_key_deletes(spark):
     assert pri[3] == "j" and pri[4] is None
 
 
+def test_deletes_reply_with_the_removed_jobs(spark):
+    from logflow.operators import ingest
+    ch = log(spark, [("PUT", "a", job("a", "j1")), ("PUT", "a", job("a", "j2")), ("PUT", "b", "{bad")])
+    bodies = spark.createDataFrame([(4, '{"keys":["a","a","b","no"]}'), (5, '{"keys":["a"]}'), (6, '{"keys":1}')],
+                                   "revision long, body string")
+    got = {(r.revision, r.pos, r.key): r.removed_job_name
+           for r in jobs.removed_jobs(ingest.explode_deletes(bodies), ch, width=2).collect()}
+    assert got == {(4, 0, "a"): "j2", (4, 1, "a"): None, (4, 2, "b"): None, (4, 3, "no"): None, (5, 0, "a"): None}
+
+
 def test_undecodable_update_keeps_the_watched_job(spark):
     """A watcher skips an undecodable update (no event), so it keeps the old
     job; the registry listing skips the undecodable value, so the key is not
