@@ -20,8 +20,9 @@ def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def keep_one_copy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near copies, the smallest doc_id."""
-    return ngram_join.keep_one_of_each(docs)
+    """One document of each component of near copies (five words, a similarity
+    of 0.8 or more), the smallest doc_id."""
+    return ngram_join.keep_one_of_each(docs, k=5, percent=80)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

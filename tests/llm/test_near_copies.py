@@ -26,16 +26,16 @@ def corpus(seed=5):
     return rows
 
 
-def shingles(text):
+def shingles(text, k=3):
     table = {k: k + 32 for k in range(65, 91)}
     words = (text or "").translate(table).encode().split()
     if not words:
         return set()
-    return {tuple(words)} if len(words) < 3 else {tuple(words[k:k + 3]) for k in range(len(words) - 2)}
+    return {tuple(words)} if len(words) < k else {tuple(words[at:at + k]) for at in range(len(words) - k + 1)}
 
 
-def brute_components(rows, percent=90):
-    sets = {i: shingles(t) for i, t in rows if i is not None}
+def brute_components(rows, percent=90, k=3):
+    sets = {i: shingles(t, k) for i, t in rows if i is not None}
     root = {i: i for i in sets}
 
     def find(x):
@@ -59,6 +59,13 @@ def test_join_equals_brute_force(make_docs, odd_rows):
     assert {tuple(r) for r in got} == brute_components(rows)
 
 
+def test_join_of_five_words_equals_brute_force(make_docs, odd_rows):
+    rows = corpus(6) + odd_rows
+    got = {tuple(r) for r in ngram_join.jaccard_components(make_docs(rows), k=5, percent=80, part_shingles=32).collect()}
+    assert got == brute_components(rows, 80, 5)
+    assert got != brute_components(rows, 90, 5)
+
+
 def test_join_on_a_chain_and_on_copies(make_docs):
     words = [f"c{k}" for k in range(200)]
     chain = []
@@ -85,19 +92,20 @@ def test_keep_one_keeps_columns_and_rows_without_id(make_docs):
     assert got.where("doc_id is null").count() == 2
 
 
+@pytest.mark.parametrize("percent", [90, 80])
 @pytest.mark.parametrize("n", [9, 10, 40, 333])
-def test_signatures_guarantee(n):
+def test_signatures_guarantee(n, percent):
     """Sets that link share a signature."""
     rng = np.random.default_rng(n)
     for _ in range(200):
         x = rng.integers(0, 1 << 63, n, dtype=np.uint64)
-        extra = int(rng.integers(0, n // 9 + 1))
+        extra = int(rng.integers(0, n * (100 - percent) // percent + 1))
         drop = int(rng.integers(0, extra + 1))
         y = np.concatenate([x[drop:], rng.integers(0, 1 << 63, extra - drop, dtype=np.uint64)])
         x, y = np.unique(x), np.unique(y)
         both = len(np.intersect1d(x, y))
-        if 100 * both >= 90 * (len(x) + len(y) - both) and (len(x) != len(y) or (x != y).any()):
-            assert len(np.intersect1d(ngram_join.signatures(x, 90), ngram_join.signatures(y, 90)))
+        if 100 * both >= percent * (len(x) + len(y) - both) and (len(x) != len(y) or (x != y).any()):
+            assert len(np.intersect1d(ngram_join.signatures(x, percent), ngram_join.signatures(y, percent)))
 
 
 def brute_dedup(rows, window=13):
