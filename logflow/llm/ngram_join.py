@@ -22,7 +22,8 @@ ranges of that order.
 4. In each group of equal signatures one member after another (first 1, then
    3, 12, ... more) is compared with those after it that are not yet known to
    be in its component.  A group of copies is settled by its first member;
-   pairs within a component are never made.
+   pairs within a component are never made.  Bit sketches that bound the
+   difference of two sets from below leave out pairs that cannot link.
 5. Pairs are verified by fragments: partial overlaps are counted for each
    fragment separately and summed per pair.  Components are found by
    alternating star contractions over the verified links.
@@ -175,6 +176,17 @@ def signatures(g: np.ndarray, percent: int) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
+#: Longs of a parity sketch.
+SKETCH = 4
+
+
+def parity(g: np.ndarray) -> np.ndarray:
+    """The parity of the number of shingles in each of 64 * SKETCH buckets.
+    Two sets differ in at least as many shingles as their sketches in bits."""
+    odd = np.bincount((g % np.uint64(64 * SKETCH)).astype(np.int64), minlength=64 * SKETCH) & 1
+    return np.packbits(odd.astype(np.uint8)).view("<i8")
+
+
 def _star(edges: DataFrame, large: bool) -> DataFrame:
     if large:
         both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -288,12 +300,15 @@ def candidate_links(sets: DataFrame, percent: int, part_shingles: int) -> DataFr
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             s = [signatures(np.frombuffer(t, "<u8"), percent) for t in pdf["tokens"]]
-            out = pdf[["doc_id", "n", "own"]].loc[pdf.index.repeat([len(x) for x in s])]
+            bits = np.asarray([parity(np.frombuffer(t, "<u8")) for t in pdf["tokens"]], dtype=np.int64).reshape(-1, SKETCH)
+            out = pdf[["doc_id", "n", "own"]].assign(**dict(zip(sketch, bits.T)))
+            out = out.loc[pdf.index.repeat([len(x) for x in s])]
             out.insert(0, "sig", np.concatenate([*s, np.zeros(0, np.uint64)]).view(np.int64))
             yield out
 
+    sketch = [f"s{k}" for k in range(SKETCH)]
     group = W.partitionBy("sig")
-    groups = stored(sets.mapInPandas(sign, "sig long, doc_id long, n long, own long")
+    groups = stored(sets.mapInPandas(sign, "sig long, doc_id long, n long, own long, " + ", ".join(f"{c} long" for c in sketch))
                     .withColumn("many", F.max("doc_id").over(group) > F.min("doc_id").over(group)).where("many")
                     .withColumn("nth", F.row_number().over(group.orderBy("doc_id"))).drop("many"), "groups")
     links = groups.sparkSession.createDataFrame([], "a long, b long")
@@ -309,13 +324,16 @@ def candidate_links(sets: DataFrame, percent: int, part_shingles: int) -> DataFr
             return roots
         first = rest.where(F.col("nth") < lo + width).select(
             "sig", F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("own").alias("ob"), F.col("root").alias("rb"),
-            F.col("nth").alias("kb"))
+            F.col("nth").alias("kb"), F.struct(*sketch).alias("sb"))
         other = rest.select("sig", F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("own").alias("oa"),
-                            F.col("root").alias("ra"), F.col("nth").alias("ka"))
+                            F.col("root").alias("ra"), F.col("nth").alias("ka"), F.struct(*sketch).alias("sa"))
         # neither set's own shingles are in the other
         most = F.least(F.col("na") - F.col("oa"), F.col("nb") - F.col("ob"))
         least = F.greatest(F.col("na") + F.col("ob"), F.col("nb") + F.col("oa"))
-        fits = (100 * most >= percent * least) & (F.col("ra") != F.col("rb"))
+        both = F.col("na") + F.col("nb")
+        apart = sum((F.bit_count(F.col(f"sa.{c}").bitwiseXOR(F.col(f"sb.{c}"))) for c in sketch), F.lit(0))
+        fits = ((F.col("ra") != F.col("rb")) & (100 * most >= percent * least)
+                & (100 * (both - apart) >= percent * (both + apart)))
         pairs = other.join(first, (other["sig"] == first["sig"]) & (F.col("ka") > F.col("kb")) & fits).select(
             "a", "b", "na", "nb").distinct()
         pairs = stored(pairs if seen is None else pairs.join(seen, ["a", "b"], "left_anti"), "pairs")

@@ -165,3 +165,14 @@ def test_matching_statistics():
     for end, n, a, b in zip(range(1, 300), length.tolist(), lo.tolist(), hi.tolist()):
         own = s[end - n:end]
         assert (n == 13 or s[end - n - 1] == "0") and b - a == sum(s.startswith(own, k) for k in range(len(s)))
+
+
+@pytest.mark.parametrize("n", [0, 1, 50, 2000])
+def test_parity_bounds_the_difference(n):
+    """Sketches differ in no more bits than the sets do in shingles."""
+    rng = np.random.default_rng(n)
+    for change in (0, 1, 7, 300):
+        x = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+        y = np.unique(np.concatenate([x[change:], rng.integers(0, 1 << 63, change, dtype=np.uint64)]))
+        bits = np.unpackbits((ngram_join.parity(x) ^ ngram_join.parity(y)).view(np.uint8)).sum()
+        assert bits <= len(np.setxor1d(x, y)) and (bits > 0 or change != 1)
