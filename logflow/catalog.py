@@ -210,17 +210,16 @@ def decode_values(spark: SparkSession, d: str) -> DataFrame:
     return ingest.decode_value(D.records(spark, d)).select("topic", "partition", "offset", "doc")
 
 
-TRANSFORMS = {
-    "urgent": lambda df: df.withColumn("doc", F.upper("doc")),
-    "high": lambda df: df.withColumn("doc", F.concat(F.lit("high:"), "doc")),
-    "low": lambda df: df.filter(F.col("partition") != 0),
-}
+def _transforms() -> dict[str, routing.RowTransform]:
+    return {"urgent": routing.RowTransform({"doc": F.upper("doc")}),
+            "high": routing.RowTransform({"doc": F.concat(F.lit("high:"), "doc")}),
+            "low": routing.RowTransform(keep=F.col("partition") != 0)}
 
 
 def named_transforms(spark: SparkSession, d: str) -> DataFrame:
     current = jobs.running_topics(_events(spark, d))
     routed = ingest.decode_value(routing.route(D.records(spark, d), current))
-    return routing.apply_transforms(routed, TRANSFORMS).select("topic", "partition", "offset", "pipeline", "doc")
+    return routing.apply_transforms(routed, _transforms()).select("topic", "partition", "offset", "pipeline", "doc")
 
 
 QUERIES: dict[str, Query] = {

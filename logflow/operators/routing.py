@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logflow.functions.timefmt import micros
@@ -63,20 +64,43 @@ def route_as_of(records: DataFrame, events: DataFrame, width: int = scan.TIME_WI
             .select("topic", *rec_cols, *[F.col("__job." + c).alias(c) for c in ("version", *JOB_COLS)]))
 
 
-def apply_transforms(df: DataFrame, registry: Mapping[str, Callable[[DataFrame], DataFrame]],
+@dataclass(frozen=True)
+class RowTransform:
+    """A transform of single rows: new values for columns, computed from the
+    row as it was, and the rows to keep (None: all)."""
+
+    columns: Mapping[str, Column] = field(default_factory=dict)
+    keep: Column | None = None
+
+
+def apply_transforms(df: DataFrame, registry: Mapping[str, RowTransform | Callable[[DataFrame], DataFrame]],
                      name_col: str = "pipeline") -> DataFrame:
     """Run each row through the transform its job names (P5).
 
-    ``registry`` maps a name to a DataFrame -> DataFrame function.  A blank
-    or unregistered name passes rows through unchanged.  Each branch is a
-    filter on the name, so the whole is one plan over one scan.
+    ``registry`` maps a name to a ``RowTransform`` or, for transforms that
+    change the number of rows otherwise, to a DataFrame -> DataFrame function.
+    A blank or unregistered name passes rows through unchanged.  All row
+    transforms are one projection over one read of ``df``; each function reads
+    ``df`` once more.  Columns that only some transforms make are null for
+    the other rows.
     """
     name = F.coalesce(F.col(name_col), F.lit(""))
-    known = [n for n in registry if n != ""]
-    rest = df.filter(~name.isin(known)) if known else df
-    out = rest
-    for n in known:
-        done = registry[n](df.filter(name == n))
+    by_row = {n: t for n, t in registry.items() if n != "" and isinstance(t, RowTransform)}
+    by_frame = {n: t for n, t in registry.items() if n != "" and n not in by_row}
+    out = df.filter(~name.isin(list(by_frame))) if by_frame else df
+    for n, t in by_row.items():
+        if t.keep is not None:
+            out = out.filter((name != n) | t.keep)
+    values = {}
+    for c in dict.fromkeys(c for t in by_row.values() for c in t.columns):
+        value = F.col(c) if c in df.columns else F.lit(None)
+        for n, t in by_row.items():
+            if c in t.columns:
+                value = F.when(name == n, t.columns[c]).otherwise(value)
+        values[c] = value
+    out = out.withColumns(values) if values else out
+    for n, transform in by_frame.items():
+        done = transform(df.filter(name == n))
         if lost := [c for c in df.columns if c not in done.columns]:
             raise ValueError(f"transform {n!r} drops the columns {lost}")
         out = out.unionByName(done, allowMissingColumns=True)  # new columns are null for other transforms

@@ -32,7 +32,7 @@ JobTable = DataFrame | Callable[[], DataFrame]
 
 def collect_batch(records: DataFrame, jobs: DataFrame, max_rows: int = batching.MAX_ROWS,
                   max_wait: str | float = batching.MAX_WAIT, index_time: str = "processing",
-                  transforms: Mapping[str, Callable[[DataFrame], DataFrame]] | None = None) -> DataFrame:
+                  transforms: Mapping[str, routing.RowTransform | Callable[[DataFrame], DataFrame]] | None = None) -> DataFrame:
     """One micro-batch of the collector as a DataFrame of documents.
 
     ``index_time="processing"`` names indexes by the flush time (one clock

@@ -76,6 +76,21 @@ def test_apply_transforms(spark):
     assert got == [("", "w"), ("", "z"), ("p", "X"), ("r", "v")]
 
 
+def test_row_transforms_read_the_input_once(spark, tmp_path):
+    rows = [("p", "x", 1), ("p", "x2", None), ("q", "y", 1), ("s", "t", 2), ("", "z", 1), (None, "w", 1), ("r", "v", 1)]
+    spark.createDataFrame(rows, "pipeline string, doc string, n int").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    reg = {"p": routing.RowTransform({"doc": F.upper("doc"), "tag": F.col("doc")}, F.col("n") == 1),
+           "q": routing.RowTransform({"pipeline": F.lit("p"), "doc": F.concat("doc", "pipeline")}),
+           "": routing.RowTransform({"doc": F.lit("never")})}
+    out = routing.apply_transforms(df, reg)
+    got = sorted((r.pipeline or "", r.doc, r.tag) for r in out.collect())
+    assert got == [("", "w", None), ("", "z", None), ("p", "X", "x"), ("p", "yq", None), ("r", "v", None), ("s", "t", None)]
+    assert out._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    mixed = routing.apply_transforms(df, reg | {"s": lambda d: d.union(d)})
+    assert mixed.count() == 7
+
+
 def test_throughput_dense_ticks(spark):
     rows = [(T0 + dt.timedelta(seconds=s),) for s in (0, 1, 25, 26, 27, 49)]
     df = spark.createDataFrame(rows, "ts timestamp_ntz")
