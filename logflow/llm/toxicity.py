@@ -7,9 +7,11 @@ output, whose slope and offset are then calibrated.  Training runs on the
 driver over a bounded sample of labelled rows: at most ``max_per_class`` rows
 of either label, texts of at most ``max_train_chars`` characters, chosen by a
 hash of doc_id, and only from rows whose crc32(doc_id as text) mod 3 is 0.
-Rows with remainder 2 (bounded alike) calibrate the output and, for each
-language, the threshold at which a document is rejected.  Labels, lang, source
-and doc_id are no inputs of a score; lang only picks the threshold.
+All labelled rows with remainder 2, of any length, calibrate the output and,
+for each language, the threshold at which a document is rejected: they are
+scored in Spark and counted by language, label and bin of the output, so no
+sample moves the share of the labels.  Labels, lang, source and doc_id are no
+inputs of a score; lang only picks the threshold.
 
 Null text counts as empty and gets a score too; null or unknown languages use
 the general threshold; rows without doc_id are left out of ``score_toxicity``;
@@ -229,18 +231,21 @@ class Small:
             out[k] = np.maximum(np.concatenate(top) + self.b, 0) @ self.v + self.c
         return out
 
+    def calibrated(self, margins: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(self.slope * margins + self.offset, -30, 30)))
+
     def scores(self, texts: list[str]) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.slope * self.margins(texts) + self.offset, -30, 30)))
+        return self.calibrated(self.margins(texts))
 
 
-def calibrate(margins: np.ndarray, y: np.ndarray) -> tuple[float, float]:
+def calibrate(margins: np.ndarray, y: np.ndarray, count: np.ndarray | float = 1.0) -> tuple[float, float]:
     """Slope (at least 0.1) and offset of a logistic curve, by Newton steps
-    with a weak prior."""
+    with a weak prior; every row stands for ``count`` rows."""
     a, b = 1.0, 0.0
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(a * margins + b, -30, 30)))
-        w = p * (1 - p) + 1e-6
-        ga, gb = ((p - y) * margins).sum() + 0.1 * (a - 1), (p - y).sum() + 0.1 * b
+        w, d = (p * (1 - p) + 1e-6) * count, (p - y) * count
+        ga, gb = (d * margins).sum() + 0.1 * (a - 1), d.sum() + 0.1 * b
         haa, hab, hbb = (w * margins ** 2).sum() + 0.1, (w * margins).sum(), w.sum() + 0.1
         det = haa * hbb - hab * hab
         da, db = (hbb * ga - hab * gb) / det, (haa * gb - hab * ga) / det
@@ -248,13 +253,18 @@ def calibrate(margins: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(a), float(b)
 
 
-def best_threshold(scores: np.ndarray, y: np.ndarray, general: float) -> float:
-    """The threshold with the best F1, nearest to ``general`` among equals."""
-    if not y.any():
+def best_threshold(scores: np.ndarray, clean: np.ndarray, toxic: np.ndarray, general: float) -> float:
+    """The threshold with the best F1, nearest to ``general`` among equals;
+    ``clean`` and ``toxic`` rows have each score."""
+    if not toxic.any():
         return general
-    cuts = np.unique(np.concatenate([[general], (np.sort(scores)[1:] + np.sort(scores)[:-1]) / 2]))
-    best = max((2 * (y[scores >= c] == 1).sum() / max(1, (scores >= c).sum() + y.sum()), -abs(c - general), c) for c in cuts)
-    return float(best[2])
+    order = np.argsort(scores)
+    s = scores[order]
+    cuts = np.unique(np.concatenate([[general], (s[1:] + s[:-1]) / 2]))
+    at = np.searchsorted(s, cuts)  # rows from here on reach the cut
+    caught, passed = (np.append(np.cumsum(x[order][::-1])[::-1], 0)[at] for x in (toxic, clean))
+    f1 = 2 * caught / np.maximum(1, caught + passed + toxic.sum())
+    return float(max(zip(f1.tolist(), (-np.abs(cuts - general)).tolist(), cuts.tolist()))[2])
 
 
 class Toxicity:
@@ -272,20 +282,40 @@ def _fold(column: str = "doc_id"):
     return F.crc32(F.col(column).cast("string")) % 3
 
 
+#: Bins of the uncalibrated output for each unit, from -LIMIT to LIMIT.
+BINS, LIMIT = 64, 30
+
+
+def margin_counts(rows: DataFrame, known: DataFrame, model: Small) -> pd.DataFrame:
+    """lang, margin (middle of a bin), label, count of all labelled rows; of
+    rows that repeat a doc_id the one with the smallest text hash.  ``rows``
+    has doc_id, text and lang."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            at = np.floor(np.clip(model.margins(pdf["text"].tolist()), -LIMIT, LIMIT) * BINS)
+            yield pdf[["doc_id", "_label", "lang", "name"]].assign(at=at.astype(np.int64))
+
+    # labelled rows only: small labels are broadcast, others shuffle a third of the texts
+    scored = (rows.join(known, "doc_id").withColumn("name", F.xxhash64("text", "lang"))
+              .mapInPandas(run, "doc_id long, _label int, lang string, name long, at long")
+              .groupBy("doc_id").agg(F.min(F.struct("name", "lang", "at", "_label")).alias("r")))
+    got = (scored.groupBy("r.lang", "r.at", "r._label").agg(F.count(F.lit(1)).alias("count"))).toPandas()
+    return got.assign(margin=(got["at"].to_numpy(float) + 0.5) / BINS).sort_values(["lang", "at", "_label"])
+
+
 def fit_toxicity(docs: DataFrame, labels: DataFrame, *, max_per_class: int = 2000, max_train_chars: int = 12_000,
                  general: float = 0.7) -> Toxicity:
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("_label"))
-    known = known.groupBy("doc_id").agg(F.max("_label").alias("_label")).where(_fold() != 1).withColumn("_fold", _fold())
-    parts = [known.where((F.col("_label") == k) & (F.col("_fold") == r)).orderBy(F.xxhash64("doc_id"), "doc_id")
-             .limit(max_per_class if r == 0 else max_per_class // 2) for k in (0, 1) for r in (0, 2)]
-    sample = parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
-    lang = F.col("lang") if "lang" in docs.columns else F.lit(None).cast("string")
-    rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"),
-                        lang.alias("lang"))
-            .where(F.length("text") <= max_train_chars).join(F.broadcast(sample), "doc_id")).toPandas()
-    rows = rows.sort_values(["doc_id", "text"]).drop_duplicates("doc_id")
-    train, check = rows[rows["_fold"] == 0], rows[rows["_fold"] == 2]
+    known = known.groupBy("doc_id").agg(F.max("_label").alias("_label"))
+    parts = [known.where((F.col("_label") == k) & (_fold() == 0)).orderBy(F.xxhash64("doc_id"), "doc_id")
+             .limit(max_per_class) for k in (0, 1)]
+    lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
+    every = docs.where(F.col("doc_id").isNotNull()).select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), lang.alias("lang"))
+    train = (every.select("doc_id", "text").where(F.length("text") <= max_train_chars)
+             .join(F.broadcast(parts[0].unionByName(parts[1])), "doc_id")).toPandas()
+    train = train.sort_values(["doc_id", "text"]).drop_duplicates("doc_id")
     y = train["_label"].to_numpy(np.float32)
     if len(np.unique(y)) < 2:
         return Toxicity(None, float(y.mean()) if len(y) else 0.0, {}, general)
@@ -296,13 +326,14 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, *, max_per_class: int = 200
     full.fit(words, buckets, y)
     small = full.small()
     thresholds: dict[str, float] = {}
-    if len(check) and len(np.unique(check["_label"])) == 2:
-        yc = check["_label"].to_numpy(float)
-        small.slope, small.offset = calibrate(small.margins(check["text"].tolist()), yc)
-        s = small.scores(check["text"].tolist())
+    check = margin_counts(every.where(_fold() == 2), known.where(_fold() == 2), small)
+    if len(np.unique(check["_label"])) == 2:
+        yc, count, margins = check["_label"].to_numpy(float), check["count"].to_numpy(float), check["margin"].to_numpy()
+        small.slope, small.offset = calibrate(margins, yc, count)
+        s = small.calibrated(margins)
         for name in check["lang"].dropna().unique().tolist():
             own = (check["lang"] == name).to_numpy()
-            thresholds[name] = best_threshold(s[own], yc[own], general)
+            thresholds[name] = best_threshold(s[own], count[own] * (yc[own] != 1), count[own] * (yc[own] == 1), general)
     small.reset()
     return Toxicity(small, float(y.mean()), thresholds, general)
 

@@ -60,6 +60,42 @@ def test_toxicity_without_labels(spark, make_docs):
     assert toxicity.score_toxicity(make_docs([]), none).count() == 0
 
 
+def test_toxicity_calibrates_on_all_rows(spark, make_docs):
+    rng = random.Random(4)
+    rows, labels = [], []
+    for k in range(3000):
+        bad = k % 8 == 0
+        words = [f"n{rng.randrange(300)}" for _ in range(40)]
+        if rng.random() < (0.7 if bad else 0.15):
+            words[rng.randrange(40)] = "vile"
+        lang = rng.choice(["en", "xl"])
+        if lang == "xl":  # longer than any training text
+            words += [f"n{rng.randrange(300)}" for _ in range(200)]
+        rows.append((k, " ".join(words), lang))
+        labels.append((k, int(bad)))
+    docs, known, truth = make_docs(rows), labels_of(spark, labels, "toxic"), dict(labels)
+    model = toxicity.fit_toxicity(docs, known, max_per_class=100, max_train_chars=400)
+    check = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 3 == 2]
+    s = model.scores([r[1] for r in check])
+    y = np.asarray([truth[r[0]] for r in check])
+    # a calibrated output has the share of label 1 as its mean
+    assert abs(s.mean() - y.mean()) < 0.01
+    assert set(model.thresholds) == {"en", "xl"}
+    for lang, cut in model.thresholds.items():
+        own = np.asarray([r[2] == lang for r in check])
+        f1 = {c: 2 * y[own & (s >= c)].sum() / max(1, (own & (s >= c)).sum() + y[own].sum()) for c in [cut, *s[own]]}
+        assert f1[cut] >= max(f1.values()) - 0.02
+
+
+def test_threshold_of_counts_equals_that_of_rows():
+    rng = np.random.default_rng(3)
+    scores, clean, toxic = rng.random(40), rng.integers(0, 9, 40), rng.integers(0, 3, 40)
+    cut = toxicity.best_threshold(scores, clean, toxic, 0.7)
+    s, y = np.repeat(scores, clean + toxic), np.concatenate([[0] * c + [1] * t for c, t in zip(clean, toxic)])
+    f1 = {c: 2 * y[s >= c].sum() / max(1, (s >= c).sum() + y.sum()) for c in [0.7, cut, *np.sort(scores)[1:]]}
+    assert abs(f1[cut] - max(f1.values())) < 1e-12
+
+
 def brute_places(words, phrase):
     return [k for k in range(len(words) - len(phrase) + 1) if words[k:k + len(phrase)] == phrase]
 
