@@ -7,10 +7,13 @@ table lookup; every other window of the sizes of the items concerned gets a
 64-bit SimHash of its words.  Fingerprints are cut into four blocks of 16
 bits: two fingerprints within ``radius`` agree on one block up to
 ``radius // 4`` bits, so all item blocks within that many bits are indexed,
-which guarantees that no fingerprint within the radius is missed.  Candidates
-within the radius are verified by the exact weighted Jaccard similarity of
-their five-word shingles (a shingle weighs 1 over the number of items that
-hold it, times its count), which must reach ``threshold``.
+which guarantees that no fingerprint within the radius is missed.  A similar
+window's fingerprint may lie beyond the radius, so the windows that hold
+enough of an item's shingles to reach ``threshold`` are candidates too.
+Candidates are verified by the exact Jaccard similarity of their five-word
+shingles, plain (a shingle weighs its count) or weighted (1 over the number of
+items that hold it, times its count): the larger must reach ``threshold``, so
+neither wording that items share nor wording of one item alone hides a copy.
 
 Items with fewer words than a shingle are one shingle, the whole sequence;
 items without words match nothing.  The items are broadcast: their bytes are
@@ -76,6 +79,20 @@ class ItemIndex:
                     for s in c:
                         own.setdefault(s, set()).add(m)
             self.known[n] = (np.asarray(sorted(own), dtype=np.uint64), own)
+        #: a similar window lacks less than 1 - threshold of an item, so it
+        #: holds one of so many of its rarest shingles: the items by these
+        self.rare: dict[int, dict[int, list[int]]] = {n: {} for n in self.known}
+        self.sorted = []
+        for i, (m, c) in enumerate(zip(self.sizes.tolist(), self.shingles)):
+            keys = np.asarray(sorted(c), dtype=np.uint64)
+            weights = np.asarray([self.weight[s] for s in keys.tolist()])
+            self.sorted.append((keys, weights, sum(self.weight[s] * x for s, x in c.items())))
+            spare = (1 - threshold) * c.total() + 1e-9
+            for s in sorted(c, key=lambda s: (held[s], s)):
+                self.rare[min(k, m)].setdefault(s, []).append(i)
+                spare -= c[s]
+                if spare < 0:
+                    break
         flips = [0]
         for r in range(1, radius // (64 // BLOCK_BITS) + 1):
             flips += [sum(1 << b for b in bits) for bits in combinations(range(BLOCK_BITS), r)]
@@ -96,22 +113,48 @@ class ItemIndex:
 
     def similarity(self, window: Counter, item: int) -> float:
         mine = self.shingles[item]
+        both = sum(min(n, mine[s]) for s, n in window.items() if s in mine)
+        one = window.total() + mine.total()
+        plain = both / (one - both) if one > both else 1.0
         weight = self.weight.get
         both = sum(weight(s, 1.0) * min(n, mine[s]) for s, n in window.items() if s in mine)
         one = sum(weight(s, 1.0) * n for s, n in window.items()) + sum(weight(s, 1.0) * n for s, n in mine.items())
-        return both / (one - both) if one > both else 1.0
+        return max(plain, both / (one - both) if one > both else 1.0)
+
+    def holding(self, size: int, n: int, places: np.ndarray, values: np.ndarray) -> Iterator[tuple[int, int]]:
+        """(item, first word) of the windows of a text of ``size`` words that
+        hold ``threshold`` of an item's shingles of ``n`` words, plain or
+        weighted; ``values`` are the items' shingles in it, at ``places``."""
+        rare = self.rare[n]
+        for i in sorted({i for v in set(values.tolist()) for i in rare.get(v, ())}):
+            keys, weights, weight = self.sorted[i]
+            at = np.minimum(np.searchsorted(keys, values), len(keys) - 1)
+            ok = keys[at] == values
+            count = np.concatenate([[0], np.cumsum(np.bincount(places[ok], minlength=size))])
+            worth = np.concatenate([[0], np.cumsum(np.bincount(places[ok], weights[at[ok]], minlength=size))])
+            m = int(self.sizes[i])
+            a = np.arange(max(0, size - m) + 1)
+            end = np.minimum(a + m - n + 1, size)
+            enough = ((count[end] - count[a] >= self.threshold * self.shingles[i].total() - 1e-9)
+                      | (worth[end] - worth[a] >= self.threshold * weight - 1e-9))
+            for start in np.flatnonzero(enough).tolist():
+                yield i, start
 
     def search(self, h: np.ndarray) -> list[tuple[int, int, int, float]]:
         """(item, first word, words, similarity) of every verified window; for
         each item the best window of each group of overlapping ones."""
         best: dict[int, list[tuple[float, int, int]]] = {}
         wanted: dict[int, set[int]] = {}
+        candidates: dict[tuple[int, int], set[int]] = {}
         for k, (keys, sizes) in self.known.items():
             if len(h) < k:
                 continue
             s = shingle_hashes(h, k)
             at = np.minimum(np.searchsorted(keys, s), len(keys) - 1)
-            for p in np.flatnonzero(keys[at] == s).tolist():
+            places = np.flatnonzero(keys[at] == s)
+            for i, start in self.holding(len(h), k, places, s[places]):
+                candidates.setdefault((int(self.sizes[i]), start), set()).add(i)
+            for p in places.tolist():
                 for m in sizes[int(s[p])]:
                     wanted.setdefault(m, set()).update(range(max(0, p + k - m), min(p, len(h) - m) + 1))
                     if len(h) < m:  # a shorter document is one window
@@ -123,7 +166,7 @@ class ItemIndex:
             a = np.asarray(sorted(starts))
             prints = fingerprints(sums[np.minimum(a + m, len(h))] - sums[a])
             for start, p in zip(a.tolist(), prints.tolist()):
-                items = [i for i in self.near(p) if self.sizes[i] == m]
+                items = {i for i in self.near(p) if self.sizes[i] == m} | candidates.get((m, start), set())
                 if items:
                     window = Counter(shingles_of(h[start:start + m], min(self.k, m)).tolist())
                     for i in items:

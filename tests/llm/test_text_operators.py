@@ -196,6 +196,40 @@ def test_decontamination_finds_planted_passages(spark, make_docs, odd_rows):
     assert decontaminate.find_contamination(make_docs(rows), none).where("contaminated").count() == 0
 
 
+def test_decontamination_finds_edited_copies_of_shared_wording():
+    rng = random.Random(12)
+    vocab = [f"v{k}" for k in range(2000)]
+    template = rng.choices(vocab, k=50)
+    items = [(k, " ".join(template[:25] + rng.choices(vocab, k=9) + template[25:])) for k in range(10)]
+    same = " ".join(rng.choices(vocab, k=59))
+    items += [(100 + k, same) for k in range(50)]
+    items += [(200 + k, " ".join(rng.choices(vocab, k=rng.choice([14, 40])))) for k in range(10)]
+    index = decontaminate.ItemIndex(items)
+    want = 0
+    for _ in range(150):
+        item, text = rng.choice(items)
+        words = text.split()
+        for _ in range(rng.randint(0, 3)):
+            words[rng.choice([0, 1, -1, -2, rng.randrange(len(words))])] = rng.choice(vocab)
+        words = rng.choices(vocab, k=rng.randint(0, 20)) + words + rng.choices(vocab, k=rng.randint(0, 20))
+        h = decontaminate.WORD_HASHES.of([w.encode() for w in words])
+        got = {}
+        for i, _, _, similarity in index.search(h):
+            got[i] = max(similarity, got.get(i, 0))
+        for i, other in items:
+            mine = other.split()
+            n = len(mine)
+            b = Counter(zip(*(mine[j:] for j in range(5))))
+            plain = 0
+            for a in range(max(0, len(words) - n) + 1):
+                w = Counter(zip(*(words[a:a + n][j:] for j in range(5))))
+                plain = max(plain, (w & b).total() / (w | b).total())
+            if plain >= 0.8:
+                want += 1
+                assert got.get(i, 0) >= plain
+    assert want > 500
+
+
 def test_hamming_blocks_miss_nothing():
     rng = np.random.default_rng(5)
     index = decontaminate.ItemIndex([(k, " ".join(f"q{x}" for x in rng.integers(0, 999, 20))) for k in range(50)], radius=11)
