@@ -12,7 +12,8 @@ ranges of that order.
    itself how many of a document's shingles occur in no other document.
    Summed per document this bounds its overlap with any other: a set with
    more than ``100 - percent`` percent shingles of its own has no link.
-   The fragments travel as packed arrays of 32 bits a shingle.
+   The fragments travel as packed arrays of 32 bits a shingle; what is to be
+   known of whole sets is dealt over them by a hash of doc_id.
 2. Equal sets are one class, represented by its smallest doc_id; step 1 is
    repeated among the representatives that are left, as long as it excludes
    a tenth of them.
@@ -71,8 +72,8 @@ PACKED = "frag int, ids binary, sizes binary, own binary, shared binary, info bi
 def pack_fragments(ids: np.ndarray, sets: list[np.ndarray], fragments: int) -> pd.DataFrame:
     """A block of documents cut into fragments.  ``own``: the 32-bit values of
     shingles that only one document of the block has, document by document
-    (``sizes`` of them); ``shared``: those of the others, once.  Fragment 0
-    also carries size and two hashes of every set."""
+    (``sizes`` of them); ``shared``: those of the others, once.  ``info``: size
+    and two hashes of the sets whose doc_id is dealt to the fragment."""
     lengths = np.asarray([len(s) for s in sets])
     g = np.concatenate([*sets, np.zeros(0, np.uint64)])
     doc = np.repeat(np.arange(len(sets)), lengths)
@@ -94,15 +95,19 @@ def pack_fragments(ids: np.ndarray, sets: list[np.ndarray], fragments: int) -> p
     single, owner = single[by], owner[by]
     cut = np.searchsorted(frag[by], np.arange(fragments + 1))
     first_cut = np.searchsorted(fragment_of(first, fragments), np.arange(fragments + 1))
+    home = fragment_of(mix(info[:, 0].view(np.uint64)), fragments) if len(sets) else np.zeros(0, np.int64)
+    info = info[np.argsort(home, kind="stable")]
+    info_cut = np.searchsorted(np.sort(home), np.arange(fragments + 1))
     rows = []
     for f in range(fragments):
+        facts = info[info_cut[f]:info_cut[f + 1]]
         part = owner[cut[f]:cut[f + 1]]
         present, counts = np.unique(part, return_counts=True)
         both = first[first_cut[f]:first_cut[f + 1]]
-        if len(part) or len(both) or f == 0:
+        if len(part) or len(both) or len(facts):
             rows.append((f, ids[present].astype("<i8").tobytes(), counts.astype("<u4").tobytes(),
                          single[cut[f]:cut[f + 1]].astype("<u4").tobytes(), both.astype("<u4").tobytes(),
-                         info.astype("<i8").tobytes() if f == 0 else b""))
+                         facts.astype("<i8").tobytes()))
     return pd.DataFrame(rows, columns=["frag", "ids", "sizes", "own", "shared", "info"])
 
 
@@ -221,9 +226,9 @@ def jaccard_components(docs: DataFrame, *, k: int = 3, percent: int = 90, fragme
                        block_rows: int = 1000, part_shingles: int = 512) -> DataFrame:
     """doc_id, n_shingles, component_id."""
     rows = id_text(docs)
-    size = rows.agg(F.sum(F.length("text"))).first()[0] or 0
-    # about one shingle for six characters, four bytes each
-    fragments = int(max(16, size * 4 // 6 // fragment_bytes + 1))
+    size, many = rows.agg(F.coalesce(F.sum(F.length("text")), F.lit(0)), F.count(F.lit(1))).first()
+    # about one shingle for six characters, four bytes each, and 32 bytes of info for each row
+    fragments = int(max(16, (size * 4 // 6 + 32 * many) // fragment_bytes + 1))
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:

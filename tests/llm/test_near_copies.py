@@ -176,3 +176,14 @@ def test_parity_bounds_the_difference(n):
         y = np.unique(np.concatenate([x[change:], rng.integers(0, 1 << 63, change, dtype=np.uint64)]))
         bits = np.unpackbits((ngram_join.parity(x) ^ ngram_join.parity(y)).view(np.uint8)).sum()
         assert bits <= len(np.setxor1d(x, y)) and (bits > 0 or change != 1)
+
+
+def test_info_is_dealt_over_all_fragments():
+    """No fragment carries the sets of the whole table."""
+    sets = [ngram_join.shingle_set(f"a{k} b c{k % 7}") for k in range(1600)] + [ngram_join.shingle_set("")]
+    packed = ngram_join.pack_fragments(np.arange(1601), sets, 16)
+    assert packed["info"].map(len).max() <= 32 * 1601 // 16 * 2
+    counted = [ngram_join.count_own(p) for _, p in packed.groupby("frag")]
+    full = [r for c in counted for r in c[c["full"]][["doc_id", "n"]].itertuples(index=False)]
+    assert sorted(full) == [(k, 1) for k in range(1600)] + [(1600, 0)]
+    assert sum(c["own"].sum() for c in counted) == 1600
