@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logflow.llm import (chat, decontaminate, html_extract, licenses, ngram_join, packing, quality, substring_dedup,
-                         token_files, toxicity)
+from logflow.llm import (chat, decontaminate, html_extract, licenses, line_dedup, merkle, ngram_join, packing, quality,
+                         substring_dedup, token_files, toxicity, whitening)
 from logflow.llm._common import read_table
 
 
@@ -64,12 +64,29 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.format_conversations(read_table(spark, sf_dir, "conversations"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Embeddings on their 16 main components, scaled to variance 1."""
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"))
+
+
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the lines that a document before holds."""
+    rows = line_dedup.dedup_lines(read_table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle proofs of all documents, checked on a tampered copy."""
+    return merkle.verified(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_token_files, op2_ngram_join, op3_toxicity, op4_licenses, op5_substring_dedup, op6_quality_rules,
-    op7_decontamination, op8_html_extract, op9_packing, op10_chat_format)}
+    op7_decontamination, op8_html_extract, op9_packing, op10_chat_format, op11_whitening, op12_line_dedup,
+    op13_merkle_manifest)}
 
 # Window hashes of whole texts, classifiers, packings and the like have no SQL
 # here; their queries are tested against brute-force versions.  SQL could
 # number the words of whole texts for some of them, but is too slow on whole
 # tables.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op12_line_dedup": line_dedup.ORACLE, "op13_merkle_manifest": merkle.ORACLE}
