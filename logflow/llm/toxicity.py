@@ -8,9 +8,10 @@ driver over a bounded sample of labelled rows: at most ``max_per_class`` rows
 of either label, texts of at most ``max_train_chars`` characters, chosen by a
 hash of doc_id, and only from rows whose crc32(doc_id as text) mod 3 is 0.
 All labelled rows with remainder 2, of any length, calibrate the output and,
-for each language, the threshold at which a document is rejected: they are
-scored in Spark and counted by language, label and bin of the output, so no
-sample moves the share of the labels.  Labels, lang, source and doc_id are no
+for each language, the threshold at which a document is rejected.  Every row is
+scored once, into a written table of margins; the labelled ones among them are
+counted by language, label and bin, so no sample moves the share of the
+labels, and slope, offset and thresholds are applied to the written margins.  Labels, lang, source and doc_id are no
 inputs of a score; lang only picks the threshold.
 
 Null text counts as empty and gets a score too; null or unknown languages use
@@ -27,10 +28,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from logflow.llm._common import ASCII_LOWER
+from logflow.llm._common import ASCII_LOWER, stored
 
 WIDTHS = (1, 2, 3)
 #: (width, offset) of every column block of the filters' weights
@@ -103,15 +106,20 @@ class Classifier:
         return np.concatenate(tops, axis=1), np.concatenate(spots, axis=1)
 
     def fit(self, docs: list[np.ndarray], buckets: np.ndarray, y: np.ndarray, *, epochs: int = 6, batch: int = 64,
-            rate: float = 0.02, min_docs: int = 5, seed: int = 7) -> None:
+            rate: float = 0.02, min_docs: int = 3, min_z: float = 2.0, seed: int = 7) -> None:
         """``buckets``: five for each word row, row 0 is padding.  Buckets in
-        fewer than ``min_docs`` training rows stay 0: they would only be
-        learned by heart."""
-        df = np.zeros(len(self.emb), np.int32)
-        for d in docs:
-            df[np.unique(buckets[np.unique(d)])] += 1
-        self.emb[df < min_docs] = 0
-        usable = df >= min_docs
+        fewer than ``min_docs`` training rows, or whose share of label 1 is
+        within ``min_z`` standard deviations of chance, stay 0: they would
+        only be learned by heart."""
+        df, ones = np.zeros(len(self.emb), np.int32), np.zeros(len(self.emb), np.int32)
+        for d, label in zip(docs, y):
+            held = np.unique(buckets[np.unique(d)])
+            df[held] += 1
+            ones[held] += int(label)
+        share = y.mean()
+        z = (ones - share * df) / np.sqrt(share * (1 - share) * np.maximum(df, 1))
+        usable = (df >= min_docs) & (np.abs(z) >= min_z)
+        self.emb[~usable] = 0
         rng = np.random.default_rng(seed)
         f = self.filters
         dense = [self.w, self.b, self.v]
@@ -170,7 +178,9 @@ class Classifier:
 class Small:
     """What tasks need: the rows in use and the dense weights."""
 
-    limit = 500_000
+    #: Words remembered by a task, and table rows (192 bytes each) for those
+    #: of them that have trained buckets.
+    limit, table_rows = 200_000, 1 << 16
 
     def __init__(self, model: Classifier, row_of: dict[int, int], emb: np.ndarray):
         self.bits, self.filters, self.row_of = model.bits, model.filters, row_of
@@ -180,7 +190,7 @@ class Small:
         self.reset()
 
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k not in ("memo", "table")}
+        return {k: v for k, v in self.__dict__.items() if k not in ("memo", "table", "used")}
 
     def __setstate__(self, state):
         self.__dict__.update(state)
@@ -188,7 +198,7 @@ class Small:
 
     def reset(self) -> None:
         self.memo: dict[bytes, int] = {}
-        self.table = [np.zeros(len(SLOTS) * self.filters, np.float32)]
+        self.table, self.used = np.zeros((1024, len(SLOTS) * self.filters), np.float32), 1
 
     def rows(self, words: list[bytes]) -> np.ndarray:
         """Table rows of words; row 0 for words without a trained bucket."""
@@ -199,8 +209,11 @@ class Small:
         for w in set(words).difference(self.memo):
             hits = [self.row_of[k] for k in word_buckets(w, self.bits) if k in self.row_of]
             if hits:
-                self.table.append(self.products[hits].sum(axis=0))
-            self.memo[w] = len(self.table) - 1 if hits else 0
+                if self.used == len(self.table):
+                    self.table = np.concatenate([self.table, np.zeros_like(self.table)])
+                self.table[self.used] = self.products[hits].sum(axis=0)
+                self.used += 1
+            self.memo[w] = self.used - 1 if hits else 0
         return np.fromiter(map(self.memo.__getitem__, words), np.int64, len(words))
 
     def margins(self, texts: list[str]) -> np.ndarray:
@@ -208,12 +221,12 @@ class Small:
         value 0, so only the others are computed."""
         f, out = self.filters, np.zeros(len(texts))
         for k, t in enumerate(texts):
-            if len(self.memo) > self.limit:
+            if len(self.memo) > self.limit or self.used > self.table_rows:
                 self.reset()
             r = self.rows(text_words(t))
             n = max(1, len(r))
             hot = np.flatnonzero(r)
-            table = np.asarray([self.table[i] for i in r[hot]], np.float32).reshape(len(hot), len(SLOTS) * f)
+            table = self.table[r[hot]]
             top = []
             for w in WIDTHS:
                 at = np.unique(np.concatenate([hot - o for o in range(w)])) if len(hot) else hot
@@ -282,93 +295,138 @@ def _fold(column: str = "doc_id"):
     return F.crc32(F.col(column).cast("string")) % 3
 
 
+#: Rows scored at a time, to keep few texts in a worker.
+SCORE_ROWS = 1000
 #: Bins of the uncalibrated output for each unit, from -LIMIT to LIMIT.
 BINS, LIMIT = 64, 30
 
 
-def margin_counts(rows: DataFrame, known: DataFrame, model: Small) -> pd.DataFrame:
+def margin_counts(scored: DataFrame, known: DataFrame) -> pd.DataFrame:
     """lang, margin (middle of a bin), label, count of all labelled rows; of
-    rows that repeat a doc_id the one with the smallest text hash.  ``rows``
-    has doc_id, text and lang."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            at = np.floor(np.clip(model.margins(pdf["text"].tolist()), -LIMIT, LIMIT) * BINS)
-            yield pdf[["doc_id", "_label", "lang", "name"]].assign(at=at.astype(np.int64))
-
-    # labelled rows only: small labels are broadcast, others shuffle a third of the texts
-    scored = (rows.join(known, "doc_id").withColumn("name", F.xxhash64("text", "lang"))
-              .mapInPandas(run, "doc_id long, _label int, lang string, name long, at long")
-              .groupBy("doc_id").agg(F.min(F.struct("name", "lang", "at", "_label")).alias("r")))
-    got = (scored.groupBy("r.lang", "r.at", "r._label").agg(F.count(F.lit(1)).alias("count"))).toPandas()
+    rows that repeat a doc_id the one with the smallest text hash.  ``scored``
+    has doc_id, lang, name (hash of the row) and margin.  At most one row for
+    each language, label and bin reaches the driver."""
+    one = scored.join(known, "doc_id").groupBy("doc_id").agg(
+        F.min(F.struct("name", "lang", F.floor(F.col("margin") * BINS).alias("at"), "_label")).alias("r"))
+    got = one.groupBy("r.lang", "r.at", "r._label").agg(F.count(F.lit(1)).alias("count")).toPandas()
     return got.assign(margin=(got["at"].to_numpy(float) + 0.5) / BINS).sort_values(["lang", "at", "_label"])
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, *, max_per_class: int = 2000, max_train_chars: int = 12_000,
-                 general: float = 0.7) -> Toxicity:
+def _known(labels: DataFrame) -> DataFrame:
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("_label"))
-    known = known.groupBy("doc_id").agg(F.max("_label").alias("_label"))
+    return known.groupBy("doc_id").agg(F.max("_label").alias("_label"))
+
+
+def _lang(docs: DataFrame):
+    return F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
+
+
+def train(docs: DataFrame, labels: DataFrame, *, max_per_class: int = 2000,
+          max_train_chars: int = 12_000) -> tuple[Small | None, float]:
+    """The model before calibration (None without labels of both kinds) and
+    the share of label 1."""
+    known = _known(labels)
     parts = [known.where((F.col("_label") == k) & (_fold() == 0)).orderBy(F.xxhash64("doc_id"), "doc_id")
              .limit(max_per_class) for k in (0, 1)]
-    lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
-    every = docs.where(F.col("doc_id").isNotNull()).select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), lang.alias("lang"))
-    train = (every.select("doc_id", "text").where(F.length("text") <= max_train_chars)
-             .join(F.broadcast(parts[0].unionByName(parts[1])), "doc_id")).toPandas()
-    train = train.sort_values(["doc_id", "text"]).drop_duplicates("doc_id")
-    y = train["_label"].to_numpy(np.float32)
+    rows = docs.where(F.col("doc_id").isNotNull()).select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = (rows.where(F.length("text") <= max_train_chars)
+            .join(F.broadcast(parts[0].unionByName(parts[1])), "doc_id")
+            # of rows that repeat a doc_id one, so that the sample stays bounded
+            .groupBy("doc_id").agg(F.min(F.struct("text", "_label")).alias("r")).select("doc_id", "r.*")).toPandas()
+    rows = rows.sort_values("doc_id")
+    y = rows["_label"].to_numpy(np.float32)
     if len(np.unique(y)) < 2:
-        return Toxicity(None, float(y.mean()) if len(y) else 0.0, {}, general)
+        return None, float(y.mean()) if len(y) else 0.0
     vocab = Vocabulary()
-    words = [np.fromiter(map(vocab.__getitem__, text_words(t)), np.int64) for t in train["text"].tolist()]
+    words = [np.fromiter(map(vocab.__getitem__, text_words(t)), np.int64) for t in rows["text"].tolist()]
     full = Classifier()
     buckets = np.asarray([[0] * (1 + len(PREFIXES))] + [word_buckets(w, full.bits) for w in vocab.words])
     full.fit(words, buckets, y)
-    small = full.small()
+    return full.small(), float(y.mean())
+
+
+def calibrated(model: Small | None, prior: float, scored: DataFrame, labels: DataFrame, general: float = 0.7) -> Toxicity:
+    """``model`` with slope, offset and language thresholds from all labelled
+    rows of remainder 2; ``scored`` has doc_id, lang, name and margin."""
     thresholds: dict[str, float] = {}
-    check = margin_counts(every.where(_fold() == 2), known.where(_fold() == 2), small)
+    if model is None:
+        return Toxicity(None, prior, {}, general)
+    check = margin_counts(scored.where(_fold() == 2), _known(labels).where(_fold() == 2))
     if len(np.unique(check["_label"])) == 2:
         yc, count, margins = check["_label"].to_numpy(float), check["count"].to_numpy(float), check["margin"].to_numpy()
-        small.slope, small.offset = calibrate(margins, yc, count)
-        s = small.calibrated(margins)
+        model.slope, model.offset = calibrate(margins, yc, count)
+        s = model.calibrated(margins)
         for name in check["lang"].dropna().unique().tolist():
             own = (check["lang"] == name).to_numpy()
             thresholds[name] = best_threshold(s[own], count[own] * (yc[own] != 1), count[own] * (yc[own] == 1), general)
-    small.reset()
-    return Toxicity(small, float(y.mean()), thresholds, general)
+    model.reset()
+    return Toxicity(model, prior, thresholds, general)
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    """doc_id, held_out, score, predicted (score >= 0.7), rejected (by the
-    threshold of the document's language)."""
-    model = fit_toxicity(docs, labels, **options)
-    lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
+def _with_margins(rows: DataFrame, model: Small | None, columns: list[str]) -> DataFrame:
+    """``columns`` of ``rows`` and ``margin``, the output for ``text`` within
+    +-LIMIT; every row is scored once."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for at in range(0, b.num_rows, SCORE_ROWS):
+                some = b.slice(at, SCORE_ROWS)
+                texts = [t or "" for t in some.column(b.schema.get_field_index("text")).to_pylist()]
+                m = np.clip(model.margins(texts), -LIMIT, LIMIT) if model else np.zeros(len(texts))
+                yield pa.RecordBatch.from_arrays([*(some.column(b.schema.get_field_index(c)) for c in columns),
+                                                  pa.array(m, pa.float64())], [*columns, "margin"])
+
+    schema = rows.select(*columns).schema
+    return rows.mapInArrow(run, type(schema)([*schema.fields, T.StructField("margin", T.DoubleType())]))
+
+
+def _judged(model: Toxicity) -> tuple[Column, Column]:
+    """Score of ``margin``, and whether the row's language rejects it."""
+    if model.model is None:
+        score = F.lit(float(model.prior))
+    else:
+        z = F.least(F.greatest(F.lit(model.model.slope) * F.col("margin") + F.lit(model.model.offset), F.lit(-30.0)), F.lit(30.0))
+        score = 1 / (1 + F.exp(-z))
+    cut = F.lit(model.general)
+    for name, threshold in model.thresholds.items():
+        cut = F.when(F.col("lang") == name, threshold).otherwise(cut)
+    return score, score >= cut
+
+
+def fit_toxicity(docs: DataFrame, labels: DataFrame, *, general: float = 0.7, **options) -> Toxicity:
+    """The calibrated model, for texts outside of ``docs``."""
+    model, prior = train(docs, labels, **options)
+    return calibrated(model, prior, _scored(docs, model), labels, general)
+
+
+def _scored(docs: DataFrame, model: Small | None) -> DataFrame:
+    """doc_id, lang, held_out, name (hash of the row) and margin of the rows
+    with a doc_id, written once."""
+    rows = docs.where(F.col("doc_id").isNotNull()).select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), _lang(docs).alias("lang"))
+    rows = rows.select("doc_id", "lang", (_fold() == 1).alias("held_out"), F.xxhash64("text", "lang").alias("name"), "text")
+    return stored(_with_margins(rows, model, ["doc_id", "lang", "held_out", "name"]), "scored")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            s = model.scores(pdf["text"].tolist())
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "held_out": pdf["held_out"], "score": s,
-                                "predicted": (s >= 0.7).astype(np.int32), "rejected": model.rejected(s, pdf["lang"].tolist())})
 
-    rows = docs.where(F.col("doc_id").isNotNull()).select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), lang.alias("lang"),
-        (_fold() == 1).alias("held_out"))
-    return rows.mapInPandas(run, "doc_id long, held_out boolean, score double, predicted int, rejected boolean")
+def score_toxicity(docs: DataFrame, labels: DataFrame, *, general: float = 0.7, **options) -> DataFrame:
+    """doc_id, held_out, score, predicted (score >= 0.7), rejected (by the
+    threshold of the document's language)."""
+    small, prior = train(docs, labels, **options)
+    scored = _scored(docs, small)
+    score, rejected = _judged(calibrated(small, prior, scored, labels, general))
+    return scored.select("doc_id", "held_out", score.alias("score"), (score >= 0.7).cast("int").alias("predicted"),
+                         rejected.alias("rejected"))
 
 
-def drop_toxic(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
+def drop_toxic(docs: DataFrame, labels: DataFrame, *, general: float = 0.7, **options) -> DataFrame:
     """``docs`` without the rejected ones, all columns kept; rows without
     doc_id are judged like the others."""
-    model = fit_toxicity(docs, labels, **options)
-    has_lang = "lang" in docs.columns
-
-    def run(batches):
-        import pyarrow as pa
-
-        for b in batches:
-            names = b.schema.names
-            texts = [t or "" for t in b.column(names.index("text")).to_pylist()]
-            langs = b.column(names.index("lang")).to_pylist() if has_lang else [None] * len(texts)
-            yield b.filter(pa.array(~model.rejected(model.scores(texts), langs)))
-
-    return docs.mapInArrow(run, docs.schema)
+    small, prior = train(docs, labels, **options)
+    row = F.struct(*[F.col(c) for c in docs.columns]).alias("row")
+    rows = docs.select(row, F.col("doc_id").cast("long").alias("doc_id"), _lang(docs).alias("lang"),
+                       F.xxhash64("text", _lang(docs)).alias("name"), F.col("text").cast("string").alias("text"))
+    scored = stored(_with_margins(rows, small, ["row", "doc_id", "lang", "name"]), "scored")
+    labelled = scored.where(F.col("doc_id").isNotNull()).select("doc_id", "lang", "name", "margin")
+    _, rejected = _judged(calibrated(small, prior, labelled, labels, general))
+    return scored.where(~rejected).select("row.*")

@@ -87,6 +87,51 @@ def test_toxicity_calibrates_on_all_rows(spark, make_docs):
         assert f1[cut] >= max(f1.values()) - 0.02
 
 
+def test_sparse_scoring_equals_the_dense_model():
+    rng = random.Random(2)
+    model = toxicity.Classifier(bits=10)
+    drop = np.random.default_rng(2).random(len(model.emb)) < 0.6
+    model.emb[drop] = 0
+    texts = [" ".join(rng.choice(["vile", "n%d", "ünder", "x%d y"]).replace("%d", str(rng.randrange(40)))
+                      for _ in range(rng.choice([0, 1, 2, 3, 50]))) for _ in range(200)]
+    vocab = toxicity.Vocabulary()
+    words = [np.asarray([vocab[w] for w in toxicity.text_words(t)], dtype=np.int64) for t in texts]
+    buckets = np.asarray([[0] * 5] + [toxicity.word_buckets(w, model.bits) for w in vocab.words])
+    flat, starts, sizes = toxicity.layout(words)
+    x = model.emb[buckets[flat]].mean(axis=1)
+    x[flat == 0] = 0
+    top, _ = model.pooled(x @ model.w, starts, sizes)
+    dense = np.maximum(top + model.b, 0) @ model.v + model.c
+    small = model.small()
+    assert np.allclose(small.margins(texts), dense, atol=1e-4)
+    small.limit, small.table_rows = 5, 3  # tables that start anew all the time
+    small.reset()
+    assert np.allclose(small.margins(texts), dense, atol=1e-4)
+
+
+def test_toxicity_of_long_and_repeated_rows(spark, toxic_data, make_docs):
+    docs, labels, _ = toxic_data
+    long = " ".join(f"n{k % 300}" for k in range(60_000))
+    more = docs.unionByName(make_docs([(6000, long), (6001, long + " vilest"), (4, "vile"), (4, "vile"), (None, "vile")]))
+    got = toxicity.score_toxicity(more, labels).collect()
+    assert len(got) == docs.count() + 4
+    score = {r.doc_id: r.score for r in got if r.doc_id >= 6000}
+    assert score[6001] > 0.5 > score[6000]
+    kept = toxicity.drop_toxic(more, labels)
+    assert kept.columns == more.columns and {r.doc_id for r in kept.select("doc_id").collect()} >= {5000, 5001, 6000}
+    assert kept.where("text = 'vile'").count() == 0
+
+
+def test_toxicity_learns_from_few_labels(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    truth = {r.doc_id: r.toxic for r in labels.collect() if r.toxic is not None}
+    held = [(r.score, truth[r.doc_id]) for r in toxicity.score_toxicity(docs, labels).collect()
+            if r.held_out and r.doc_id in truth]
+    good, bad = ([s for s, y in held if y == k] for k in (0, 1))
+    auc = np.mean([(b > g) + 0.5 * (b == g) for b in bad for g in good])
+    assert auc >= 0.9
+
+
 def test_threshold_of_counts_equals_that_of_rows():
     rng = np.random.default_rng(3)
     scores, clean, toxic = rng.random(40), rng.integers(0, 9, 40), rng.integers(0, 3, 40)
