@@ -52,6 +52,21 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _S)
 
 
+#: What a Python worker remembers between its tasks, by name.
+MEMOS: dict[str, dict] = {}
+
+
+def use_memo(name: str, memo: dict) -> dict:
+    """``memo``, after the memos of other names are emptied: a worker that
+    goes from one operator to the next holds the words of one only."""
+    if MEMOS.get(name) is not memo:
+        MEMOS[name] = memo
+    for other, held in MEMOS.items():
+        if other != name:
+            held.clear()
+    return memo
+
+
 class WordHashes(dict):
     """word bytes -> 64-bit hash, remembered up to ``limit`` words."""
 
@@ -64,6 +79,7 @@ class WordHashes(dict):
         return h
 
     def of(self, words: list[bytes]) -> np.ndarray:
+        use_memo("words", self)
         return np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))
 
 

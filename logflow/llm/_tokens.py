@@ -16,7 +16,7 @@ import re
 
 import numpy as np
 
-from logflow.llm._common import ASCII_LOWER
+from logflow.llm._common import ASCII_LOWER, use_memo
 
 # The two tokenizers' pre-token patterns, on bytes.
 WORD_KIND = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z\x80-\xff]+|[0-9]|[^\sa-z0-9\x80-\xff]+")
@@ -93,6 +93,7 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = []
+        use_memo("tokens", self.memo)
         cut = self.pattern.findall
         for k in range(0, len(texts), 100):
             block = texts[k:k + 100]

@@ -13,7 +13,10 @@ ranges of that order.
    Summed per document this bounds its overlap with any other: a set with
    more than ``100 - percent`` percent shingles of its own has no link.
    The fragments travel as packed arrays of 32 bits a shingle; what is to be
-   known of whole sets is dealt over them by a hash of doc_id.
+   known of whole sets goes with one fragment of each block of documents, and
+   the counts come back as one array for a block.  A fragment has a bounded
+   number of shingles; more than ``FANOUT`` fragments are cut in
+   two steps, so that blocks never make rows of a few shingles each.
 2. Equal sets are one class, represented by its smallest doc_id; step 1 is
    repeated among the representatives that are left, as long as it excludes
    a tenth of them.
@@ -32,7 +35,8 @@ ranges of that order.
 Null or empty text and texts without words have an empty set and link with
 nothing; with fewer than 3 words the whole sequence is the one shingle.  Rows
 without doc_id are left out; rows that repeat a doc_id are one document (with
-different texts, the one with the largest set stands for it).  An empty table
+different texts, the one with the largest set, then the largest hashes, stands
+for it; shingles are counted for each text by itself).  An empty table
 gives no row; other columns are ignored.
 """
 
@@ -42,6 +46,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -51,6 +56,11 @@ from logflow.llm._common import ASCII_LOWER, WORD_HASHES, id_text, mix, shingle_
 _32 = np.uint64(32)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
+#: Documents packed at a time, and bytes of a fragment: what a task holds of
+#: it is some ten times as much.
+BLOCK_ROWS = 1000
+FRAGMENT_BYTES = 5 << 20
+
 
 def shingle_set(text: str, k: int = 3) -> np.ndarray:
     """Sorted distinct 64-bit hashes of a text's shingles."""
@@ -66,88 +76,144 @@ def fragment_of(g: np.ndarray, fragments: int) -> np.ndarray:
     return (((g >> _32) * np.uint64(fragments)) >> _32).astype(np.int64)
 
 
-PACKED = "frag int, ids binary, sizes binary, own binary, shared binary, info binary"
+#: A block's part of a fragment: places of its documents, how many of their
+#: shingles stand in ``own``, and the facts of the block in one of its rows.
+PACKED = "frag long, block long, docs binary, sizes binary, own binary, shared binary, info binary"
+COUNTED = "block long, docs binary, counts binary, info binary"
+FACTS = "doc_id long, n long, h1 long, h2 long, own long"
+#: Fragments that a block is cut into at once.
+FANOUT = 1024
+
+
+def set_hashes(g: np.ndarray) -> tuple[np.int64, np.int64]:
+    """Two order-free hashes of a set."""
+    return np.add.reduce(mix(g)).view(np.int64), np.bitwise_xor.reduce(mix(g + _ODD)).view(np.int64)
+
+
+def _cut(f: np.ndarray, parts: int, *columns: np.ndarray) -> list[list[np.ndarray]]:
+    """Each column cut into the rows of part 0, 1, ...; ``f`` has their parts."""
+    order = np.argsort(f, kind="stable")
+    at = np.searchsorted(f[order], np.arange(1, parts))
+    return [np.split(c[order], at) for c in columns]
+
+
+def _rows(first: int, block: int, own: list, owner: list, shared: list, info: bytes) -> list[tuple]:
+    """One row for each fragment with something in it; ``info`` goes with one."""
+    out, home = [], block % len(own)
+    for f, (o, k, b) in enumerate(zip(own, owner, shared)):
+        if len(o) or len(b) or f == home:
+            # shingles of a document stand together
+            change = np.flatnonzero(np.diff(k, prepend=-1))
+            out.append((first + f, block, k[change].astype("<u2").tobytes(),
+                        np.diff(np.append(change, len(k))).astype("<u4").tobytes(),
+                        o.astype("<u4").tobytes(), b.astype("<u4").tobytes(), info if f == home else b""))
+    return out
 
 
 def pack_fragments(ids: np.ndarray, sets: list[np.ndarray], fragments: int) -> pd.DataFrame:
-    """A block of documents cut into fragments.  ``own``: the 32-bit values of
-    shingles that only one document of the block has, document by document
-    (``sizes`` of them); ``shared``: those of the others, once.  ``info``: size
-    and two hashes of the sets whose doc_id is dealt to the fragment."""
-    lengths = np.asarray([len(s) for s in sets])
+    """A block of up to 65,536 documents cut into fragments.  ``own``: the
+    32-bit values of shingles that only one row of the block has, row by row
+    (``sizes`` of them); ``shared``: those of the others, once.  ``info``:
+    doc_id, size and two hashes of every row.  Blocks are named by it."""
+    lengths = np.asarray([len(s) for s in sets], dtype=np.int64)
+    info = np.zeros((len(sets), 4), dtype="<i8")
+    info[:, 0], info[:, 1] = ids, lengths
+    for k, x in enumerate(sets):
+        if len(x):
+            info[k, 2:] = set_hashes(x)
     g = np.concatenate([*sets, np.zeros(0, np.uint64)])
-    doc = np.repeat(np.arange(len(sets)), lengths)
-    order = np.argsort(g, kind="stable")
+    order = np.argsort(g, kind="stable").astype(np.uint32)
     s = g[order]
     same = np.concatenate([[False], s[1:] == s[:-1], [False]])
     multi = np.zeros(len(g), dtype=bool)
     multi[order] = same[:-1] | same[1:]
-    first = s[~same[:-1] & same[1:]] if len(s) else s  # one of each shared shingle
-    info = np.zeros((len(sets), 4), dtype=np.int64)
-    info[:, 0], info[:, 1] = ids, lengths
-    for k, x in enumerate(sets):
-        if len(x):
-            info[k, 2] = np.add.reduce(mix(x)).view(np.int64)
-            info[k, 3] = np.bitwise_xor.reduce(mix(x + _ODD)).view(np.int64)
-    single, owner = g[~multi], doc[~multi]
-    frag = fragment_of(single, fragments)
-    by = np.argsort(frag, kind="stable")
-    single, owner = single[by], owner[by]
-    cut = np.searchsorted(frag[by], np.arange(fragments + 1))
-    first_cut = np.searchsorted(fragment_of(first, fragments), np.arange(fragments + 1))
-    home = fragment_of(mix(info[:, 0].view(np.uint64)), fragments) if len(sets) else np.zeros(0, np.int64)
-    info = info[np.argsort(home, kind="stable")]
-    info_cut = np.searchsorted(np.sort(home), np.arange(fragments + 1))
-    rows = []
-    for f in range(fragments):
-        facts = info[info_cut[f]:info_cut[f + 1]]
-        part = owner[cut[f]:cut[f + 1]]
-        present, counts = np.unique(part, return_counts=True)
-        both = first[first_cut[f]:first_cut[f + 1]]
-        if len(part) or len(both) or len(facts):
-            rows.append((f, ids[present].astype("<i8").tobytes(), counts.astype("<u4").tobytes(),
-                         single[cut[f]:cut[f + 1]].astype("<u4").tobytes(), both.astype("<u4").tobytes(),
-                         facts.astype("<i8").tobytes()))
-    return pd.DataFrame(rows, columns=["frag", "ids", "sizes", "own", "shared", "info"])
+    both = s[~same[:-1] & same[1:]] if len(s) else s  # one of each shared shingle
+    del order, s, same
+    single, owner = g[~multi], np.repeat(np.arange(len(sets)), lengths)[~multi]
+    own, owner = _cut(fragment_of(single, fragments), fragments, single, owner)
+    shared, = _cut(fragment_of(both, fragments), fragments, both)
+    facts = info.tobytes()
+    block = xxhash.xxh3_64_intdigest(facts) >> 1
+    return pd.DataFrame(_rows(0, block, own, owner, shared, facts), columns=PACKED_NAMES)
+
+
+def recut(pdf: pd.DataFrame, parts: int) -> pd.DataFrame:
+    """The rows of fragments, each cut into ``parts`` by the 32-bit values."""
+    def part(v):
+        return (v.astype(np.uint64) * np.uint64(parts) >> _32).astype(np.int64)
+
+    out = []
+    for r in pdf.itertuples(index=False):
+        own, shared = np.frombuffer(r.own, "<u4"), np.frombuffer(r.shared, "<u4")
+        owner = np.repeat(np.frombuffer(r.docs, "<u2"), np.frombuffer(r.sizes, "<u4")).astype(np.int64)
+        own, owner = _cut(part(own), parts, own, owner)
+        shared, = _cut(part(shared), parts, shared)
+        out += [x for x in _rows(r.frag * parts, r.block, own, owner, shared, r.info) if x[4] or x[5] or x[6]]
+    return pd.DataFrame(out, columns=PACKED_NAMES)
 
 
 def count_own(pdf: pd.DataFrame) -> pd.DataFrame:
-    """One fragment of all blocks: for each document its shingles that occur
-    nowhere else."""
-    own = np.frombuffer(b"".join(pdf["own"]), "<u4")
-    shared = np.frombuffer(b"".join(pdf["shared"]), "<u4")
-    order = np.argsort(own, kind="stable")
+    """One fragment of all blocks: for each block the documents that have
+    shingles which occur nowhere else, and how many."""
+    own, shared = (np.frombuffer(b"".join(pdf[c]), "<u4") for c in ("own", "shared"))
+    order = np.argsort(own, kind="stable").astype(np.uint32)
     s = own[order]
     same = np.concatenate([[False], s[1:] == s[:-1], [False]])
     alone = np.zeros(len(own), dtype=bool)
     alone[order] = ~(same[:-1] | same[1:])
+    del order, s, same
     if len(shared) and len(own):
         shared = np.unique(shared)
         at = np.minimum(np.searchsorted(shared, own), len(shared) - 1)
         alone &= shared[at] != own
-    ids = np.frombuffer(b"".join(pdf["ids"]), "<i8")
-    sizes = np.frombuffer(b"".join(pdf["sizes"]), "<u4").astype(np.int64)
-    upto = np.concatenate([[0], np.cumsum(alone)])
-    ends = np.cumsum(sizes)
-    counts = upto[ends] - upto[ends - sizes]
-    info = np.frombuffer(b"".join(pdf["info"]), "<i8").reshape(-1, 4)
-    some = counts > 0
-    blank = np.zeros(some.sum(), dtype=np.int64)
-    return pd.DataFrame({"doc_id": np.concatenate([ids[some], info[:, 0]]),
-                         "own": np.concatenate([counts[some], np.zeros(len(info), np.int64)]),
-                         "n": np.concatenate([blank, info[:, 1]]),
-                         "h1": np.concatenate([blank, info[:, 2]]),
-                         "h2": np.concatenate([blank, info[:, 3]]),
-                         "full": np.concatenate([np.zeros(some.sum(), bool), np.ones(len(info), bool)])})
-
-
-def set_facts(packed: DataFrame) -> DataFrame:
-    """doc_id, n, h1, h2, own from packed fragments."""
-    counted = packed.groupBy("frag").applyInPandas(
-        count_own, "doc_id long, own long, n long, h1 long, h2 long, full boolean")
-    whole = F.max(F.when(F.col("full"), F.struct("n", "h1", "h2")))
-    return counted.groupBy("doc_id").agg(F.sum("own").alias("own"), whole.alias("s")).select(
-        "doc_id", "own", "s.n", "s.h1", "s.h2")
+    upto = np.concatenate([[0], np.cumsum(alone, dtype=np.uint32)])
+    out, start = [], 0
+    for r in pdf.itertuples(index=False):
+        ends = start + np.cumsum(np.frombuffer(r.sizes, "<u4"), dtype=np.int64)
+        counts = np.diff(upto[ends], prepend=upto[start])
+        start = ends[-1] if len(ends) else start
+        if counts.any() or r.info:
+            out.append((r.block, np.frombuffer(r.docs, "<u2")[counts > 0].tobytes(),
+                        counts[counts > 0].astype("<u4").tobytes(), r.info))
+    return pd.DataFrame(out, columns=COUNTED_NAMES)
+
+
+def sum_block(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The partial counts of a block, summed over its fragments."""
+    info = np.frombuffer(next(x for x in pdf["info"] if x), "<i8").reshape(-1, 4)
+    own = np.zeros(len(info), dtype=np.int64)
+    for docs, counts in zip(pdf["docs"], pdf["counts"]):
+        own[np.frombuffer(docs, "<u2")] += np.frombuffer(counts, "<u4")
+    return pd.DataFrame(info, columns=["doc_id", "n", "h1", "h2"]).assign(own=own)
+
+
+PACKED_NAMES, COUNTED_NAMES = ([c.split()[0] for c in x.split(", ")] for x in (PACKED, COUNTED))
+
+
+def set_facts(blocks: DataFrame, make, fragments: int, block_rows: int = BLOCK_ROWS, fanout: int = FANOUT) -> DataFrame:
+    """doc_id, n, h1, h2, own of the rows that ``make`` yields from batches
+    of ``blocks`` (doc_ids and sets)."""
+    first = min(fragments, fanout)
+    parts = -(-fragments // first)
+
+    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for at in range(0, len(pdf), block_rows):
+                yield pack_fragments(*make(pdf.iloc[at:at + block_rows]), first)
+
+    def cut_on(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for at in range(0, len(pdf), 100):
+                yield recut(pdf.iloc[at:at + 100], parts)
+
+    packed = blocks.mapInPandas(pack, PACKED)
+    if parts > 1:
+        packed = packed.repartition("frag").mapInPandas(cut_on, PACKED)
+    counted = packed.groupBy("frag").applyInPandas(count_own, COUNTED)
+    texts = counted.groupBy("block").applyInPandas(sum_block, FACTS)
+    standing = F.struct("n", "h1", "h2")
+    return texts.groupBy("doc_id").agg(F.max_by("own", standing).alias("own"), F.max(standing).alias("s")).select(
+        "doc_id", "own", "s.*")
 
 
 def may_link(percent: int):
@@ -222,47 +288,39 @@ def components(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("a").alias("doc_id"), F.col("b").alias("root"))
 
 
-def jaccard_components(docs: DataFrame, *, k: int = 3, percent: int = 90, fragment_bytes: int = 24 << 20,
-                       block_rows: int = 1000, part_shingles: int = 512) -> DataFrame:
+def jaccard_components(docs: DataFrame, *, k: int = 3, percent: int = 90, fragment_bytes: int = FRAGMENT_BYTES,
+                       block_rows: int = BLOCK_ROWS, fanout: int = FANOUT, part_shingles: int = 512) -> DataFrame:
     """doc_id, n_shingles, component_id."""
     rows = id_text(docs)
     size, many = rows.agg(F.coalesce(F.sum(F.length("text")), F.lit(0)), F.count(F.lit(1))).first()
     # about one shingle for six characters, four bytes each, and 32 bytes of info for each row
     fragments = int(max(16, (size * 4 // 6 + 32 * many) // fragment_bytes + 1))
 
-    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for at in range(0, len(pdf), block_rows):
-                some = pdf.iloc[at:at + block_rows]
-                yield pack_fragments(some["doc_id"].to_numpy(np.int64),
-                                     [shingle_set(t, k) for t in some["text"].tolist()], fragments)
+    def from_texts(pdf: pd.DataFrame):
+        return pdf["doc_id"].to_numpy(np.int64), [shingle_set(t, k) for t in pdf["text"].tolist()]
 
-    facts = stored(set_facts(rows.mapInPandas(pack, PACKED)), "facts")
+    facts = stored(set_facts(rows, from_texts, fragments, block_rows, fanout), "facts")
     classes = facts.where("n > 0").groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("rep"), F.max("own").alias("own"))
     reps = classes.where(may_link(percent)).select(F.col("rep").alias("doc_id"), "n", "h1", "h2")
 
     def to_sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             sets = [shingle_set(t, k) for t in pdf["text"].tolist()]
-            info = np.asarray([[len(s), np.add.reduce(mix(s)).view(np.int64)] for s in sets], dtype=np.int64).reshape(-1, 2)
+            info = np.asarray([[len(s), *set_hashes(s)] for s in sets], dtype=np.int64).reshape(-1, 3)
             out = pd.DataFrame({"doc_id": pdf["doc_id"], "n": info[:, 0],
                                 "tokens": [s.astype("<u8").tobytes() for s in sets]})
             # of rows that repeat a doc_id only the one that stands for it
-            yield out[(info[:, 0] == pdf["n"].to_numpy()) & (info[:, 1] == pdf["h1"].to_numpy())]
+            yield out[(info == pdf[["n", "h1", "h2"]].to_numpy()).all(axis=1)]
 
     sets = stored(rows.join(reps, "doc_id").mapInPandas(to_sets, "doc_id long, n long, tokens binary")
                   .dropDuplicates(["doc_id"]), "sets")
 
-    def repack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for at in range(0, len(pdf), block_rows):
-                some = pdf.iloc[at:at + block_rows]
-                yield pack_fragments(some["doc_id"].to_numpy(np.int64),
-                                     [np.frombuffer(t, "<u8") for t in some["tokens"]], fragments)
+    def from_sets(pdf: pd.DataFrame):
+        return pdf["doc_id"].to_numpy(np.int64), [np.frombuffer(t, "<u8") for t in pdf["tokens"]]
 
     had = facts.where(may_link(percent)).count()
     while True:
-        left = stored(set_facts(sets.mapInPandas(repack, PACKED)).where(may_link(percent)).select("doc_id", "own"), "left")
+        left = stored(set_facts(sets, from_sets, fragments, block_rows, fanout).where(may_link(percent)).select("doc_id", "own"), "left")
         sets = sets.drop("own").join(left, "doc_id")
         have = left.count()
         if 10 * have >= 9 * had:  # the next round would hardly exclude more
@@ -302,31 +360,32 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int, part_shingles: int
 
 def candidate_links(sets: DataFrame, percent: int, part_shingles: int) -> DataFrame:
     """doc_id, root of the components among distinct sets."""
+    sketch = [f"s{k}" for k in range(SKETCH)]
+
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             s = [signatures(np.frombuffer(t, "<u8"), percent) for t in pdf["tokens"]]
+            yield pd.DataFrame({"sig": np.concatenate([*s, np.zeros(0, np.uint64)]).view(np.int64),
+                                "doc_id": pdf["doc_id"].repeat([len(x) for x in s]).to_numpy()})
+
+    def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
             bits = np.asarray([parity(np.frombuffer(t, "<u8")) for t in pdf["tokens"]], dtype=np.int64).reshape(-1, SKETCH)
-            out = pdf[["doc_id", "n", "own"]].assign(**dict(zip(sketch, bits.T)))
-            out = out.loc[pdf.index.repeat([len(x) for x in s])]
-            out.insert(0, "sig", np.concatenate([*s, np.zeros(0, np.uint64)]).view(np.int64))
-            yield out
+            yield pdf[["doc_id", "n", "own"]].assign(**dict(zip(sketch, bits.T)))
 
-    sketch = [f"s{k}" for k in range(SKETCH)]
+    # a set has many signatures, most of which no other has: only the two ids
+    # are dealt by signature, and what is known of a set meets those left
     group = W.partitionBy("sig")
-    groups = stored(sets.mapInPandas(sign, "sig long, doc_id long, n long, own long, " + ", ".join(f"{c} long" for c in sketch))
-                    .withColumn("many", F.max("doc_id").over(group) > F.min("doc_id").over(group)).where("many")
-                    .withColumn("nth", F.row_number().over(group.orderBy("doc_id"))).drop("many"), "groups")
+    shared = (sets.mapInPandas(sign, "sig long, doc_id long")
+              .withColumn("many", F.max("doc_id").over(group) > F.min("doc_id").over(group)).where("many")
+              .withColumn("nth", F.row_number().over(group.orderBy("doc_id"))).drop("many"))
+    about = sets.mapInPandas(draw, "doc_id long, n long, own long, " + ", ".join(f"{c} long" for c in sketch))
+    groups = stored(shared.join(about, "doc_id"), "groups")
     links = groups.sparkSession.createDataFrame([], "a long, b long")
     roots = links.select(F.col("a").alias("doc_id"), F.col("b").alias("root"))
     seen, lo, width = None, 1, 1
-    while True:
-        at = groups.join(roots, "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
-        # groups that still hold members of different components from here on
-        rest = at.where(F.col("nth") >= lo)
-        mixed = rest.groupBy("sig").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("sig")
-        rest = stored(rest.join(mixed, "sig", "left_semi"), "rest")
-        if rest.isEmpty():
-            return roots
+    rest = groups.withColumn("root", F.col("doc_id"))
+    while not rest.isEmpty():
         first = rest.where(F.col("nth") < lo + width).select(
             "sig", F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("own").alias("ob"), F.col("root").alias("rb"),
             F.col("nth").alias("kb"), F.struct(*sketch).alias("sb"))
@@ -349,6 +408,13 @@ def candidate_links(sets: DataFrame, percent: int, part_shingles: int) -> DataFr
         pairs = pairs.select("a", "b")
         seen = pairs if seen is None else seen.unionByName(pairs)
         lo, width = lo + width, 4 * width
+        # groups that still hold members of different components from here on;
+        # components only grow, so the others are done
+        at = (rest.where(F.col("nth") >= lo).drop("root").join(roots, "doc_id", "left")
+              .withColumn("root", F.coalesce("root", "doc_id")))
+        rest = stored(at.withColumn("mixed", F.min("root").over(group) < F.max("root").over(group))
+                      .where("mixed").drop("mixed"), "rest")
+    return roots
 
 
 def keep_one_of_each(docs: DataFrame, **options) -> DataFrame:

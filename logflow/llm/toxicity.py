@@ -29,11 +29,12 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from logflow.llm._common import ASCII_LOWER, stored
+from logflow.llm._common import ASCII_LOWER, stored, use_memo
 
 WIDTHS = (1, 2, 3)
 #: (width, offset) of every column block of the filters' weights
@@ -220,6 +221,7 @@ class Small:
         """One text after another: windows that hold no trained word have the
         value 0, so only the others are computed."""
         f, out = self.filters, np.zeros(len(texts))
+        use_memo("toxicity", self.memo)
         for k, t in enumerate(texts):
             if len(self.memo) > self.limit or self.used > self.table_rows:
                 self.reset()
@@ -366,13 +368,18 @@ def calibrated(model: Small | None, prior: float, scored: DataFrame, labels: Dat
 
 
 def _with_margins(rows: DataFrame, model: Small | None, columns: list[str]) -> DataFrame:
-    """``columns`` of ``rows`` and ``margin``, the output for ``text`` within
-    +-LIMIT; every row is scored once."""
+    """``columns`` of ``rows`` and ``margin``, the output for ``text`` (where
+    there is none, that of the first column, a struct) within +-LIMIT; every
+    row is scored once."""
+    inside = "text" not in rows.columns
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for at in range(0, b.num_rows, SCORE_ROWS):
                 some = b.slice(at, SCORE_ROWS)
-                texts = [t or "" for t in some.column(b.schema.get_field_index("text")).to_pylist()]
+                held = some.column(b.schema.get_field_index(columns[0]))
+                texts = [t or "" for t in (pc.struct_field(held, "text") if inside else some.column(
+                    b.schema.get_field_index("text"))).to_pylist()]
                 m = np.clip(model.margins(texts), -LIMIT, LIMIT) if model else np.zeros(len(texts))
                 yield pa.RecordBatch.from_arrays([*(some.column(b.schema.get_field_index(c)) for c in columns),
                                                   pa.array(m, pa.float64())], [*columns, "margin"])
@@ -425,7 +432,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, *, general: float = 0.7, **op
     small, prior = train(docs, labels, **options)
     row = F.struct(*[F.col(c) for c in docs.columns]).alias("row")
     rows = docs.select(row, F.col("doc_id").cast("long").alias("doc_id"), _lang(docs).alias("lang"),
-                       F.xxhash64("text", _lang(docs)).alias("name"), F.col("text").cast("string").alias("text"))
+                       F.xxhash64("text", _lang(docs)).alias("name"))
     scored = stored(_with_margins(rows, small, ["row", "doc_id", "lang", "name"]), "scored")
     labelled = scored.where(F.col("doc_id").isNotNull()).select("doc_id", "lang", "name", "margin")
     _, rejected = _judged(calibrated(small, prior, labelled, labels, general))

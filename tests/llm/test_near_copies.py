@@ -2,8 +2,10 @@
 
 import hashlib
 import random
+from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from logflow.llm import ngram_join, substring_dedup
@@ -66,6 +68,36 @@ def test_join_of_five_words_equals_brute_force(make_docs, odd_rows):
     assert got != brute_components(rows, 90, 5)
 
 
+@pytest.mark.parametrize("fanout", [4, 1024])
+def test_join_of_differing_repeats(make_docs, fanout):
+    """Rows that repeat a doc_id: the largest set stands for it, and the
+    shingles of its other texts exclude nothing."""
+    a = [f"a{k}" for k in range(102)]
+    near = a[:-1] + ["z"]
+    rows = [(1, " ".join(a)), (1, " ".join(f"b{k}" for k in range(92))), (2, " ".join(near)), (2, " ".join(near)),
+            (3, "x y z"), (3, " ".join(a)), (4, "x y z")]
+    standing = [(1, rows[0][1]), (2, rows[2][1]), (3, rows[5][1]), (4, rows[6][1])]
+    got = {tuple(r) for r in ngram_join.jaccard_components(make_docs(rows), block_rows=2, fanout=fanout).collect()}
+    assert got == brute_components(standing)
+    assert {(1, 100, 1), (2, 100, 1), (3, 100, 1), (4, 1, 4)} == got
+
+
+def test_two_cuts_count_as_one():
+    """Fragments cut in two steps give the same counts as the sets have."""
+    rng = np.random.default_rng(4)
+    pool = rng.integers(0, 1 << 63, 3000, dtype=np.uint64) * np.uint64(2)
+    sets = [np.unique(rng.choice(pool, rng.integers(0, 60))) for _ in range(200)]
+    blocks = [ngram_join.pack_fragments(np.arange(k, k + 50), sets[k:k + 50], 5) for k in range(0, 200, 50)]
+    rows = [ngram_join.recut(p, 7) for b in blocks for _, p in b.groupby("frag")]
+    every = pd.concat(rows)
+    assert every["frag"].max() < 35
+    counted = pd.concat([ngram_join.count_own(p) for _, p in every.groupby("frag")])
+    facts = pd.concat([ngram_join.sum_block(p) for _, p in counted.groupby("block")]).set_index("doc_id")
+    held = Counter(x for s in sets for x in s.tolist())
+    assert facts["n"].sort_index().tolist() == [len(s) for s in sets]
+    assert facts["own"].sort_index().tolist() == [sum(held[x] == 1 for x in s.tolist()) for s in sets]
+
+
 def test_join_on_a_chain_and_on_copies(make_docs):
     words = [f"c{k}" for k in range(200)]
     chain = []
@@ -178,12 +210,18 @@ def test_parity_bounds_the_difference(n):
         assert bits <= len(np.setxor1d(x, y)) and (bits > 0 or change != 1)
 
 
-def test_info_is_dealt_over_all_fragments():
-    """No fragment carries the sets of the whole table."""
+def test_info_travels_once_a_block():
     sets = [ngram_join.shingle_set(f"a{k} b c{k % 7}") for k in range(1600)] + [ngram_join.shingle_set("")]
     packed = ngram_join.pack_fragments(np.arange(1601), sets, 16)
-    assert packed["info"].map(len).max() <= 32 * 1601 // 16 * 2
-    counted = [ngram_join.count_own(p) for _, p in packed.groupby("frag")]
-    full = [r for c in counted for r in c[c["full"]][["doc_id", "n"]].itertuples(index=False)]
-    assert sorted(full) == [(k, 1) for k in range(1600)] + [(1600, 0)]
-    assert sum(c["own"].sum() for c in counted) == 1600
+    assert (packed["info"].map(len) > 0).sum() == 1  # once a block
+    counted = pd.concat([ngram_join.count_own(p) for _, p in packed.groupby("frag")])
+    facts, = [ngram_join.sum_block(p) for _, p in counted.groupby("block")]
+    assert facts["doc_id"].tolist() == list(range(1601)) and facts["n"].tolist() == [1] * 1600 + [0]
+    assert facts["own"].tolist() == [1] * 1600 + [0]
+
+
+def test_info_of_blocks_is_dealt_over_fragments():
+    sets = [ngram_join.shingle_set(f"a{k} b c") for k in range(400)]
+    homes = [int(p["frag"][p["info"].map(len) > 0].iloc[0])
+             for k in range(0, 400, 4) for p in [ngram_join.pack_fragments(np.arange(k, k + 4), sets[k:k + 4], 8)]]
+    assert len(set(homes)) == 8 and max(Counter(homes).values()) < 30
