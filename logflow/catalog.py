@@ -16,16 +16,19 @@ from pyspark.sql import functions as F
 
 from logflow.functions.jsoncheck import JOB_FIELDS
 from logflow.functions.keys import JOBS_PREFIX, LOCKS_PREFIX, strip_prefix
-from logflow.functions.timefmt import index_name
+from logflow.functions.timefmt import index_name, micros
 from logflow.operators import batching, claims, ingest, jobs, logs, metrics, routing
 from logflow.plans.materialize import materialize
 from logflow.session import scratch_path
 from logflow.sinks import writers
 from logflow.sources import derived as D
 from logflow.sources import readers
-from logflow.streaming.collect import collect
+from logflow.streaming.collect import collect, collected_jobs, waiting_records
+from logflow.streaming.flush import assign_batches_stream
 from logflow.streaming.ingest import ingest_stream
-from logflow.streaming.registry import current_jobs, current_running, fold_changes, fold_running
+from logflow.streaming.live import throughput_stream
+from logflow.streaming.registry import current_jobs, current_running, fold_changes, fold_running, topic_events
+from logflow.streaming.state import operator_state
 
 LIVENESS_LEASE = "30 minutes"
 FLUSH_ROWS = 10
@@ -514,49 +517,124 @@ def request_stream(spark: SparkSession, d: str) -> DataFrame:
                                      F.sum(F.length(F.col("value").cast("string"))).alias("chars"))
 
 
+def _feed(spark: SparkSession, changes: DataFrame, path: str) -> DataFrame:
+    """The change feed as a stream over ``path``, with ``changes`` added."""
+    changes.write.mode("append").parquet(path)
+    return readers.read_job_changes(spark, path)
+
+
 def collect_stream(spark: SparkSession, d: str) -> DataFrame:
-    """T2 over a record stream (S2 file form) into the index sink."""
-    src, table, out, ck = (scratch_path(spark, n) for n in ("records", "jobs", "index", "ckpt"))
+    """T2 over a record stream (S2 file form) and the change feed into the
+    index sink (S4), in several micro-batches."""
+    src, feed, out, ck = (scratch_path(spark, n) for n in ("records", "changes", "index", "ckpt"))
     D.records(spark, d).repartition(4, "topic", "partition").write.parquet(src)
-    # the job table as the registry fold leaves it; each micro-batch re-reads it
-    jobs.running_topics(_events(spark, d)).write.parquet(table)
     stream = readers.read_topics(spark, path=src, streaming=True, max_files_per_trigger=2)
-    q = collect(stream, lambda: spark.read.parquet(table), writers.index_writer(out), ck,
+    q = collect(stream, topic_events(_feed(spark, D.changes(spark, d), feed)), writers.index_writer(out), ck,
                 trigger={"availableNow": True}, index_time="record")
     q.awaitTermination()
     back = writers.read_index(spark, out, "pipeline string, doc string")
     return back.groupBy("index", "pipeline").agg(F.count(F.lit(1)).alias("records"))
 
 
-def collect_late_job(spark: SparkSession, d: str) -> DataFrame:
-    """T1 feeds T2 in two runs: half of the records arrive when a tenth of the
-    changes is known, the rest of both comes with the second run.  Records of
-    a topic that has no job yet wait for it."""
-    feed, src, state, out, fold_ck, ck = (
-        scratch_path(spark, n) for n in ("changes", "records", "state", "index", "ckpt", "ckpt"))
+def _collect_late(spark: SparkSession, d: str) -> tuple[str, str]:
+    """Index and checkpoint of a collector that runs twice: half of the
+    records arrive when a tenth of the changes is known, the rest of both
+    comes with the second run.  Records of a topic without a job wait."""
+    feed, src, out, ck = (scratch_path(spark, n) for n in ("changes", "records", "index", "ckpt"))
     ch, recs = D.changes(spark, d), D.records(spark, d)
     early = F.col("revision") <= F.floor(ch.agg(F.max("revision")).scalar() / LATE_PART)
     for known, arrived in ((early, F.col("offset") % 2 == 0), (~early, F.col("offset") % 2 == 1)):
-        ch.filter(known).write.mode("append").parquet(feed)
         recs.filter(arrived).write.mode("append").parquet(src)
-        fold_running(readers.read_job_changes(spark, feed), state, fold_ck,
-                     trigger={"availableNow": True}).awaitTermination()
-        collect(readers.read_topics(spark, path=src), lambda: current_running(spark, state), writers.index_writer(out),
-                ck, trigger={"availableNow": True}, index_time="record").awaitTermination()
+        collect(readers.read_topics(spark, path=src), topic_events(_feed(spark, ch.filter(known), feed)),
+                writers.index_writer(out), ck, trigger={"availableNow": True}, index_time="record").awaitTermination()
+    return out, ck
+
+
+def collect_late_job(spark: SparkSession, d: str) -> DataFrame:
+    """T2 with jobs that come after their topic's records."""
+    out, _ = _collect_late(spark, d)
     back = writers.read_index(spark, out, "topic string, partition int, offset long, pipeline string, doc string")
     return back.select("topic", "partition", "offset", "index", "pipeline", "doc")
 
 
+def collector_state(spark: SparkSession, d: str) -> DataFrame:
+    """A5 from the collector's own state: the topics it runs, and how many
+    records wait for each topic without a job."""
+    _, ck = _collect_late(spark, d)
+    waits = waiting_records(spark, ck).groupBy("topic").agg(F.count(F.lit(1)).alias("waiting"))
+    return (collected_jobs(spark, ck).select("topic", "revision", "job_name").join(waits, "topic", "full")
+            .fillna(0, ["waiting"]))
+
+
 def job_state_stream(spark: SparkSession, d: str) -> DataFrame:
-    """S7 -> T1: the change feed folded by a streaming aggregate, then A4.  The
-    second run reads the feed from its start again with a new checkpoint."""
-    src, state, *cks = (scratch_path(spark, n) for n in ("changes", "state", "ckpt", "ckpt"))
+    """S7 -> T1: the change feed folded by a streaming aggregate in two runs,
+    then A4 over its state."""
+    src, ck = (scratch_path(spark, n) for n in ("changes", "ckpt"))
     ch = D.changes(spark, d).repartitionByRange(4, "revision")
-    for half, ck in zip((F.col("revision") % 2 == 0, F.col("revision") % 2 == 1), cks):
+    for half in (F.col("revision") % 2 == 0, F.col("revision") % 2 == 1):
         ch.filter(half).write.mode("append").parquet(src)
-        fold_changes(readers.read_job_changes(spark, src, max_files_per_trigger=2), state, ck,
+        fold_changes(readers.read_job_changes(spark, src, max_files_per_trigger=2), ck,
                      trigger={"availableNow": True}).awaitTermination()
-    return current_jobs(spark, state)
+    return current_jobs(spark, ck)
+
+
+def running_topics_stream(spark: SparkSession, d: str) -> DataFrame:
+    """T1 -> A5: job events folded by topic, the table read from the state."""
+    src, ck = (scratch_path(spark, n) for n in ("changes", "ckpt"))
+    D.changes(spark, d).repartitionByRange(3, "revision").write.parquet(src)
+    fold_running(readers.read_job_changes(spark, src, max_files_per_trigger=2), ck,
+                 trigger={"availableNow": True}).awaitTermination()
+    return current_running(spark, ck).select("topic", "revision", "key", "job_name", "index_type", "pipeline")
+
+
+def _by_time(df: DataFrame, path: str, parts: int) -> str:
+    """``df`` as files of rising ``ts``, written one after another."""
+    lo, hi = df.agg(F.min(micros("ts")), F.max(micros("ts"))).first()
+    part = F.least(F.floor((micros("ts") - lo) * parts / max(hi - lo, 1)), F.lit(parts - 1))
+    for k in range(parts):
+        df.filter(part == k).coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+def _write_stream(df: DataFrame, out: str, ck: str) -> None:
+    with operator_state(df.sparkSession):
+        q = (df.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck)
+             .outputMode("append").trigger(availableNow=True).start())
+    q.awaitTermination()
+
+
+def flush_batches_stream(spark: SparkSession, d: str) -> DataFrame:
+    """W1 on a stream: ticks whose records come in several micro-batches are
+    cut as the whole table is."""
+    src, out, ck = (scratch_path(spark, n) for n in ("records", "flushed", "ckpt"))
+    recs = D.records(spark, d)
+    for k in range(2):  # by offset: the two halves share ticks
+        last = recs.groupBy("topic", "partition").agg((F.max("offset") / 2).alias("half"))
+        half = recs.join(last, ["topic", "partition"]).filter((F.col("offset") > F.col("half")) == F.lit(k == 1))
+        half.drop("half").coalesce(1).write.mode("append").parquet(src)
+    stream = readers.read_topics(spark, path=src, max_files_per_trigger=1)
+    cut = assign_batches_stream(stream, max_rows=FLUSH_ROWS, max_wait=FLUSH_WAIT)
+    _write_stream(cut.select("topic", "partition", "offset", "tick", "batch_seq"), out, ck)
+    back = spark.read.schema("topic string, partition int, offset long, tick long, batch_seq long").parquet(out)
+    return batching.flush_counts(back, max_wait=FLUSH_WAIT)
+
+
+def throughput_live(spark: SparkSession, d: str) -> DataFrame:
+    """A2 as one stream of chained stateful operators."""
+    src, feed, out, ck = (scratch_path(spark, n) for n in ("records", "changes", "report", "ckpt"))
+    recs, ch = D.records(spark, d), D.changes(spark, d)
+    _by_time(recs, src, 3)
+    _by_time(ch, feed, 3)
+    # the clock goes on: a last record and event close the ticks before them
+    end = F.greatest(recs.agg(F.max("ts")).scalar(), ch.agg(F.max("ts")).scalar()) + F.expr("interval 2 days")
+    (recs.limit(1).select(F.lit("-").alias("topic"), "partition", "offset", end.alias("ts"), "value")
+     .write.mode("append").parquet(src))
+    (ch.limit(1).select("revision", F.lit("DELETE").alias("op"), F.concat("key", F.lit("-clock")).alias("key"),
+                        F.lit(None).cast("string").alias("value"), end.alias("ts")).write.mode("append").parquet(feed))
+    report = throughput_stream(readers.read_topics(spark, path=src, max_files_per_trigger=1),
+                               topic_events(readers.read_job_changes(spark, feed, max_files_per_trigger=1)), REPORT_EVERY)
+    _write_stream(report, out, ck)
+    return spark.read.schema("tick timestamp_ntz, rows long, rows_total long, jobs long").parquet(out)
 
 
 def daily_log_files(spark: SparkSession, d: str) -> DataFrame:
@@ -596,6 +674,10 @@ QUERIES.update({
     "request_stream": request_stream,
     "collect_stream": collect_stream,
     "collect_late_job": collect_late_job,
+    "collector_state": collector_state,
+    "running_topics_stream": running_topics_stream,
+    "flush_batches_stream": flush_batches_stream,
+    "throughput_live": throughput_live,
     "job_state_stream": job_state_stream,
     "daily_log_files": daily_log_files,
     "fan_out_sinks": fan_out_sinks,
@@ -633,6 +715,21 @@ ORACLE.update({
         SELECT 'json' AS sink, event_type AS topic, count(*) AS records FROM events GROUP BY ALL""",
 })
 ORACLE["request_stream"] = ORACLE["request_topics"]
+ORACLE["running_topics_stream"] = ORACLE["running_topics"]
+ORACLE["flush_batches_stream"] = ORACLE["flush_batches"]
+ORACLE["throughput_live"] = ORACLE["throughput"]
+ORACLE["collector_state"] = _with(f"""
+        SELECT coalesce(l.topic, w.topic) AS topic, l.revision, l.job_name, coalesce(w.waiting, 0) AS waiting
+        FROM running l FULL JOIN (
+            SELECT topic, count(*) AS waiting FROM records r
+            WHERE NOT EXISTS (SELECT 1 FROM running l WHERE l.topic = r.topic)
+              AND NOT (r."offset" % 2 = 0 AND EXISTS (SELECT 1 FROM early e WHERE e.topic = r.topic))
+            GROUP BY topic) w ON l.topic = w.topic""", ["records", "changes"], _EV + [
+                ("running", _RUNNING),
+                ("early", f"""
+        SELECT topic FROM events
+        WHERE revision <= (SELECT max(revision) // {LATE_PART} FROM changes)
+        QUALIFY row_number() OVER (PARTITION BY topic ORDER BY revision DESC) = 1 AND event_type = 1""")])
 ORACLE["log_fan_out"] = _with(f"""
     SELECT 'console' AS sink, CAST(ts AS DATE) AS day, count(*) AS lines FROM log_messages
     WHERE level <= {MAX_LEVEL} GROUP BY 2

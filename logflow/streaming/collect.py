@@ -1,46 +1,61 @@
 """The continuous collector (T2): topic records -> job -> flush batches ->
 index names -> transforms -> index sink.
 
-One ``foreachBatch`` per trigger: the job table is re-read for every
-micro-batch (so a job change applies from the next batch), records are routed
-to their topic's job, cut into flush batches (W1) and written by an idempotent
-sink.  Positions are committed to the checkpoint after the sink returns.
-
-Records of a topic without a job are not lost: they are parked under the
-micro-batch's id (``Parked``) and delivered by the first micro-batch that
-finds a job for their topic.  Flush batches are numbered inside one
-micro-batch, so ``batch_id, topic, partition, tick, batch_seq`` names one.
+Records and job events are one stream.  A stateful operator keyed by topic
+holds the job in force (a value) and the records that wait for one (a list):
+a micro-batch first applies its events, highest revision last, then sends
+the waiting records and its own on with the job, or keeps them.  A job that
+appears, changes or stops takes effect in the micro-batch that reads its
+event, and wakes the records that waited for it; a record is delivered once,
+because its place in the list is part of the state that the micro-batch
+commits.  Records without a topic wait for ever.
+
+A topic may hold a third of all records, so its records are dealt over
+``shards`` keys, each of which gets every event of the topic (events are few).
+A key's share of a micro-batch is what a task holds; the trigger's limits on
+the sources bound it.
+
+Documents are written by an idempotent ``foreachBatch`` sink.  Flush batches
+are numbered inside one micro-batch, so ``batch_id, topic, partition, tick,
+batch_seq`` names one; ``flush.assign_batches_stream`` numbers them across
+micro-batches.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 from pyspark.sql.types import TimestampType
 
 from logflow import schemas
-from logflow.functions.timefmt import as_utc_ntz, index_name
+from logflow.functions.timefmt import as_utc_ntz, from_micros, index_name, micros
 from logflow.operators import batching, ingest, routing
+from logflow.operators.jobs import EVENT_SAVE
 from logflow.sinks.writers import BatchSink
-from logflow.streaming.registry import file_system
+from logflow.streaming.state import operator_state, read_state
 
-JobTable = DataFrame | Callable[[], DataFrame]
+SHARDS = 16
+JOB_STATE = "revision long, event_type int, key string, job_name string, index_type string, pipeline string"
+WAITING = "partition int, offset long, us long, value binary"
+ROUTED = f"topic string, {WAITING}, job_name string, index_type string, pipeline string"
+#: Stands for null in columns that pass through pandas as whole numbers.
+NO_TIME = -(1 << 63)
 
 
-def collect_batch(records: DataFrame, jobs: DataFrame, max_rows: int = batching.MAX_ROWS,
+def collect_batch(routed: DataFrame, max_rows: int = batching.MAX_ROWS,
                   max_wait: str | float = batching.MAX_WAIT, index_time: str = "processing",
                   transforms: Mapping[str, routing.RowTransform | Callable[[DataFrame], DataFrame]] | None = None) -> DataFrame:
-    """One micro-batch of the collector as a DataFrame of documents.
+    """Records that have their job's fields (``routing.route``), as documents.
 
     ``index_time="processing"`` names indexes by the flush time (one clock
     value per micro-batch, as a collector's clock at flush); ``"record"``
     uses each record's time, which makes replays reproducible.
     """
-    routed = ingest.decode_value(routing.route(records, jobs))
-    b = batching.assign_batches(routed, max_rows=max_rows, max_wait=max_wait)
+    b = batching.assign_batches(ingest.decode_value(routed), max_rows=max_rows, max_wait=max_wait)
     if index_time == "processing":
         when = as_utc_ntz(F.current_timestamp(), TimestampType())
     else:
@@ -51,101 +66,110 @@ def collect_batch(records: DataFrame, jobs: DataFrame, max_rows: int = batching.
     return docs.select("index", "pipeline", "doc", "topic", "partition", "offset", "tick", "batch_seq")
 
 
-class Parked:
-    """Records that wait for a job of their topic.
-
-    Three tables under ``path``, each with a folder per micro-batch that a
-    replay overwrites: ``rows`` (the records, sorted by topic), ``parts`` (the
-    topics among them) and ``drained`` (topics whose earlier parts the
-    micro-batch delivers).  A micro-batch looks only at folders of smaller
-    ids, so its replay sees what its first attempt saw; finding what is
-    due reads ``parts`` and ``drained``, one row a topic and micro-batch, and
-    only the due folders of ``rows``.  The folders belong to one checkpoint,
-    whose batch ids they carry.
-    """
-
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
-
-    def _exists(self, path: str) -> bool:
-        fs, p = file_system(self.spark, path)
-        return fs.exists(p)
-
-    def _read(self, name: str, schema: str, before: int) -> DataFrame:
-        path = f"{self.path}/{name}"
-        if not self._exists(path):
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(path).filter(F.col("batch_id") < before)
-
-    def _write(self, df: DataFrame, name: str, batch_id: int) -> None:
-        path = f"{self.path}/{name}/batch_id={batch_id}"
-        # nothing to store needs no folder, unless an earlier attempt left one
-        if self._exists(path) or not df.isEmpty():
-            df.write.mode("overwrite").parquet(path)
-
-    def waiting(self, batch_id: int) -> DataFrame:
-        """``topic, batch_id`` of the parts that no micro-batch before
-        ``batch_id`` delivered."""
-        done = self._read("drained", "topic string, batch_id long", batch_id).groupBy("topic").agg(
-            F.max("batch_id").alias("__done"))
-        kept = self._read("parts", "topic string, batch_id long", batch_id).join(done, "topic", "left")
-        return (kept.filter(F.col("__done").isNull() | (F.col("batch_id") > F.col("__done")))
-                .select("topic", "batch_id"))
-
-    def rows(self, due: DataFrame, batch_id: int) -> DataFrame:
-        """The records of the parts in ``due``."""
-        names = schemas.RECORDS.fieldNames()
-        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schemas.RECORDS.fields)
-        rows = self._read("rows", f"{schema}, batch_id long", batch_id)
-        return rows.join(due, ["topic", "batch_id"], "left_semi").select(*names)
-
-    def step(self, batch: DataFrame, jobs: DataFrame, batch_id: int) -> DataFrame:
-        """Park the records without a job and return ``batch`` with the
-        parked records that have one by now."""
-        batch = batch.select(*schemas.RECORDS.fieldNames())
-        topics = jobs.select("topic").distinct()
-        new = batch.join(topics, "topic", "left_anti")
-        self._write(new.repartition("topic", "partition").sortWithinPartitions("topic"), "rows", batch_id)
-        self._write(new.select("topic").distinct(), "parts", batch_id)
-        due = self.waiting(batch_id).join(topics, "topic", "left_semi")
-        self._write(due.select("topic").distinct(), "drained", batch_id)
-        if not self._exists(f"{self.path}/drained/batch_id={batch_id}"):
-            return batch
-        return batch.unionByName(self.rows(due, batch_id))
-
-
-def collect(records: DataFrame, jobs: JobTable, sink: BatchSink, checkpoint: str,
-            trigger: dict | None = None, parked: str | None = None, wake: DataFrame | None = None,
-            **kwargs) -> StreamingQuery:
-    """Start the collector on a streaming ``records`` DataFrame.
-
-    ``jobs`` is a DataFrame or a function returning the current job table
-    (one job per topic, such as ``registry.current_running``); a function is
-    called once for every micro-batch.  ``parked`` is the folder of the
-    records without a job, by default beside the checkpoint; it belongs to
-    that checkpoint.  ``wake`` is a stream whose new rows start a
-    micro-batch, such as the change feed of the registry: with it, parked
-    records are delivered when their job appears, without it together with
-    the next record of any topic.  ``trigger`` defaults to one micro-batch
-    per second, the reference's flush timer.
+class TopicCollector(StatefulProcessor):
+    """State of one (topic, shard): its job, and the records without one."""
+
+    def init(self, handle) -> None:
+        self.job = handle.getValueState("job", JOB_STATE)
+        self.waiting = handle.getListState("waiting", WAITING)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        job = self.job.get() if self.job.exists() else None
+        parts, newest = [], None
+        for pdf in rows:
+            events = pdf[pdf["is_event"]]
+            if len(events):
+                last = events.loc[events["revision"].idxmax()]
+                if newest is None or last["revision"] > newest["revision"]:
+                    newest = last
+            parts.append(pdf.loc[~pdf["is_event"], ["partition", "offset", "us", "value"]])
+        if newest is not None and (job is None or int(newest["revision"]) > job[0]):
+            job = (int(newest["revision"]), int(newest["event_type"]),
+                   *(newest[c] for c in ("key", "job_name", "index_type", "pipeline")))
+            self.job.update(job)
+        mine = pd.concat(parts)
+        if job is None or job[1] != EVENT_SAVE:
+            if len(mine):
+                self.waiting.appendList(list(mine.itertuples(index=False, name=None)))
+            return
+        if self.waiting.exists():
+            held = pd.DataFrame(list(self.waiting.get()), columns=mine.columns)
+            self.waiting.clear()
+            mine = pd.concat([held, mine])
+        if len(mine):
+            yield pd.DataFrame({"topic": key[0], **{c: mine[c].to_numpy() for c in mine.columns},
+                                "job_name": job[3], "index_type": job[4], "pipeline": job[5]})
+
+    def close(self) -> None:
+        pass
+
+
+def _one_stream(records: DataFrame, events: DataFrame, shards: int) -> DataFrame:
+    """Records and events as rows of one shape, dealt over shards."""
+    def row(is_event: bool, **known: Column) -> list[Column]:
+        whole = {"revision": "long", "event_type": "int", "partition": "int", "offset": "long", "us": "long"}
+        text = {c: "string" for c in ("key", "job_name", "index_type", "pipeline")} | {"value": "binary"}
+        return [F.lit(is_event).alias("is_event"),
+                *[F.coalesce(known.get(c, F.lit(-1)).cast(t), F.lit(-1).cast(t)).alias(c) for c, t in whole.items()],
+                *[known.get(c, F.lit(None)).cast(t).alias(c) for c, t in text.items()]]
+
+    shard = F.pmod(F.xxhash64("partition", "offset"), F.lit(shards)).cast("int")
+    data = records.select("topic", shard.alias("shard"), *row(
+        False, partition=F.col("partition"), offset=F.col("offset"), us=F.coalesce(micros("ts"), F.lit(NO_TIME)),
+        value=F.col("value")))
+    control = events.select("topic", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), *row(
+        True, **{c: F.col(c) for c in ("revision", "event_type", "key", "job_name", "index_type", "pipeline")}))
+    return data.unionByName(control)
+
+
+def routed_stream(records: DataFrame, events: DataFrame, shards: int = SHARDS) -> DataFrame:
+    """The records of a stream with their topic's job, as soon as it has one.
+    ``events``: a stream of job events (``registry.topic_events``)."""
+    routed = (_one_stream(records, events, shards).groupBy("topic", "shard")
+              .transformWithStateInPandas(TopicCollector(), ROUTED, "Append", "None"))
+    ts = F.when(F.col("us") != NO_TIME, from_micros(F.col("us")))
+    return routed.withColumn("ts", ts).select(*schemas.RECORDS.fieldNames(), "job_name", "index_type", "pipeline")
+
+
+def collect(records: DataFrame, events: DataFrame, sink: BatchSink, checkpoint: str,
+            trigger: dict | None = None, shards: int = SHARDS, **kwargs) -> StreamingQuery:
+    """Start the collector on streams of ``records`` and of job ``events``
+    (``registry.topic_events`` of the change feed).
+
+    ``shards`` belongs to the checkpoint: keep it over restarts.  ``trigger``
+    defaults to one micro-batch per second, the reference's flush timer;
+    other arguments go to ``collect_batch``.
     """
-    waiting = Parked(records.sparkSession, parked or checkpoint.rstrip("/") + "_parked")
-    if wake is not None:
-        none = wake.filter(F.lit(False)).select(
-            *[F.lit(None).cast(f.dataType).alias(f.name) for f in schemas.RECORDS.fields])
-        records = records.select(*schemas.RECORDS.fieldNames()).unionByName(none)
-
     def run(batch: DataFrame, batch_id: int) -> None:
-        table = jobs() if callable(jobs) else jobs
-        # a micro-batch is bounded by the trigger; cache it because it is read
-        # for parking and twice for the flush cut
+        # bounded by the trigger; kept because the flush cut reads it twice
         batch.persist()
         try:
-            sink(collect_batch(waiting.step(batch, table, batch_id), table, **kwargs), batch_id)
+            sink(collect_batch(batch, **kwargs), batch_id)
         finally:
             batch.unpersist()
 
-    return (records.writeStream.foreachBatch(run)
-            .option("checkpointLocation", checkpoint)
-            .trigger(**(trigger or {"processingTime": "1 second"}))
-            .start())
+    with operator_state(records.sparkSession):
+        return (routed_stream(records, events, shards).writeStream.foreachBatch(run)
+                .option("checkpointLocation", checkpoint)
+                .trigger(**(trigger or {"processingTime": "1 second"}))
+                .start())
+
+
+def collected_jobs(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """Topics that the collector runs, with the job in force (A5), from its
+    state.  Every shard has the job; shard 0 speaks for all."""
+    state = read_state(spark, checkpoint, variable="job")
+    if state is None:
+        return spark.createDataFrame([], "topic string, " + JOB_STATE).drop("event_type")
+    return (state.where("key.shard = 0").select("key.topic", "value.*").where(F.col("event_type") == EVENT_SAVE)
+            .drop("event_type"))
+
+
+def waiting_records(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """Records that wait for a job of their topic, from the collector's state."""
+    state = read_state(spark, checkpoint, variable="waiting", rows="list_element")
+    if state is None:
+        return spark.createDataFrame([], schemas.RECORDS)
+    rows = state.select("key.topic", "value.*")
+    return rows.withColumn("ts", F.when(F.col("us") != NO_TIME, from_micros(F.col("us")))).select(
+        *schemas.RECORDS.fieldNames())

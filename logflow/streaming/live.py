@@ -6,12 +6,18 @@ engine's times are UTC TIMESTAMP_NTZ, converted here at the edge.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor
 from pyspark.sql.types import TimestampType
 
-from logflow.functions.timefmt import as_utc_ntz, seconds
+from logflow.functions.timefmt import as_utc_ntz, micros, seconds, tick_start
 from logflow.operators.claims import LEASE
+from logflow.operators.jobs import EVENT_SAVE
 from logflow.operators.metrics import REPORT_EVERY
 
 
@@ -49,5 +55,93 @@ def tick_counts_stream(records: DataFrame, every: str = REPORT_EVERY, late: str
     return g.select(as_utc_ntz(F.col("__w.start"), TimestampType(), spark).alias("ts"), "rows")
 
 
+class Report(StatefulProcessor):
+    """Running total over closed ticks, with the empty ticks between them and
+    the number of running jobs at each tick's end."""
+
+    def init(self, handle) -> None:
+        self.last = handle.getValueState("last", "tick long, total long, jobs long")
+        self.deltas = handle.getMapState("deltas", "tick long", "jobs long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        pdf = pd.concat(list(rows))
+        last = self.last.get() if self.last.exists() else None
+        changed = pdf[pdf["is_delta"]].groupby("tick")["n"].sum()
+        for tick, n in changed.items():
+            had = self.deltas.getValue((int(tick),))[0] if self.deltas.containsKey((int(tick),)) else 0
+            self.deltas.updateValue((int(tick),), (had + int(n),))
+        closed = pdf[~pdf["is_delta"]].sort_values("tick")
+        if not len(closed):
+            return
+        first = last[0] + 1 if last else int(closed["tick"].iloc[0])
+        ticks = np.arange(first, int(closed["tick"].iloc[-1]) + 1)
+        counts = np.zeros(len(ticks), dtype=np.int64)
+        counts[closed["tick"].to_numpy() - first] = closed["n"].to_numpy()
+        total = np.cumsum(counts) + (last[1] if last else 0)
+        steps = np.zeros(len(ticks), dtype=np.int64)
+        base = last[2] if last else 0
+        for (tick,), (n,) in list(self.deltas.iterator()):
+            if tick <= ticks[-1]:  # at the end of its tick, or before the first
+                steps[max(tick - first, 0)] += n
+                self.deltas.removeKey((tick,))
+        jobs = np.cumsum(steps) + base
+        self.last.update((int(ticks[-1]), int(total[-1]), int(jobs[-1])))
+        yield pd.DataFrame({"tick": ticks, "rows": counts, "rows_total": total, "jobs": jobs})
+
+    def close(self) -> None:
+        pass
+
+
+class Transitions(StatefulProcessor):
+    """+1 / -1 for each event that starts or stops a topic."""
+
+    def init(self, handle) -> None:
+        self.running = handle.getValueState("running", "revision long, running boolean")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        pdf = pd.concat(list(rows)).sort_values("revision")
+        seen, running = self.running.get() if self.running.exists() else (-1, False)
+        pdf = pdf[pdf["revision"] > seen]
+        if not len(pdf):
+            return
+        now = (pdf["event_type"] == EVENT_SAVE).to_numpy()
+        step = now.astype(np.int64) - np.concatenate([[running], now[:-1]]).astype(np.int64)
+        self.running.update((int(pdf["revision"].iloc[-1]), bool(now[-1])))
+        yield pdf.assign(n=step).loc[step != 0, ["tick", "n", "at"]]
+
+    def close(self) -> None:
+        pass
+
+
+def throughput_stream(records: DataFrame, events: DataFrame, every: str = REPORT_EVERY,
+                      late: str = "0 seconds") -> DataFrame:
+    """A2 as one stream: ``tick, rows, rows_total, jobs`` for every tick that
+    the watermark has closed, empty ones between them included.
+
+    Three stateful operators in a chain: rows counted by tick (a window, so a
+    hot topic's rows are combined before they are dealt), job events turned to
+    steps by topic, and a report over the closed ticks, whose input is one row
+    a tick and one a step.  ``events`` is a stream of job events
+    (``registry.topic_events``); each topic's come by rising revision.  Start
+    the query inside ``state.operator_state``, in append mode.
+    """
+    spark = records.sparkSession
+    width = int(round(seconds(every) * 1_000_000))
+    t = records.withColumn("__t", instant("ts", spark)).withWatermark("__t", late)
+    per = t.groupBy(F.window("__t", _dur(every)).alias("__w")).agg(F.count(F.lit(1)).alias("n"))
+    start = micros(as_utc_ntz(F.col("__w.start"), TimestampType(), spark))
+    closed = per.select(F.lit(False).alias("is_delta"), F.floor(start / width).cast("long").alias("tick"), "n",
+                        F.window_time("__w").alias("at"))
+    # seen by the sampler at a tick's end: an event at the very end counts
+    e = events.select("topic", "revision", "event_type", F.floor((micros("ts") - 1) / width).cast("long").alias("tick"),
+                      instant("ts", spark).alias("at")).withWatermark("at", late)
+    steps = (e.groupBy("topic").transformWithStateInPandas(
+        Transitions(), "tick long, n long, at timestamp", "Append", "EventTime", eventTimeColumnName="at")
+        .select(F.lit(True).alias("is_delta"), "tick", "n", "at"))
+    rows = closed.unionByName(steps).withColumn("report", F.lit(0)).groupBy("report").transformWithStateInPandas(
+        Report(), "tick long, rows long, rows_total long, jobs long", "Append", "None")
+    return rows.select(tick_start("tick", every).alias("tick"), "rows", "rows_total", "jobs")
+
+
 def _dur(interval: str) -> str:
     return f"{int(round(seconds(interval) * 1_000_000))} microseconds"

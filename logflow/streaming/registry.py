@@ -1,138 +1,72 @@
-"""Registry change feed folded into stored tables (T1, streaming).
-
-A streaming ``max_by`` aggregate keeps the last change per key in the state
-store; each micro-batch emits the keys it changed (update mode) and
-``foreachBatch`` stores them as the next part of the table.  Parts are
-numbered: most hold only the changed keys (``d=N``), every ``compact_every``-th
-holds the whole table (``v=N``).  A reader takes the newest whole part and the
-changed keys after it, and keeps the highest revision per key.
-
-That merge gives the same table in whatever order and however often a change
-is stored, so a replayed micro-batch, or a new checkpoint that reads the feed
-from its start again, only adds parts that change nothing.  Part numbers do
-not depend on batch ids.  Deleted keys stay as tombstones
-(``op = 'DELETE'``), so a late change of an older revision cannot bring them
-back.
-
-Two tables are kept this way: the changes by key (``fold_changes``, listed by
-``current_jobs``) and the job events by topic (``fold_running``, listed by
-``current_running``), which is the job table of the collector.
+"""Registry change feed folded into a table (T1, A5 on a stream).
+
+A streaming ``max_by`` aggregate keeps the last change of each key, or the
+last job event of each topic, in the query's state; the state itself is the
+table, read by ``current_jobs`` and ``current_running`` through Spark's state
+data source.  Nothing else is written: no parts, no compaction, no retention.
+
+A row keeps the highest revision, so the order in which changes arrive, a
+replayed micro-batch, or a new checkpoint that reads the feed from its start
+give the same table.  Deleted keys stay as rows with ``op = 'DELETE'``, so a
+late change of an older revision cannot bring them back.
 """
 
 from __future__ import annotations
 
-import time
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from logflow import schemas
 from logflow.functions.keys import JOBS_PREFIX
-from logflow.functions.timefmt import seconds
 from logflow.operators import jobs as J
-
-VERSION_DIGITS = 20
-COMPACT_EVERY = 60
-KEEP_FOR = "1 hour"
-
-
-def file_system(spark: SparkSession, path: str):
-    """Hadoop file system and path object of a folder."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+from logflow.streaming.state import read_state
 
 
-def parts(spark: SparkSession, path: str) -> list[tuple[int, str, float]]:
-    """Complete parts (with a success marker) of a stored table in ascending
-    order: number, folder name, time of completion."""
-    fs, p = file_system(spark, path)
-    if not fs.exists(p):
-        return []
-    out = []
-    for st in fs.listStatus(p):
-        name, done = st.getPath().getName(), st.getPath().suffix("/_SUCCESS")
-        if name[:2] in ("v=", "d=") and fs.exists(done):
-            out.append((int(name[2:]), name, fs.getFileStatus(done).getModificationTime() / 1000))
-    return sorted(out)
+def _fold(rows: DataFrame, key: str, checkpoint: str, trigger: dict | None) -> StreamingQuery:
+    rest = [c for c in rows.columns if c != key]
+    last = rows.groupBy(key).agg(F.max_by(F.struct(*rest), "revision").alias("last"))
+    return (last.writeStream.outputMode("update").format("noop").option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"processingTime": "1 second"})).start())
 
 
-def read_state(spark: SparkSession, path: str, key: str = "key", schema=schemas.CHANGES) -> DataFrame:
-    """The table as of the newest complete part; empty if there is none."""
-    have = parts(spark, path)
-    if not have:
+def _folded(spark: SparkSession, checkpoint: str, key: str, schema) -> DataFrame:
+    state = read_state(spark, checkpoint)
+    if state is None:
         return spark.createDataFrame([], schema)
-    whole = [k for k, (_, name, _) in enumerate(have) if name.startswith("v=")]
-    have = have[whole[-1]:] if whole else have
-    rows = spark.read.schema(schema).parquet(*[f"{path}/{name}" for _, name, _ in have])
-    return rows if len(have) == 1 else _latest(rows, key)
+    # the aggregate's buffer: the row of the highest revision, and the revision
+    row = state.schema["value"].dataType.fields[0].name
+    return state.select(f"key.{key}", f"value.{row}.*").select(*schema.fieldNames())
 
 
-def _latest(rows: DataFrame, key: str) -> DataFrame:
-    rest = [c for c in rows.columns if c != key]
-    last = rows.groupBy(key).agg(F.max_by(F.struct(*rest), "revision").alias("__l"))
-    return last.select(key, "__l.*").select(*rows.columns)
-
-
-def drop_old_parts(spark: SparkSession, path: str, keep_for: str | float) -> None:
-    """Delete the parts before the newest whole one that is older than
-    ``keep_for``: a reader that listed the table less than ``keep_for`` ago
-    uses none of them."""
-    have = parts(spark, path)
-    limit = time.time() - seconds(keep_for)
-    floor = max((n for n, name, done in have if name.startswith("v=") and done <= limit), default=0)
-    fs, p = file_system(spark, path)
-    for n, name, _ in have:
-        if n < floor:
-            fs.delete(p.suffix("/" + name), True)
-
-
-def _fold(rows: DataFrame, key: str, schema, state_path: str, checkpoint: str, trigger: dict | None,
-          compact_every: int, keep_for: str | float) -> StreamingQuery:
-    spark, names = rows.sparkSession, schema.fieldNames()
-    rest = [c for c in names if c != key]
-    latest = rows.groupBy(key).agg(F.max_by(F.struct(*rest), "revision").alias("__l"))
-
-    def store(batch: DataFrame, batch_id: int) -> None:
-        changed = batch.select(key, "__l.*").select(*names)
-        have = parts(spark, state_path)
-        n = have[-1][0] + 1 if have else 0
-        if n % compact_every == 0:
-            table = _latest(read_state(spark, state_path, key, schema).unionByName(changed), key)
-            table.write.mode("overwrite").parquet(f"{state_path}/v={n:0{VERSION_DIGITS}d}")
-            drop_old_parts(spark, state_path, keep_for)
-        else:
-            changed.write.mode("overwrite").parquet(f"{state_path}/d={n:0{VERSION_DIGITS}d}")
-
-    return (latest.writeStream.outputMode("update").foreachBatch(store)
-            .option("checkpointLocation", checkpoint)
-            .trigger(**(trigger or {"processingTime": "1 second"})).start())
+def fold_changes(changes: DataFrame, checkpoint: str, prefix: str = JOBS_PREFIX,
+                 trigger: dict | None = None) -> StreamingQuery:
+    """Start the fold by key: the last change of each."""
+    rows = J.read_jobs(changes, prefix).select(*schemas.CHANGES.fieldNames())
+    return _fold(rows, "key", checkpoint, trigger)
 
 
-def fold_changes(changes: DataFrame, state_path: str, checkpoint: str, prefix: str = JOBS_PREFIX,
-                 trigger: dict | None = None, compact_every: int = COMPACT_EVERY,
-                 keep_for: str | float = KEEP_FOR) -> StreamingQuery:
-    """Start the fold by key.  Every ``compact_every``-th micro-batch stores
-    the whole table; parts that it replaces are deleted when it is older than
-    ``keep_for``."""
-    return _fold(J.read_jobs(changes, prefix), "key", schemas.CHANGES, state_path, checkpoint, trigger,
-                 compact_every, keep_for)
+def current_changes(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The last change of every key, as of the last committed micro-batch."""
+    return _folded(spark, checkpoint, "key", schemas.CHANGES)
 
 
-def current_jobs(spark: SparkSession, state_path: str, prefix: str = JOBS_PREFIX) -> DataFrame:
+def current_jobs(spark: SparkSession, checkpoint: str, prefix: str = JOBS_PREFIX) -> DataFrame:
     """Listed jobs of the folded table (A4 over T1)."""
-    return J.job_state(read_state(spark, state_path), prefix)
+    return J.job_state(current_changes(spark, checkpoint), prefix)
+
+
+def topic_events(changes: DataFrame, prefix: str = JOBS_PREFIX) -> DataFrame:
+    """Job events of a change feed (stream or table), one row each."""
+    return J.to_job_events(changes, prefix).select(*schemas.TOPIC_EVENTS.fieldNames())
 
 
-def fold_running(changes: DataFrame, state_path: str, checkpoint: str, prefix: str = JOBS_PREFIX,
-                 trigger: dict | None = None, compact_every: int = COMPACT_EVERY,
-                 keep_for: str | float = KEEP_FOR) -> StreamingQuery:
+def fold_running(changes: DataFrame, checkpoint: str, prefix: str = JOBS_PREFIX,
+                 trigger: dict | None = None) -> StreamingQuery:
     """Start the fold of job events by topic: the last SAVE or DELETE of each."""
-    events = J.to_job_events(changes, prefix).select(*schemas.TOPIC_EVENTS.fieldNames())
-    return _fold(events, "topic", schemas.TOPIC_EVENTS, state_path, checkpoint, trigger, compact_every, keep_for)
+    return _fold(topic_events(changes, prefix), "topic", checkpoint, trigger)
 
 
-def current_running(spark: SparkSession, state_path: str) -> DataFrame:
+def current_running(spark: SparkSession, checkpoint: str) -> DataFrame:
     """Running topics with the job in force (A5 over T1)."""
-    return J.running_topics(read_state(spark, state_path, "topic", schemas.TOPIC_EVENTS))
+    return J.running_topics(_folded(spark, checkpoint, "topic", schemas.TOPIC_EVENTS))

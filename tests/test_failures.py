@@ -13,6 +13,7 @@ from logflow.sinks import writers
 from logflow.sources import derived as D
 from logflow.sources import readers
 from logflow.streaming.collect import collect
+from logflow.streaming.registry import topic_events
 
 
 def _tmp():
@@ -20,8 +21,9 @@ def _tmp():
 
 
 def test_failed_batch_is_replayed_without_loss_or_duplicates(spark):
-    src, out, ck = _tmp() + "/src", _tmp() + "/out", _tmp() + "/ck"
+    src, out, ck, feed = _tmp() + "/src", _tmp() + "/out", _tmp() + "/ck", _tmp() + "/feed"
     recs = D.records(spark, SF)
+    D.changes(spark, SF).write.parquet(feed)
     current = jobs.running_topics(jobs.to_job_events(D.changes(spark, SF)))
     recs.repartition(4, "topic", "partition").write.parquet(src)
     good = writers.index_writer(out)
@@ -34,11 +36,12 @@ def test_failed_batch_is_replayed_without_loss_or_duplicates(spark):
             raise RuntimeError("executor lost after the write")  # ... but the batch is not committed
 
     stream = readers.read_topics(spark, path=src, max_files_per_trigger=1)
-    q = collect(stream, current, flaky, ck, trigger={"availableNow": True}, index_time="record")
+    events = topic_events(readers.read_job_changes(spark, feed))
+    q = collect(stream, events, flaky, ck, trigger={"availableNow": True}, index_time="record")
     with pytest.raises(Exception):
         q.awaitTermination()
     stream = readers.read_topics(spark, path=src, max_files_per_trigger=1)
-    collect(stream, current, good, ck, trigger={"availableNow": True}, index_time="record").awaitTermination()
+    collect(stream, events, good, ck, trigger={"availableNow": True}, index_time="record").awaitTermination()
     back = writers.read_index(spark, out, "topic string, partition int, offset long")
     want = recs.join(current.select("topic"), "topic").count()
     assert back.count() == want

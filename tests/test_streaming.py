@@ -3,16 +3,20 @@
 import datetime as dt
 import tempfile
 
+import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
+from logflow import schemas
 from logflow.functions.keys import JOBS_PREFIX
 from logflow.operators import jobs
 from logflow.sinks import writers
 from logflow.sources import derived as D
 from logflow.sources import readers
-from logflow.streaming.collect import Parked, collect
+from logflow.streaming.collect import collect, collected_jobs, waiting_records
 from logflow.streaming.live import liveness_stream
-from logflow.streaming.registry import current_jobs, current_running, fold_changes, fold_running, parts
+from logflow.streaming.registry import current_jobs, current_running, fold_changes, fold_running, topic_events
+from logflow.streaming.state import operator_state
 
 from conftest import SF
 
@@ -21,19 +25,27 @@ def _tmp():
     return tempfile.mkdtemp(prefix="logflow-test-")
 
 
+def _events_of(spark, changes):
+    """A stream of the job events of a change feed."""
+    feed = _tmp() + "/feed"
+    changes.write.parquet(feed)
+    return topic_events(readers.read_job_changes(spark, feed))
+
+
 def test_collect_stream_equals_batch_and_restarts(spark):
     src, out, ck = _tmp() + "/src", _tmp() + "/out", _tmp() + "/ck"
     recs = D.records(spark, SF)
     current = jobs.running_topics(jobs.to_job_events(D.changes(spark, SF)))
+    events = _events_of(spark, D.changes(spark, SF))
     recs.repartition(2, "topic").write.parquet(src)
     stream = readers.read_topics(spark, path=src, max_files_per_trigger=1)
     sink = writers.index_writer(out)
-    collect(stream, current, sink, ck, trigger={"availableNow": True}, index_time="record").awaitTermination()
+    collect(stream, events, sink, ck, trigger={"availableNow": True}, index_time="record").awaitTermination()
     # more data arrives; the restarted query reads only the new files
     more = recs.filter(F.col("offset") < 3)
     more.withColumn("offset", F.col("offset") + 1_000_000).write.mode("append").parquet(src)
     stream = readers.read_topics(spark, path=src, max_files_per_trigger=1)
-    collect(stream, current, sink, ck, trigger={"availableNow": True}, index_time="record").awaitTermination()
+    collect(stream, events, sink, ck, trigger={"availableNow": True}, index_time="record").awaitTermination()
     back = writers.read_index(spark, out, "topic string, partition int, offset long")
     n_routed = recs.join(current.select("topic"), "topic").count()
     extra = more.join(current.select("topic"), "topic").count()
@@ -55,88 +67,192 @@ def test_replayed_batch_overwrites(spark):
 
 
 def test_fold_changes_equals_job_state(spark):
-    src, state, ck = _tmp() + "/src", _tmp() + "/state", _tmp() + "/ck"
+    src, ck = _tmp() + "/src", _tmp() + "/ck"
     ch = D.changes(spark, SF)
     ch.repartitionByRange(3, "revision").write.parquet(src)
-    q = fold_changes(readers.read_job_changes(spark, src, max_files_per_trigger=1), state, ck,
-                     trigger={"availableNow": True})
-    q.awaitTermination()
-    assert [name[0] for _, name, _ in parts(spark, state)] == ["v", "d", "d"]
-    got = {tuple(r) for r in current_jobs(spark, state).collect()}
-    want = {tuple(r) for r in jobs.job_state(ch).collect()}
-    assert got == want
-    # a new checkpoint on the old table reads the feed again: nothing changes
+
+    def fold(checkpoint):
+        fold_changes(readers.read_job_changes(spark, src, max_files_per_trigger=1), checkpoint,
+                     trigger={"availableNow": True}).awaitTermination()
+        return {tuple(r) for r in current_jobs(spark, checkpoint).collect()}
+
+    assert fold(ck) == {tuple(r) for r in jobs.job_state(ch).collect()}
+    # the same checkpoint goes on; a new one reads the feed from its start
     more = ch.agg(F.max("revision").alias("revision")).select(
         F.col("revision") + 1, F.lit("PUT"), F.lit(JOBS_PREFIX + "late"), F.lit('{"topic":"late"}'),
         F.lit(dt.datetime(2030, 1, 1)).cast("timestamp_ntz")).toDF(*ch.columns)
     more.write.mode("append").parquet(src)
-    fold_changes(readers.read_job_changes(spark, src, max_files_per_trigger=1), state, _tmp() + "/ck",
-                 trigger={"availableNow": True}, compact_every=2, keep_for=0).awaitTermination()
-    assert {tuple(r) for r in current_jobs(spark, state).collect()} == {
-        tuple(r) for r in jobs.job_state(ch.unionByName(more)).collect()}
-    assert parts(spark, state)[0][0] >= 4  # parts before the last whole one are gone
+    want = {tuple(r) for r in jobs.job_state(ch.unionByName(more)).collect()}
+    assert fold(ck) == want and fold(_tmp() + "/ck") == want
 
 
 def test_fold_running_equals_running_topics(spark):
-    src, state, ck = _tmp() + "/src", _tmp() + "/state", _tmp() + "/ck"
+    src, ck = _tmp() + "/src", _tmp() + "/ck"
     ch = D.changes(spark, SF)
     ch.repartitionByRange(3, "revision").write.parquet(src)
-    fold_running(readers.read_job_changes(spark, src, max_files_per_trigger=1), state, ck,
-                 trigger={"availableNow": True}, compact_every=2).awaitTermination()
+    fold_running(readers.read_job_changes(spark, src, max_files_per_trigger=2), ck,
+                 trigger={"availableNow": True}).awaitTermination()
     want = jobs.running_topics(jobs.to_job_events(ch))
-    got = current_running(spark, state).select(*want.columns)
+    got = current_running(spark, ck).select(*want.columns)
     assert {tuple(r) for r in got.collect()} == {tuple(r) for r in want.collect()}
 
 
+def test_tables_before_the_first_micro_batch_are_empty(spark):
+    src, ck = _tmp() + "/src", _tmp() + "/ck"
+    D.changes(spark, SF).limit(0).write.parquet(src)
+    fold_running(readers.read_job_changes(spark, src), ck, trigger={"availableNow": True}).awaitTermination()
+    assert current_running(spark, ck).count() == 0
+    assert current_jobs(spark, _tmp()).count() == 0 and collected_jobs(spark, _tmp()).count() == 0
+    assert waiting_records(spark, _tmp()).count() == 0
+
+
 RECORD = "topic string, partition int, offset long, ts timestamp_ntz, value binary"
-JOBS = "topic string, job_name string, index_type string, pipeline string"
+CHANGE = "revision long, op string, key string, value string, ts timestamp_ntz"
 
 
-def _records(spark, rows):
-    return spark.createDataFrame([(t, 0, o, dt.datetime(2024, 1, 1), b"{}") for t, o in rows], RECORD)
+class Feed:
+    """A collector over two folders, to which records and changes are added."""
 
+    def __init__(self, spark, sink=None, **options):
+        self.spark, self.options, self.revision = spark, options, 0
+        self.src, self.feed, self.out, self.ck = (_tmp() + "/" + x for x in ("src", "feed", "out", "ck"))
+        self.sink = sink or writers.index_writer(self.out)
+        self.records([])
+        self.changes([])
 
-def _jobs(spark, *topics):
-    return spark.createDataFrame([(t, "j", "", "") for t in topics], JOBS)
+    def records(self, rows):
+        rows = [(t, 0, o, None if t == "z" else dt.datetime(2024, 1, 1), b"{}") for t, o in rows]
+        self.spark.createDataFrame(rows, RECORD).coalesce(1).write.mode("append").parquet(self.src)
+
+    def changes(self, ops):
+        rows = []
+        for op, topic in ops:
+            self.revision += 1
+            value = f'{{"topic":"{topic}","pipeline":"p{self.revision}"}}' if op == "PUT" else None
+            rows.append((self.revision, op, JOBS_PREFIX + topic, value, dt.datetime(2024, 1, 1)))
+        self.spark.createDataFrame(rows, CHANGE).coalesce(1).write.mode("append").parquet(self.feed)
+
+    def run(self):
+        collect(readers.read_topics(self.spark, path=self.src),
+                topic_events(readers.read_job_changes(self.spark, self.feed)), self.sink, self.ck,
+                trigger={"availableNow": True}, index_time="record", **self.options).awaitTermination()
+        got = writers.read_index(self.spark, self.out, "topic string, offset long, pipeline string")
+        return sorted((r.topic, r.offset, r.pipeline) for r in got.collect())
+
+    def waiting(self):
+        return sorted((r.topic or "", r.offset) for r in waiting_records(self.spark, self.ck).collect())
 
 
 def test_records_wait_until_their_topic_has_a_job(spark):
-    src, feed, out, ck = _tmp() + "/src", _tmp() + "/feed", _tmp() + "/out", _tmp() + "/ck"
-    known = ["a"]
-
-    def run():
-        collect(readers.read_topics(spark, path=src), lambda: _jobs(spark, *known), writers.index_writer(out), ck,
-                trigger={"availableNow": True}, index_time="record",
-                wake=spark.readStream.schema("n int").parquet(feed)).awaitTermination()
-        return sorted((r.topic, r.offset) for r in writers.read_index(spark, out, "topic string, offset long").collect())
-
-    spark.range(0).select(F.col("id").cast("int").alias("n")).write.parquet(feed)
-    _records(spark, [("a", 0), ("b", 0), ("b", 1), ("c", 0), (None, 7)]).coalesce(1).write.parquet(src)
-    assert run() == [("a", 0)]
-    _records(spark, [("a", 1), ("b", 2)]).coalesce(1).write.mode("append").parquet(src)
-    assert run() == [("a", 0), ("a", 1)]
-    known.append("b")  # the job appears; only the change feed has something new
-    spark.range(1).select(F.col("id").cast("int").alias("n")).write.mode("append").parquet(feed)
-    assert run() == [("a", 0), ("a", 1), ("b", 0), ("b", 1), ("b", 2)]
-    known[:] = ["c"]  # stopped topics park again, and the others come once
-    _records(spark, [("b", 3)]).coalesce(1).write.mode("append").parquet(src)
-    assert run() == [("a", 0), ("a", 1), ("b", 0), ("b", 1), ("b", 2), ("c", 0)]
-    known[:] = ["a", "b", "c"]
-    _records(spark, [("c", 1)]).coalesce(1).write.mode("append").parquet(src)
-    assert run() == [("a", 0), ("a", 1), ("b", 0), ("b", 1), ("b", 2), ("b", 3), ("c", 0), ("c", 1)]
-
-
-def test_replayed_batch_parks_and_delivers_once(spark):
-    p = Parked(spark, _tmp() + "/parked")
-    ids = lambda df: sorted((r.topic, r.offset) for r in df.collect())
-    p.step(_records(spark, [("b", 0)]), _jobs(spark), 0)
-    # batch 1 fails after its first attempt found a job for b; the replay finds none, a second one finds it again
-    first = p.step(_records(spark, [("c", 0)]), _jobs(spark, "b"), 1)
-    assert ids(first) == [("b", 0), ("c", 0)]
-    assert ids(p.step(_records(spark, [("c", 0)]), _jobs(spark), 1)) == [("c", 0)]
-    assert ids(p.step(_records(spark, [("c", 0)]), _jobs(spark, "b", "c"), 1)) == [("b", 0), ("c", 0)]
-    assert ids(p.step(_records(spark, []), _jobs(spark, "b", "c"), 2)) == []
-    assert p.waiting(3).count() == 0
+    f = Feed(spark, shards=3)
+    f.changes([("PUT", "a")])
+    f.records([("a", 0), ("b", 0), ("b", 1), ("c", 0), (None, 7), ("z", 5)])
+    seen = [("a", 0, "p1")]
+    assert f.run() == seen
+    assert f.waiting() == [("", 7), ("b", 0), ("b", 1), ("c", 0), ("z", 5)]
+    f.records([("a", 1), ("b", 2)])
+    seen = sorted([*seen, ("a", 1, "p1")])
+    assert f.run() == seen
+    f.changes([("PUT", "b")])  # the job appears; only the change feed has something new
+    seen = sorted([*seen, ("b", 0, "p2"), ("b", 1, "p2"), ("b", 2, "p2")])
+    assert f.run() == seen and f.waiting() == [("", 7), ("c", 0), ("z", 5)]
+    f.changes([("DELETE", "b"), ("DELETE", "a"), ("PUT", "c")])  # stopped topics wait again, and the others come once
+    f.records([("b", 3), ("a", 2)])
+    seen = sorted([*seen, ("c", 0, "p5")])
+    assert f.run() == seen
+    assert {r.topic for r in collected_jobs(spark, f.ck).collect()} == {"c"}
+    f.changes([("PUT", "a"), ("PUT", "b"), ("PUT", "a"), ("PUT", "z")])  # the newest of a micro-batch counts
+    f.records([("c", 1)])
+    seen = sorted([*seen, ("a", 2, "p8"), ("b", 3, "p7"), ("c", 1, "p5"), ("z", 5, "p9")])
+    assert f.run() == seen and f.waiting() == [("", 7)]
+    assert f.run() == seen  # nothing new
+
+
+def test_older_events_do_not_bring_a_job_back(spark):
+    f = Feed(spark, shards=2)
+    f.changes([("PUT", "a"), ("DELETE", "a")])
+    f.run()
+    f.revision = 0  # an old change comes late
+    f.changes([("PUT", "a")])
+    f.records([("a", 0)])
+    assert f.run() == [] and f.waiting() == [("a", 0)]
+
+
+def test_a_failed_sink_delivers_waiting_records_once(spark):
+    """A micro-batch whose sink fails commits no state: its replay finds the
+    waiting records again, and delivers them once."""
+    f = Feed(spark, shards=2)
+    f.records([("b", 0), ("b", 1)])
+    f.run()
+    good, tries = f.sink, []
+
+    def flaky(batch, batch_id):
+        tries.append(batch.count())
+        raise RuntimeError("the index is down")
+    f.sink = flaky
+    f.changes([("PUT", "b")])
+    for _ in range(2):
+        with pytest.raises(StreamingQueryException):
+            f.run()
+    assert tries == [2, 2] and f.waiting() == [("b", 0), ("b", 1)]
+    f.sink = good
+    assert f.run() == [("b", 0, "p1"), ("b", 1, "p1")] and f.waiting() == []
+
+
+def test_a_hot_topic_is_dealt_over_shards(spark):
+    from logflow.streaming.collect import _one_stream
+    rows = [("hot", k % 3, k, dt.datetime(2024, 1, 1), b"{}") for k in range(3000)]
+    events = spark.createDataFrame([("hot", 1, dt.datetime(2024, 1, 1), "k", 1, "j", "", "")], schemas.TOPIC_EVENTS)
+    got = _one_stream(spark.createDataFrame(rows, RECORD), events, 8)
+    per = got.groupBy("shard").agg(F.count_if(~F.col("is_event")).alias("n"), F.count_if("is_event").alias("e")).collect()
+    assert len(per) == 8 and max(r.n for r in per) < 3000 / 8 * 1.5 and {r.e for r in per} == {1}
+
+
+def test_flush_cut_goes_on_over_micro_batches(spark):
+    from logflow.operators import batching
+    from logflow.streaming.flush import assign_batches_stream
+    src, out, ck = _tmp() + "/src", _tmp() + "/out", _tmp() + "/ck"
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(t, p, k, t0 + dt.timedelta(milliseconds=7 * k), b"v") for t in "ab" for p in (0, 1) for k in range(900)]
+    recs = spark.createDataFrame(rows, RECORD)
+    for lo, hi in ((0, 50), (50, 51), (51, 333), (333, 900)):  # cuts inside of ticks
+        recs.filter((F.col("offset") >= lo) & (F.col("offset") < hi)).coalesce(1).write.mode("append").parquet(src)
+    stream = assign_batches_stream(readers.read_topics(spark, path=src, max_files_per_trigger=1), 40, "1 second")
+    with operator_state(spark):
+        q = (stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck)
+             .trigger(availableNow=True).start())
+    q.awaitTermination()
+    cols = ["topic", "partition", "offset", "tick", "batch_seq"]
+    got = sorted(tuple(r) for r in spark.read.parquet(out).select(*cols).collect())
+    want = sorted(tuple(r) for r in batching.assign_batches(recs, 40, "1 second").select(*cols).collect())
+    assert got == want and {r[4] for r in want} == {0, 1, 2, 3}
+
+
+def test_flush_counter_forgets_old_ticks_only():
+    import pandas as pd
+    from logflow.streaming.flush import TickCounter
+
+    class Value:
+        held = None
+
+        def exists(self):
+            return self.held is not None
+
+        def get(self):
+            return self.held
+
+        def update(self, v):
+            self.held = v
+    c = TickCounter(10, 5)
+    c.seen = Value()
+
+    def feed(*ticks):
+        pdf = pd.DataFrame({"tick": ticks, "offset": range(len(ticks)), "slot": 0})
+        return pd.concat(c.handleInputRows(None, iter([pdf]), None))["batch_seq"].tolist()
+    assert feed(*[1] * 8) == [0] * 8
+    assert feed(*[1] * 4, 6) == [0, 0, 1, 1, 0]
+    assert sorted(c.seen.held[0]) == [1, 6]
+    assert feed(7) == [0] and sorted(c.seen.held[0]) == [6, 7]
 
 
 def test_text_bodies_stream_with_stable_ids(spark):
@@ -192,7 +308,7 @@ def test_collect_reports_written_and_rejected_counts(spark):
     recs = D.records(spark, SF)
     current = jobs.running_topics(jobs.to_job_events(D.changes(spark, SF)))
     recs.repartition(2, "topic").write.parquet(src)
-    collect(readers.read_topics(spark, path=src, max_files_per_trigger=1), current,
+    collect(readers.read_topics(spark, path=src, max_files_per_trigger=1), _events_of(spark, D.changes(spark, SF)),
             writers.index_writer(out, metrics_path=met), ck, trigger={"availableNow": True},
             index_time="record").awaitTermination()
     m = spark.read.parquet(met)
@@ -219,3 +335,32 @@ def test_tick_stream_then_batch_total_equals_batch_report(spark):
     batch = {(r.tick, r.rows, r.rows_total) for r in metrics.throughput(recs, "1 hour").collect()}
     # the stream holds back the last (open) tick; everything before it agrees
     assert streamed and streamed <= batch and len(batch - streamed) == 1
+
+
+def test_live_report_equals_batch_report(spark):
+    """Chained stateful operators: empty ticks, running total and jobs."""
+    from logflow.operators import metrics
+    from logflow.streaming.live import throughput_stream
+    src, feed, out, ck = _tmp() + "/src", _tmp() + "/feed", _tmp() + "/out", _tmp() + "/ck"
+    t0 = dt.datetime(2024, 1, 1)
+    at = lambda s: t0 + dt.timedelta(seconds=s)
+    recs = [("a", 0, k, at(s), b"v") for k, s in enumerate([0, 1, 2, 35, 36, 36, 71, 200])]
+    evs = [(1, "PUT", "a", 5), (2, "PUT", "b", 20), (3, "PUT", "a", 21), (4, "DELETE", "a", 40), (5, "DELETE", "x", 41),
+           (6, "PUT", "c", 70), (7, "DELETE", "c", 210)]
+    changes = [(r, op, JOBS_PREFIX + t, f'{{"topic":"{t}"}}' if op == "PUT" else None, at(s)) for r, op, t, s in evs]
+    for lo, hi in ((0, 35), (35, 72), (72, 300)):
+        spark.createDataFrame([r for r in recs if at(lo) <= r[3] < at(hi)], RECORD).coalesce(1).write.mode("append").parquet(src)
+        spark.createDataFrame([c for c in changes if at(lo) <= c[4] < at(hi)], CHANGE).coalesce(1).write.mode(
+            "append").parquet(feed)
+    report = throughput_stream(readers.read_topics(spark, path=src, max_files_per_trigger=1), topic_events(
+        readers.read_job_changes(spark, feed, max_files_per_trigger=1)), "10 seconds")
+    with operator_state(spark):
+        q = (report.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck)
+             .trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = sorted(tuple(r) for r in spark.read.parquet(out).collect())
+    closed = spark.createDataFrame([r for r in recs if r[3] < at(100)], RECORD)
+    events = jobs.to_job_events(spark.createDataFrame(changes, CHANGE))
+    want = metrics.throughput(closed, "10 seconds", jobs=jobs.active_job_count(events))
+    assert got == sorted(tuple(r) for r in want.collect())
+    assert [r[3] for r in got] == [1, 2, 2, 1, 1, 1, 2, 2]
