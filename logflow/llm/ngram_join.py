@@ -301,7 +301,9 @@ def jaccard_components(docs: DataFrame, *, k: int = 3, percent: int = 90, fragme
 
     facts = stored(set_facts(rows, from_texts, fragments, block_rows, fanout), "facts")
     classes = facts.where("n > 0").groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("rep"), F.max("own").alias("own"))
-    reps = classes.where(may_link(percent)).select(F.col("rep").alias("doc_id"), "n", "h1", "h2")
+    # written, so that the join with the texts is planned by its real size:
+    # the texts are not shuffled for a few representatives
+    reps = stored(classes.where(may_link(percent)).select(F.col("rep").alias("doc_id"), "n", "h1", "h2"), "reps")
 
     def to_sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -421,5 +423,5 @@ def keep_one_of_each(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with one document of each component, the one with the
     smallest doc_id; all columns kept.  Rows without doc_id stay."""
     found = jaccard_components(docs, **options)
-    gone = found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_gone"))
+    gone = stored(found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_gone")), "gone")
     return docs.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
