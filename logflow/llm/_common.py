@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from logflow.session import ensure_checkpoint_dir
 
@@ -52,6 +56,35 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _S)
 
 
+#: Rows that a task turns into Python values at a time.
+SLICE_ROWS = 1000
+
+
+def release_memory() -> None:
+    """Give back what Arrow and the allocator keep of freed memory: workers
+    are used again by the next operator's tasks."""
+    pa.default_memory_pool().release_unused()
+    pa.system_memory_pool().release_unused()
+
+
+def map_slices(df: DataFrame, run: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]], schema: str) -> DataFrame:
+    """``df.mapInPandas(run, schema)`` on slices of ``SLICE_ROWS`` rows, so
+    that no task holds a whole Arrow batch of texts as Python strings."""
+    arrow = to_arrow_schema(T.StructType.fromDDL(schema))
+
+    def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for at in range(0, b.num_rows, SLICE_ROWS):
+                yield b.slice(at, SLICE_ROWS).to_pandas()
+
+    def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for out in run(slices(batches)):
+            yield pa.RecordBatch.from_pandas(out, schema=arrow, preserve_index=False)
+        release_memory()
+
+    return df.mapInArrow(mapped, schema)
+
+
 #: What a Python worker remembers between its tasks, by name.
 MEMOS: dict[str, dict] = {}
 
@@ -61,16 +94,18 @@ def use_memo(name: str, memo: dict) -> dict:
     goes from one operator to the next holds the words of one only."""
     if MEMOS.get(name) is not memo:
         MEMOS[name] = memo
-    for other, held in MEMOS.items():
-        if other != name:
-            held.clear()
+    others = [held for other, held in MEMOS.items() if other != name and held]
+    for held in others:
+        held.clear()
+    if others:
+        release_memory()
     return memo
 
 
 class WordHashes(dict):
     """word bytes -> 64-bit hash, remembered up to ``limit`` words."""
 
-    limit = 300_000
+    limit = 150_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.limit:

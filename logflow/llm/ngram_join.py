@@ -51,7 +51,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from logflow.llm._common import ASCII_LOWER, WORD_HASHES, id_text, mix, shingle_hashes, stored
+from logflow.llm._common import ASCII_LOWER, WORD_HASHES, id_text, map_slices, mix, shingle_hashes, stored
 
 _32 = np.uint64(32)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -206,7 +206,7 @@ def set_facts(blocks: DataFrame, make, fragments: int, block_rows: int = BLOCK_R
             for at in range(0, len(pdf), 100):
                 yield recut(pdf.iloc[at:at + 100], parts)
 
-    packed = blocks.mapInPandas(pack, PACKED)
+    packed = map_slices(blocks, pack, PACKED)
     if parts > 1:
         packed = packed.repartition("frag").mapInPandas(cut_on, PACKED)
     counted = packed.groupBy("frag").applyInPandas(count_own, COUNTED)
@@ -314,7 +314,7 @@ def jaccard_components(docs: DataFrame, *, k: int = 3, percent: int = 90, fragme
             # of rows that repeat a doc_id only the one that stands for it
             yield out[(info == pdf[["n", "h1", "h2"]].to_numpy()).all(axis=1)]
 
-    sets = stored(rows.join(reps, "doc_id").mapInPandas(to_sets, "doc_id long, n long, tokens binary")
+    sets = stored(map_slices(rows.join(reps, "doc_id"), to_sets, "doc_id long, n long, tokens binary")
                   .dropDuplicates(["doc_id"]), "sets")
 
     def from_sets(pdf: pd.DataFrame):
@@ -351,7 +351,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int, part_shingles: int
 
     pairs = pairs.withColumn("cuts", F.ceil(F.greatest("na", "nb") / part_shingles).cast("int"))
     used = pairs.select(F.explode(F.array("a", "b")).alias("doc_id"), "cuts").distinct()
-    parts = sets.join(used, "doc_id").mapInPandas(cut, "doc_id long, cuts int, frag int, part array<long>")
+    parts = map_slices(sets.join(used, "doc_id"), cut, "doc_id long, cuts int, frag int, part array<long>")
     a = parts.select(F.col("doc_id").alias("a"), "cuts", "frag", F.col("part").alias("pa"))
     b = parts.select(F.col("doc_id").alias("b"), "cuts", "frag", F.col("part").alias("pb"))
     both = pairs.join(a, ["a", "cuts"]).join(b, ["b", "cuts", "frag"])
@@ -378,10 +378,10 @@ def candidate_links(sets: DataFrame, percent: int, part_shingles: int) -> DataFr
     # a set has many signatures, most of which no other has: only the two ids
     # are dealt by signature, and what is known of a set meets those left
     group = W.partitionBy("sig")
-    shared = (sets.mapInPandas(sign, "sig long, doc_id long")
+    shared = (map_slices(sets, sign, "sig long, doc_id long")
               .withColumn("many", F.max("doc_id").over(group) > F.min("doc_id").over(group)).where("many")
               .withColumn("nth", F.row_number().over(group.orderBy("doc_id"))).drop("many"))
-    about = sets.mapInPandas(draw, "doc_id long, n long, own long, " + ", ".join(f"{c} long" for c in sketch))
+    about = map_slices(sets, draw, "doc_id long, n long, own long, " + ", ".join(f"{c} long" for c in sketch))
     groups = stored(shared.join(about, "doc_id"), "groups")
     links = groups.sparkSession.createDataFrame([], "a long, b long")
     roots = links.select(F.col("a").alias("doc_id"), F.col("b").alias("root"))

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from logflow.llm._common import WORD_HASHES, id_text, mix, shingle_hashes, stored
+from logflow.llm._common import SLICE_ROWS, WORD_HASHES, id_text, map_slices, mix, shingle_hashes, stored
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -214,7 +214,7 @@ def repeated_segments(rows: DataFrame, *, window: int, anchor: int, shard_rows:
 
     group = W.partitionBy("anchor")
     same = W.partitionBy("anchor", "seg")
-    sent = rows.mapInPandas(send, "anchor long, seg long, doc_id long")
+    sent = map_slices(rows, send, "anchor long, seg long, doc_id long")
     shared = stored(sent.withColumn("repeated", F.min("doc_id").over(group) < F.max("doc_id").over(group))
                     .withColumn("varied", F.min("seg").over(group) < F.max("seg").over(group))
                     .withColumn("first", F.min("doc_id").over(same))
@@ -237,7 +237,7 @@ def repeated_segments(rows: DataFrame, *, window: int, anchor: int, shard_rows:
                                     b" ".join(words[int(first[k]):int(first[k] + many[k]) + window - 1])))
             yield pd.DataFrame(out, columns=["anchor", "seg", "doc_id", "words"])
 
-    words = rows.join(wanted, "doc_id").mapInPandas(fetch, "anchor long, seg long, doc_id long, words binary")
+    words = map_slices(rows.join(wanted, "doc_id"), fetch, "anchor long, seg long, doc_id long, words binary")
     shards = shared.where("first and varied").count() // shard_rows + 1
     masks = (words.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards))).groupBy("shard")
              .applyInPandas(lambda pdf: search_shard(pdf, window), "doc_id long, seg long, mask long"))
@@ -289,7 +289,7 @@ def cut_substrings(docs: DataFrame, *, window: int = 13, anchor: int = 5, shard_
     def cut(batches):
         import pyarrow as pa
 
-        for b in batches:
+        for b in (whole.slice(k, SLICE_ROWS) for whole in batches for k in range(0, whole.num_rows, SLICE_ROWS)):
             at = b.schema.names.index
             texts, found = b.column(at("text")).to_pylist(), b.column(at("_found")).to_pylist()
             changed = {}

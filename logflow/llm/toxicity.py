@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from logflow.llm._common import ASCII_LOWER, stored, use_memo
+from logflow.llm._common import ASCII_LOWER, SLICE_ROWS, release_memory, stored, use_memo
 
 WIDTHS = (1, 2, 3)
 #: (width, offset) of every column block of the filters' weights
@@ -181,7 +181,7 @@ class Small:
 
     #: Words remembered by a task, and table rows (192 bytes each) for those
     #: of them that have trained buckets.
-    limit, table_rows = 200_000, 1 << 16
+    limit, table_rows = 100_000, 1 << 15
 
     def __init__(self, model: Classifier, row_of: dict[int, int], emb: np.ndarray):
         self.bits, self.filters, self.row_of = model.bits, model.filters, row_of
@@ -297,8 +297,6 @@ def _fold(column: str = "doc_id"):
     return F.crc32(F.col(column).cast("string")) % 3
 
 
-#: Rows scored at a time, to keep few texts in a worker.
-SCORE_ROWS = 1000
 #: Bins of the uncalibrated output for each unit, from -LIMIT to LIMIT.
 BINS, LIMIT = 64, 30
 
@@ -375,14 +373,15 @@ def _with_margins(rows: DataFrame, model: Small | None, columns: list[str]) -> D
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for at in range(0, b.num_rows, SCORE_ROWS):
-                some = b.slice(at, SCORE_ROWS)
+            for at in range(0, b.num_rows, SLICE_ROWS):
+                some = b.slice(at, SLICE_ROWS)
                 held = some.column(b.schema.get_field_index(columns[0]))
                 texts = [t or "" for t in (pc.struct_field(held, "text") if inside else some.column(
                     b.schema.get_field_index("text"))).to_pylist()]
                 m = np.clip(model.margins(texts), -LIMIT, LIMIT) if model else np.zeros(len(texts))
                 yield pa.RecordBatch.from_arrays([*(some.column(b.schema.get_field_index(c)) for c in columns),
                                                   pa.array(m, pa.float64())], [*columns, "margin"])
+        release_memory()
 
     schema = rows.select(*columns).schema
     return rows.mapInArrow(run, type(schema)([*schema.fields, T.StructField("margin", T.DoubleType())]))
