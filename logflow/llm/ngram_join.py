@@ -247,17 +247,42 @@ def signatures(g: np.ndarray, percent: int) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
-#: Longs of a parity sketch.
-SKETCH = 4
+#: Longs of a parity sketch: that of a group's members, and that of a pair.
+SKETCH, WIDE = 4, 32
 
 
-def parity(g: np.ndarray) -> np.ndarray:
-    """The parity of the number of shingles in each of 64 * SKETCH buckets.
+def parity(g: np.ndarray, longs: int = SKETCH) -> np.ndarray:
+    """The parity of the number of shingles in each of 64 * longs buckets.
     Two sets differ in at least as many shingles as their sketches in bits."""
-    odd = np.bincount((g % np.uint64(64 * SKETCH)).astype(np.int64), minlength=64 * SKETCH) & 1
+    odd = np.bincount((g % np.uint64(64 * longs)).astype(np.int64), minlength=64 * longs) & 1
     return np.packbits(odd.astype(np.uint8)).view("<i8")
 
 
+def _sketches(sets: DataFrame, longs: int, columns: list[str], keep: list[str]) -> DataFrame:
+    """``keep`` of ``sets`` and the longs of their sketches."""
+    def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            bits = np.asarray([parity(np.frombuffer(t, "<u8"), longs) for t in pdf["tokens"]], dtype=np.int64)
+            yield pdf[keep].assign(**dict(zip(columns, bits.reshape(-1, longs).T)))
+
+    return map_slices(sets, draw, ", ".join(f"{c} long" for c in [*keep, *columns]))
+
+
+def _within(apart, percent: int):
+    """Sets of na and nb shingles that differ in at least ``apart`` may link."""
+    both = F.col("na") + F.col("nb")
+    return 100 * (both - apart) >= percent * (both + apart)
+
+
+def likely(pairs: DataFrame, wide: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b, na, nb) whose wide sketches do not exclude a link:
+    what is compared by shingles are 256 bytes a set before that."""
+    names = [c for c in wide.columns if c != "doc_id"]
+    a, b = (wide.select(F.col("doc_id").alias(x), F.struct(*names).alias("s" + x)) for x in "ab")
+    apart = sum((F.bit_count(F.col(f"sa.{c}").bitwiseXOR(F.col(f"sb.{c}"))) for c in names), F.lit(0))
+    return pairs.join(a, "a").join(b, "b").where(_within(apart, percent)).select("a", "b", "na", "nb")
+
+
 def _star(edges: DataFrame, large: bool) -> DataFrame:
     if large:
         both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -370,18 +395,14 @@ def candidate_links(sets: DataFrame, percent: int, part_shingles: int) -> DataFr
             yield pd.DataFrame({"sig": np.concatenate([*s, np.zeros(0, np.uint64)]).view(np.int64),
                                 "doc_id": pdf["doc_id"].repeat([len(x) for x in s]).to_numpy()})
 
-    def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            bits = np.asarray([parity(np.frombuffer(t, "<u8")) for t in pdf["tokens"]], dtype=np.int64).reshape(-1, SKETCH)
-            yield pdf[["doc_id", "n", "own"]].assign(**dict(zip(sketch, bits.T)))
-
     # a set has many signatures, most of which no other has: only the two ids
     # are dealt by signature, and what is known of a set meets those left
     group = W.partitionBy("sig")
     shared = (map_slices(sets, sign, "sig long, doc_id long")
               .withColumn("many", F.max("doc_id").over(group) > F.min("doc_id").over(group)).where("many")
               .withColumn("nth", F.row_number().over(group.orderBy("doc_id"))).drop("many"))
-    about = map_slices(sets, draw, "doc_id long, n long, own long, " + ", ".join(f"{c} long" for c in sketch))
+    about = _sketches(sets, SKETCH, sketch, ["doc_id", "n", "own"])
+    wide = stored(_sketches(sets, WIDE, [f"w{k}" for k in range(WIDE)], ["doc_id"]), "wide")
     groups = stored(shared.join(about, "doc_id"), "groups")
     links = groups.sparkSession.createDataFrame([], "a long, b long")
     roots = links.select(F.col("a").alias("doc_id"), F.col("b").alias("root"))
@@ -396,14 +417,13 @@ def candidate_links(sets: DataFrame, percent: int, part_shingles: int) -> DataFr
         # neither set's own shingles are in the other
         most = F.least(F.col("na") - F.col("oa"), F.col("nb") - F.col("ob"))
         least = F.greatest(F.col("na") + F.col("ob"), F.col("nb") + F.col("oa"))
-        both = F.col("na") + F.col("nb")
         apart = sum((F.bit_count(F.col(f"sa.{c}").bitwiseXOR(F.col(f"sb.{c}"))) for c in sketch), F.lit(0))
         fits = ((F.col("ra") != F.col("rb")) & (100 * most >= percent * least)
-                & (100 * (both - apart) >= percent * (both + apart)))
+                & _within(apart, percent))
         pairs = other.join(first, (other["sig"] == first["sig"]) & (F.col("ka") > F.col("kb")) & fits).select(
             "a", "b", "na", "nb").distinct()
         pairs = stored(pairs if seen is None else pairs.join(seen, ["a", "b"], "left_anti"), "pairs")
-        found = stored(verified(pairs, sets, percent, part_shingles), "links")
+        found = stored(verified(stored(likely(pairs, wide, percent), "likely"), sets, percent, part_shingles), "links")
         if not found.isEmpty():
             links = links.unionByName(found)
             roots = components(links)

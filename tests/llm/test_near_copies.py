@@ -206,8 +206,9 @@ def test_parity_bounds_the_difference(n):
     for change in (0, 1, 7, 300):
         x = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
         y = np.unique(np.concatenate([x[change:], rng.integers(0, 1 << 63, change, dtype=np.uint64)]))
-        bits = np.unpackbits((ngram_join.parity(x) ^ ngram_join.parity(y)).view(np.uint8)).sum()
-        assert bits <= len(np.setxor1d(x, y)) and (bits > 0 or change != 1)
+        for longs in (ngram_join.SKETCH, ngram_join.WIDE):
+            bits = np.unpackbits((ngram_join.parity(x, longs) ^ ngram_join.parity(y, longs)).view(np.uint8)).sum()
+            assert bits <= len(np.setxor1d(x, y)) and (bits > 0 or change != 1)
 
 
 def test_info_travels_once_a_block():
