@@ -412,8 +412,9 @@ def candidate_links(sets: DataFrame, percent: int, part_shingles: int) -> DataFr
         first = rest.where(F.col("nth") < lo + width).select(
             "sig", F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("own").alias("ob"), F.col("root").alias("rb"),
             F.col("nth").alias("kb"), F.struct(*sketch).alias("sb"))
-        other = rest.select("sig", F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("own").alias("oa"),
-                            F.col("root").alias("ra"), F.col("nth").alias("ka"), F.struct(*sketch).alias("sa"))
+        other = rest.where(F.col("nth") > lo).select(
+            "sig", F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("own").alias("oa"),
+            F.col("root").alias("ra"), F.col("nth").alias("ka"), F.struct(*sketch).alias("sa"))
         # neither set's own shingles are in the other
         most = F.least(F.col("na") - F.col("oa"), F.col("nb") - F.col("ob"))
         least = F.greatest(F.col("na") + F.col("ob"), F.col("nb") + F.col("oa"))
