@@ -5,13 +5,14 @@ Documents become ids (plus an end id); those longer than ``capacity`` are cut
 into full pieces, the first one shorter.  The number of pieces of each length
 is a histogram of ``capacity`` entries, whatever the corpus.  A configuration
 is a multiset of lengths that fits one sequence.  The covering program over
-all configurations is solved by multiplicative weights: a knapsack dynamic
-program prices the best configuration under the current weights (and the best
-one for each of the longest uncovered lengths), it is used a whole number of
-times, and the weights of the lengths it covers shrink by how much of their
-demand is met.  The last configurations round the remainder.  Every usage is
-whole and never exceeds the demand, so sequences have no gaps.  The weights
-also price a lower bound for the number of sequences.
+all configurations is solved in fractions by multiplicative weights: a
+knapsack dynamic program prices the best configuration under the current
+weights (and the best one for each of the longest uncovered lengths), a part
+of the open demand is met by it, and the weights of its lengths shrink by how
+much of their demand is met.  The fractional usages are then rounded to whole
+ones that never exceed the demand, and the remainder is packed by best fit
+over the histogram.  The weights also price a lower bound for the number of
+sequences.
 
 Pieces get their places by rank within their length: equal lengths are
 interchangeable, and ranks are counted in salted groups, so a length that a
@@ -24,6 +25,7 @@ repeated rows are documents of their own; an empty table gives no row.
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -105,22 +107,21 @@ def _configuration(first: int, left: np.ndarray, lengths, values, best, capacity
         c -= int(lengths[j])
 
 
-def solve_configurations(histogram: dict[int, int], capacity: int, *, share: float = 0.5, eta: float = 1.0,
-                         seeds: int = 8) -> tuple[list[tuple[list[int], int]], float]:
-    """Configurations (lists of lengths) with whole usages that together hold
-    exactly the histogram, and a lower bound of the number of sequences."""
-    todo = {int(n): int(k) for n, k in histogram.items() if k > 0}
-    plan: list[tuple[list[int], int]] = []
-    whole = todo.pop(capacity, 0)
-    if whole:
-        plan.append(([capacity], whole))
-    lengths = np.asarray(sorted(todo), dtype=np.int64)
-    demand = np.asarray([todo[int(n)] for n in lengths], dtype=np.int64)
-    left = demand.copy()
+def fractional_program(lengths: np.ndarray, demand: np.ndarray, capacity: int, *, share: float = 0.5, eta: float = 1.0,
+                       seeds: int = 8, rest: float = 0.05,
+                       power: float = 1.05) -> tuple[dict[tuple[int, ...], float], float]:
+    """Fractional usages of configurations (tuples of lengths) that together
+    hold exactly the demand, and a lower bound of the number of sequences.
+
+    Each step uses a priced configuration for ``share`` of what its scarcest
+    length still asks for (for all of it below ``rest`` of that length's
+    demand); the weights fall with the demand that is met.  At first they are
+    ``power`` of the length, so that long pieces, which fit worst, go early."""
+    usage: dict[tuple[int, ...], float] = {}
+    left = demand.astype(float)
     bound = float(np.dot(lengths, demand)) / capacity if len(lengths) else 0.0
     while left.any():
-        met = 1.0 - left / demand
-        values = lengths / capacity * np.exp(-eta * met) * (left > 0)
+        values = (lengths / capacity) ** power * np.exp(eta * (left / demand - 1.0)) * (left > 0)
         best, _ = _knapsack(lengths, values, capacity)
         if best[capacity] > 0:  # weights scaled so that no configuration is worth over 1 are a dual solution
             bound = max(bound, float(np.dot(values, demand)) / float(best[capacity]))
@@ -128,14 +129,87 @@ def solve_configurations(histogram: dict[int, int], capacity: int, *, share: flo
         for first in [*open_[::-1][:seeds].tolist(), -1]:
             if first >= 0 and not left[first] or not left.any():
                 continue
-            conf = _configuration(first, left, lengths, values, best, capacity)
+            conf = _configuration(first, np.ceil(left), lengths, values, best, capacity)
             if not conf:
                 continue
             js, counts = np.unique(conf, return_counts=True)
-            times = max(1, int((left[js] // counts).min() * share))
+            ratio = left[js] / counts
+            tight = int(ratio.argmin())
+            times = float(ratio[tight])
+            if left[js[tight]] > rest * demand[js[tight]]:
+                times *= share
             left[js] -= times * counts
-            plan.append(([int(lengths[j]) for j in conf], times))
-    return plan, whole + bound
+            left[js[left[js] < 1e-6]] = 0.0
+            key = tuple(int(lengths[j]) for j in sorted(conf, reverse=True))
+            usage[key] = usage.get(key, 0.0) + times
+    return usage, bound
+
+
+def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[list[int], int]]:
+    """Best-fit decreasing over a histogram: (lengths, sequences) that are
+    alike.  Sequences with the same room take a length in bulk, so the work
+    grows with the number of lengths and not of pieces."""
+    groups: dict[int, list[tuple[list[int], int]]] = {}
+    for n in sorted(counts, reverse=True):
+        c = counts[n]
+        while c:
+            room = min((r for r, held in groups.items() if r >= n and held), default=None)
+            if room is None:
+                conf, k, room = [], -(-c // (capacity // n)), capacity
+            else:
+                conf, k = groups[room].pop()
+            per = room // n
+            full = min(k, c // per)
+            rest = min(c - full * per, per) if full < k else 0
+            if full:
+                groups.setdefault(room - per * n, []).append((conf + [n] * per, full))
+            if rest:
+                groups.setdefault(room - rest * n, []).append((conf + [n] * rest, 1))
+            unused = k - full - (1 if rest else 0)
+            if unused:
+                groups.setdefault(room, []).append((conf, unused))
+            c -= full * per + rest
+    return [g for held in groups.values() for g in held]
+
+
+def _rounded(usage: dict[tuple[int, ...], float], todo: dict[int, int], capacity: int, slack: int,
+             up: float) -> list[tuple[list[int], int]]:
+    """Usages of configurations that leave at most ``slack`` free, rounded
+    down (``up``: added before), never beyond the demand; best fit packs what
+    is left."""
+    left, plan = dict(todo), []
+    for conf, x in sorted(usage.items(), key=lambda e: (sum(e[0]) < capacity - slack, -sum(e[0]), -e[1], e[0])):
+        if sum(conf) < capacity - slack:
+            break
+        counts = Counter(conf)
+        times = min(int(x + up), min(left[n] // k for n, k in counts.items()))
+        if times > 0:
+            for n, k in counts.items():
+                left[n] -= times * k
+            plan.append((list(conf), times))
+    return plan + best_fit({n: c for n, c in left.items() if c}, capacity)
+
+
+def solve_configurations(histogram: dict[int, int], capacity: int) -> tuple[list[tuple[list[int], int]], float]:
+    """Configurations (lists of lengths) with whole usages that together hold
+    exactly the histogram, and a lower bound of the number of sequences.
+
+    The fractional program is rounded in several ways (configurations with
+    how much free room are kept, and from which fraction on they are rounded
+    up); the plan with the fewest sequences is taken, best fit alone among
+    them, so it is never worse than best-fit decreasing."""
+    todo = {int(n): int(k) for n, k in histogram.items() if k > 0}
+    whole = todo.pop(capacity, 0)
+    lengths = np.asarray(sorted(todo), dtype=np.int64)
+    demand = np.asarray([todo[int(n)] for n in lengths], dtype=np.int64)
+    usage, bound = fractional_program(lengths, demand, capacity)
+    plan = best_fit(todo, capacity)
+    for slack in (0, 1, 2, 4, 16, 64, capacity):
+        for up in (1e-6, 0.5, 1 - 1e-6):
+            other = _rounded(usage, todo, capacity, slack, up)
+            if sum(k for _, k in other) < sum(k for _, k in plan):
+                plan = other
+    return ([([capacity], whole)] if whole else []) + plan, whole + bound
 
 
 def pack(spark: SparkSession, docs: DataFrame, *, tokenizer: str | None = None, end_id: int = 2,

@@ -2,6 +2,7 @@
 
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -81,3 +82,40 @@ def test_configurations_meet_the_histogram_near_the_bound():
     assert got == dict(zip(sizes.tolist(), counts.tolist()))
     used = sum(t for _, t in plan)
     assert np.dot(sizes, counts) / 1024 <= bound + 1e-6 <= used + 1e-3 and used <= bound * 1.01
+
+
+def plain_best_fit(sizes, capacity):
+    rooms = []
+    for n in sorted(sizes, reverse=True):
+        fits = [(r, k) for k, r in enumerate(rooms) if r >= n]
+        if fits:
+            rooms[min(fits)[1]] -= n
+        else:
+            rooms.append(capacity - n)
+    return sorted(rooms)
+
+
+@pytest.mark.parametrize("n,longest", [(1, 64), (200, 64), (200, 1024), (1000, 1024), (3000, 700)])
+def test_packing_is_never_worse_than_best_fit(n, longest):
+    rng = np.random.default_rng(n + longest)
+    sizes = np.clip(rng.lognormal(5.0, 0.8, n).astype(int), 1, longest).tolist()
+    counts = Counter(sizes)
+    bulk = packing.best_fit(counts, 1024)
+    assert sorted(1024 - sum(conf) for conf, k in bulk for _ in range(k)) == plain_best_fit(sizes, 1024)
+    plan, bound = packing.solve_configurations(counts, 1024)
+    got = Counter()
+    for conf, k in plan:
+        for m in conf:
+            got[m] += k
+    assert got == counts
+    assert bound - 1e-6 <= sum(k for _, k in plan) <= sum(k for _, k in bulk)
+
+
+def test_fractional_program_holds_the_demand():
+    lengths, demand = np.array([3, 4, 7, 9]), np.array([5, 1, 1000, 7])
+    usage, bound = packing.fractional_program(lengths, demand, 16)
+    met = [sum(x * conf.count(n) for conf, x in usage.items()) for n in lengths.tolist()]
+    assert np.allclose(met, demand) and all(sum(conf) <= 16 for conf in usage)
+    assert bound <= sum(usage.values()) + 1e-6
+    assert any(x != int(x) for x in usage.values())
+    assert packing.solve_configurations({}, 16) == ([], 0.0)
