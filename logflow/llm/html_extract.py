@@ -6,12 +6,20 @@ out.  The trees of a host are aligned by simple tree matching into one
 template whose nodes count their pages, whether their text is the same on all
 of them, and how much text without links they hold.  Nodes with the same text
 on at least ``min_pages`` distinct pages of a host are template; the others
-are varying slots.  The host's wrapper is the path to the innermost container
-that holds most of the varying text.  Extraction reads the blocks below that
-path, without rejected elements and without template nodes (but what an
-article or main element holds is content by declaration, even if other pages
-of the host have the same); a page on which the path leads nowhere is its own
-template.
+are varying slots.  The host's wrapper holds the paths to its outermost article
+and main elements or, without any, to the lowest container of all varying text
+outside links.  Extraction reads the blocks below these paths, without rejected
+elements, template nodes and containers of links alone without a heading (but what an article or
+main element holds is content by declaration, even if other pages of the host
+have the same); a page on which no path leads anywhere is its own template.
+
+A class, id or role rejects an element if what it names is no article: its last
+telling word is one of ``REJECTED_NAMES`` and only layout words follow
+(``cookie-bar``, ``post-comments``, not ``search-results`` or ``has-sidebar``).
+
+Copies of a page count once on their host, wherever they lie: each of c copies
+weighs 1/c, in whole numbers, so sums do not depend on the partitions.  Ties
+between alignments go to the earlier node of the page.
 
 Templates are merged first in the task that parsed the pages, then in salted
 groups, then per host, so a host with a third of all pages is never gathered
@@ -36,10 +44,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from logflow.llm._common import stored
+
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][A-Za-z0-9:-]*)"
                   r"((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)/?>|<(/?)([A-Za-z][A-Za-z0-9:-]*)([^>]*)>", re.S)
-_ATTR = re.compile(r"(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+_ATTR = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _NAME = re.compile(r"[a-z]+")
+_WORD = re.compile(r"[a-z]+|[0-9]+")
+#: Weight of a page in a template; c copies of it weigh 1/c each.
+ONE = 1 << 40
 
 # Element names of the HTML standard by their part here.
 RAW = {"script", "style", "textarea", "title", "noscript", "template", "iframe", "xmp", "noembed", "noframes"}
@@ -51,6 +64,8 @@ CONTAINERS = {"html", "body", "main", "article", "section", "div", "center", "ta
 BLOCKS = {"address", "article", "blockquote", "body", "center", "dd", "details", "div", "dl", "dt", "figcaption",
           "figure", "h1", "h2", "h3", "h4", "h5", "h6", "hr", "html", "li", "main", "ol", "p", "pre", "section",
           "summary", "table", "tbody", "tfoot", "thead", "tr", "ul"} | REJECTED
+MENUS = {"div", "ul", "ol", "section", "table", "center"}
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 CLOSES_P = BLOCKS - {"html", "body", "button", "select", "option", "label", "svg", "math"}
 OWN_END = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th"}, "th": {"td", "th"},
            "option": {"option"}}
@@ -61,6 +76,12 @@ REJECTED_NAMES = {"ad", "ads", "advert", "adverts", "advertisement", "banner", "
                   "consent", "notice", "notices", "alert", "comment", "comments", "disqus", "reply", "replies", "share",
                   "sharing", "social", "newsletter", "subscribe", "related", "popup", "modal", "toolbar", "pagination",
                   "search", "widget", "complementary", "contentinfo", "aside", "hidden"}
+# Words that only say how such a part is laid out.
+LAYOUT = {"area", "bar", "block", "body", "bottom", "box", "button", "buttons", "container", "content", "form", "group",
+          "header", "icons", "inner", "item", "items", "left", "links", "list", "main", "outer", "panel", "posts", "right",
+          "row", "section", "signup", "slot", "thread", "top", "unit", "wrap", "wrapper"}
+# First words of names that say what a page has, not what an element is.
+STATES = {"has", "is", "no", "not", "with", "without"}
 
 
 class Node:
@@ -171,8 +192,7 @@ def parse(page: str) -> tuple[Node, list[tuple[tuple[str, ...], str]]]:
         if bad or name in ("td", "th"):
             stack.append((name, parent[1], bad))
             continue
-        names = sorted({w for a in _ATTR.findall(attrs) if a[0].lower() == "class"
-                        for w in _NAME.findall((a[1] or a[2] or a[3]).lower())}) if attrs else []
+        names = sorted({w for key, value in _attributes(attrs) if key == "class" for w in _NAME.findall(value)})
         label = ".".join([name, *names])
         node = parent[1].children.get(label)
         if node is None:
@@ -182,27 +202,42 @@ def parse(page: str) -> tuple[Node, list[tuple[tuple[str, ...], str]]]:
     return root, blocks
 
 
+def _attributes(attrs: str) -> list[tuple[str, str]]:
+    """Names and values in lower case; values are never read as names."""
+    return [(key.lower(), (a or b or c).lower()) for key, a, b, c in _ATTR.findall(attrs)] if attrs else []
+
+
+def _names_no_article(key: str, token: str) -> bool:
+    words = _WORD.findall(token)
+    told = [k for k, w in enumerate(words) if w in REJECTED_NAMES]
+    if not told or words[0] in STATES:
+        return False
+    # a number tells one of many classes apart, but an id with a number names one entry
+    return all(w in LAYOUT or key == "class" and w.isdigit() for w in words[told[-1] + 1:])
+
+
 def _rejected(name: str, attrs: str) -> bool:
     if name in REJECTED:
         return True
-    if not attrs:
-        return False
-    for key, a, b, c in _ATTR.findall(attrs):
-        key, value = key.lower(), (a or b or c).lower()
-        if key == "hidden" and not re.search(r"-\s*hidden", attrs) or key == "aria-hidden" and value == "true":
-            return True
-        if key in ("class", "id", "role") and name not in ("body", "html", "article", "main") \
-                and not REJECTED_NAMES.isdisjoint(_NAME.findall(value)):
+    for key, value in _attributes(attrs):
+        if key == "hidden" or key == "aria-hidden" and value == "true":
             return True
+        if key in ("class", "id", "role") and name not in ("body", "html"):
+            if name in DECLARED:  # a comment may be an article of its own
+                if key == "class" and not {"comment", "reply"}.isdisjoint(value.split()):
+                    return True
+            elif any(_names_no_article(key, token) for token in value.split()):
+                return True
     return False
 
 
 # Template nodes are plain lists, so that they travel as JSON:
-# [label, tag, pages, text hash, same text on all pages, varying size, children]
-def template_of(node: Node) -> list:
+# [label, tag, weight of its pages, text hash, same text on all pages, size
+#  outside links (weighted), children]
+def template_of(node: Node, weight: int = ONE) -> list:
     text = "\n".join(node.text)
-    return [node.label, node.tag, 1, xxhash.xxh3_64_hexdigest(text) if text else "", True,
-            max(0, node.size - node.links), [template_of(c) for c in node.children.values()]]
+    return [node.label, node.tag, weight, xxhash.xxh3_64_hexdigest(text) if text else "", True,
+            weight * max(0, node.size - node.links), [template_of(c, weight) for c in node.children.values()]]
 
 
 def _match(a: list, b: list) -> int:
@@ -243,51 +278,83 @@ def merge(a: list, b: list) -> list:
     return [a[0], a[1], a[2] + b[2], a[3], a[4] and b[4] and a[3] == b[3], a[5] + b[5], children]
 
 
-def _varying(t: list, pages: int) -> int:
-    own = 0 if t[4] and t[2] >= pages else t[5]
-    return own + sum(_varying(c, pages) for c in t[6])
+def _pages(t: list) -> int:
+    return (t[2] + ONE // 2) // ONE
+
+
+def _varying(t: list, constant_at: int) -> int:
+    own = 0 if t[4] and _pages(t) >= constant_at else t[5]
+    return own + sum(_varying(c, constant_at) for c in t[6])
+
+
+def _declared(t: list, at: list[str]) -> list[tuple[list, list[str]]]:
+    """The outermost article and main nodes with text, and their paths."""
+    if t[1] in DECLARED:
+        return [(t, at)] if _has_text(t) else []
+    return [x for c in t[6] for x in _declared(c, [*at, c[0]])]
+
+
+def _has_text(t: list) -> bool:
+    return bool(t[3]) or not t[4] or any(_has_text(c) for c in t[6])
+
+
+def _has_article(t: list) -> bool:
+    return t[1] == "article" and _has_text(t) or any(_has_article(c) for c in t[6])
+
+
+def _has_heading(t: list) -> bool:
+    return t[1] in HEADINGS or any(_has_heading(c) for c in t[6])
 
 
 def wrapper(template: list, min_pages: int) -> dict:
-    """The path of the main container and the paths of template nodes."""
-    constant_at = max(min_pages, template[2] * 9 // 10)
-    if template[2] < min_pages or _varying(template, constant_at) == 0:
+    """The paths of the content and the paths of template nodes below."""
+    constant_at = max(min_pages, _pages(template) * 9 // 10)
+    if _pages(template) < min_pages or _varying(template, constant_at) == 0:
         constant_at = 1 << 62  # too few pages, or copies only: nothing tells template and content apart
-    path, t = [], template
-    while True:
-        total = _varying(t, constant_at)
-        inner = [(_varying(c, constant_at), -k, c) for k, c in enumerate(t[6]) if c[1] in CONTAINERS]
-        if not inner or not total:
-            break
-        size, _, c = max(inner)
-        if 2 * size <= total:
-            break
-        path.append(c[0])
-        t = c
+    roots = _declared(template, [])
+    if not roots:
+        path, t = [], template
+        while True:
+            filled = [c for c in t[6] if _varying(c, constant_at)]
+            own = 0 if t[4] and _pages(t) >= constant_at else t[5]
+            if own or len(filled) != 1 or filled[0][1] not in CONTAINERS:
+                break
+            t = filled[0]
+            path.append(t[0])
+        roots = [(t, path)]
     fixed: list[list[str]] = []
+    linked: list[list[str]] = []
 
     def walk(node: list, at: list[str]) -> None:
-        if node[1] in DECLARED:
+        if node[1] == "article":
             return
-        if node[4] and node[2] >= constant_at and node[3]:
+        if node[4] and _pages(node) >= constant_at and node[3]:
             fixed.append(at)
         for c in node[6]:
-            walk(c, [*at, c[0]])
+            below = [*at, c[0]]
+            if c[1] in MENUS and _has_text(c) and not _varying(c, 1 << 62) and not _has_heading(c):
+                linked.append(below)
+            else:
+                walk(c, below)
 
-    if not any(label.split(".")[0] in DECLARED for label in path):
-        walk(t, path)
-    return {"path": path, "fixed": fixed}
+    for node, at in roots:
+        if node[1] not in DECLARED or node[1] == "main" and _has_article(node):
+            walk(node, at)
+    return {"paths": [at for _, at in roots], "fixed": fixed, "linked": linked}
 
 
 def extract(page: str, rule: dict | None, min_pages: int = 3) -> str:
     root, blocks = parse(page)
-    rule = rule or wrapper(template_of(root), min_pages)
+    own = None
     for _ in range(2):
-        path, fixed = tuple(rule["path"]), {tuple(x) for x in rule["fixed"]}
-        got = [t for p, t in blocks if p[:len(path)] == path and p not in fixed]
-        if got or not blocks:
+        rule = rule or wrapper(template_of(root), min_pages)
+        paths, fixed = [tuple(x) for x in rule["paths"]], {tuple(x) for x in rule["fixed"]}
+        linked = [tuple(x) for x in rule["linked"]]
+        got = [t for p, t in blocks if p not in fixed and any(p[:len(x)] == x for x in paths)
+               and not any(p[:len(x)] == x for x in linked)]
+        if got or not blocks or own:
             break
-        rule = wrapper(template_of(root), min_pages)
+        rule = own = wrapper(template_of(root), min_pages)
     return "\n\n".join(got)
 
 
@@ -303,19 +370,29 @@ def _merge_rows(pdf: pd.DataFrame) -> tuple[str, int]:
     return json.dumps(out), out[2]
 
 
+def count_copies(pages: DataFrame) -> DataFrame:
+    """host, h1, h2, copies: pages of a host that occur more than once.  The
+    table is written, so that its measured size decides how it is joined."""
+    return stored(pages.select("host", *_hashes()).groupBy("host", "h1", "h2").agg(F.count(F.lit(1)).alias("copies"))
+                  .where("copies > 1"), "page-copies")
+
+
+def _hashes():
+    return F.xxhash64("html").alias("h1"), F.xxhash64(F.lit(1), F.reverse("html")).alias("h2")
+
+
 def induce(pages: DataFrame, *, min_pages: int = 3, salts: int = 64) -> DataFrame:
     """host, rule (JSON) for every host; ``pages`` has host and html."""
 
     def parse_all(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            found: dict[str, dict[str, list]] = {}
-            seen: set[tuple[str, int]] = set()
-            for host, text in zip(pdf["host"].tolist(), pdf["html"].tolist()):
-                key = (host, xxhash.xxh3_64_intdigest(text.encode("utf-8", "replace")))
-                if key in seen:  # copies of a page say nothing about its host's template
-                    continue
-                seen.add(key)
-                t = template_of(parse(text)[0])
+            found: dict[str, list] = {}
+            seen = pdf.groupby(["host", "h1", "h2"], sort=False)
+            held = seen["copies"].transform("size").to_numpy()
+            first = ~pdf.duplicated(["host", "h1", "h2"]).to_numpy()
+            for host, text, n, copies in zip(pdf["host"][first].tolist(), pdf["html"][first].tolist(),
+                                             held[first].tolist(), pdf["copies"][first].tolist()):
+                t = template_of(parse(text)[0], ONE // int(copies) * n)
                 old = found.get(host)
                 found[host] = t if old is None else merge(old, t)
             yield pd.DataFrame({"host": list(found), "template": [json.dumps(t) for t in found.values()],
@@ -328,7 +405,9 @@ def induce(pages: DataFrame, *, min_pages: int = 3, salts: int = 64) -> DataFram
         rule = wrapper(json.loads(_merge_rows(pdf)[0]), min_pages)
         return pd.DataFrame({"host": pdf["host"].iloc[:1], "rule": [json.dumps(rule)]})
 
-    parts = pages.mapInPandas(parse_all, "host string, template string, salt int")
+    counted = (pages.select("host", "html", *_hashes()).join(count_copies(pages), ["host", "h1", "h2"], "left")
+               .withColumn("copies", F.coalesce("copies", F.lit(1))))
+    parts = counted.mapInPandas(parse_all, "host string, template string, salt int")
     parts = parts.groupBy("host", "salt").applyInPandas(merge_salted, "host string, template string")
     return parts.groupBy("host").applyInPandas(merge_host, "host string, rule string")
 

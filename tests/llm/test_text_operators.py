@@ -318,6 +318,92 @@ def test_wrapper_leaves_repeated_nodes_out():
     assert html_extract.extract(page.format("a new story"), rule) == "a new story"
 
 
+def one_page(body):
+    return html_extract.extract(f"<html><body>{body}</body></html>", None)
+
+
+@pytest.mark.parametrize("attr", ['style="overflow:hidden"', 'title="a hidden gem"', 'data-id="comments-1"', "data-class=ad",
+                                  'class="search-results"', 'id="reply-42"', 'class="has-sidebar"', 'class="share-price"',
+                                  'aria-hidden="false"', "data-hidden"])
+def test_attributes_that_reject_nothing(attr):
+    assert one_page(f"<h1>Title</h1><div {attr}><p>The story</p></div>") == "Title\n\nThe story"
+
+
+@pytest.mark.parametrize("attr", ["hidden", "class=ad", 'class="cookie-bar"', 'class="post-comments wide"', "id='sidebar'",
+                                  'class="ad-300"', 'role="complementary"', 'class="site-footer"', "ARIA-HIDDEN='true'",
+                                  'class="box notice"', 'id="comments"', 'class="related-posts"', 'class="newsletter-signup"'])
+def test_attributes_that_reject(attr):
+    assert one_page(f"<h1>Title</h1><div {attr}><p>Other</p></div><p>The story</p>") == "Title\n\nThe story"
+
+
+def host_pages(spark, page, n, host="h"):
+    return spark.createDataFrame([(k, f"http://{host}/{k}", page(k)) for k in range(n)], "page_id long, url string, html string")
+
+
+def test_siblings_beside_the_body_stay(spark):
+    words = lambda k, n: " ".join(f"w{(k * 31 + j * 7) % 97}" for j in range(n))
+    page = lambda k: (f"<body><div class=top><p>Site name and motto</p></div><ul><li><a href=/{k}>go {k}</a></li></ul>"
+                      f"<div class=wrap><h1>Head {k}</h1><div class=lead><p>lead {words(k, 9)}</p></div>"
+                      f"<div class=body><p>{words(k, 40)}</p></div><section><p>end {words(k + 1, 5)}</p></section></div>"
+                      "<div class=bottom><p>All rights</p></div></body>")
+    got = {r.page_id: r.text for r in html_extract.extract_pages(host_pages(spark, page, 6)).collect()}
+    assert got == {k: f"Head {k}\n\nlead {words(k, 9)}\n\n{words(k, 40)}\n\nend {words(k + 1, 5)}" for k in range(6)}
+
+
+def test_main_holds_more_than_its_article(spark):
+    page = lambda k: (f"<body><p>welcome {k}</p><main><p>Follow us all</p><h1>Head {k}</h1><article><p>same on all</p>"
+                      f"<p>story {k}</p></article><article class=comment><p>me too {k}</p></article></main></body>")
+    got = {r.page_id: r.text for r in html_extract.extract_pages(host_pages(spark, page, 5)).collect()}
+    assert got == {k: f"Head {k}\n\nsame on all\n\nstory {k}" for k in range(5)}
+
+
+@pytest.mark.parametrize("copies,others", [(20, 1), (20, 4), (1, 6)])
+def test_copies_count_once_in_any_partitioning(spark, copies, others):
+    text = "<body><div class=top><p>Top line of the host</p></div><div class=x><p>story {} alone</p></div></body>"
+    rows = [(k, "http://h/x", text.format(0)) for k in range(copies)]
+    rows += [(100 + k, "http://h/y", text.format(k + 1)) for k in range(others)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    results = [sorted(html_extract.extract_pages(pages.repartition(n)).collect()) for n in (1, 8, 16)]
+    assert results[0] == results[1] == results[2]
+    alone = others + 1 >= 3  # three distinct pages tell template and content apart
+    assert all(("Top line" not in r.text) == alone and "story" in r.text for r in results[0])
+
+
+def brute_match(a, b):
+    """Simple tree matching by trying every ordered pairing of children."""
+    if a[0] != b[0]:
+        return 0
+
+    def best(xs, ys):
+        if not xs or not ys:
+            return 0
+        return max([best(xs[1:], ys), *(brute_match(xs[0], y) + best(xs[1:], ys[j + 1:]) for j, y in enumerate(ys))])
+    return 1 + best(a[6], b[6])
+
+
+def test_tree_matching_against_brute_force():
+    rng = random.Random(5)
+
+    def tree(depth, label="r"):  # siblings of one label are folded, so labels differ
+        kids = [tree(depth - 1, x) for x in rng.sample("abcd", rng.randint(0, 3))] if depth else []
+        return [label, "div", html_extract.ONE, "", True, 0, kids]
+
+    def size(t):
+        return 1 + sum(map(size, t[6]))
+    for _ in range(200):
+        a, b = tree(3), tree(3)
+        paired = brute_match(a, b)
+        assert html_extract._match(a, b) == paired
+        assert size(html_extract.merge(a, b)) == size(a) + size(b) - paired
+
+
+def test_very_long_and_tied_pages(spark):
+    long = "<p>" + "word " * 200_000 + "</p>"
+    rows = [(1, "http://h/a", f"<body><article>{long}</article></body>"), (2, "http://h/b", "<body><div><p>a</p></div><div><p>a</p></div></body>")]
+    got = {r.page_id: r for r in html_extract.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[1].n_chars == 999_999 and got[2].text == "a\n\na"
+
+
 def test_reply_order(spark):
     rows = [(1, 0, "user", "First question about\nseveral things."), (1, 1, "assistant", "Answer one."),
             (1, 2, "user", "> first QUESTION about\n> several things\nMore on it"),
