@@ -4,9 +4,12 @@ The notices and phrases below form one automaton over word ids.  Every file
 is streamed through it; each position gets its matching statistic, the
 length of the longest run of words ending there that stands in some notice.
 Runs of at least ``min_match`` words that cannot be extended are chained per
-notice (in order in the file and in the notice) into covered spans, and a
-notice is a label where a chain covers ``min_cover`` of its words.  A phrase's
-places are the positions whose automaton state has the phrase as a suffix.
+notice into covered spans by dynamic programming over (place in the file, place
+in the notice), so stray matches between the parts of a notice break nothing.
+A notice is a label where a chain covers ``min_cover`` of its words and no chain
+of another label covers more words of the same place (ties: both are labels).
+A phrase's places are the positions whose automaton state has the phrase as a
+suffix.
 
 Before the automaton runs, words outside all notices and word pairs that
 stand in no notice are excluded by table lookup; no match can span them.
@@ -18,12 +21,14 @@ empty table gives no row, and other columns are ignored.
 
 from __future__ import annotations
 
+import bisect
 from collections.abc import Iterator
 from itertools import repeat
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from logflow.llm._common import id_text
 
@@ -56,6 +61,25 @@ NOTICES = [
     ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is "
             "hereby granted"),
     ("unlicense", "this is free and unencumbered software released into the public domain"),
+    ("mit", "the above copyright notice and this permission notice shall be included in all copies or substantial "
+            "portions of the software"),
+    ("apache-2", "unless required by applicable law or agreed to in writing software distributed under the license is "
+                 "distributed on an as is basis without warranties or conditions of any kind either express or implied "
+                 "see the license for the specific language governing permissions and limitations under the license"),
+    ("bsd", "redistributions of source code must retain the above copyright notice this list of conditions and the "
+            "following disclaimer redistributions in binary form must reproduce the above copyright notice this list of "
+            "conditions and the following disclaimer in the documentation and or other materials provided with the "
+            "distribution"),
+    ("gpl", "you should have received a copy of the gnu general public license along with this program if not see"),
+    ("lgpl", "you should have received a copy of the gnu lesser general public license along with this library if not "
+             "see"),
+    ("agpl", "you should have received a copy of the gnu affero general public license along with this program if not "
+             "see"),
+    ("zlib", "permission is granted to anyone to use this software for any purpose including commercial applications "
+             "and to alter it and redistribute it freely subject to the following restrictions"),
+    ("cc-by-sa", "this work is licensed under a creative commons attribution sharealike 4 0 international license"),
+    ("cc0", "to the extent possible under law the author has waived all copyright and related or neighboring rights to "
+            "this work"),
 ]
 
 #: ASCII letters lower-cased; ASCII bytes that are no letter or digit become blanks.
@@ -124,18 +148,18 @@ class Automaton:
 
 
 class Scanner:
-    def __init__(self, min_match: int = 4, min_cover: float = 0.6):
+    def __init__(self, min_match: int = 4, min_cover: float = 0.6, notices: list[tuple[str, str]] = NOTICES):
         self.min_match, self.min_cover = min_match, min_cover
         phrases = [license_words(p) for p, _ in PHRASES]
-        notices = [license_words(n) for _, n in NOTICES]
+        self.labels = [label for label, _ in notices]
+        notices = [license_words(n) for _, n in notices]
         self.sizes = [len(n) for n in notices]
         vocab = sorted({w for s in phrases + notices for w in s})
         self.ids = {w: k + 1 for k, w in enumerate(vocab)}
         seqs = [[self.ids[w] for w in s] for s in notices + phrases]
         self.sam = Automaton(seqs)
-        self.pair = np.zeros((len(vocab) + 1,) * 2, dtype=bool)
-        for s in seqs:
-            self.pair[s[:-1], s[1:]] = True
+        #: codes of the word pairs that stand in a notice or phrase
+        self.pairs = np.array(sorted({a * len(self.ids) + b for s in seqs for a, b in zip(s, s[1:])}), dtype=np.int64)
         self.first = min(min_match, min(map(len, phrases)))
         #: phrases that end where a state ends, if as many words are matched
         sam = self.sam
@@ -147,7 +171,11 @@ class Scanner:
 
     def runs(self, ids: np.ndarray) -> list[tuple[int, int]]:
         """Spans of at least ``first`` words whose neighbours all pair up."""
-        ok = np.concatenate([[False], self.pair[ids[:-1], ids[1:]], [False]]).astype(np.int8)
+        ok = np.zeros(len(ids) + 1, dtype=np.int8)
+        known = np.flatnonzero((ids[:-1] > 0) & (ids[1:] > 0))
+        code = ids[known].astype(np.int64) * len(self.ids) + ids[known + 1]
+        at = np.minimum(np.searchsorted(self.pairs, code), len(self.pairs) - 1)
+        ok[known[self.pairs[at] == code] + 1] = 1
         edge = np.diff(ok)
         a, b = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1) + 1
         keep = b - a >= self.first
@@ -180,31 +208,93 @@ class Scanner:
 
     def chains(self, matches: dict[int, list[tuple[int, int, int]]]) -> tuple[list[tuple[str, int, int]], float]:
         """Covered spans (label, first word, end) and the best coverage."""
-        spans, best = [], 0.0
-        for t, found in matches.items():
-            size = self.sizes[t]
-            covered = first = end = place = 0
-            for at, n, pos in [*sorted(found), (1 << 62, 0, 0)]:
-                gap = max(0, end - at, place - pos) if covered else 0
-                if covered and at - end <= size and pos + n > place and n > gap:
-                    covered += n - gap
-                    end, place = at + n, pos + n
-                    continue
-                if covered:
-                    if covered >= self.min_cover * size:
-                        spans.append((NOTICES[t][0], first, end))
-                    best = max(best, min(1.0, covered / size))
-                covered, first, end, place = n, at, at + n, pos + n
-        return spans, best
+        found, best = [], 0.0
+        for t, some in matches.items():
+            some = sorted(some)
+            covered, before = best_chains(some, self.sizes[t])
+            best = max(best, min(1.0, max(covered) / self.sizes[t]))
+            found += [(self.labels[t], c, parts) for c, parts in
+                      apart(some, covered, before, self.min_cover * self.sizes[t])]
+        if not found:
+            return [], best
+        # words of the longest chain that covers each place
+        top = np.zeros(max(parts[-1][1] for _, _, parts in found), dtype=np.int64)
+        for _, c, parts in found:
+            for a, b in parts:
+                top[a:b] = np.maximum(top[a:b], c)
+        return [(label, parts[0][0], parts[-1][1]) for label, c, parts in found
+                if 2 * sum(int((top[a:b] > c).sum()) for a, b in parts) < sum(b - a for a, b in parts)], best
+
+
+def best_chains(found: list[tuple[int, int, int]], size: int) -> tuple[list[int], list[int]]:
+    """For each match the words that the best chain ending with it covers,
+    and the match before it there (-1: none).  ``found`` are (first word,
+    words, place in the notice), sorted; parts may lie at most ``size`` words
+    apart, and words that two parts share count once.  Ties go to the later
+    match before."""
+    covered, before, low = [], [], 0
+    for j, (at, n, pos) in enumerate(found):
+        while found[low][0] + 2 * size < at:
+            low += 1
+        best = (n, -1)
+        for i in range(low, j):
+            a, m, place = found[i]
+            if a < at and place < pos and at - a - m <= size:
+                gain = n - max(0, a + m - at, place + m - pos)
+                if gain > 0:
+                    best = max(best, (covered[i] + gain, i))
+        covered.append(best[0])
+        before.append(best[1])
+    return covered, before
+
+
+def apart(found: list[tuple[int, int, int]], covered: list[int], before: list[int],
+          least: float) -> list[tuple[int, list[tuple[int, int]]]]:
+    """(words covered, parts) of chains of at least ``least`` words that do
+    not overlap, those that cover most words first."""
+    chains = []
+    for j, c in enumerate(covered):
+        if c >= least:
+            parts, i = [], j
+            while i >= 0:
+                parts.append((found[i][0], found[i][0] + found[i][1]))
+                i = before[i]
+            chains.append((c, parts[::-1]))
+    taken: list[tuple[int, int]] = []
+    out = []
+    for c, parts in sorted(chains, key=lambda e: (-e[0], e[1][-1][1] - e[1][0][0], e[1][0][0])):
+        first, end = parts[0][0], parts[-1][1]
+        k = bisect.bisect_left(taken, (first, end))
+        if (k == 0 or taken[k - 1][1] <= first) and (k == len(taken) or end <= taken[k][0]):
+            taken.insert(k, (first, end))
+            out.append((c, parts))
+    return out
 
 
 SCHEMA = ("doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, "
           "labels string, score double, spans array<struct<label: string, first: long, end: long>>")
 
 
-def scan_licenses(docs: DataFrame, *, min_match: int = 4, min_cover: float = 0.6) -> DataFrame:
+def read_notices(templates: DataFrame, *, max_words: int = 1_000_000) -> list[tuple[str, str]]:
+    """Notices of a table (label, text); rows without either are left out.
+    The automaton of all notices is held by every task, so a table of more
+    than ``max_words`` words is refused."""
+    rows = templates.select(F.col("label").cast("string"), F.col("text").cast("string")).where(
+        "label is not null and text is not null")
+    size = rows.agg(F.coalesce(F.sum(F.length("text") - F.length(F.regexp_replace("text", r"\s+", "")) + 1), F.lit(0))).first()[0]
+    if size > max_words:
+        raise ValueError(f"{size} words of notices; the automaton is built for at most {max_words}")
+    return sorted((r[0], r[1]) for r in rows.distinct().collect() if license_words(r[1]))
+
+
+def scan_licenses(docs: DataFrame, *, templates: DataFrame | None = None, min_match: int = 4,
+                  min_cover: float = 0.6) -> DataFrame:
+    """One row for each document; ``templates`` (label, text) replaces the
+    notices given here, phrases stay."""
+    notices = NOTICES if templates is None else read_notices(templates)
+
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        scanner = Scanner(min_match, min_cover)
+        scanner = Scanner(min_match, min_cover, notices)
         get = scanner.ids.get
         for pdf in batches:
             rows = []

@@ -174,6 +174,61 @@ def test_license_spans_of_edited_notice(make_docs):
     assert next(x for x in r if x.doc_id == 2).labels == ""
 
 
+def test_license_halves_around_a_stray_match(make_docs):
+    words = licenses.NOTICES[0][1].split()
+    n = len(words) // 2
+    stray = " ".join(words[-6:-2])
+    whole = " ".join(words)
+    docs = [(1, " ".join(words[:n]) + f" {stray} " + " ".join(words[n:])),
+            (2, " ".join(words[:n]) + f" x {stray} y {stray} " + " ".join(words[n:])),
+            (3, f"{whole} and {whole} end {whole}"), (4, " ".join(words[n:] + words[:n]))]
+    got = {r.doc_id: r for r in licenses.scan_licenses(make_docs(docs)).collect()}
+    assert [got[k].labels for k in (1, 2, 3)] == ["mit"] * 3 and got[1].score == got[2].score == 1.0
+    assert len(got[3].spans) == 3
+    assert got[4].labels == "" and got[4].score < 0.6  # halves in the wrong order are no notice
+
+
+def test_license_of_the_longer_chain_wins(make_docs):
+    nc, by = (next(n for x, n in licenses.NOTICES if x == label and n.startswith("this work")) for label in ("cc-by-nc", "cc-by"))
+    got = {r.doc_id: r.labels for r in licenses.scan_licenses(make_docs([(1, nc), (2, by), (3, f"{by} or {nc}")])).collect()}
+    assert got == {1: "cc-by-nc", 2: "cc-by", 3: "cc-by,cc-by-nc"}
+
+
+def test_licenses_of_a_table(spark, make_docs):
+    table = spark.createDataFrame([("own", "You may cook, serve and eat this text as you like"), (None, "x y z"), ("none", None),
+                                   ("blank", " - ")], "label string, text string").withColumn("n", F.lit(1))
+    docs = make_docs([(1, "you may cook serve and eat this text as you like it under the MIT license"), (2, licenses.NOTICES[0][1]), (3, None)])
+    got = {r.doc_id: r.labels for r in licenses.scan_licenses(docs, templates=table).collect()}
+    assert got == {1: "mit,own", 2: "", 3: ""}
+    none = {r.doc_id: r.labels for r in licenses.scan_licenses(docs, templates=table.limit(0)).collect()}
+    assert none == {1: "mit", 2: "", 3: ""}
+    assert licenses.scan_licenses(make_docs([]), templates=table).count() == 0
+    with pytest.raises(ValueError):
+        licenses.read_notices(table, max_words=3)
+
+
+def test_chains_against_brute_force():
+    rng = random.Random(11)
+
+    def brute(found, size, j):
+        at, n, pos = found[j]
+        best = n
+        for i in range(j):
+            a, m, place = found[i]
+            gain = n - max(0, a + m - at, place + m - pos)
+            if a < at and place < pos and at - a - m <= size and gain > 0:
+                best = max(best, brute(found, size, i) + gain)
+        return best
+    for _ in range(200):
+        size = rng.randint(6, 20)
+        found = sorted({(rng.randrange(60), n, rng.randrange(size - n + 1)) for n in (rng.randint(2, 6) for _ in range(9))})
+        covered, before = licenses.best_chains(found, size)
+        assert covered == [brute(found, size, j) for j in range(len(found))]
+        assert all(i < j for j, i in enumerate(before))
+        spans = sorted((p[0][0], p[-1][1]) for _, p in licenses.apart(found, covered, before, 4))
+        assert all(x[1] <= y[0] for x, y in zip(spans, spans[1:]))
+
+
 def test_matching_statistics_of_automaton():
     rng = random.Random(8)
     seqs = [[rng.randrange(3) for _ in range(30)] for _ in range(4)]
