@@ -330,6 +330,58 @@ def test_decontamination_finds_edited_copies_of_shared_wording():
     assert want > 500
 
 
+def test_decontamination_does_not_depend_on_blocks(spark, make_docs, odd_rows):
+    rng = random.Random(21)
+    vocab = [f"v{k}" for k in range(900)]
+    lead = rng.choices(vocab, k=25)
+    items = [(k, " ".join(lead + rng.choices(vocab, k=rng.randint(5, 30)))) for k in range(24)]
+    items += [(200 + k, items[k][1]) for k in range(6)] + [(300, "tiny one"), (None, "no id here at all"), (301, None), (302, "!")]
+    rows = []
+    for k in range(60):
+        part = items[k % 24][1].split()
+        part = part[:len(part) - rng.choice([0, 1, 3, 10])]
+        rows.append((100 + k, " ".join(rng.choices(vocab, k=9) + part + rng.choices(vocab, k=9))))
+    rows += rows[:5] + [(100, "tiny one, other text of a repeated id"), (900, "x " * 50_000 + items[3][1])] + odd_rows
+    bench = spark.createDataFrame(items, "item_id long, text string").withColumn("doc_id", F.lit("clash"))
+    docs = make_docs(rows)
+    got = [sorted(map(str, decontaminate.find_contamination(docs, bench, max_bytes=size).collect()))
+           for size in (1 << 20, 2000)]
+    assert got[0] == got[1] and len(got[0]) == sum(r[0] is not None for r in rows)
+    found = {r.doc_id: r for r in decontaminate.find_contamination(docs, bench).collect()}
+    assert found[900].contaminated and found[900].item_id == 3 and found[900].matches[0].first == 50_000
+    assert all(found[i].contaminated for i, t in rows[1:60] if any(x[1] in t for x in items[:24]))
+    kept = [sorted(map(str, decontaminate.drop_contaminated(docs, bench, max_bytes=size).collect())) for size in (1 << 20, 2500)]
+    assert kept[0] == kept[1]
+    assert decontaminate.find_contamination(make_docs([]), bench).count() == 0
+    assert decontaminate.drop_contaminated(make_docs([]), bench).columns == docs.columns
+
+
+@pytest.mark.parametrize("size", [14, 20, 40, 59])
+def test_recall_of_fingerprints_against_brute_force(size):
+    rng = random.Random(size)
+    vocab = [f"v{k}" for k in range(2000)]
+    want = got = 0
+    for _ in range(300):
+        item = rng.choices(vocab, k=size)
+        edited = list(item)
+        for _ in range(rng.randint(0, 3)):
+            edited[rng.choice([0, 1, -1, -2, rng.randrange(size)])] = rng.choice(vocab)
+        words = rng.choices(vocab, k=8) + edited + rng.choices(vocab, k=8)
+        mine = Counter(zip(*(item[j:] for j in range(5))))
+        best = 0
+        for a in range(len(words) - size + 1):
+            w = Counter(zip(*(words[a:a + size][j:] for j in range(5))))
+            best = max(best, (w & mine).total() / (w | mine).total())
+        index = decontaminate.ItemIndex([(1, " ".join(item))])
+        found = index.search(decontaminate.WORD_HASHES.of([w.encode() for w in words]))
+        if best >= 0.8:
+            want += 1
+            got += bool(found)
+        else:
+            assert not found  # one item: weights are even, so weighted and plain agree
+    assert want > 50 and got >= 0.99 * want
+
+
 def test_hamming_blocks_miss_nothing():
     rng = np.random.default_rng(5)
     index = decontaminate.ItemIndex([(k, " ".join(f"q{x}" for x in rng.integers(0, 999, 20))) for k in range(50)], radius=11)
