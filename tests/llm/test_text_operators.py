@@ -546,3 +546,25 @@ def test_reply_order_equals_depth_first_walk(spark):
                 walk(x)
         walk(0)
         assert [r.turn for r in sorted((r for r in got if r.conv_id == c), key=lambda r: r.position)] == order
+
+
+def test_partial_quotations(spark):
+    rows = [(1, 0, "user", "Alpha line one here.\nBeta line two there.\nGamma line three. And a fourth sentence of it."),
+            (1, 1, "assistant", "Something else. Beta line two there."),
+            (1, 2, "user", "> Alpha line one here.\n> Beta line two there.\nTwo of three lines"),
+            (1, 3, "user", "On Monday Ann wrote:\n\n> And a fourth sentence of it.\nA part of a line"),
+            (1, 4, "user", "Code:\n>>> x = 1\n>>> y = 2\nend"),
+            (1, 5, "user", "> x = 1\n> and forty other words which nobody has ever said in this place\nunlinked"),
+            (1, 6, "user", ">>> Gamma line three.\nthird level alone"),
+            (1, 7, "user", "> Beta line two\n> there.\nWrapped"),
+            (2, 0, "user", ""), (2, 1, None, "> "), (2, 2, "user", "word " * 100_000 + ".\n" + "> deep\n" * 3)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("hash", F.lit(9))
+    got = {(r.conv_id, r.turn): r for r in chat.reply_order(df).collect()}
+    assert len(got) == len(rows)
+    assert [got[1, k].reply_to for k in range(8)] == [None, 0, 0, 0, 3, 4, 0, 1]
+    assert got[1, 3].text == "A part of a line" and got[1, 3].n_linked == 1
+    assert got[1, 4].text == "Code:\n>>> x = 1\n>>> y = 2\nend" and got[1, 4].n_quotes == 0
+    assert got[1, 5].n_linked == 0 and got[1, 5].n_quotes == 1 and got[1, 5].text == "unlinked"
+    assert got[1, 6].text == "third level alone" and got[1, 6].n_linked == 1
+    assert got[2, 1].text == "" and got[2, 1].reply_to == 0 and got[2, 2].n_linked == 0
+    assert chat.reply_order(df.limit(0)).count() == 0
