@@ -11,7 +11,9 @@ because its place in the list is part of the state that the micro-batch
 commits.  Records without a topic wait for ever.
 
 A topic may hold a third of all records, so its records are dealt over
-``shards`` keys, each of which gets every event of the topic (events are few).
+``shards`` keys, each of which gets the topic's events.  Only the newest event
+of a topic in a micro-batch counts, so each task that reads events sends on
+the newest it saw of each topic, and only these are copied to every shard.
 A key's share of a micro-batch is what a task holds; the trigger's limits on
 the sources bound it.
 
@@ -39,6 +41,8 @@ from logflow.sinks.writers import BatchSink
 from logflow.streaming.state import operator_state, read_state
 
 SHARDS = 16
+#: Events that a task holds while it looks for each topic's newest.
+EVENTS_HELD = 100_000
 JOB_STATE = "revision long, event_type int, key string, job_name string, index_type string, pipeline string"
 WAITING = "partition int, offset long, us long, value binary"
 ROUTED = f"topic string, {WAITING}, job_name string, index_type string, pipeline string"
@@ -104,6 +108,27 @@ class TopicCollector(StatefulProcessor):
         pass
 
 
+def newest_events(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The newest event of each topic among a task's rows."""
+    kept, some = None, []
+
+    def newest() -> pd.DataFrame:
+        pdf = pd.concat([*([] if kept is None else [kept]), *some], ignore_index=True)
+        return pdf.loc[pdf.groupby("topic", dropna=False, sort=False)["revision"].idxmax()]
+
+    for pdf in batches:
+        some.append(pdf.loc[pdf.groupby("topic", dropna=False, sort=False)["revision"].idxmax()])
+        if sum(map(len, some)) > EVENTS_HELD:
+            kept, some = newest(), []
+            if len(kept) > EVENTS_HELD:  # so many topics that they are passed on as they come
+                yield kept
+                kept = None
+    if some:
+        kept = newest()
+    if kept is not None:
+        yield kept
+
+
 def _one_stream(records: DataFrame, events: DataFrame, shards: int) -> DataFrame:
     """Records and events as rows of one shape, dealt over shards."""
     def row(is_event: bool, **known: Column) -> list[Column]:
@@ -117,8 +142,10 @@ def _one_stream(records: DataFrame, events: DataFrame, shards: int) -> DataFrame
     data = records.select("topic", shard.alias("shard"), *row(
         False, partition=F.col("partition"), offset=F.col("offset"), us=F.coalesce(micros("ts"), F.lit(NO_TIME)),
         value=F.col("value")))
-    control = events.select("topic", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), *row(
+    control = events.select("topic", *row(
         True, **{c: F.col(c) for c in ("revision", "event_type", "key", "job_name", "index_type", "pipeline")}))
+    control = control.mapInPandas(newest_events, control.schema).withColumn(
+        "shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
     return data.unionByName(control)
 
 
