@@ -35,6 +35,7 @@ FLUSH_ROWS = 10
 FLUSH_WAIT = "1 day"
 REPORT_EVERY = "1 hour"
 MAX_LEVEL = 2  # WARN
+FILE_ROWS, SET_FILES = 100_000, 64  # rows of a written stream's file, unless a set would have more files
 LATE_PART = 10  # the first tenth of the revisions is known before the others
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -527,8 +528,10 @@ def collect_stream(spark: SparkSession, d: str) -> DataFrame:
     """T2 over a record stream (S2 file form) and the change feed into the
     index sink (S4), in several micro-batches."""
     src, feed, out, ck = (scratch_path(spark, n) for n in ("records", "changes", "index", "ckpt"))
-    D.records(spark, d).repartition(4, "topic", "partition").write.parquet(src)
-    stream = readers.read_topics(spark, path=src, streaming=True, max_files_per_trigger=2)
+    recs = D.records(spark, d)
+    files = max(4, min(SET_FILES, recs.count() // FILE_ROWS))
+    recs.repartition(files, "topic", "partition", F.floor(F.col("offset") / FILE_ROWS)).write.parquet(src)
+    stream = readers.read_topics(spark, path=src, streaming=True, max_files_per_trigger=files // 2)
     q = collect(stream, topic_events(_feed(spark, D.changes(spark, d), feed)), writers.index_writer(out), ck,
                 trigger={"availableNow": True}, index_time="record")
     q.awaitTermination()
