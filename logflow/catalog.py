@@ -590,13 +590,23 @@ def running_topics_stream(spark: SparkSession, d: str) -> DataFrame:
     return current_running(spark, ck).select("topic", "revision", "key", "job_name", "index_type", "pipeline")
 
 
-def _by_time(df: DataFrame, path: str, parts: int) -> str:
-    """``df`` as files of rising ``ts``, written one after another."""
-    lo, hi = df.agg(F.min(micros("ts")), F.max(micros("ts"))).first()
-    part = F.least(F.floor((micros("ts") - lo) * parts / max(hi - lo, 1)), F.lit(parts - 1))
+def _by_time(df: DataFrame, path: str, parts: int) -> int:
+    """``df`` as ``parts`` sets of files of rising ``ts``, written one after
+    another.  Returns how many files each set has, so that a stream of so many
+    files a trigger reads set by set."""
+    spark, dealt = df.sparkSession, scratch_path(df.sparkSession, "dealt")
+    lo, hi, rows = df.agg(F.min(micros("ts")), F.max(micros("ts")), F.count("ts")).first()
+    files = min(SET_FILES, rows // (parts * FILE_ROWS) + 1)
+    part = F.least(F.floor((micros("ts") - lo) * parts / max(hi - lo, 1)), F.lit(parts - 1)).cast("int")
+    df.withColumn("set", part).write.partitionBy("set").parquet(dealt)
+    back = spark.read.schema(df.withColumn("set", F.lit(0)).schema).parquet(dealt)
     for k in range(parts):
-        df.filter(part == k).coalesce(1).write.mode("append").parquet(path)
-    return path
+        mine = back.filter(F.col("set") == k).drop("set")
+        (mine.repartition(files) if files > 1 else mine.coalesce(1)).write.mode("append").parquet(path)
+        # a task without rows writes no file: empty ones fill up the set
+        for _ in range((k + 1) * files - len(spark.read.schema(df.schema).parquet(path).inputFiles())):
+            mine.limit(0).coalesce(1).write.mode("append").parquet(path)
+    return files
 
 
 def _write_stream(df: DataFrame, out: str, ck: str) -> None:
@@ -626,16 +636,17 @@ def throughput_live(spark: SparkSession, d: str) -> DataFrame:
     """A2 as one stream of chained stateful operators."""
     src, feed, out, ck = (scratch_path(spark, n) for n in ("records", "changes", "report", "ckpt"))
     recs, ch = D.records(spark, d), D.changes(spark, d)
-    _by_time(recs, src, 3)
-    _by_time(ch, feed, 3)
+    rec_files, ch_files = _by_time(recs, src, 3), _by_time(ch, feed, 3)
+    recs, ch = readers.read_topics(spark, path=src, streaming=False), readers.read_job_changes(spark, feed, streaming=False)
     # the clock goes on: a last record and event close the ticks before them
     end = F.greatest(recs.agg(F.max("ts")).scalar(), ch.agg(F.max("ts")).scalar()) + F.expr("interval 2 days")
     (recs.limit(1).select(F.lit("-").alias("topic"), "partition", "offset", end.alias("ts"), "value")
      .write.mode("append").parquet(src))
     (ch.limit(1).select("revision", F.lit("DELETE").alias("op"), F.concat("key", F.lit("-clock")).alias("key"),
                         F.lit(None).cast("string").alias("value"), end.alias("ts")).write.mode("append").parquet(feed))
-    report = throughput_stream(readers.read_topics(spark, path=src, max_files_per_trigger=1),
-                               topic_events(readers.read_job_changes(spark, feed, max_files_per_trigger=1)), REPORT_EVERY)
+    report = throughput_stream(readers.read_topics(spark, path=src, max_files_per_trigger=rec_files),
+                               topic_events(readers.read_job_changes(spark, feed, max_files_per_trigger=ch_files)),
+                               REPORT_EVERY)
     _write_stream(report, out, ck)
     return spark.read.schema("tick timestamp_ntz, rows long, rows_total long, jobs long").parquet(out)
 
