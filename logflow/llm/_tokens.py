@@ -95,20 +95,31 @@ class Encoder:
         out: list[bytes] = []
         use_memo("tokens", self.memo)
         cut = self.pattern.findall
-        for k in range(0, len(texts), 100):
-            block = texts[k:k + 100]
+        for at in range(0, len(texts), 100):
+            block = texts[at:at + 100]
             pieces = []
             for t in block:
                 b = t.encode("utf-8")
                 pieces.append(cut(b.translate(ASCII_LOWER) if self.words else b) if b"<|" not in b else None)
-            self._learn(set().union(*(p for p in pieces if p)))
             get = self.memo.__getitem__
-            for t, p in zip(block, pieces):
+            done: list[bytes | None] = []
+            new: list[int] = []
+            for k, p in enumerate(pieces):
+                try:  # most texts hold only pre-tokens known by now
+                    done.append(None if p is None else b"".join(map(get, p)))
+                except KeyError:
+                    new.append(k)
+                    done.append(None)
+                except TypeError:
+                    done.append(None)
+            if new:
+                self._learn(set().union(*(pieces[k] for k in new)))
+            for k in new:
                 try:
-                    ids = None if p is None else b"".join(map(get, p))
+                    done[k] = b"".join(map(get, pieces[k]))
                 except TypeError:
-                    ids = None
-                out.append(self._ids(self.full, t).tobytes() if ids is None else ids)
+                    pass
+            out += [self._ids(self.full, t).tobytes() if ids is None else ids for t, ids in zip(block, done)]
         return out
 
 

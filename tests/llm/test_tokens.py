@@ -119,3 +119,12 @@ def test_fractional_program_holds_the_demand():
     assert bound <= sum(usage.values()) + 1e-6
     assert any(x != int(x) for x in usage.values())
     assert packing.solve_configurations({}, 16) == ([], 0.0)
+
+
+def test_known_pre_tokens_are_not_gathered_again(monkeypatch):
+    enc = Encoder(tokenizer_path("byte_bpe_50k.json"))
+    texts = ["a plain text", "", "ein anderer Text   <|x|>", "plain text a"]
+    first, calls = enc.encode(texts), []
+    monkeypatch.setattr(enc, "_learn", lambda wanted: calls.append(wanted))
+    assert enc.encode(texts) == first and not calls
+    assert first[0] == enc._ids(enc.full, texts[0]).tobytes()
