@@ -76,10 +76,10 @@ def fragment_of(g: np.ndarray, fragments: int) -> np.ndarray:
     return (((g >> _32) * np.uint64(fragments)) >> _32).astype(np.int64)
 
 
-#: A block's part of a fragment: places of its documents, how many of their
-#: shingles stand in ``own``, and the facts of the block in one of its rows.
-PACKED = "frag long, block long, docs binary, sizes binary, own binary, shared binary, info binary"
-COUNTED = "block long, docs binary, counts binary, info binary"
+#: A block's part of a fragment: how many shingles of which documents stand in
+#: ``own``, and the facts of the block in one of its rows.
+PACKED = "frag long, block long, sizes binary, own binary, shared binary, info binary"
+COUNTED = "block long, counts binary, info binary"
 FACTS = "doc_id long, n long, h1 long, h2 long, own long"
 #: Fragments that a block is cut into at once.
 FANOUT = 1024
@@ -90,6 +90,26 @@ def set_hashes(g: np.ndarray) -> tuple[np.int64, np.int64]:
     return np.add.reduce(mix(g)).view(np.int64), np.bitwise_xor.reduce(mix(g + _ODD)).view(np.int64)
 
 
+def pack_counts(docs: np.ndarray, counts: np.ndarray) -> bytes:
+    """Rising places of documents and their counts, in as few bytes each as
+    the largest step and the largest count need: with more fragments a
+    document has fewer shingles in each, down to one."""
+    if not len(docs):
+        return b""
+    both = np.diff(docs, prepend=-1), counts
+    widths = [next(w for w in (1, 2, 4) if int(x.max()) < 256 ** w) for x in both]
+    return bytes(widths) + b"".join(x.astype(f"<u{w}").tobytes() for x, w in zip(both, widths))
+
+
+def unpack_counts(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
+    if not packed:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    a, b = packed[:2]
+    n = (len(packed) - 2) // (a + b)
+    steps = np.frombuffer(packed, f"<u{a}", n, 2)
+    return np.cumsum(steps, dtype=np.int64) - 1, np.frombuffer(packed, f"<u{b}", n, 2 + n * a).astype(np.int64)
+
+
 def _cut(f: np.ndarray, parts: int, *columns: np.ndarray) -> list[list[np.ndarray]]:
     """Each column cut into the rows of part 0, 1, ...; ``f`` has their parts."""
     order = np.argsort(f, kind="stable")
@@ -104,8 +124,7 @@ def _rows(first: int, block: int, own: list, owner: list, shared: list, info: by
         if len(o) or len(b) or f == home:
             # shingles of a document stand together
             change = np.flatnonzero(np.diff(k, prepend=-1))
-            out.append((first + f, block, k[change].astype("<u2").tobytes(),
-                        np.diff(np.append(change, len(k))).astype("<u4").tobytes(),
+            out.append((first + f, block, pack_counts(k[change], np.diff(np.append(change, len(k)))),
                         o.astype("<u4").tobytes(), b.astype("<u4").tobytes(), info if f == home else b""))
     return out
 
@@ -145,10 +164,10 @@ def recut(pdf: pd.DataFrame, parts: int) -> pd.DataFrame:
     out = []
     for r in pdf.itertuples(index=False):
         own, shared = np.frombuffer(r.own, "<u4"), np.frombuffer(r.shared, "<u4")
-        owner = np.repeat(np.frombuffer(r.docs, "<u2"), np.frombuffer(r.sizes, "<u4")).astype(np.int64)
+        owner = np.repeat(*unpack_counts(r.sizes))
         own, owner = _cut(part(own), parts, own, owner)
         shared, = _cut(part(shared), parts, shared)
-        out += [x for x in _rows(r.frag * parts, r.block, own, owner, shared, r.info) if x[4] or x[5] or x[6]]
+        out += [x for x in _rows(r.frag * parts, r.block, own, owner, shared, r.info) if x[3] or x[4] or x[5]]
     return pd.DataFrame(out, columns=PACKED_NAMES)
 
 
@@ -169,12 +188,12 @@ def count_own(pdf: pd.DataFrame) -> pd.DataFrame:
     upto = np.concatenate([[0], np.cumsum(alone, dtype=np.uint32)])
     out, start = [], 0
     for r in pdf.itertuples(index=False):
-        ends = start + np.cumsum(np.frombuffer(r.sizes, "<u4"), dtype=np.int64)
-        counts = np.diff(upto[ends], prepend=upto[start])
+        docs, sizes = unpack_counts(r.sizes)
+        ends = start + np.cumsum(sizes)
+        counts = np.diff(upto[ends], prepend=upto[start])  # none is above its size
         start = ends[-1] if len(ends) else start
         if counts.any() or r.info:
-            out.append((r.block, np.frombuffer(r.docs, "<u2")[counts > 0].tobytes(),
-                        counts[counts > 0].astype("<u4").tobytes(), r.info))
+            out.append((r.block, pack_counts(docs[counts > 0], counts[counts > 0]), r.info))
     return pd.DataFrame(out, columns=COUNTED_NAMES)
 
 
@@ -182,8 +201,8 @@ def sum_block(pdf: pd.DataFrame) -> pd.DataFrame:
     """The partial counts of a block, summed over its fragments."""
     info = np.frombuffer(next(x for x in pdf["info"] if x), "<i8").reshape(-1, 4)
     own = np.zeros(len(info), dtype=np.int64)
-    for docs, counts in zip(pdf["docs"], pdf["counts"]):
-        own[np.frombuffer(docs, "<u2")] += np.frombuffer(counts, "<u4")
+    for docs, counts in map(unpack_counts, pdf["counts"]):
+        own[docs] += counts
     return pd.DataFrame(info, columns=["doc_id", "n", "h1", "h2"]).assign(own=own)
 
 
@@ -191,8 +210,8 @@ PACKED_NAMES, COUNTED_NAMES = ([c.split()[0] for c in x.split(", ")] for x in (P
 
 
 def set_facts(blocks: DataFrame, make, fragments: int, block_rows: int = BLOCK_ROWS, fanout: int = FANOUT) -> DataFrame:
-    """doc_id, n, h1, h2, own of the rows that ``make`` yields from batches
-    of ``blocks`` (doc_ids and sets)."""
+    """doc_id, n, h1, h2, own and the number of the rows that ``make`` yields
+    from batches of ``blocks`` (doc_ids and sets)."""
     first = min(fragments, fanout)
     parts = -(-fragments // first)
 
@@ -212,8 +231,40 @@ def set_facts(blocks: DataFrame, make, fragments: int, block_rows: int = BLOCK_R
     counted = packed.groupBy("frag").applyInPandas(count_own, COUNTED)
     texts = counted.groupBy("block").applyInPandas(sum_block, FACTS)
     standing = F.struct("n", "h1", "h2")
-    return texts.groupBy("doc_id").agg(F.max_by("own", standing).alias("own"), F.max(standing).alias("s")).select(
-        "doc_id", "own", "s.*")
+    return texts.groupBy("doc_id").agg(F.max_by("own", standing).alias("own"), F.max(standing).alias("s"),
+                                       F.count(F.lit(1)).alias("times")).select("doc_id", "own", "s.*", "times")
+
+
+#: Ids that a segment of the filter is made for, and its longs.  Beyond
+#: ``FILTER_IDS`` in all (32 MB) there is no filter.
+SEGMENT_IDS, SEGMENT = 1 << 14, 1 << 12
+FILTER_IDS = 1 << 24
+
+
+def among(rows: DataFrame, ids: DataFrame, many: int) -> DataFrame:
+    """Those of ``rows`` whose doc_id is one of the ``many`` ids, and some 2
+    percent of the others: what is left is joined, and so shuffled, with less
+    text.  A Bloom filter of two bits an id, dealt into segments."""
+    if many > FILTER_IDS:
+        return rows
+    segments = many // SEGMENT_IDS + 1
+
+    def places(df: DataFrame) -> DataFrame:
+        h = F.xxhash64("doc_id", F.lit("among"))
+        return df.withColumns({"_segment": F.pmod(h, F.lit(segments)), **{
+            f"_p{k}": F.pmod(F.xxhash64("doc_id", F.lit(k)), F.lit(64 * SEGMENT)) for k in (1, 2)}})
+
+    def bits(pdf: pd.DataFrame) -> pd.DataFrame:
+        on = np.zeros(64 * SEGMENT, dtype=np.uint8)
+        on[pdf["_p1"]] = on[pdf["_p2"]] = 1
+        return pd.DataFrame({"_segment": pdf["_segment"].iloc[:1],
+                             "_bits": [np.packbits(on, bitorder="little").view("<i8")]})
+
+    held = places(ids).groupBy("_segment").applyInPandas(bits, "_segment long, _bits array<long>")
+    there = [F.expr(f"(shiftrightunsigned(_bits[cast(_p{k} div 64 as int)], cast(_p{k} % 64 as int)) & 1) = 1") for k in (1, 2)]
+    found = places(rows).alias("r").join(
+        F.broadcast(held.alias("f")), (F.col("r._segment") == F.col("f._segment")) & there[0] & there[1], "left_semi")
+    return found.drop("_segment", "_p1", "_p2")
 
 
 def may_link(percent: int):
@@ -295,21 +346,20 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return out.where("a > b").distinct()
 
 
+def _stars(edges: DataFrame) -> bool:
+    """Every node above has one edge, to a node that is never above."""
+    ends = edges.select(F.col("a").alias("v"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+        edges.select(F.col("b").alias("v"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    return ends.groupBy("v").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up + down > 1 and up > 0").isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """doc_id, root for every node of ``edges`` (a > b) that is not its
     component's smallest.  Each step halves paths; edges are written once a
     step."""
-    def state(df):
-        return df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-
     edges = stored(edges.select("a", "b").distinct(), "edges")
-    before = state(edges)
-    while before[0]:
+    while not _stars(edges):
         edges = stored(_star(_star(edges, True), False), "edges")
-        now = state(edges)
-        if now == before:
-            break
-        before = now
     return edges.select(F.col("a").alias("doc_id"), F.col("b").alias("root"))
 
 
@@ -329,6 +379,8 @@ def jaccard_components(docs: DataFrame, *, k: int = 3, percent: int = 90, fragme
     # written, so that the join with the texts is planned by its real size:
     # the texts are not shuffled for a few representatives
     reps = stored(classes.where(may_link(percent)).select(F.col("rep").alias("doc_id"), "n", "h1", "h2"), "reps")
+    chosen, held = reps.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    fragments = int(max(16, (4 * held + 32 * chosen) // fragment_bytes + 1))
 
     def to_sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -339,8 +391,10 @@ def jaccard_components(docs: DataFrame, *, k: int = 3, percent: int = 90, fragme
             # of rows that repeat a doc_id only the one that stands for it
             yield out[(info == pdf[["n", "h1", "h2"]].to_numpy()).all(axis=1)]
 
-    sets = stored(map_slices(rows.join(reps, "doc_id"), to_sets, "doc_id long, n long, tokens binary")
-                  .dropDuplicates(["doc_id"]), "sets")
+    sets = map_slices(among(rows, reps, chosen).join(reps, "doc_id"), to_sets, "doc_id long, n long, tokens binary")
+    if not facts.where("times > 1").isEmpty():
+        sets = sets.dropDuplicates(["doc_id"])
+    sets = stored(sets, "sets")
 
     def from_sets(pdf: pd.DataFrame):
         return pdf["doc_id"].to_numpy(np.int64), [np.frombuffer(t, "<u8") for t in pdf["tokens"]]
@@ -353,13 +407,18 @@ def jaccard_components(docs: DataFrame, *, k: int = 3, percent: int = 90, fragme
         if 10 * have >= 9 * had:  # the next round would hardly exclude more
             break
         had = have
-    links = candidate_links(sets, percent, part_shingles)
+    links = candidate_links(stored(sets, "sets"), percent, part_shingles)
 
     named = facts.join(classes.select("n", "h1", "h2", "rep"), ["n", "h1", "h2"], "left")
     return (named.join(links.select(F.col("doc_id").alias("rep"), "root"), "rep", "left")
             .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("root", "rep", "doc_id").alias("component_id")))
 
 
+def level(n: int, part_shingles: int) -> int:
+    """A set of ``n`` shingles is cut into 2 ** level ranges."""
+    return ((n - 1) // part_shingles).bit_length()
+
+
 def verified(pairs: DataFrame, sets: DataFrame, percent: int, part_shingles: int) -> DataFrame:
     """The pairs (a, b, na, nb) that link.  Both sets of a pair are cut into
     as many fragments as its larger set needs for ``part_shingles`` each;
@@ -367,19 +426,23 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int, part_shingles: int
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = []
-            for doc_id, cuts, t in zip(pdf["doc_id"].tolist(), pdf["cuts"].tolist(), pdf["tokens"]):
+            for doc_id, t in zip(pdf["doc_id"].tolist(), pdf["tokens"]):
                 g = np.frombuffer(t, "<u8")
-                f = fragment_of(g, cuts)
-                at = np.flatnonzero(np.diff(f, prepend=-1))
-                out += [(doc_id, cuts, int(f[a]), p.view(np.int64)) for a, p in zip(at, np.split(g, at[1:]))]
-            yield pd.DataFrame(out, columns=["doc_id", "cuts", "frag", "part"])
-
-    pairs = pairs.withColumn("cuts", F.ceil(F.greatest("na", "nb") / part_shingles).cast("int"))
-    used = pairs.select(F.explode(F.array("a", "b")).alias("doc_id"), "cuts").distinct()
-    parts = map_slices(sets.join(used, "doc_id"), cut, "doc_id long, cuts int, frag int, part array<long>")
-    a = parts.select(F.col("doc_id").alias("a"), "cuts", "frag", F.col("part").alias("pa"))
-    b = parts.select(F.col("doc_id").alias("b"), "cuts", "frag", F.col("part").alias("pb"))
-    both = pairs.join(a, ["a", "cuts"]).join(b, ["b", "cuts", "frag"])
+                # for every size of the larger set that can link with this one
+                for k in range(level(len(g), part_shingles), level(len(g) * 100 // percent, part_shingles) + 1):
+                    f = fragment_of(g, 2 ** k)
+                    at = np.flatnonzero(np.diff(f, prepend=-1))
+                    out += [(doc_id, k, int(f[x]), p.view(np.int64)) for x, p in zip(at, np.split(g, at[1:]))]
+            yield pd.DataFrame(out, columns=["doc_id", "level", "frag", "part"])
+
+    used = stored(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "used")
+    parts = map_slices(among(sets.select("doc_id", "tokens"), used, used.count()), cut,
+                       "doc_id long, level int, frag int, part array<long>")
+    a = parts.select(F.col("doc_id").alias("a"), "level", "frag", F.col("part").alias("pa"))
+    b = parts.select(F.col("doc_id").alias("b"), "level", "frag", F.col("part").alias("pb"))
+    above = F.floor((F.greatest("na", "nb") - 1) / part_shingles).cast("long")
+    pairs = pairs.withColumn("level", F.when(above > 0, F.length(F.bin(above))).otherwise(0))
+    both = pairs.join(a, ["a", "level"]).join(b, ["b", "level", "frag"])
     overlap = both.groupBy("a", "b").agg(F.sum(F.size(F.array_intersect("pa", "pb"))).alias("o"),
                                          F.first("na").alias("na"), F.first("nb").alias("nb"))
     return overlap.where(100 * F.col("o") >= percent * (F.col("na") + F.col("nb") - F.col("o"))).select("a", "b")
@@ -424,10 +487,12 @@ def candidate_links(sets: DataFrame, percent: int, part_shingles: int) -> DataFr
         pairs = other.join(first, (other["sig"] == first["sig"]) & (F.col("ka") > F.col("kb")) & fits).select(
             "a", "b", "na", "nb").distinct()
         pairs = stored(pairs if seen is None else pairs.join(seen, ["a", "b"], "left_anti"), "pairs")
-        found = stored(verified(stored(likely(pairs, wide, percent), "likely"), sets, percent, part_shingles), "links")
-        if not found.isEmpty():
-            links = links.unionByName(found)
-            roots = components(links)
+        near = pairs if pairs.isEmpty() else stored(likely(pairs, wide, percent), "likely")
+        if not near.isEmpty():
+            found = stored(verified(near, sets, percent, part_shingles), "links")
+            if not found.isEmpty():
+                links = links.unionByName(found)
+                roots = components(links)
         pairs = pairs.select("a", "b")
         seen = pairs if seen is None else seen.unionByName(pairs)
         lo, width = lo + width, 4 * width

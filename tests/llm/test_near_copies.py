@@ -226,3 +226,76 @@ def test_info_of_blocks_is_dealt_over_fragments():
     homes = [int(p["frag"][p["info"].map(len) > 0].iloc[0])
              for k in range(0, 400, 4) for p in [ngram_join.pack_fragments(np.arange(k, k + 4), sets[k:k + 4], 8)]]
     assert len(set(homes)) == 8 and max(Counter(homes).values()) < 30
+
+
+def test_counts_take_few_bytes():
+    """A document's part of a fragment costs two bytes, not six; steps and
+    counts of any width come back."""
+    rng = np.random.default_rng(8)
+    docs = np.arange(0, 1000, 2)
+    assert len(ngram_join.pack_counts(docs, rng.integers(1, 9, 500))) == 2 + 2 * 500
+    for top in (255, 256, 70_000):
+        docs = np.unique(np.append(rng.integers(0, 65_536, 20), [0, 65_535]))
+        counts = np.append(rng.integers(1, 9, len(docs) - 1), top)
+        back = ngram_join.unpack_counts(ngram_join.pack_counts(docs, counts))
+        assert (back[0] == docs).all() and (back[1] == counts).all()
+    assert [len(x) for x in ngram_join.unpack_counts(ngram_join.pack_counts(docs[:0], docs[:0]))] == [0, 0]
+
+
+def test_filter_loses_no_id(spark):
+    """All rows with a named id pass, few others do."""
+    rows = spark.range(-50_000, 150_000).withColumnRenamed("id", "doc_id")
+    ids = rows.where("doc_id % 5 = 0")
+    left = ngram_join.among(rows, ids, 40_000)
+    assert left.columns == ["doc_id"]
+    assert left.join(ids, "doc_id").count() == 40_000 and left.count() < 45_000
+    assert ngram_join.among(rows, ids, ngram_join.FILTER_IDS + 1) is rows
+
+
+def test_texts_without_candidates_are_not_shuffled(spark, make_docs, tmp_path):
+    """The representatives' texts and sets meet by a filter first, even if
+    they are too many to be broadcast."""
+    rows = [(k, " ".join(f"u{k}x{j}" for j in range(200))) for k in range(300)]
+    rows += [(1000 + k, " ".join(f"c{j}" for j in range(199)) + f" end{k}") for k in range(3)]
+    docs, held = make_docs(rows), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    docs.write.parquet(str(tmp_path / "docs"))
+    seen = []
+
+    def joined(df, ids, many, real=ngram_join.among):
+        out = real(df, ids, many)
+        seen.append((df.count(), out.count()))
+        return out
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(ngram_join, "among", joined)
+        got = ngram_join.jaccard_components(spark.read.parquet(str(tmp_path / "docs"))).collect()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+    assert {r.component_id for r in got if r.doc_id >= 1000} == {1000} and len(got) == 303
+    assert seen[0][0] == 303 and seen[0][1] < 20 and all(b <= a for a, b in seen)
+
+
+def test_verified_at_the_borders_of_levels(spark):
+    """Pairs whose larger set needs more ranges than the smaller one."""
+    rng = np.random.default_rng(3)
+    sets, pairs, want = {}, [], set()
+    for n in (1, 2, 31, 32, 33, 63, 64, 65, 128, 129, 513):
+        x = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+        for extra in (1, n // 9, n // 4, n // 4 + 1):
+            y = np.unique(np.append(x, rng.integers(0, 1 << 63, extra, dtype=np.uint64)))
+            b, a = len(sets), len(sets) + 1
+            sets[b], sets[a] = x, y
+            pairs.append((a, b, len(y), len(x)))
+            if 100 * len(x) >= 80 * len(y):
+                want.add((a, b))
+    frame = spark.createDataFrame([(k, len(x), x.astype("<u8").tobytes()) for k, x in sets.items()],
+                                  "doc_id long, n long, tokens binary")
+    found = ngram_join.verified(spark.createDataFrame(pairs, "a long, b long, na long, nb long"), frame, 80, 32)
+    assert {tuple(r) for r in found.collect()} == want
+
+
+def test_components_of_chains_and_stars(spark):
+    edges = [(k + 1, k) for k in range(40)] + [(k, 100) for k in range(101, 120)] + [(203, 201), (203, 202)]
+    got = {tuple(r) for r in ngram_join.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == ({(k, 0) for k in range(1, 41)} | {(k, 100) for k in range(101, 120)} | {(203, 201), (202, 201)})
+    assert ngram_join.components(spark.createDataFrame([], "a long, b long")).isEmpty()
