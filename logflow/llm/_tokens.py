@@ -93,7 +93,7 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = []
-        use_memo("tokens", self.memo)
+        use_memo("tokens", _ENCODERS)
         cut = self.pattern.findall
         for at in range(0, len(texts), 100):
             block = texts[at:at + 100]
@@ -127,7 +127,8 @@ _ENCODERS: dict[str, Encoder] = {}
 
 
 def encoder(path: str) -> Encoder:
-    """One encoder for each tokenizer file and Python worker."""
+    """One encoder for each tokenizer file and Python worker, until the worker
+    goes on to another operator's memo."""
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path)
     return _ENCODERS[path]

@@ -26,3 +26,30 @@ def test_pipeline_stages(spark):
 def test_all_queries_are_registered():
     names = entry.queries()
     assert {f"op{k}" for k in range(1, 11)} <= {n.split("_")[0] for n in names} and "pipeline" in names
+
+
+def test_stages_ask_for_small_batches(spark):
+    """Neither side holds a batch of 10,000 texts."""
+    pipeline = importlib.import_module("corpus_pipeline")
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    held = spark.conf.get(key)
+    try:
+        for rows, want in (("10000", "1000"), ("0", "1000"), ("50", "50")):
+            for _, stage in pipeline.STAGES:
+                spark.conf.set(key, rows)
+                stage(spark, spark.read.parquet(f"{SMALL}/documents.parquet").limit(0), SMALL)
+                assert spark.conf.get(key) == want
+    finally:
+        spark.conf.set(key, held)
+
+
+def test_tokenizers_go_with_their_memo():
+    """A worker that goes on to words holds no tokenizer any more."""
+    from logflow.llm import _common, _tokens
+
+    first = _tokens.encoder(_tokens.tokenizer_path("byte_bpe_50k.json"))
+    ids = first.encode(["Some words."])
+    assert first.memo and _tokens._ENCODERS
+    _common.WORD_HASHES.of([b"a"])
+    assert not _tokens._ENCODERS
+    assert _tokens.encoder(_tokens.tokenizer_path("byte_bpe_50k.json")).encode(["Some words."]) == ids
