@@ -29,7 +29,7 @@ def _norm(rows, cols):
 @pytest.fixture(scope="module")
 def con():
     c = duckdb.connect()
-    for t in ("events", "orders", "conversations"):
+    for t in ("events", "orders", "conversations", "documents"):
         c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     return c
 
